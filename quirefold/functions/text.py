@@ -10,7 +10,6 @@ import html
 import unicodedata
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +45,8 @@ _OTHER_ENTITY = "&(?!(?:" + "|".join(_NATIVE_ENTITIES) + ");)"
 
 @F.arrow_udf(T.StringType())
 def _nfkc_arrow(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFKC")
+    # Arrow's own utf8_normalize leaves NFKC decomposed.
+    return pa.array([t if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
 
 
 @F.arrow_udf(T.StringType())

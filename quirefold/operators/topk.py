@@ -42,6 +42,9 @@ def rank(df: DataFrame, keys, by=()) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(window.orderBy(*by_similarity(keys))))
 
 
+_NO_SCORE = -2.0  # below every cosine
+
+
 class _Best:
     """The k best (score, key) rows of each query seen by one task."""
 
@@ -52,17 +55,18 @@ class _Best:
         self.floor = np.full(n_queries, -np.inf)
 
     def offer(self, queries: np.ndarray, scores: np.ndarray, keys: np.ndarray) -> None:
-        """``scores`` is queries x rows; NaN (no score) sorts below every number."""
-        scores = np.where(np.isnan(scores), -2.0, np.round(scores, SCORE_DECIMALS))
-        for at in np.flatnonzero(scores.max(axis=1) >= self.floor[queries]):
+        """``scores`` is queries x rows; NaN means no score. Ranking is by rounded score, then key."""
+        scores = np.where(np.isnan(scores), _NO_SCORE, scores)
+        rounded = np.round(scores, SCORE_DECIMALS)
+        for at in np.flatnonzero(rounded.max(axis=1) >= self.floor[queries]):
             q = queries[at]
-            fit = np.flatnonzero(scores[at] >= self.floor[q])
+            fit = np.flatnonzero(rounded[at] >= self.floor[q])
             s = np.concatenate([self.scores[q], scores[at][fit]])
             ks = np.concatenate([self.keys[q], keys[fit]])
-            order = np.lexsort((*ks.T[::-1], -s))[:self.k]
+            order = np.lexsort((*ks.T[::-1], -np.round(s, SCORE_DECIMALS)))[:self.k]
             self.scores[q], self.keys[q] = s[order], ks[order]
             if len(order) == self.k:
-                self.floor[q] = s[order[-1]]
+                self.floor[q] = np.round(s[order[-1]], SCORE_DECIMALS)
 
 
 def _scan(batches, query_ids, units, k, n_keys, probes):
@@ -86,7 +90,7 @@ def _scan(batches, query_ids, units, k, n_keys, probes):
                 best.offer(queries, units[queries] @ full[tile].T, keys[tile].astype(np.int64))
     for q in everyone:
         if len(best.scores[q]):
-            found = np.where(best.scores[q] == -2.0, np.nan, best.scores[q])
+            found = np.where(best.scores[q] == _NO_SCORE, np.nan, best.scores[q])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(found), query_ids[q])),
                  *[pa.array(best.keys[q][:, i]) for i in range(n_keys)],

@@ -191,8 +191,9 @@ def _written(doc_id=None):
 
 @query(f"""
 WITH {_DATES}, written AS (SELECT doc_id, {_WRITTEN} AS raw FROM dates)
-SELECT doc_id, raw, CAST(coalesce(try_strptime(left(raw, 19), '%Y-%m-%dT%H:%M:%S'), try_strptime(left(raw, 10), '%Y-%m-%d'),
-                                  try_strptime(left(raw, 10), '%d/%m/%Y')) AS DATE) AS parsed
+SELECT doc_id, raw, CASE WHEN regexp_matches(raw, '^[0-9]{{4}}-|/[0-9]{{4}}$') THEN CAST(coalesce(
+         try_strptime(left(raw, 19), '%Y-%m-%dT%H:%M:%S'), try_strptime(left(raw, 10), '%Y-%m-%d'),
+         try_strptime(left(raw, 10), '%d/%m/%Y')) AS DATE) END AS parsed
 FROM written""")
 def parse_dates(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", _written().alias("raw"))
