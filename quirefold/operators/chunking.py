@@ -97,10 +97,15 @@ def recursive_chunks(c: Column, size: int, overlap: int, length=estimate_tokens)
 
 
 def window_chunks(c: Column, size: int, overlap: int) -> Column:
-    """ARRAY<STRING> of windows of ``size`` words, each sharing ``overlap`` words with the one before."""
-    words = F.split(c, r"\s+")
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - overlap), F.lit(size - overlap))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
+    """ARRAY<STRING> of windows of ``size`` words, each sharing ``overlap`` words with the one before.
+
+    The words are bound to a lambda variable, so that a text is split once and not once per window.
+    """
+    def windows(words):
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - overlap), F.lit(size - overlap))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
+
+    return F.when(c.isNotNull(), F.transform(F.array(F.split(c, r"\s+")), windows)[0])
 
 
 def merge_tail(chunks: Column, size: int, min_ratio: float = fv.MIN_RATIO) -> Column:
@@ -136,12 +141,15 @@ def chunk_documents(df: DataFrame, text_col: str = "text", strategy: str = fv.CH
     """
     check_strategy(strategy, size, overlap)
     text = F.col(text_col)
-    usable = df.where(has_text(text) & within_bytes(text, max_bytes))
-    pieces = window_chunks(text, size, overlap) if strategy == "window" else \
-        recursive_chunks(text, size, overlap, length)
     rest = [c for c in df.columns if c != text_col]
-    return (usable.select(*rest, pieces.alias("_chunks"))
-            .withColumn("_chunks", merge_tail(F.col("_chunks"), size, min_ratio))
+    # Unusable texts become null, not filtered out: a filter would be pushed below the projection
+    # that made the text and compute it twice.
+    usable = F.when(has_text(text) & within_bytes(text, max_bytes), text)
+    pieces = window_chunks(F.col("_usable"), size, overlap) if strategy == "window" else \
+        recursive_chunks(F.col("_usable"), size, overlap, length)
+    return (df.select(*rest, usable.alias("_usable"))
+            .select(*rest, pieces.alias("_chunks"))
+            .select(*rest, merge_tail(F.col("_chunks"), size, min_ratio).alias("_chunks"))
             .select(*rest, F.posexplode(cap_chunks(F.col("_chunks"), max_chunks)).alias("chunk_index", "chunk_text")))
 
 
