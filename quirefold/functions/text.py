@@ -20,22 +20,13 @@ from quirefold import fixed_values as fv
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
-def _nfkc_stable_ranges() -> str:
-    """Regex class body of the characters below U+0300 that NFKC keeps as they are.
-
-    Combining characters start at U+0300, so a text made of these alone is already in NFKC.
-    """
-    stable = [c for c in range(0x300) if unicodedata.normalize("NFKC", chr(c)) == chr(c)]
-    ranges = []
-    for c in stable:
-        if ranges and c == ranges[-1][1] + 1:
-            ranges[-1][1] = c
-        else:
-            ranges.append([c, c])
-    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
-
-
-_NEEDS_NFKC = f"[^{_nfkc_stable_ranges()}]"
+def _latin1_changed_by_nfkc() -> str:
+    return "".join(chr(c) for c in range(0x100) if unicodedata.normalize("NFKC", chr(c)) != chr(c))
+
+
+# Texts without any of these are in NFKC already: below U+0132 only some Latin-1 characters change,
+# no combining character comes before U+0300, and common dashes and quotes (U+2012-2023) are stable.
+_NEEDS_NFKC = f"[{_latin1_changed_by_nfkc()}\\x{{132}}-\\x{{2011}}\\x{{2017}}\\x{{2024}}-\\x{{10ffff}}]"
 
 # Entities decoded in the JVM; "amp" comes last so that "&amp;lt;" is decoded once only.
 _NATIVE_ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0", "copy": "\u00a9",
