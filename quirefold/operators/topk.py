@@ -132,7 +132,7 @@ def scan_queries(df: DataFrame, queries: DataFrame, k: int, keys, vector_col: st
 
     def scan(block: DataFrame) -> DataFrame:
         rows = block.select(F.col(query_id).cast("bigint"), query_vector).where(F.col(query_vector).isNotNull()).collect()
-        vectors = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+        vectors = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), max(0, size["dims"]))
         table, probes = (df, None) if prepare is None else prepare(df, vectors)
         return _scan_block(table, [r[0] for r in rows], vectors, k, keys, vector_col, probes)
 
