@@ -7,6 +7,7 @@ from quirefold.functions.text import has_text, strip_ws
 
 # A text is one value in one row, and Spark holds at most 2 GiB in a value.
 MAX_VALUE_BYTES = 1 << 30
+TOO_LARGE = "document text too large for one value"
 
 
 def page_stats(pages: DataFrame, key: str = "doc_key") -> DataFrame:
@@ -21,14 +22,14 @@ def page_stats(pages: DataFrame, key: str = "doc_key") -> DataFrame:
     )
 
 
-def page_texts(pages: DataFrame, key: str = "doc_key", max_bytes: int = MAX_VALUE_BYTES) -> DataFrame:
-    """(key, text): non-empty pages in page order, joined by one line feed, stripped.
+def page_texts(pages: DataFrame, wanted: DataFrame, key: str = "doc_key") -> DataFrame:
+    """(key, text) of the wanted documents: non-empty pages in page order, joined by one line feed, stripped.
 
-    Only documents that fit in one value are gathered; ``page_stats`` tells the caller about the rest.
+    A text is one value, so its pages end up in one row; ``wanted`` must leave out documents over
+    ``MAX_VALUE_BYTES``. Pages of other documents are dropped before anything is gathered.
     """
-    fits = page_stats(pages, key).where(F.col("has_text") & (F.col("text_bytes") <= max_bytes))
     ordered = F.array_sort(F.collect_list(F.struct("page_no", "text")))
-    return (pages.where("text <> ''").join(fits.select(key), key, "left_semi")
+    return (pages.where("text <> ''").join(wanted.select(key), key, "left_semi")
             .groupBy(key).agg(ordered.alias("_pages"))
             .select(key, strip_ws(F.array_join(F.transform("_pages", lambda p: p["text"]), "\n")).alias("text")))
 
@@ -39,6 +40,7 @@ def assemble_pages(pages: DataFrame, key: str = "doc_key", max_bytes: int = MAX_
     A document too large for one value comes back without its text and with an error.
     """
     stats = page_stats(pages, key).where("has_text")
-    error = F.when(F.col("text_bytes") > max_bytes, F.lit("document text too large for one value"))
-    return (stats.join(page_texts(pages, key, max_bytes), key, "left")
+    fits = stats.where(F.col("text_bytes") <= max_bytes)
+    error = F.when(F.col("text_bytes") > max_bytes, F.lit(TOO_LARGE))
+    return (stats.join(page_texts(pages, fits, key), key, "left")
             .select(key, "text", "page_count", error.alias("error")))

@@ -1,4 +1,4 @@
-"""Ingestion of one batch of resolved documents.
+"""Ingestion of one batch of documents.
 
 The order of work keeps heavy data still. A narrow pass (hash, key and metadata, no text) finds the
 documents that are new, and is written down as the batch's pending list. Only then are texts read
@@ -18,6 +18,7 @@ from quirefold.functions.text import clean_text
 from quirefold.operators.chunking import check_strategy, chunk_documents, chunk_rows
 from quirefold.operators.dedup import first_wins, skip_known
 from quirefold.operators.embedding import embed, provider_factory
+from quirefold.plans.resolve import Incoming
 from quirefold.sources.store import DocumentStore
 
 
@@ -45,11 +46,9 @@ class IngestOptions:
                 "chunk_size": self.size, "chunk_overlap": self.overlap}
 
 
-def new_documents(resolved: DataFrame, known: DataFrame) -> DataFrame:
-    """Documents to process: first of each body, not stored yet, without error. Narrow: no text."""
-    narrow = resolved.where("error is null").select(
-        *schemas.ORDER_KEY, "url", "title", "doc_type", "meeting_date", "source_hash", "page_count", "has_text")
-    fresh = skip_known(first_wins(narrow, schemas.ORDER_KEY), known)
+def new_documents(narrow: DataFrame, known: DataFrame) -> DataFrame:
+    """Documents to process: first of each body, not stored yet, without error. No text is moved."""
+    fresh = skip_known(first_wins(narrow.where("error is null"), schemas.ORDER_KEY), known)
     return fresh.withColumn("document_id", F.when(F.col("source_hash") != "", document_id(F.col("source_hash"))))
 
 
@@ -61,7 +60,7 @@ def build_chunks(documents: DataFrame, options: IngestOptions) -> DataFrame:
     return chunk_rows(chunks, options.strategy, options.size, options.overlap)
 
 
-def ingest_batch(store: DocumentStore, resolved: DataFrame, batch: str, options: IngestOptions) -> dict:
+def ingest_batch(store: DocumentStore, incoming: Incoming, batch: str, options: IngestOptions) -> dict:
     """Process one batch and return {documents_processed, chunks_inserted, quarantined}.
 
     Every write replaces the batch's own partitions and the known hashes leave the batch out, so a
@@ -71,20 +70,19 @@ def ingest_batch(store: DocumentStore, resolved: DataFrame, batch: str, options:
     spark = store.spark
     tag = F.lit(batch).alias("ingest_batch")
 
-    bad = resolved.where("error is not null").select(*schemas.ORDER_KEY, "url", "title", "doc_type", "error", tag)
+    bad = incoming.narrow.where("error is not null").select(*schemas.ORDER_KEY, "url", "title", "doc_type", "error", tag)
     if not options.skip_errors:
         first_bad = bad.first()
         if first_bad is not None:
             raise ValueError(f"cannot ingest {first_bad['title']!r}: {first_bad['error']}")
 
     pending_path = f"{store.path('pending')}/{batch}"
-    new_documents(resolved, store.known_hashes(except_batch=batch)).write.mode("overwrite").parquet(pending_path)
+    new_documents(incoming.narrow, store.known_hashes(except_batch=batch)).write.mode("overwrite").parquet(pending_path)
     pending = spark.read.parquet(pending_path)
     with_text = pending.where("has_text")
 
-    texts = resolved.select(*schemas.ORDER_KEY, "text").join(
-        with_text.select(*schemas.ORDER_KEY, "document_id", "doc_type"), list(schemas.ORDER_KEY))
-    chunks = build_chunks(texts.drop(*schemas.ORDER_KEY), options)
+    texts = incoming.texts(with_text).select("document_id", "doc_type", "text")
+    chunks = build_chunks(texts, options)
     embedded = embed(chunks, "cleaned_text", options.provider, options.batch_size,
                      not options.skip_errors, **options.provider_options)
     store.write_batch("chunks", embedded.withColumn("created_at", F.current_timestamp())
@@ -95,7 +93,7 @@ def ingest_batch(store: DocumentStore, resolved: DataFrame, batch: str, options:
     store.embed_failures(batch).write.mode("overwrite").parquet(failed_path)
     failed = spark.read.parquet(failed_path)
     if failed.first() is not None:
-        bad = bad.unionByName(with_text.join(failed, "document_id").select(
+        bad = bad.unionByName(with_text.drop("error").join(failed, "document_id").select(
             *schemas.ORDER_KEY, "url", "title", "doc_type", "error", tag))
         store.remove("chunks", failed, within=store.chunks().where(F.col("ingest_batch") == batch))
         with_text = with_text.join(failed, "document_id", "left_anti")
@@ -110,8 +108,8 @@ def ingest_batch(store: DocumentStore, resolved: DataFrame, batch: str, options:
     }
 
 
-def ingest(spark: SparkSession, root: str, resolved: DataFrame, run_name: str,
+def ingest(spark: SparkSession, root: str, incoming: Incoming, run_name: str,
            options: IngestOptions | None = None) -> dict:
     """Batch run over a whole input; a repeated run inserts nothing."""
-    return ingest_batch(DocumentStore(spark, root).create(), resolved, f"{run_name}-batch",
+    return ingest_batch(DocumentStore(spark, root).create(), incoming, f"{run_name}-batch",
                         options or IngestOptions())

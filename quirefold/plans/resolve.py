@@ -1,5 +1,7 @@
 """From listings to documents with a body: selection, lookup of details, choice of the body."""
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -9,12 +11,11 @@ from quirefold import fixed_values as fv
 from quirefold import schemas
 from quirefold.functions.hashing import source_hash
 from quirefold.functions.text import has_text, html_to_text
-from quirefold.operators.pages import MAX_VALUE_BYTES, page_stats, page_texts
+from quirefold.operators.pages import MAX_VALUE_BYTES, TOO_LARGE, page_stats, page_texts
 from quirefold.operators.select import dated_within, of_types
 from quirefold.sources.landing import body_key
 
 NO_BODY = "no body"
-TOO_LARGE = "document text too large for one value"
 
 
 def plan_ingest(listing: DataFrame, doc_types=fv.DOC_TYPES, date_from: date | None = None,
@@ -32,45 +33,86 @@ def detail_url():
     return url
 
 
+@dataclass
+class Incoming:
+    """Documents to ingest.
+
+    ``narrow`` has one INCOMING row per document; ``texts`` adds the column ``text`` to some of those
+    rows. So a run can decide what is new from keys and hashes, and read texts of new documents only.
+    """
+
+    narrow: DataFrame
+    texts: Callable[[DataFrame], DataFrame]
+
+    def with_texts(self) -> DataFrame:
+        return self.texts(self.narrow)
+
+
+def _or_own_key(condition, key):
+    """A join key where the condition holds, elsewhere one of the row's own that matches nothing.
+
+    Rows without a key would otherwise all be null and meet in one task of an outer join.
+    """
+    own = F.concat_ws("/", F.lit("none"), *[F.col(c).cast("string") for c in schemas.ORDER_KEY])
+    return F.when(condition, key).otherwise(own)
+
+
 def resolve(listing: DataFrame, detail: DataFrame, bodies: DataFrame, pages: DataFrame,
-            max_bytes: int = MAX_VALUE_BYTES) -> DataFrame:
-    """One RESOLVED row per listed document.
+            max_bytes: int = MAX_VALUE_BYTES) -> Incoming:
+    """Find the body of every listed document.
 
     A PDF whose bytes are there decides, even without any text; else the HTML text; else the row
-    carries an error. ``has_text``, ``page_count`` and the hash come from narrow aggregates, so a
-    plan that does not select ``text`` never gathers page texts.
+    carries an error. ``detail`` has one row per (doc_type, meeting_number) and ``bodies`` one per
+    doc_key, as landed files do. Only digests and page counts are joined here.
     """
-    details = detail.groupBy("doc_type", "meeting_number").agg(
-        F.min(F.struct("pdf_url", "html")).alias("d")).select("doc_type", "meeting_number", "d.pdf_url", "d.html")
+    html_text = F.when(F.col("html") != "", html_to_text(F.col("html")))
+    details = (detail.withColumn("html_text", html_text).select(
+        "doc_type", "meeting_number", "pdf_url", (F.col("html") != "").alias("has_html"),
+        source_hash(None, F.col("html_text")).alias("html_hash"), has_text(F.col("html_text")).alias("html_has_text")))
+    stats = page_stats(pages).withColumnRenamed("has_text", "pages_have_text")
     found = (listing.join(details, ["doc_type", "meeting_number"], "left")
-             .withColumn("doc_key", F.when(F.col("pdf_url") != "", body_key(F.col("pdf_url"))))
-             .join(bodies.groupBy("doc_key").agg(F.min("body_hash").alias("body_hash")), "doc_key", "left")
-             .join(page_stats(pages).withColumnRenamed("has_text", "pages_have_text"), "doc_key", "left")
-             .join(page_texts(pages, max_bytes=max_bytes).withColumnRenamed("text", "page_text"), "doc_key", "left"))
+             .withColumn("doc_key", _or_own_key(F.col("pdf_url") != "", body_key(F.col("pdf_url"))))
+             .join(bodies, "doc_key", "left").join(stats, "doc_key", "left"))
     is_pdf = F.col("body_hash").isNotNull()
-    is_html = ~is_pdf & (F.coalesce("html", F.lit("")) != "")
-    found = found.withColumn("html_text", F.when(is_html, html_to_text(F.col("html"))))
+    is_html = ~is_pdf & F.coalesce("has_html", F.lit(False))
     too_large = is_pdf & F.coalesce(F.col("text_bytes") > max_bytes, F.lit(False))
-    return found.select(
+    narrow = found.select(
         *schemas.ORDER_KEY,
         F.when(is_pdf, F.col("pdf_url")).otherwise(detail_url()).alias("url"),
         "title", "doc_type", "meeting_date", "meeting_number",
-        F.when(is_pdf, F.col("body_hash")).otherwise(source_hash(None, F.col("html_text"))).alias("source_hash"),
+        F.when(is_pdf, F.col("body_hash")).when(is_html, F.col("html_hash")).otherwise("").alias("source_hash"),
+        is_pdf.alias("from_pages"),
         F.when(is_pdf, F.col("page_count")).alias("page_count"),
         F.when(is_pdf, F.coalesce("pages_have_text", F.lit(False)))
-        .otherwise(has_text(F.col("html_text"))).alias("has_text"),
-        F.when(is_pdf, F.col("page_text")).otherwise(F.col("html_text")).alias("text"),
+        .otherwise(is_html & F.col("html_has_text")).alias("has_text"),
         F.when(too_large, TOO_LARGE).when(~is_pdf & ~is_html, NO_BODY).alias("error"),
     )
 
+    def texts(documents: DataFrame) -> DataFrame:
+        keyed = documents.withColumn("doc_key", _or_own_key(F.col("from_pages"), body_key(F.col("url"))))
+        wanted = keyed.where("from_pages and has_text and error is null")
+        bare = detail.where("html <> ''").select("doc_type", "meeting_number", "html")
+        return (keyed.join(page_texts(pages, wanted).withColumnRenamed("text", "page_text"), "doc_key", "left")
+                .drop("doc_key").join(bare, ["doc_type", "meeting_number"], "left")
+                .withColumn("text", F.when(F.col("from_pages"), F.col("page_text")).otherwise(html_to_text(F.col("html"))))
+                .select(*documents.columns, "text"))
+
+    return Incoming(narrow, texts)
 
-def from_texts(df: DataFrame, source_ord: int = 0) -> DataFrame:
-    """RESOLVED rows of documents whose text is at hand (url, title, doc_type, meeting_date, list_pos, text)."""
+
+def from_texts(df: DataFrame, source_ord: int = 0) -> Incoming:
+    """Documents whose text is at hand (list_pos, url, title, doc_type, meeting_date, text)."""
+    keyed = df.select(F.lit(source_ord).alias("source_ord"), F.lit("").alias("list_file"),
+                      F.col("list_pos").cast("bigint").alias("list_pos"),
+                      "url", "title", "doc_type", "meeting_date", "text")
     text = F.col("text")
-    return df.select(
-        F.lit(source_ord).alias("source_ord"), F.lit("").alias("list_file"),
-        F.col("list_pos").cast("bigint").alias("list_pos"), "url", "title", "doc_type",
-        "meeting_date", F.lit(None).cast("int").alias("meeting_number"),
-        source_hash(None, text).alias("source_hash"), F.lit(None).cast("int").alias("page_count"),
-        has_text(text).alias("has_text"), "text", F.lit(None).cast("string").alias("error"),
-    ).select(*schemas.RESOLVED.names)
+    narrow = keyed.select(
+        *schemas.ORDER_KEY, "url", "title", "doc_type", "meeting_date", F.lit(None).cast("int").alias("meeting_number"),
+        source_hash(None, text).alias("source_hash"), F.lit(False).alias("from_pages"),
+        F.lit(None).cast("int").alias("page_count"), has_text(text).alias("has_text"),
+        F.lit(None).cast("string").alias("error"))
+
+    def texts(documents: DataFrame) -> DataFrame:
+        return documents.join(keyed.select(*schemas.ORDER_KEY, "text"), list(schemas.ORDER_KEY), "left")
+
+    return Incoming(narrow, texts)

@@ -28,7 +28,8 @@ PAGES = T.StructType([
 # Unique key of an incoming document, and its first-wins order.
 ORDER_KEY = ("source_ord", "list_file", "list_pos")
 
-RESOLVED = T.StructType([
+# What is known of an incoming document before its text is read.
+INCOMING = T.StructType([
     T.StructField("source_ord", T.IntegerType()),
     T.StructField("list_file", T.StringType()),
     T.StructField("list_pos", T.LongType()),
@@ -38,9 +39,9 @@ RESOLVED = T.StructType([
     T.StructField("meeting_date", T.DateType()),
     T.StructField("meeting_number", T.IntegerType()),
     T.StructField("source_hash", T.StringType()),
+    T.StructField("from_pages", T.BooleanType()),
     T.StructField("page_count", T.IntegerType()),
     T.StructField("has_text", T.BooleanType()),
-    T.StructField("text", T.StringType()),
     T.StructField("error", T.StringType()),
 ])
 

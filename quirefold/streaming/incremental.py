@@ -1,5 +1,6 @@
-"""Incremental, resumable runs: a file stream of resolved documents into the store."""
+"""Incremental, resumable runs: a file stream of listed documents into the store."""
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -7,16 +8,18 @@ from pyspark.sql import functions as F
 
 from quirefold import fixed_values as fv
 from quirefold.plans.ingest import IngestOptions, ingest_batch
+from quirefold.plans.resolve import Incoming
 from quirefold.sources.shared import shared_root
 from quirefold.sources.store import DocumentStore, RunManifest
 
 
-def ingest_stream(store: DocumentStore, resolved: DataFrame, run_name: str, options: IngestOptions | None = None,
-                  doc_types=fv.DOC_TYPES, date_from: date | None = None, date_to: date | None = None,
+def ingest_stream(store: DocumentStore, stream: DataFrame, prepare: Callable[[DataFrame], Incoming], run_name: str,
+                  options: IngestOptions | None = None, doc_types=fv.DOC_TYPES, date_from: date | None = None, date_to: date | None = None,
                   checkpoint: str | None = None):
     """Start ingesting what has arrived and stop; returns the running query.
 
-    ``resolved`` is a streaming frame. Spark's checkpoint remembers which files a run has taken, so
+    ``stream`` is a streaming frame, for instance of listings, and ``prepare`` turns the rows of one
+    micro-batch into documents, with whatever has landed by then. Selections go into either. Spark's checkpoint remembers which files a run has taken, so
     calling again under the same run name goes on where it stopped, and a batch that broke off is
     repeated under its old number. A new run name starts afresh. No state is kept besides the tables.
     """
@@ -31,7 +34,7 @@ def ingest_stream(store: DocumentStore, resolved: DataFrame, run_name: str, opti
 
     def process(batch: DataFrame, batch_id: int) -> None:
         name = f"{run_name}-{batch_id:08d}"
-        summary = ingest_batch(store, batch, name, options)
+        summary = ingest_batch(store, prepare(batch), name, options)
         done["n"] += summary["documents_processed"]
         last = (store.documents().where(F.col("ingest_batch") == name)
                 .agg(F.max_by("url", F.struct("ingested_at", "document_id")).alias("url")).first())
@@ -40,5 +43,5 @@ def ingest_stream(store: DocumentStore, resolved: DataFrame, run_name: str, opti
                       chunk_strategy=options.strategy, **parameters)
 
     location = checkpoint or f"{shared_root(store.spark)}/runs/{run_name}"
-    return (resolved.writeStream.foreachBatch(process).option("checkpointLocation", location)
+    return (stream.writeStream.foreachBatch(process).option("checkpointLocation", location)
             .trigger(availableNow=True).start())

@@ -9,7 +9,8 @@ from quirefold.sources.shared import shared_path, spread
 from quirefold.sources.store import DocumentStore
 from quirefold.streaming.incremental import ingest_stream as start_stream
 from quirefold.suite.registry import query
-from quirefold.suite.tables import CONTENT_HASH, DOCS, OVERLAP, SIZE, SPACES, docs, estimate_sql, table, window_sql
+from quirefold.suite.tables import (CONTENT_HASH, DOCS, OVERLAP, SIZE, SPACES, docs, estimate_sql, stand_in,
+                                    table, window_sql)
 from quirefold.suite.texts import clean_sql
 
 OPTIONS = IngestOptions(strategy="window", size=SIZE, overlap=OVERLAP, provider_options={"dims": 64})
@@ -102,13 +103,10 @@ def ingest_stream(spark, sf):
     """The same documents taken as a file stream."""
     store = DocumentStore(spark, shared_path(spark, "store"))
     given = table(spark, sf, "documents").schema
-    raw = spark.readStream.schema(given).option("pathGlobFilter", "documents.parquet").parquet(sf)
-    date = F.when(F.col("doc_id") % 10 != 0,
-                  F.date_add(F.lit("2000-01-01").cast("date"), (F.col("doc_id") % 5000).cast("int")))
-    incoming = from_texts(raw.select(F.col("doc_id").alias("list_pos"), F.col("source").alias("url"),
-                                     F.substring_index("text", "\n", 1).alias("title"),
-                                     F.col("lang").alias("doc_type"), date.alias("meeting_date"), "text"))
-    start_stream(store, incoming, "stream", OPTIONS, checkpoint=shared_path(spark, "progress")).awaitTermination()
+    stream = (spark.readStream.schema(given).option("pathGlobFilter", "documents.parquet").parquet(sf))
+    query = start_stream(store, stream, lambda batch: _incoming(stand_in(batch)), "stream", OPTIONS,
+                         checkpoint=shared_path(spark, "progress"))
+    query.awaitTermination()
     return store.documents().select("source_hash", "url", "title", "doc_type", "meeting_date")
 
 
@@ -122,4 +120,4 @@ def new_document_list(spark, sf):
     d = spread(docs(spark, sf), "document_id")
     labelled = table(spark, sf, "labels").select(F.col("doc_id").alias("document_id")).distinct()
     known = d.join(labelled, "document_id", "left_semi").select("source_hash")
-    return new_documents(_incoming(d), known).select("list_pos", "source_hash", "has_text")
+    return new_documents(_incoming(d).narrow, known).select("list_pos", "source_hash", "has_text")

@@ -17,7 +17,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents")
+    return stand_in(table(spark, sf, "documents"))
+
+
+def stand_in(d: DataFrame) -> DataFrame:
+    """Rows of the given ``documents`` as documents of the engine."""
     date = F.when(F.col("doc_id") % 10 != 0,
                   F.date_add(F.lit("2000-01-01").cast("date"), (F.col("doc_id") % 5000).cast("int")))
     return d.select(F.col("doc_id").alias("document_id"), F.col("source").alias("url"),

@@ -384,4 +384,4 @@ def resolve_bodies(spark, sf):
                        "doc_id").where("doc_id % 2 = 0").withColumn("doc_key", body_key(F.col("pdf_url")))
     bodies = landed.select("doc_key", F.sha2(F.concat(F.lit("pdf "), "text"), 256).alias("body_hash"))
     pages = landed.select("doc_key", F.posexplode(F.split("text", "\n")).alias("page_no", "text"))
-    return resolve(_listing(base), detail, bodies, pages)
+    return resolve(_listing(base), detail, bodies, pages).with_texts().drop("from_pages")

@@ -102,7 +102,7 @@ def test_plan_ingest_reads_no_bodies(spark, landed):
 
 
 def test_resolution(spark, landed):
-    rows = {(r["doc_type"], r["meeting_number"]): r for r in _resolved(spark, landed).collect()}
+    rows = {(r["doc_type"], r["meeting_number"]): r for r in _resolved(spark, landed).with_texts().collect()}
 
     def got(key):
         r = rows[key]
@@ -124,9 +124,7 @@ def test_resolution(spark, landed):
 
 
 def test_narrow_pass_leaves_page_texts_alone(spark, landed):
-    narrow = _resolved(spark, landed).select("source_hash", "has_text", "page_count")
-    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
-    assert "collect_list" not in plan
+    assert "collect_list" not in _resolved(spark, landed).narrow._jdf.queryExecution().toString()
 
 
 def test_ingest_from_landed_files(spark, landed, tmp_path):
@@ -146,12 +144,12 @@ def test_ingest_from_landed_files(spark, landed, tmp_path):
 
 # --- repeats and failures -------------------------------------------------------------------------
 
-def _texts(spark, rows):
+def _texts(spark, rows, doc_type=FIRST, dated=True):
     df = spark.createDataFrame(rows, "list_pos long, text string")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("list_pos").cast("int")) if dated else F.lit(None).cast("date")
     return from_texts(df.select("list_pos", F.concat(F.lit("u"), "list_pos").alias("url"),
-                                F.concat(F.lit("t"), "list_pos").alias("title"), F.lit(FIRST).alias("doc_type"),
-                                F.date_add(F.lit("2024-01-01").cast("date"), F.col("list_pos").cast("int")).alias("meeting_date"),
-                                "text"))
+                                F.concat(F.lit("t"), "list_pos").alias("title"), F.lit(doc_type).alias("doc_type"),
+                                day.alias("meeting_date"), "text"))
 
 
 def _contents(store):
@@ -233,8 +231,9 @@ def test_a_document_that_fails_is_quarantined_whole_and_retried(spark, tmp_path)
 # --- streams --------------------------------------------------------------------------------------
 
 def _stream(spark, landed, run, store, tmp_path, options=OPTIONS):
-    resolved = _resolved(spark, landed, streaming=True, max_files=1)
-    query = ingest_stream(store, resolved, run, options, checkpoint=str(tmp_path / "progress" / run))
+    listing, *landed_parts = _sources(spark, landed, streaming=True, max_files=1)
+    query = ingest_stream(store, listing, lambda batch: resolve(batch, *landed_parts), run, options,
+                          checkpoint=str(tmp_path / "progress" / run))
     query.awaitTermination()
 
 
@@ -275,8 +274,7 @@ def test_manifest(spark, tmp_path):
 def filled(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("filled"))
     ingest(spark, root, _texts(spark, ROWS), "a", OPTIONS)
-    ingest(spark, root, _texts(spark, [(6, "late text"), (7, "alone")]).withColumn("doc_type", F.lit(SECOND))
-           .withColumn("meeting_date", F.lit(None).cast("date")), "b", OPTIONS)
+    ingest(spark, root, _texts(spark, [(6, "late text"), (7, "alone")], SECOND, dated=False), "b", OPTIONS)
     return DocumentStore(spark, root)
 
 
