@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from quirefold import fixed_values as fv
 from quirefold.functions.text import is_truncated, preview, short_title
+from quirefold.operators.embedding import embed_query
 from quirefold.operators.select import by_id, of_types
 from quirefold.operators.topk import batch_top_k, by_similarity, rank, score, top_k
+from quirefold.sources.store import DocumentStore
 
 
 def totals(documents: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -102,6 +104,13 @@ def search(documents: DataFrame, chunks: DataFrame, query, k: int = fv.TOP_K, do
                                    preview(F.col("chunk_text"), fv.SEARCH_PREVIEW_CHARS).alias("preview"))
 
 
+def search_text(store: DocumentStore, text: str, k: int = fv.TOP_K, doc_type: str | None = None,
+                provider: str = "hashing", **options) -> DataFrame:
+    """Search the store by a text, embedded by the provider of its chunks."""
+    query = embed_query(store.spark, text, provider, **options)
+    return search(store.documents(), store.chunks(), query, k, doc_type, complete=True)
+
+
 def search_many(documents: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K) -> DataFrame:
     """The k nearest chunks of every (query_id, embedding), with their document's metadata."""
     found = batch_top_k(chunks, queries, k)

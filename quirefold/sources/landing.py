@@ -40,10 +40,10 @@ def listing_items(payloads: DataFrame, doc_type: str) -> DataFrame:
 
 
 def read_listing(spark: SparkSession, path: str, doc_type: str, streaming: bool = False,
-                 max_files: int | None = None) -> DataFrame:
+                 max_files: int = fv.RUN_INTERVAL) -> DataFrame:
     """Listed documents of one kind; as a stream, ``max_files`` payloads make a batch."""
     reader = (spark.readStream if streaming else spark.read).schema(schemas.LISTING).option("multiLine", True)
-    if streaming and max_files:
+    if streaming:
         reader = reader.option("maxFilesPerTrigger", max_files)
     payloads = reader.json(f"{path}/{doc_type}")
     return listing_items(payloads.withColumn("list_file", F.col("_metadata.file_name")), doc_type)

@@ -5,9 +5,10 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from quirefold import fixed_values as fv
-from quirefold.functions.text import has_text, strip_ws, squeeze_ws
+from quirefold.functions.hashing import content_hash
+from quirefold.functions.text import has_text, squeeze_ws, strip_ws
 from quirefold.operators import dedup, quality, select
-from quirefold.operators.chunking import chunk_rows, window_chunks
+from quirefold.operators.chunking import window_chunks
 from quirefold.operators.pages import assemble_pages, page_stats
 from quirefold.plans import reports
 from quirefold.sources.shared import spread
@@ -33,23 +34,20 @@ SELECT d.document_id, d.doc_type, d.meeting_date, coalesce(c.n, 0) AS chunks,
 FROM firsts d LEFT JOIN counted c USING (document_id)
 ORDER BY meeting_date DESC NULLS LAST, document_id""")
 def doc_overview(spark, sf):
-    """Documents after first-wins de-duplication with their chunk counts, newest first."""
+    """Documents after first-wins de-duplication with their chunk counts, newest first.
+
+    Texts cross one shuffle, the one that finds the first of each body; chunks are cut and hashed
+    where their document lies.
+    """
     d = spread(docs(spark, sf), "document_id")
     firsts = dedup.first_wins(d, ["document_id"])
-    text = strip_ws(squeeze_ws(F.col("text")))
-    cleaned = firsts.where(has_text(F.col("text"))).select("document_id", text.alias("text"))
-    parts = cleaned.select("document_id", F.posexplode(window_chunks(F.col("text"), SIZE, OVERLAP))
-                           .alias("chunk_index", "chunk_text"))
-    hashed = chunk_rows(parts, "window", SIZE, OVERLAP)
-    # Distinct chunks per document in two partial steps: no set of hashes is ever gathered.
-    counted = (hashed.groupBy("document_id", "content_hash").agg(F.count("*").alias("n"))
-               .groupBy("document_id").agg(F.count("*").alias("distinct_chunks"), F.sum("n").alias("chunks")))
-    return (firsts.select("document_id", "doc_type", "meeting_date", "title")
-            .join(counted, "document_id", "left")
-            .select("document_id", "doc_type", "meeting_date",
-                    F.coalesce("chunks", F.lit(0).cast("bigint")).alias("chunks"),
-                    F.coalesce("distinct_chunks", F.lit(0).cast("bigint")).alias("distinct_chunks"),
-                    reports.short_title(F.col("title")).alias("title"))
+    text = F.when(has_text(F.col("text")), strip_ws(squeeze_ws(F.col("text"))))
+    cut = firsts.select("document_id", "doc_type", "meeting_date", "title", text.alias("text")).withColumn(
+        "pieces", F.coalesce(window_chunks(F.col("text"), SIZE, OVERLAP), F.array().cast("array<string>")))
+    hashes = F.transform("pieces", lambda p: content_hash(p, F.lit("window"), F.lit(SIZE), F.lit(OVERLAP)))
+    return (cut.select("document_id", "doc_type", "meeting_date", F.size("pieces").cast("bigint").alias("chunks"),
+                       F.size(F.array_distinct(hashes)).cast("bigint").alias("distinct_chunks"),
+                       reports.short_title(F.col("title")).alias("title"))
             .orderBy(F.desc_nulls_last("meeting_date"), "document_id"))
 
 

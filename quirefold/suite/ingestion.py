@@ -98,6 +98,19 @@ def store_delete(spark, sf):
     return left.unionByName(left_chunks.select(F.lit("chunks").alias("tab"), "source_hash", "chunk_index"))
 
 
+@query(f"""
+WITH {_FIRSTS}
+SELECT 'documents' AS tab, (SELECT count(*) FROM firsts) AS removed, CAST(0 AS BIGINT) AS remaining
+UNION ALL SELECT 'chunks', (SELECT count(*) FROM stored_chunks), 0""")
+def store_delete_all(spark, sf):
+    """What deleting everything removes and leaves."""
+    store = _stored(spark, sf)
+    removed = store.delete_all()
+    left = [store.read(tab).agg(F.lit(tab).alias("tab"), F.lit(n).cast("bigint").alias("removed"), F.count("*").alias("remaining"))
+            for tab, n in removed.items()]
+    return left[0].unionByName(left[1])
+
+
 @query(_DOCUMENTS_SQL)
 def ingest_stream(spark, sf):
     """The same documents taken as a file stream."""

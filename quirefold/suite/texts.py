@@ -16,7 +16,7 @@ from quirefold.operators.chunking import cap_chunks, chunk_documents, chunk_rows
 from quirefold.plans.resolve import plan_ingest as plan
 from quirefold.plans.resolve import resolve
 from quirefold.sources.landing import body_key, detail_items, listing_items
-from quirefold.sources.shared import spread
+from quirefold.sources.shared import shared_path, spread
 from quirefold.suite.registry import query
 from quirefold.suite.tables import (CHUNKS, CONTENT_HASH, DOCS, OVERLAP, SIZE, SPACES, chunks, docs, estimate_sql,
                                     table, window_sql)
@@ -63,19 +63,16 @@ def _squeeze_sql(c: str) -> str:
     return _regex(_regex(c, r"[ \t]+", " "), r"\n{3,}", "\n\n")
 
 
-_RE2_BOILERPLATE = (
-    r"(?i)Banco Central do Brasil\s*\n",
-    r"(?i)Copom\s*[-–]\s*\d+[ªa]?\s*Reunião\s*\n",
-    r"(?i)Ata da?\s+\d+[ªa]?\s+Reunião do Copom\s*\n",
-    r"(?i)\bwww\.bcb\.gov\.br\b\s*\n",
-    r"(?i)Página \d+ de \d+\s*\n",
-    r"(?m)^\s*\d+\s*$",
-)
+def _re2(pattern: str) -> str:
+    """A fixed pattern in RE2 spelling."""
+    for java, re2 in ((r"[\s\x1c-\x1f]", r"\s"), ("(?iuU)", "(?i)"), ("(?mUd)", "(?m)")):
+        pattern = pattern.replace(java, re2)
+    return pattern
 
 
 def _boilerplate_sql(c: str) -> str:
-    for pattern in _RE2_BOILERPLATE:
-        c = _regex(c, pattern)
+    for pattern in fv.BOILERPLATE_PATTERNS:
+        c = _regex(c, _re2(pattern))
     return c
 
 
@@ -280,6 +277,17 @@ def chunk_recursive(spark, sf):
     return chunk_documents(d)
 
 
+@query(rf"SELECT doc_id AS document_id, sha256(regexp_replace({clean_sql('text')}, '\s+', '', 'g')) AS letters FROM documents "
+       f"WHERE length(trim(text, {SPACES})) > 0")
+def chunk_recursive_lossless(spark, sf):
+    """Recursive chunks without overlap, put together again: white space aside, nothing is lost or repeated."""
+    d = _texts(spark, sf).select(F.col("doc_id").alias("document_id"), tx.clean_text(F.col("text")).alias("text"))
+    pieces = chunk_documents(d, size=60, overlap=0, max_chunks=2 ** 31 - 1)
+    whole = pieces.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("chunk_index", "chunk_text"))).alias("c"))
+    joined = F.array_join(F.transform("c", lambda x: x["chunk_text"]), "")
+    return whole.select("document_id", F.sha2(F.regexp_replace(joined, r"\s+", ""), 256).alias("letters"))
+
+
 # --- listings, details and bodies -----------------------------------------------------------------
 
 # Each document is listed by one payload. English ones are of the first kind.
@@ -351,7 +359,7 @@ def _detail(base):
 _FOUND = f"""{_LISTED},
 detail AS (
   SELECT *, CASE WHEN doc_type = 'ata' AND doc_id % 11 <> 0 THEN
-              CASE doc_id % 3 WHEN 0 THEN 'https://www.bcb.gov.br/pdf/' || doc_id || '.pdf'
+              CASE doc_id % 3 WHEN 0 THEN '{fv.BASE_URL}/pdf/' || doc_id || '.pdf'
                               WHEN 1 THEN 'https://files.example/' || doc_id || '.pdf' ELSE '' END ELSE '' END AS pdf_url,
          CASE WHEN doc_id % 7 <> 0 AND doc_id % 11 <> 0 THEN
               trim({_squeeze_sql(_regex("regexp_replace(chr(10) || chr(10) || text, '<(br|p|div|h[1-6]|li|tr)[^>]*>', chr(10), 'gi')", '<[^>]+>'))}, {SPACES})
@@ -362,13 +370,25 @@ body AS (
   FROM detail)"""
 
 
+@query(f"""
+WITH {_LISTED}
+SELECT doc_type, meeting_number,
+  CASE WHEN doc_type = 'ata' AND doc_id % 11 <> 0 THEN
+    CASE doc_id % 3 WHEN 0 THEN '{fv.BASE_URL}/pdf/' || doc_id || '.pdf'
+                    WHEN 1 THEN 'https://files.example/' || doc_id || '.pdf' ELSE '' END ELSE '' END AS pdf_url,
+  CASE WHEN doc_id % 7 <> 0 AND doc_id % 11 <> 0 THEN '<div><p>' || text || '</p></div>' ELSE '' END AS html
+FROM listed""")
+def detail_source(spark, sf):
+    return _detail(_base(spark, sf))
+
+
 @query(f"""
 WITH {_FOUND}
 SELECT CASE doc_type WHEN 'ata' THEN 0 ELSE 1 END AS source_ord, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS list_file,
   CAST(0 AS BIGINT) AS list_pos,
   CASE WHEN is_pdf THEN pdf_url WHEN doc_type = 'ata'
-       THEN 'https://www.bcb.gov.br/api/servico/sitebcb/copom/atas_detalhes?nro_reuniao=' || meeting_number
-       ELSE 'https://www.bcb.gov.br/api/servico/sitebcb/copom/comunicados_detalhes?nro_reuniao=' || meeting_number END AS url,
+       THEN '{fv.DETAIL_URLS['ata']}' || meeting_number
+       ELSE '{fv.DETAIL_URLS['comunicado']}' || meeting_number END AS url,
   title, doc_type, meeting_date, meeting_number,
   CASE WHEN is_pdf THEN sha256('pdf ' || text) WHEN is_html AND length(html_text) > 0 THEN sha256(html_text) ELSE '' END AS source_hash,
   CASE WHEN is_pdf THEN CAST(len(string_split(text, chr(10))) AS INTEGER) END AS page_count,
@@ -377,11 +397,20 @@ SELECT CASE doc_type WHEN 'ata' THEN 0 ELSE 1 END AS source_ord, lpad(CAST(doc_i
   CASE WHEN NOT is_pdf AND NOT is_html THEN 'no body' END AS error
 FROM body""")
 def resolve_bodies(spark, sf):
-    """Listing joined to details, bodies and pages; PDF, HTML or no body decided per document."""
+    """Listing joined to details, bodies and pages; PDF, HTML or no body decided per document.
+
+    The four sources are derived from the documents and landed as tables first.
+    """
+    def land(df):
+        path = shared_path(spark, "landed")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
     base = _base(spark, sf)
-    detail = _detail(base)
-    landed = base.join(detail.where("pdf_url <> ''").select(F.col("meeting_number").cast("bigint").alias("doc_id"), "pdf_url"),
-                       "doc_id").where("doc_id % 2 = 0").withColumn("doc_key", body_key(F.col("pdf_url")))
-    bodies = landed.select("doc_key", F.sha2(F.concat(F.lit("pdf "), "text"), 256).alias("body_hash"))
-    pages = landed.select("doc_key", F.posexplode(F.split("text", "\n")).alias("page_no", "text"))
-    return resolve(_listing(base), detail, bodies, pages).with_texts().drop("from_pages")
+    detail = land(_detail(base))
+    with_pdf = detail.where("pdf_url <> '' and meeting_number % 2 = 0").select(
+        F.col("meeting_number").cast("bigint").alias("doc_id"), body_key(F.col("pdf_url")).alias("doc_key"))
+    landed = base.select("doc_id", "text").join(with_pdf, "doc_id")
+    bodies = land(landed.select("doc_key", F.sha2(F.concat(F.lit("pdf "), "text"), 256).alias("body_hash")))
+    pages = land(landed.select("doc_key", F.posexplode(F.split("text", "\n")).alias("page_no", "text")))
+    return resolve(land(_listing(base)), detail, bodies, pages).with_texts().drop("from_pages")

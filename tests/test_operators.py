@@ -1,6 +1,7 @@
 """Golden and brute-force checks of the operators."""
 
 import collections
+import os
 import random
 import re
 import sys
@@ -296,3 +297,19 @@ def test_cells(spark, vectors, tmp_path):
     assert all(few[k][0][1] == 1.0 for k, _ in queries)
     one = cells.approx_top_k(indexed, centroids, queries[3][1], 5, 1, ["k"])
     assert re.search(r"PartitionFilters: \[[^]]*cell", plan_of(one))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_cells_recall(spark):
+    v = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").repartition(4, "vec_id")
+    q = v.where("vec_id % 40 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    centroids = cells.train_cells(v, 32)
+    assigned = cells.assign_cells(v, centroids).cache()
+    exact = batch_top_k(v, q, 10, ["vec_id"]).select("query_id", "vec_id")
+    near = cells.approx_batch_top_k(assigned, centroids, q, 10, 8, ["vec_id"]).select("query_id", "vec_id")
+    assert exact.join(near, ["query_id", "vec_id"]).count() / exact.count() >= 0.6
+    sizes = {r["cell"]: r["count"] for r in assigned.groupBy("cell").count().collect()}
+    vectors = np.array([r["embedding"] for r in q.collect()])
+    mask = cells._probed(vectors, centroids, 8)
+    scanned = sum(sizes.get(c, 0) for row in mask for c in np.flatnonzero(row)) / len(vectors)
+    assert scanned / v.count() <= 0.3

@@ -14,6 +14,7 @@ from quirefold.operators.embedding import HashingProvider, embed_query, register
 from quirefold.plans import reports
 from quirefold.plans.ingest import IngestOptions, ingest, ingest_batch
 from quirefold.plans.resolve import NO_BODY, from_texts, plan_ingest, resolve
+from quirefold.plans.run import dry_run, run_batch, run_incremental
 from quirefold.sources.landing import read_bodies, read_detail, read_listing, read_pages
 from quirefold.sources.store import DocumentStore, RunManifest
 from quirefold.streaming.incremental import ingest_stream
@@ -338,3 +339,21 @@ def test_delete_and_delete_all(spark, tmp_path):
     assert store.delete_all() == {"documents": 4, "chunks": chunk_total - 1}
     assert store.documents().count() == 0 and store.chunks().count() == 0
     assert ingest(spark, store.root, _texts(spark, ROWS), "a", OPTIONS)["documents_processed"] == 5
+
+
+# --- whole runs -----------------------------------------------------------------------------------
+
+def test_runs_over_a_landing_folder(spark, landed, tmp_path):
+    day = datetime.date(2024, 2, 1)
+    planned = {(r["doc_type"], r["meeting_number"]) for r in dry_run(spark, landed, SECOND, day).collect()}
+    assert planned == {(SECOND, 12), (SECOND, 13)}
+    root = str(tmp_path / "s")
+    assert run_batch(spark, landed, root, "one", SECOND, day, options=OPTIONS) == {
+        "documents_processed": 1, "chunks_inserted": 1, "quarantined": 1}
+    run_incremental(spark, landed, root, "two", options=OPTIONS, checkpoint=str(tmp_path / "c")).awaitTermination()
+    store = DocumentStore(spark, root)
+    assert store.documents().count() == 4
+    found = reports.search_text(store, "first page second page", 1, dims=16).first()
+    assert found["title"] == "First" and round(found["similarity"], 6) == 1
+    with pytest.raises(ValueError, match="embedding_dimensions: stored 16, current 8"):
+        run_batch(spark, landed, root, "one", options=IngestOptions(size=20, overlap=4, provider_options={"dims": 8}))
