@@ -37,15 +37,21 @@ def detail_url():
 class Incoming:
     """Documents to ingest.
 
-    ``narrow`` has one INCOMING row per document; ``texts`` adds the column ``text`` to some of those
-    rows. So a run can decide what is new from keys and hashes, and read texts of new documents only.
+    ``narrow`` has one INCOMING row per document. ``texts`` takes some of its rows, all with a text,
+    and returns them with the column ``text``. So a run decides what is new from keys and hashes and
+    then reads the texts of new documents only; when those are few, the planner broadcasts them and
+    texts are not shuffled at all.
     """
 
     narrow: DataFrame
     texts: Callable[[DataFrame], DataFrame]
 
     def with_texts(self) -> DataFrame:
-        return self.texts(self.narrow)
+        """All documents; those without text have null, or '' where a body was there."""
+        found = self.texts(self.narrow.where("has_text and error is null")).select(*schemas.ORDER_KEY, "text")
+        blank = F.when(F.col("error").isNull() & ~F.col("from_pages"), F.lit(""))
+        return (self.narrow.join(found, list(schemas.ORDER_KEY), "left")
+                .withColumn("text", F.coalesce("text", blank)))
 
 
 def _or_own_key(condition, key):
@@ -89,13 +95,11 @@ def resolve(listing: DataFrame, detail: DataFrame, bodies: DataFrame, pages: Dat
     )
 
     def texts(documents: DataFrame) -> DataFrame:
-        keyed = documents.withColumn("doc_key", _or_own_key(F.col("from_pages"), body_key(F.col("url"))))
-        wanted = keyed.where("from_pages and has_text and error is null")
-        bare = detail.where("html <> ''").select("doc_type", "meeting_number", "html")
-        return (keyed.join(page_texts(pages, wanted).withColumnRenamed("text", "page_text"), "doc_key", "left")
-                .drop("doc_key").join(bare, ["doc_type", "meeting_number"], "left")
-                .withColumn("text", F.when(F.col("from_pages"), F.col("page_text")).otherwise(html_to_text(F.col("html"))))
-                .select(*documents.columns, "text"))
+        paged = documents.where("from_pages").withColumn("doc_key", body_key(F.col("url")))
+        html = documents.where("not from_pages").join(detail.select("doc_type", "meeting_number", "html"),
+                                                      ["doc_type", "meeting_number"])
+        return (paged.join(page_texts(pages, paged), "doc_key").select(*documents.columns, "text")
+                .unionByName(html.select(*documents.columns, html_to_text(F.col("html")).alias("text"))))
 
     return Incoming(narrow, texts)
 
@@ -113,6 +117,6 @@ def from_texts(df: DataFrame, source_ord: int = 0) -> Incoming:
         F.lit(None).cast("string").alias("error"))
 
     def texts(documents: DataFrame) -> DataFrame:
-        return documents.join(keyed.select(*schemas.ORDER_KEY, "text"), list(schemas.ORDER_KEY), "left")
+        return documents.join(keyed.select(*schemas.ORDER_KEY, "text"), list(schemas.ORDER_KEY))
 
     return Incoming(narrow, texts)
