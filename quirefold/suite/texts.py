@@ -13,8 +13,8 @@ from quirefold import schemas
 from quirefold.functions import text as tx
 from quirefold.functions.dates import parse_date
 from quirefold.operators.chunking import cap_chunks, chunk_documents, chunk_rows, merge_tail, window_chunks
+from quirefold.plans.resolve import Incoming, resolve
 from quirefold.plans.resolve import plan_ingest as plan
-from quirefold.plans.resolve import resolve
 from quirefold.sources.landing import body_key, detail_items, listing_items
 from quirefold.sources.shared import shared_path, spread
 from quirefold.suite.registry import query
@@ -299,7 +299,7 @@ def _base(spark, sf):
     return spread(table(spark, sf, "documents"), "doc_id").withColumn("kind", kind)
 
 
-def _listing(base):
+def _listing(base, land=lambda df: df):
     """Payloads as they would be landed, written and read as JSON; some fields are left out."""
     number = F.col("doc_id").cast("int")
     item = F.struct(
@@ -310,6 +310,7 @@ def _listing(base):
     body = F.to_json(F.struct(F.array(item).alias("conteudo")))
     payload = base.select("kind", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("list_file"),
                           F.from_json(body, schemas.LISTING).alias("p")).select("kind", "list_file", "p.conteudo")
+    payload = land(payload)
     first, second = (listing_items(payload.where(F.col("kind") == t), t) for t in fv.DOC_TYPES)
     return first.unionByName(second)
 
@@ -342,7 +343,7 @@ def plan_ingest(spark, sf):
     return plan(_listing(_base(spark, sf)), ["ata"], date(2000, 3, 1), date(2002, 3, 1))
 
 
-def _detail(base):
+def _detail(base, land=lambda df: df):
     """Details: of the first kind two thirds name a PDF, relative or absolute; texts come as HTML or not at all."""
     n = F.col("doc_id")
     pdf = F.when(n % 3 == 0, F.concat(F.lit(" /pdf/"), n.cast("string"), F.lit(".pdf"))).when(
@@ -352,6 +353,7 @@ def _detail(base):
     body = F.to_json(F.struct(F.when(n % 11 != 0, F.array(item)).otherwise(F.array()).alias("conteudo")))
     payload = base.select("kind", n.cast("int").alias("meeting_number"), F.from_json(body, schemas.DETAIL).alias("p")).select(
         "kind", "meeting_number", "p.conteudo")
+    payload = land(payload)
     first, second = (detail_items(payload.where(F.col("kind") == t), t) for t in fv.DOC_TYPES)
     return first.unionByName(second)
 
@@ -399,7 +401,7 @@ FROM body""")
 def resolve_bodies(spark, sf):
     """Listing joined to details, bodies and pages; PDF, HTML or no body decided per document.
 
-    The four sources are derived from the documents and landed as tables first.
+    The payloads, bodies and pages are derived from the documents and landed as tables first.
     """
     def land(df):
         path = shared_path(spark, "landed")
@@ -407,10 +409,12 @@ def resolve_bodies(spark, sf):
         return spark.read.parquet(path)
 
     base = _base(spark, sf)
-    detail = land(_detail(base))
+    detail = _detail(base, land)
     with_pdf = detail.where("pdf_url <> '' and meeting_number % 2 = 0").select(
         F.col("meeting_number").cast("bigint").alias("doc_id"), body_key(F.col("pdf_url")).alias("doc_key"))
     landed = base.select("doc_id", "text").join(with_pdf, "doc_id")
     bodies = land(landed.select("doc_key", F.sha2(F.concat(F.lit("pdf "), "text"), 256).alias("body_hash")))
     pages = land(landed.select("doc_key", F.posexplode(F.split("text", "\n")).alias("page_no", "text")))
-    return resolve(land(_listing(base)), detail, bodies, pages).with_texts().drop("from_pages")
+    incoming = resolve(_listing(base, land), detail, bodies, pages)
+    # As an ingest batch does: write the narrow part down, then read texts for it.
+    return Incoming(land(incoming.narrow), incoming.texts).with_texts().drop("from_pages")
