@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirefold import fixed_values as fv
+from quirefold import schemas
 from quirefold.functions.text import is_truncated, preview, short_title
 from quirefold.operators.embedding import embed_query
 from quirefold.operators.select import by_id, of_types
@@ -88,18 +89,20 @@ def search(documents: DataFrame, chunks: DataFrame, query, k: int = fv.TOP_K, do
 
     ``complete`` says that every chunk has its document and carries its kind, as the store's tables
     do. Then only the k winners are joined and the facet prunes partitions. Otherwise chunks meet
-    their documents first, as ids and scores, and orphans drop out before the limit.
+    their documents first, as keys and scores, orphans drop out before the limit, and the texts of
+    the k winners are fetched by their keys.
     """
-    keys = ("document_id", "chunk_index")
+    keys = [c for c in schemas.CHUNK_KEY if c in chunks.columns]
     meta = documents.select("document_id", "title", "doc_type", "meeting_date", "url")
-    columns = ["document_id", "chunk_index", "chunk_text", "embedding"]
     if complete:
         wanted = chunks if doc_type is None else of_types(chunks, [doc_type])
-        best = top_k(wanted.select(*columns), query, k, keys).join(meta, "document_id")
+        best = top_k(wanted.select(*keys, "chunk_text", "embedding"), query, k, keys).join(meta, "document_id")
     else:
         owners = meta if doc_type is None else of_types(meta, [doc_type])
-        best = (score(chunks.select(*columns), query).join(owners.select("document_id"), "document_id", "left_semi")
-                .orderBy(*by_similarity(keys)).limit(k).join(owners, "document_id"))
+        owned = score(chunks.select(*keys, "embedding"), query).join(
+            owners.select("document_id"), "document_id", "left_semi")
+        winners = owned.orderBy(*by_similarity(keys)).limit(k)
+        best = chunks.select(*keys, "chunk_text").join(winners, keys).join(owners, "document_id")
     return rank(best, keys).select("rank", F.col("document_id").alias("doc_id"), *_RESULT[1:],
                                    preview(F.col("chunk_text"), fv.SEARCH_PREVIEW_CHARS).alias("preview"))
 

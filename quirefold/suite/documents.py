@@ -144,18 +144,11 @@ def delete_preview(spark, sf):
     return reports.delete_preview(d, chunks(spark, sf), newest)
 
 
-@query(f"""
-WITH {DOCS} SELECT document_id, meeting_date,
-  CAST(row_number() OVER (PARTITION BY doc_type ORDER BY meeting_date DESC NULLS LAST, document_id) AS INTEGER) AS place,
-  doc_type
-FROM docs ORDER BY meeting_date DESC NULLS LAST, document_id""")
+@query(f"WITH {DOCS} SELECT document_id, meeting_date, doc_type FROM docs ORDER BY meeting_date DESC NULLS LAST, document_id")
 def newest_first(spark, sf):
-    """Global order of the list view, with the place within the kind made visible."""
-    from pyspark.sql import Window
-    d = docs(spark, sf)
-    order = [F.desc_nulls_last("meeting_date"), F.col("document_id")]
-    place = F.row_number().over(Window.partitionBy("doc_type").orderBy(*order))
-    return d.select("document_id", "meeting_date", place.alias("place"), "doc_type").orderBy(*order)
+    """Global order of the list view."""
+    return docs(spark, sf).select("document_id", "meeting_date", "doc_type").orderBy(
+        F.desc_nulls_last("meeting_date"), "document_id")
 
 
 @query(f"""
