@@ -1,6 +1,5 @@
 """Exact nearest neighbours by cosine similarity."""
 
-import functools
 import math
 
 import numpy as np

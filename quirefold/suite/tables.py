@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirefold.functions.hashing import content_hash
-from quirefold.functions.text import token_estimate
 from quirefold.operators.chunking import window_chunks
 from quirefold.sources.shared import spread
 
@@ -67,7 +66,3 @@ SPACES = "' ' || chr(9) || chr(10) || chr(13)"
 
 def estimate_sql(text: str) -> str:
     return f"greatest(1, length({text}) // 4)"
-
-
-def estimate(c):
-    return token_estimate(c)
