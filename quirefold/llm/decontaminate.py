@@ -68,7 +68,7 @@ def test_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = ("doc_id",),
          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hits of every document: the carried columns with ``n_words, spans, items``.
+    """Hits of every document: ``kept``, a struct of the carried columns, with ``n_words, spans, items``.
 
     ``spans`` are the merged runs of hit words as (start, end) in words, ``items`` the sorted ids of the items that
     have an occurring window. One row per input row, repeated rows and null ids included; a null or empty text has no
@@ -104,7 +104,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, carry: tup
     found = hits.groupBy("row").agg(F.first("kept", ignorenulls=True).alias("kept"), F.max("n_words").alias("n_words"),
                                     F.array_sort(F.collect_list("span")).alias("spans"),
                                     F.collect_set("items").alias("items"))
-    return found.select("kept.*", "n_words", _merged(F.col("spans")).alias("spans"),
+    return found.select("kept", "n_words", _merged(F.col("spans")).alias("spans"),
                         F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
 
 
@@ -141,8 +141,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """
     if remove == "spans":
         found = scan(docs, benchmark, window, carry=tuple(docs.columns))
-        text = F.when(F.size("spans") > 0, without_spans(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-        return found.withColumn("text", text).select(*docs.columns)
+        text = F.when(F.size("spans") > 0, without_spans(F.col("kept.text"), F.col("spans"))).otherwise(F.col("kept.text"))
+        return found.select(*[text.alias(c) if c == "text" else F.col(f"kept.`{c}`") for c in docs.columns])
     if remove != "documents":
         raise ValueError(f"remove is documents or spans, not {remove!r}")
     mark = F.xxhash64(F.col("text"))
@@ -158,7 +158,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     found = scan(docs, benchmark, window)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["pos"]))
     return found.select(
-        "doc_id", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
+        F.col("kept.doc_id").alias("doc_id"), F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 

@@ -1,8 +1,9 @@
 """The operators of this subpackage applied to the given tables, with DuckDB SQL where SQL can express them."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quirefold.llm import decontaminate
+from quirefold.llm import decontaminate, orc_tokens, packing, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -23,3 +24,18 @@ def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLES["op2_decontamination"] = decontaminate.SQL
+
+
+@_query
+def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+@_query
+def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.sharded(_table(spark, sf, "documents"))
+
+
+@_query
+def op9_orc_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return orc_tokens.round_trip(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
