@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quirefold.llm import decontaminate, orc_tokens, packing, sharding
+from quirefold.llm import block_dedup, decontaminate, orc_tokens, packing, sharding, suffix_dedup
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,16 @@ def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 ORACLES["op2_decontamination"] = decontaminate.SQL
 
 
+@_query
+def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.report(_table(spark, sf, "documents"))
+
+
+@_query
+def op5_block_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return block_dedup.report(_table(spark, sf, "documents"))
+
+
 @_query
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
