@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quirefold.llm import block_dedup, decontaminate, orc_tokens, packing, sharding, suffix_dedup
+from quirefold.llm import block_dedup, decontaminate, fingerprints, orc_tokens, packing, sharding, suffix_dedup
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +18,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_query
+def op1_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compare_with_edits(_table(spark, sf, "documents"))
+
+
 @_query
 def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
