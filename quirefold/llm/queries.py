@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quirefold.llm import block_dedup, decontaminate, fingerprints, orc_tokens, packing, sharding, suffix_dedup
+from quirefold.llm import block_dedup, decontaminate, fingerprints, orc_tokens, packing, sharding, simhash, suffix_dedup
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.report(_table(spark, sf, "documents"))
 
 
+@_query
+def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf, "documents"))
+
+
 @_query
 def op5_block_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return block_dedup.report(_table(spark, sf, "documents"))
