@@ -16,9 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirefold.llm import recurrence
-from quirefold.llm.common import UNIT_BYTES, in_units, run_hashes
+from quirefold.llm.common import in_units, run_hashes
 
 LENGTH = 20
+#: Text bytes of one unit: a task holds about thirty bytes of memory for each byte of text.
+UNIT_BYTES = 6 << 20
+#: Units per bucket of hashes. Lists sent are as many as units times buckets, so both grow with executors' memory.
+UNITS_PER_BUCKET = 4
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -117,8 +121,9 @@ def _unit_function(length: int, n: int, bits: int):
 def _run(docs: DataFrame, length: int, unit_bytes: int, result, schema: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     units, n = in_units(docs, [F.col("doc_id").cast("long").alias("doc_id"), text.cast("binary").alias("text")], unit_bytes)
+    buckets = max(1, n // UNITS_PER_BUCKET)
     bits = min(64, (n * unit_bytes).bit_length() + 10)  # few false hits; they cost work, not rightness
-    functions = dict(zip(("index", "windows", "report", "texts"), _unit_function(length, n, bits)))
+    functions = dict(zip(("index", "windows", "report", "texts"), _unit_function(length, buckets, bits)))
     asked = units.groupBy("unit").applyInArrow(functions["index"], recurrence.PARCEL)
     hits = recurrence.recurring(asked, indexed=True)
     asked = units.groupBy("unit").cogroup(hits.groupBy("unit")).applyInArrow(functions["windows"], recurrence.PARCEL)

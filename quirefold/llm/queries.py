@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quirefold.llm import block_dedup, decontaminate, fingerprints, orc_tokens, packing, sharding, simhash, suffix_dedup
+from quirefold.llm import block_dedup, decontaminate, fingerprints, orc_tokens, packing, quality, sharding, simhash, suffix_dedup
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -51,6 +51,11 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+@_query
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.report(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 @_query
 def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.sharded(_table(spark, sf, "documents"))

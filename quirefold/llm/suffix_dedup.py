@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirefold.llm import recurrence
-from quirefold.llm.common import UNIT_BYTES, concatenated, in_units, joined, mix
+from quirefold.llm.common import concatenated, in_units, joined, mix
 
 LENGTH = 50
 GRAM = 16
+#: Text bytes of one unit: a task holds about a hundred bytes of memory for each byte of text.
+UNIT_BYTES = 3 << 20
+#: Units per bucket of hashes. Lists sent are as many as units times buckets, so both grow with executors' memory.
+UNITS_PER_BUCKET = 4
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _STEP = 1 << 17  # suffixes hashed at a time, so that arrays stay in the processor's cache
 _BYTES = np.random.default_rng(7).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -68,8 +72,10 @@ class _Unit:
         ranks = np.cumsum([0] + [int(a != b) for a, b in zip(self.ids, self.ids[1:])])[: len(rows)].astype(np.int32)
         anchors, windows = _hashes(self.data, length)
         n = len(anchors)
-        inside = np.repeat(self.starts[1:], sizes)[:n] - np.arange(n) >= length
-        self.at = np.flatnonzero(inside)
+        whole = np.ones(n, dtype=bool)
+        for end in self.starts[1:].tolist():  # windows that would leave their document
+            whole[max(0, end - length + 1) : end] = False
+        self.at = np.flatnonzero(whole).astype(np.int32)
         self.rank = np.repeat(ranks, sizes)[:n][self.at]
         self.anchors, self.windows = anchors[self.at], windows[self.at]
 
@@ -140,8 +146,9 @@ def _run(docs: DataFrame, length: int, unit_bytes: int, result: str, schema: str
         raise ValueError(f"length is at least {2 * GRAM} bytes")
     text = F.coalesce(F.col("text"), F.lit(""))
     units, n = in_units(docs, [F.col("doc_id").cast("long").alias("doc_id"), text.cast("binary").alias("text")], unit_bytes)
+    buckets = max(1, n // UNITS_PER_BUCKET)
     bits = min(64, (n * unit_bytes).bit_length() + 10)  # few false groups; they cost work, not rightness
-    functions = dict(zip(("first", "last", "report", "contents"), _unit_function(length, n, bits)))
+    functions = dict(zip(("first", "last", "report", "contents"), _unit_function(length, buckets, bits)))
     groups = recurrence.recurring(units.groupBy("unit").applyInArrow(functions["first"], recurrence.PARCEL))
     asked = units.groupBy("unit").cogroup(groups.groupBy("unit")).applyInArrow(functions["last"], recurrence.PARCEL)
     repeats = recurrence.earlier(asked)
