@@ -41,7 +41,8 @@ class Network:
         sizes = np.array([max(len(t), WIDTH) for t in texts])
         positions = -(-(sizes - WIDTH) // STRIDE) + 1  # the last filter may reach into padding
         chunks = -(-positions // STEP)
-        starts = np.concatenate(([0], np.cumsum(chunks)))
+        slots = -(-(positions + 1) // STEP)  # room for the whole text: sometimes one more than its chunks
+        starts = np.concatenate(([0], np.cumsum(slots)))
         data = np.zeros((starts[-1] * STEP + 1) * STRIDE, dtype=np.uint8)
         for text, at in zip(texts, starts):
             data[at * STEP * STRIDE : at * STEP * STRIDE + len(text)] = np.frombuffer(text, dtype=np.uint8)
@@ -51,13 +52,13 @@ class Network:
         act += w["bias"]
         np.maximum(act, 0, out=act)
         act = act.reshape(-1, STEP, FILTERS)
-        ends = starts[1:] - 1
-        for chunk, n in zip(ends, positions - (chunks - 1) * STEP):
-            act[chunk, n:] = 0  # after the text; 0 is the least value
+        ends = starts[:-1] + chunks - 1
+        for start, n, stop in zip(starts, positions, starts[1:]):
+            act.reshape(-1, FILTERS)[start * STEP + n : stop * STEP] = 0  # after the text; 0 is the least value
         pooled = act.max(axis=1)
         following = np.zeros_like(pooled)
         following[:-1] = act[1:, :OVERLAP].max(axis=1)
-        following[ends] = 0
+        following[ends] = following[starts[1:] - 1] = 0
         top = np.maximum(pooled, following)
         most = np.maximum.reduceat(top, starts[:-1])
         mean = np.add.reduceat(top, starts[:-1]) / chunks[:, None].astype(np.float32)
@@ -68,7 +69,7 @@ class Network:
             return logits
         place = np.where(following > pooled, act[np.minimum(np.arange(len(act)) + 1, len(act) - 1), :OVERLAP].argmax(axis=1) + STEP,
                          act.argmax(axis=1)) + (np.arange(len(act)) * STEP)[:, None]
-        return logits, (data, groups, top, place, starts, chunks, most, features, hidden)
+        return logits, (data, groups, top, place, starts, slots, chunks, most, features, hidden)
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """Probability of label 1 for each text, in batches of bounded size; a longer text makes its own batch."""
@@ -86,11 +87,11 @@ class Network:
     def gradient(self, texts: list[bytes], labels: np.ndarray) -> dict[str, np.ndarray]:
         """Gradient of the mean log loss; the maxima pass it to the places they came from."""
         w = self.weights
-        logits, (data, groups, top, place, starts, chunks, most, features, hidden) = self.forward(texts, keep=True)
+        logits, (data, groups, top, place, starts, slots, chunks, most, features, hidden) = self.forward(texts, keep=True)
         d_logit = ((1 / (1 + np.exp(-logits)) - labels) / len(texts)).astype(np.float32)
         d_hidden = d_logit[:, None] * w["out"] * (hidden > 0)
         d_features = d_hidden @ w["dense"].T
-        doc = np.repeat(np.arange(len(texts)), chunks)
+        doc = np.repeat(np.arange(len(texts)), slots)
         d_top = d_features[doc, FILTERS:] / chunks[doc][:, None].astype(np.float32)
         at_most = top == most[doc]
         ties = np.add.reduceat(at_most, starts[:-1], dtype=np.float32)

@@ -50,7 +50,7 @@ def brute_logit(net, text):
 
 def test_forward_covers_whole_texts():
     net, rng = Network.fresh(1), np.random.default_rng(1)
-    texts = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (0, 1, 7, 8, 9, 12, 447, 448, 449, 452, 510, 900, 5000)]
+    texts = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (0, 1, 7, 8, 9, 12, 447, 448, 449, 450, 452, 510, 896, 897, 900, 1345, 5000)]
     together = net.forward(texts)
     for text, z in zip(texts, together):
         assert abs(z - brute_logit(net, text)) < 1e-3
