@@ -1,20 +1,54 @@
 """A corpus from raw documents to packed sequences, stage by stage."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quirefold.llm import decontaminate
+from quirefold.llm import decontaminate, packing, pii, quality, simhash
 from quirefold.session import ship_package
 from quirefold.sources.shared import shared_path
 
+#: Key of the surrogates; a parameter of the operator, fixed here so that runs can be repeated.
+PII_KEY = "corpus-pipeline"
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the quality network, fitted on labelled rows, rejects."""
+    return quality.kept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group whose fingerprints are linked by three differing bits or fewer."""
+    return simhash.representatives(docs)
+
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage of the benchmark."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("benchmark_decontamination", benchmark_decontamination)]
+def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts surrogates in the place of personal data and counts the characters of changed texts anew."""
+    out = pii.surrogated(docs, PII_KEY)
+    n_chars = F.when(F.size("pii_kinds") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
+    return out.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the token ids of what is left into sequences."""
+    return packing.pack(docs, TOKENIZER)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("pii_surrogates", pii_surrogates),
+    ("sequence_packing", sequence_packing),
+]
 
-#: The quality model cannot be expressed in SQL; tests hold every stage against a brute-force version.
+#: SQL cannot express the quality network; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 

@@ -148,7 +148,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     mark = F.xxhash64(F.col("text"))
     keyed = docs.withColumn("__mark", mark)
     hit = (scan(keyed, benchmark, window, carry=("doc_id", "__mark")).where(F.size("spans") > 0)
-           .select(F.col("doc_id").alias("__id"), F.col("__mark").alias("__hit")).distinct())
+           .select(F.col("kept.doc_id").alias("__id"), F.col("kept.__mark").alias("__hit")).distinct())
     return (keyed.join(hit, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__hit")), "left_anti")
             .select(*docs.columns))
 

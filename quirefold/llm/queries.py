@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quirefold.llm import block_dedup, decontaminate, fingerprints, orc_tokens, packing, quality, sharding, simhash, suffix_dedup
+from quirefold.llm import block_dedup, decontaminate, fingerprints, orc_tokens, packing, pii, quality, sharding, simhash, suffix_dedup
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,8 @@ def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def op9_orc_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return orc_tokens.round_trip(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.report(_table(spark, sf, "documents"), "documents")
