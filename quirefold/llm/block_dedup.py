@@ -97,7 +97,7 @@ def _unit_function(length: int, n: int, bits: int):
         again = windows[before[where] | (windows > first[where])]
         edges = np.zeros(len(unit.words) + 1, dtype=np.int32)
         edges[again] += 1
-        np.subtract.at(edges, again + length, 1)
+        edges[again + length] -= 1
         return unit, np.cumsum(edges)[:-1] > 0
 
     def report(table: pa.Table, replies: pa.Table) -> pa.Table:
@@ -125,7 +125,7 @@ def _run(docs: DataFrame, length: int, unit_bytes: int, result, schema: str) ->
     bits = min(64, (n * unit_bytes).bit_length() + 10)  # few false hits; they cost work, not rightness
     functions = dict(zip(("index", "windows", "report", "texts"), _unit_function(length, buckets, bits)))
     asked = units.groupBy("unit").applyInArrow(functions["index"], recurrence.PARCEL)
-    hits = recurrence.recurring(asked, indexed=True)
+    hits = recurrence.recurring(asked)
     asked = units.groupBy("unit").cogroup(hits.groupBy("unit")).applyInArrow(functions["windows"], recurrence.PARCEL)
     repeats = recurrence.earlier(asked)
     return units.groupBy("unit").cogroup(repeats.groupBy("unit")).applyInArrow(functions[result], schema)

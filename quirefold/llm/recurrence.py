@@ -39,7 +39,10 @@ def _edges(distinct: np.ndarray, n_buckets: int, bits: int) -> list[int]:
 
 def parcels(unit: int, distinct: np.ndarray, flags: np.ndarray | None, n_buckets: int, bits: int,
             kept: bytes | None = None) -> pa.Table:
-    """The rows a unit sends: its distinct hashes of so many bits, ascending, cut into buckets of equal ranges."""
+    """The rows a unit sends: its distinct hashes of so many bits, ascending, cut into buckets of equal ranges.
+
+    ``flags`` goes with them: 8-bit flags of each hash, or a 32-bit second hash where the first ones may repeat.
+    """
     edges = _edges(distinct, n_buckets, bits)
     rows = []
     for bucket, (s, e) in enumerate(zip(edges, edges[1:])):
@@ -53,6 +56,8 @@ def parcels(unit: int, distinct: np.ndarray, flags: np.ndarray | None, n_buckets
 
 
 def packed_flags(flags: np.ndarray) -> bytes:
+    if flags.dtype == np.uint32:
+        return flags.tobytes()
     return np.packbits(np.stack([flags & REPEATED > 0, flags & INDEXED > 0])).tobytes()
 
 
@@ -60,29 +65,23 @@ def unpacked_flags(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, dtype=np.uint8), count=2 * n).reshape(2, n)
 
 
-def _reply(decide):
+def _reply(decide, read=unpacked_flags):
+    """Answers to a bucket's parcels. ``decide`` sees all hashes in the order of their units, with what was sent along,
+    and gives one or more rows of bits."""
     def run(table: pa.Table) -> pa.Table:
         sent = table.filter(pc.is_valid(table["hashes"]))
-        units = sent["unit"].to_numpy()
-        order = np.argsort(units, kind="stable")
-        lists = sent["hashes"].to_pylist()
+        order = np.argsort(sent["unit"].to_numpy(), kind="stable")
+        lists, flags = sent["hashes"].to_pylist(), sent["flags"].to_pylist()
         hashes = [unpacked(lists[i], np.uint64) for i in order]
         sizes = [len(h) for h in hashes]
-        flags = sent["flags"].to_pylist()
-        marks = [unpacked_flags(flags[i], n) for i, n in zip(order, sizes) if flags[i] is not None]
+        marks = [read(flags[i], n) for i, n in zip(order, sizes) if flags[i] is not None]
         bits = []
         if hashes:
-            together = np.concatenate(hashes)
-            by = np.argsort(together, kind="stable")  # equal hashes stay in the order of their units
-            ascending = together[by]
-            new = np.ones(len(by), dtype=bool)
-            new[1:] = ascending[1:] != ascending[:-1]
-            answer = np.empty(len(by), dtype=bool)
-            answer[by] = decide(new, np.concatenate(marks, axis=1)[:, by] if marks else None)
-            bits = [np.packbits(a).tobytes() for a in np.split(answer, np.cumsum(sizes)[:-1])]
+            answers = np.atleast_2d(decide(np.concatenate(hashes), np.concatenate(marks, axis=-1) if marks else None))
+            bits = [np.packbits(a).tobytes() for a in np.split(answers, np.cumsum(sizes)[:-1], axis=1)]
         kept = table.filter(pc.is_valid(table["kept"]))
         return pa.table([
-            pa.array([*units[order].tolist(), *kept["unit"].to_pylist()], type=pa.int32()),
+            pa.array([*sent["unit"].to_numpy()[order].tolist(), *kept["unit"].to_pylist()], type=pa.int32()),
             pa.array([*sent["bucket"].to_numpy()[order].tolist(), *kept["bucket"].to_pylist()], type=pa.int32()),
             pa.array([*bits, *[None] * len(kept)], type=pa.binary()),
             pa.array([*[None] * len(bits), *kept["kept"].to_pylist()], type=pa.binary()),
@@ -90,36 +89,74 @@ def _reply(decide):
     return run
 
 
-def _recurring(indexed: bool):
-    def decide(new, marks):
-        starts = np.flatnonzero(new)
-        sizes = np.diff([*starts, len(new)])
-        yes = (sizes > 1) | (np.maximum.reduceat(marks[0], starts) > 0)
-        if indexed:
-            yes &= np.maximum.reduceat(marks[1], starts) > 0
-        return np.repeat(yes, sizes)
-    return decide
+def _sorted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that brings equal hashes together, earlier units first, and where a new hash begins in it."""
+    order = np.argsort(hashes, kind="stable")
+    ascending = hashes[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = ascending[1:] != ascending[:-1]
+    return order, new
+
+
+def _restored(order: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = np.empty(len(order), dtype=bool)
+    out[order] = values
+    return out
+
+
+def _recurring_indexed(hashes, marks):
+    order, new = _sorted(hashes)
+    starts = np.flatnonzero(new)
+    sizes = np.diff([*starts, len(new)])
+    yes = (sizes > 1) | (np.maximum.reduceat(marks[0][order], starts) > 0)
+    yes &= np.maximum.reduceat(marks[1][order], starts) > 0
+    return _restored(order, np.repeat(yes, sizes))
 
 
-def recurring(sent: DataFrame, indexed: bool = False) -> DataFrame:
-    """Bit per hash: other units sent it too, or its own found it repeated; with ``indexed``, some unit indexed it."""
-    return sent.groupBy("bucket").applyInArrow(_reply(_recurring(indexed)), REPLY)
+def _earlier(hashes, marks):
+    order, new = _sorted(hashes)
+    return _restored(order, ~new)
+
+
+def _earlier_or_mixed(hashes, seconds):
+    by_second = np.argsort(seconds, kind="stable")
+    order = by_second[np.argsort(hashes[by_second], kind="stable")]
+    first, second = hashes[order], seconds[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = first[1:] != first[:-1]
+    pair = new.copy()
+    pair[1:] |= second[1:] != second[:-1]
+    starts = np.flatnonzero(new)
+    sizes = np.diff([*starts, len(new)])
+    mixed = np.repeat(np.add.reduceat(pair, starts, dtype=np.int64) > 1, sizes)
+    return np.stack([_restored(order, ~pair), _restored(order, mixed)])
+
+
+def recurring(sent: DataFrame) -> DataFrame:
+    """Bit per hash: it was sent by two units or found repeated by one, and some unit indexed it."""
+    return sent.groupBy("bucket").applyInArrow(_reply(_recurring_indexed), REPLY)
 
 
 def earlier(sent: DataFrame) -> DataFrame:
     """Bit per hash: a unit of a smaller number sent it too."""
-    return sent.groupBy("bucket").applyInArrow(_reply(lambda new, marks: ~new), REPLY)
+    return sent.groupBy("bucket").applyInArrow(_reply(_earlier), REPLY)
 
 
-def received(replies: pa.Table, distinct: np.ndarray, n_buckets: int, bits: int) -> np.ndarray:
-    """The bits of a unit's replies, one per distinct hash it had sent."""
+def earlier_or_mixed(sent: DataFrame) -> DataFrame:
+    """Two bits per pair of hashes: a unit of a smaller number sent it too; its first hash came with several seconds."""
+    read = lambda data, n: np.frombuffer(data, dtype=np.uint32)
+    return sent.groupBy("bucket").applyInArrow(_reply(_earlier_or_mixed, read), REPLY)
+
+
+def received(replies: pa.Table, distinct: np.ndarray, n_buckets: int, bits: int, rows: int = 1) -> np.ndarray:
+    """The bits of a unit's replies, for the hashes it had sent; as many rows as the reply has."""
     edges = _edges(distinct, n_buckets, bits)
-    out = np.zeros(len(distinct), dtype=bool)
+    out = np.zeros((rows, len(distinct)), dtype=bool)
     for bucket, data in zip(replies["bucket"].to_pylist(), replies["bits"].to_pylist()):
         if data is not None:
             s, e = edges[bucket], edges[bucket + 1]
-            out[s:e] = np.unpackbits(np.frombuffer(data, dtype=np.uint8), count=e - s)
-    return out
+            out[:, s:e] = np.unpackbits(np.frombuffer(data, dtype=np.uint8), count=rows * (e - s)).reshape(rows, e - s)
+    return out[0] if rows == 1 else out
 
 
 def kept(replies: pa.Table) -> bytes:

@@ -1,11 +1,14 @@
 """Suffix-array dedup by a depth-limited radix sort of all suffixes.
 
 Suffixes are told apart digit by digit, most significant first, and only through the threshold: a group that falls to
-one document is dropped at once, and what is still together after the last digit is exactly a repeated window. Two
-passes suffice. The digit of the first is the window's anchor, the sixteen bytes with the smallest hash among those
-inside the window: equal windows have equal anchors, and neighbouring suffixes share one, so a pass over anchors deals
-with sixteen suffixes at a time. The digit of the second is the whole window, for suffixes whose anchor recurs.
-Neither pass looks beyond the threshold, and no suffix array is built of what lies deeper.
+one document is dropped at once, and what is still together after the last digit is exactly a repeated window.
+
+The first digit of a suffix is its window's anchor, the sixteen bytes with the smallest hash among those inside the
+window. Equal windows have equal anchors, and neighbouring suffixes share one, so they are dealt with as one run. The
+second digit is the run's content. A group of one anchor in which all contents are equal is settled with it: the
+first document keeps its windows and all later ones repeat them. Only where an anchor comes with several contents, the
+first occurrence of each goes on to the last digit, the whole window. No pass looks beyond the threshold, and no
+suffix array is built of what lies deeper.
 """
 
 import hashlib
@@ -80,44 +83,76 @@ class _Unit:
         self.anchors, self.windows = anchors[self.at], windows[self.at]
 
 
-def _first_digits(unit: _Unit, bits: int):
-    """Distinct anchors of the unit, which of them each suffix has, and flags; runs of one anchor count once."""
-    new = np.ones(len(unit.anchors), dtype=bool)
-    new[1:] = (unit.anchors[1:] != unit.anchors[:-1]) | (unit.rank[1:] != unit.rank[:-1])
-    rank = unit.rank[new]
-    distinct, place, order, begins = recurrence.grouped(unit.anchors[new] >> np.uint64(64 - bits))
-    ranks = rank[order]
-    several = (np.maximum.reduceat(ranks, begins) != np.minimum.reduceat(ranks, begins)) if len(begins) else begins > 0
-    return distinct, place[np.cumsum(new) - 1], np.where(several, recurrence.REPEATED, 0).astype(np.uint8)
+class _Runs:
+    """Suffixes of a unit as runs of one anchor in one document, and the runs by their two digits."""
+
+    def __init__(self, unit: _Unit, length: int, bits: int):
+        n, longest = len(unit.anchors), length - GRAM + 1
+        new = np.ones(n, dtype=bool)
+        new[1:] = ((unit.anchors[1:] != unit.anchors[:-1]) | (unit.rank[1:] != unit.rank[:-1])
+                   | (unit.at[1:] != unit.at[:-1] + 1))
+        # A run in periodic text can be long: it is cut so that its first and last windows hold all its bytes.
+        start = np.flatnonzero(new)
+        size = np.diff([*start, n])
+        parts = -(-size // longest)
+        within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        self.start = np.repeat(start, parts) + within * longest
+        self.size = np.minimum(longest, np.repeat(start + size, parts) - self.start)
+        self.rank = unit.rank[self.start]
+        anchor = unit.anchors[self.start] >> np.uint64(64 - bits)
+        content = joined(joined(unit.windows[self.start], unit.windows[self.start + self.size - 1]), self.size.astype(np.uint64))
+        content = (content >> np.uint64(32)).astype(np.uint32)
+        order = np.lexsort((content, anchor))
+        anchor, content = anchor[order], content[order]
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+        self.anchor, self.content = anchor[first], content[first]
+        self.place = np.empty(len(order), dtype=np.int64)
+        self.place[order] = np.cumsum(first) - 1
+        begins = np.flatnonzero(first)
+        self.first_rank = np.minimum.reduceat(self.rank[order], begins) if len(begins) else self.rank
+
+    def settled(self, answers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Runs that repeat a run of an earlier document, and runs that go on to the last digit."""
+        before, mixed = answers
+        again = before[self.place] | (self.rank > self.first_rank[self.place])
+        return again, ~again & mixed[self.place]
+
+    def suffixes(self, chosen: np.ndarray) -> np.ndarray:
+        """Numbers of the suffixes in the chosen runs."""
+        start, size = self.start[chosen], self.size[chosen]
+        return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 def _unit_function(length: int, n: int, bits: int):
     def first_pass(table: pa.Table) -> pa.Table:
         unit = _Unit(table, length)
-        distinct, _, flags = _first_digits(unit, bits)
-        return recurrence.parcels(unit.number, distinct, flags, n, bits)
+        runs = _Runs(unit, length, bits)
+        return recurrence.parcels(unit.number, runs.anchor, runs.content, n, bits)
 
     def last_pass(table: pa.Table, replies: pa.Table) -> pa.Table:
         unit = _Unit(table, length)
-        distinct, place, _ = _first_digits(unit, bits)
-        together = recurrence.received(replies, distinct, n, bits)
-        found = np.sort(unit.windows[together[place]])
+        runs = _Runs(unit, length, bits)
+        answers = recurrence.received(replies, runs.anchor, n, bits, rows=2)
+        found = np.sort(unit.windows[runs.suffixes(runs.settled(answers)[1])])
         distinct = found[np.concatenate(([True], found[1:] != found[:-1]))] if len(found) else found
-        return recurrence.parcels(unit.number, distinct, None, n, 64, np.packbits(together).tobytes())
+        return recurrence.parcels(unit.number, distinct, None, n, 64, np.packbits(answers).tobytes())
 
     def removed(table: pa.Table, replies: pa.Table) -> tuple[_Unit, np.ndarray]:
         unit = _Unit(table, length)
-        distinct, place, _ = _first_digits(unit, bits)
-        together = np.unpackbits(np.frombuffer(recurrence.kept(replies), dtype=np.uint8), count=len(distinct)).astype(bool)
-        left = np.flatnonzero(together[place])
+        runs = _Runs(unit, length, bits)
+        answers = np.unpackbits(np.frombuffer(recurrence.kept(replies), dtype=np.uint8), count=2 * len(runs.anchor))
+        again, left = runs.settled(answers.reshape(2, -1).astype(bool))
+        left = runs.suffixes(left)
         found, where, order, begins = recurrence.grouped(unit.windows[left])
         before = recurrence.received(replies, found, n, 64)
         ranks = unit.rank[left]
         first = np.minimum.reduceat(ranks[order], begins) if len(begins) else begins
-        again = unit.at[left[before[where] | (ranks > first[where])]]
         edges = np.zeros(len(unit.data) + 1, dtype=np.int32)
-        edges[again] += 1
-        np.subtract.at(edges, again + length, 1)
+        for suffixes in (runs.suffixes(again), left[before[where] | (ranks > first[where])]):
+            at = unit.at[suffixes]
+            edges[at] += 1
+            edges[at + length] -= 1
         return unit, np.cumsum(edges, dtype=np.int32)[:-1] > 0
 
     def kept_of(unit: _Unit, gone: np.ndarray, s: int, e: int) -> bytes:
@@ -149,7 +184,7 @@ def _run(docs: DataFrame, length: int, unit_bytes: int, result: str, schema: str
     buckets = max(1, n // UNITS_PER_BUCKET)
     bits = min(64, (n * unit_bytes).bit_length() + 10)  # few false groups; they cost work, not rightness
     functions = dict(zip(("first", "last", "report", "contents"), _unit_function(length, buckets, bits)))
-    groups = recurrence.recurring(units.groupBy("unit").applyInArrow(functions["first"], recurrence.PARCEL))
+    groups = recurrence.earlier_or_mixed(units.groupBy("unit").applyInArrow(functions["first"], recurrence.PARCEL))
     asked = units.groupBy("unit").cogroup(groups.groupBy("unit")).applyInArrow(functions["last"], recurrence.PARCEL)
     repeats = recurrence.earlier(asked)
     return units.groupBy("unit").cogroup(repeats.groupBy("unit")).applyInArrow(functions[result], schema)
