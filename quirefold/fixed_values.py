@@ -51,7 +51,9 @@ BOILERPLATE_PATTERNS = (
     r"(?iuU)Ata da?[\s\x1c-\x1f]+\d+[ªa]?[\s\x1c-\x1f]+Reunião do Copom[\s\x1c-\x1f]*\n",
     r"(?iuU)\bwww\.bcb\.gov\.br\b[\s\x1c-\x1f]*\n",
     r"(?iuU)Página \d+ de \d+[\s\x1c-\x1f]*\n",
-    r"(?mUd)^[\s\x1c-\x1f]*\d+[\s\x1c-\x1f]*$",
+    # Lone page numbers. White space at a line start that leads to none is taken as it is, in one step, so that a run of
+    # line feeds is read once; a pair is a pattern and what replaces it.
+    (r"(?mUd)^(?:[\s\x1c-\x1f]*+\d+[\s\x1c-\x1f]*$|([\s\x1c-\x1f]++))", "$1"),
 )
 
 # --- HTML to text ---------------------------------------------------------------------------------

@@ -71,8 +71,12 @@ def nfkc(c: Column) -> Column:
 
 
 def drop_boilerplate(c: Column, patterns=fv.BOILERPLATE_PATTERNS) -> Column:
-    """Remove page headers, footers and lone page numbers: the patterns apply one after the other."""
-    return functools.reduce(lambda acc, p: F.regexp_replace(acc, p, ""), patterns, c)
+    """Remove page headers, footers and lone page numbers: the patterns apply one after the other.
+
+    A pattern is removed; a pair of pattern and replacement is replaced.
+    """
+    pairs = [(p, "") if isinstance(p, str) else p for p in patterns]
+    return functools.reduce(lambda acc, p: F.regexp_replace(acc, *p), pairs, c)
 
 
 def dehyphenate(c: Column) -> Column:

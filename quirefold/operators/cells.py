@@ -14,18 +14,13 @@ from quirefold.operators.topk import (QUERY_BLOCK_BYTES, best_per_query, by_simi
 
 # Cell of the rows that have no direction (null or zero vector); searched only when all cells are.
 NO_CELL = -1
-# Training rows per cell that settle a centroid; a larger table trains on a fraction of its rows.
-TRAIN_ROWS_PER_CELL = 2048
 
 
 def train_cells(df: DataFrame, n_cells: int, vector_col: str = "embedding", seed: int = 1,
                 max_iter: int = 20) -> np.ndarray:
-    """Unit centroids (n_cells x dims). Training only shapes the cells; every row is indexed later."""
+    """Unit centroids (n_cells x dims), trained on every row that has a direction; k-means runs on Spark."""
     directed = df.select(vector_col).where(F.exists(vector_col, lambda x: x != 0))
-    n = directed.count()
-    fraction = min(1.0, TRAIN_ROWS_PER_CELL * n_cells / max(1, n))
-    sample = directed if fraction == 1.0 else directed.sample(fraction, seed=seed)
-    features = sample.select(array_to_vector(vector_col).alias("features"))
+    features = directed.select(array_to_vector(vector_col).alias("features"))
     model = KMeans(k=n_cells, distanceMeasure="cosine", seed=seed, maxIter=max_iter).fit(features)
     return unit_rows(np.array(model.clusterCenters(), dtype=np.float64))
 

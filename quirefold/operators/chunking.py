@@ -1,7 +1,7 @@
 """Splitting texts into overlapping, token-bounded chunks."""
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,10 +133,10 @@ def check_strategy(strategy: str, size: int, overlap: int) -> None:
 def chunk_documents(df: DataFrame, text_col: str = "text", strategy: str = fv.CHUNK_STRATEGY,
                     size: int = fv.CHUNK_SIZE, overlap: int = fv.CHUNK_OVERLAP, min_ratio: float = fv.MIN_RATIO,
                     max_chunks: int = fv.MAX_CHUNKS_PER_DOC, max_bytes: int = fv.MAX_TEXT_BYTES,
-                    length=estimate_tokens) -> DataFrame:
+                    length=estimate_tokens, truncated: Observation | None = None) -> DataFrame:
     """One row per chunk (chunk_index, chunk_text) beside the other columns; no shuffle.
 
-    Blank and oversized texts give no rows. Each step is its own projection so that the chunk array
+    ``truncated`` counts documents with more than ``max_chunks`` chunks. Blank and oversized texts give no rows. Each step is its own projection so that the chunk array
     is computed once.
     """
     check_strategy(strategy, size, overlap)
@@ -147,10 +147,12 @@ def chunk_documents(df: DataFrame, text_col: str = "text", strategy: str = fv.CH
     usable = F.when(has_text(text) & within_bytes(text, max_bytes), text)
     pieces = window_chunks(F.col("_usable"), size, overlap) if strategy == "window" else \
         recursive_chunks(F.col("_usable"), size, overlap, length)
-    return (df.select(*rest, usable.alias("_usable"))
-            .select(*rest, pieces.alias("_chunks"))
-            .select(*rest, merge_tail(F.col("_chunks"), size, min_ratio).alias("_chunks"))
-            .select(*rest, F.posexplode(cap_chunks(F.col("_chunks"), max_chunks)).alias("chunk_index", "chunk_text")))
+    merged = (df.select(*rest, usable.alias("_usable"))
+              .select(*rest, pieces.alias("_chunks"))
+              .select(*rest, merge_tail(F.col("_chunks"), size, min_ratio).alias("_chunks")))
+    if truncated is not None:
+        merged = merged.observe(truncated, F.count_if(F.size("_chunks") > max_chunks).alias("n"))
+    return merged.select(*rest, F.posexplode(cap_chunks(F.col("_chunks"), max_chunks)).alias("chunk_index", "chunk_text"))
 
 
 def chunk_rows(df: DataFrame, strategy: str, size: int, overlap: int) -> DataFrame:

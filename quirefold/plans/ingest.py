@@ -6,9 +6,10 @@ again for those documents, cleaned, chunked and embedded. A re-run over known in
 narrow pass.
 """
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quirefold import fixed_values as fv
@@ -18,8 +19,9 @@ from quirefold.functions.text import clean_text
 from quirefold.operators.chunking import check_strategy, chunk_documents, chunk_rows
 from quirefold.operators.dedup import first_wins, skip_known
 from quirefold.operators.embedding import embed, provider_factory
+from quirefold.operators.select import within_bytes
 from quirefold.plans.resolve import Incoming
-from quirefold.sources.store import DocumentStore
+from quirefold.sources.store import COUNTS, DocumentStore
 
 
 @dataclass
@@ -52,23 +54,35 @@ def new_documents(narrow: DataFrame, known: DataFrame) -> DataFrame:
     return fresh.withColumn("document_id", F.when(F.col("source_hash") != "", document_id(F.col("source_hash"))))
 
 
-def build_chunks(documents: DataFrame, options: IngestOptions) -> DataFrame:
-    """Chunk rows with hashes of documents (document_id, ..., text); map-only."""
+def build_chunks(documents: DataFrame, options: IngestOptions, oversize: Observation | None = None,
+                 truncated: Observation | None = None) -> DataFrame:
+    """Chunk rows with hashes of documents (document_id, ..., text); map-only.
+
+    The observations count texts over the size limit, which get no chunks, and documents with more chunks than are kept.
+    """
     cleaned = documents.withColumn("text", clean_text(F.col("text"), options.patterns))
+    if oversize is not None:
+        over = ~F.coalesce(within_bytes(F.col("text"), options.max_bytes), F.lit(True))
+        cleaned = cleaned.observe(oversize, F.count_if(over).alias("n"))
     chunks = chunk_documents(cleaned, "text", options.strategy, options.size, options.overlap, options.min_ratio,
-                             options.max_chunks, options.max_bytes)
+                             options.max_chunks, options.max_bytes, truncated=truncated)
     return chunk_rows(chunks, options.strategy, options.size, options.overlap)
 
 
-def ingest_batch(store: DocumentStore, incoming: Incoming, batch: str, options: IngestOptions) -> dict:
-    """Process one batch and return {documents_processed, chunks_inserted, quarantined}.
+def ingest_batch(store: DocumentStore, incoming: Incoming, options: IngestOptions, run_name: str,
+                 source_batch: str | None = None) -> dict:
+    """Process one batch and return its counts (COUNTS) and ``ingest_batch``, the name it is stored under.
 
-    Every write replaces the batch's own partitions and the known hashes leave the batch out, so a
-    batch that broke off, or runs twice, ends in the same tables.
+    The attempt writes under a name of its own and becomes visible by its commit, so one that breaks off leaves nothing
+    and may be repeated. A ``source_batch`` that the run has committed already is not taken again.
     """
     options.check()
-    spark = store.spark
+    if source_batch is not None and (done := store.committed(run_name, source_batch)) is not None:
+        return done
+    spark, batch = store.spark, uuid.uuid4().hex
     tag = F.lit(batch).alias("ingest_batch")
+    parameters = options.provider_parameters()
+    store.check_dimensions(parameters["embedding_dimensions"])
 
     bad = incoming.narrow.where("error is not null").select(*schemas.ORDER_KEY, "url", "title", "doc_type", "error", tag)
     if not options.skip_errors:
@@ -77,39 +91,45 @@ def ingest_batch(store: DocumentStore, incoming: Incoming, batch: str, options:
             raise ValueError(f"cannot ingest {first_bad['title']!r}: {first_bad['error']}")
 
     pending_path = f"{store.path('pending')}/{batch}"
-    new_documents(incoming.narrow, store.known_hashes(except_batch=batch)).write.mode("overwrite").parquet(pending_path)
+    new_documents(incoming.narrow, store.known_hashes()).write.parquet(pending_path)
     pending = spark.read.parquet(pending_path)
     with_text = pending.where("has_text")
 
-    texts = incoming.texts(with_text).select("document_id", "doc_type", "text")
-    chunks = build_chunks(texts, options)
+    oversize, truncated = Observation(), Observation()
+    texts = incoming.texts(with_text.where("not oversize")).select("document_id", "doc_type", "text")
+    chunks = build_chunks(texts, options, oversize, truncated)
     embedded = embed(chunks, "cleaned_text", options.provider, options.batch_size,
                      not options.skip_errors, **options.provider_options)
     store.write_batch("chunks", embedded.withColumn("created_at", F.current_timestamp())
                       .withColumn("ingest_batch", tag))
 
-    # Written down first: removing chunks changes what the list of failures is read from.
     failed_path = f"{store.path('failed')}/{batch}"
-    store.embed_failures(batch).write.mode("overwrite").parquet(failed_path)
+    store.embed_failures(batch).write.parquet(failed_path)
     failed = spark.read.parquet(failed_path)
     if failed.first() is not None:
         bad = bad.unionByName(with_text.drop("error").join(failed, "document_id").select(
             *schemas.ORDER_KEY, "url", "title", "doc_type", "error", tag))
-        store.remove("chunks", failed, within=store.chunks().where(F.col("ingest_batch") == batch))
+        failed.select("document_id", tag).write.mode("append").parquet(store.path("deletes"))
         with_text = with_text.join(failed, "document_id", "left_anti")
         pending = pending.join(failed, "document_id", "left_anti")
     store.write_batch("quarantine", bad)
     store.write_batch("documents", with_text.withColumn("ingested_at", F.current_timestamp())
                       .withColumn("ingest_batch", tag))
-    return {
+    written = store.rows("chunks").where(F.col("ingest_batch") == batch)
+    counts = {
         "documents_processed": pending.count(),
-        "chunks_inserted": store.chunks().where(F.col("ingest_batch") == batch).count(),
-        "quarantined": store.read("quarantine").where(F.col("ingest_batch") == batch).count(),
+        "chunks_inserted": written.join(failed, "document_id", "left_anti").count(),
+        "quarantined": store.rows("quarantine").where(F.col("ingest_batch") == batch).count(),
+        "oversize": with_text.where("oversize").count() + oversize.get.get("n", 0),
+        "truncated": truncated.get.get("n", 0),
     }
+    store.commit(batch, run_name=run_name, source_batch=source_batch,
+                 embedding_dimensions=parameters["embedding_dimensions"], **counts)
+    return {"ingest_batch": batch, **counts}
 
 
 def ingest(spark: SparkSession, root: str, incoming: Incoming, run_name: str,
            options: IngestOptions | None = None) -> dict:
-    """Batch run over a whole input; a repeated run inserts nothing."""
-    return ingest_batch(DocumentStore(spark, root).create(), incoming, f"{run_name}-batch",
-                        options or IngestOptions())
+    """Batch run over a whole input, in addition to what is stored; a repeated run inserts nothing."""
+    done = ingest_batch(DocumentStore(spark, root).create(), incoming, options or IngestOptions(), run_name)
+    return {k: done[k] for k in COUNTS}

@@ -87,16 +87,21 @@ def search(documents: DataFrame, chunks: DataFrame, query, k: int = fv.TOP_K, do
            complete: bool = False) -> DataFrame:
     """The k chunks nearest to a query vector with their documents; exact, facet before the limit.
 
-    ``complete`` says that every chunk has its document and carries its kind, as the store's tables
-    do. Then only the k winners are joined and the facet prunes partitions. Otherwise chunks meet
-    their documents first, as keys and scores, orphans drop out before the limit, and the texts of
-    the k winners are fetched by their keys.
+    Scoring reads keys and vectors only. ``complete`` says that every chunk has its document and
+    carries its kind, as the visible rows of a store do: then the facet prunes partitions, and the
+    texts of the k winners are read by their ids, which files are sorted by. Otherwise chunks meet
+    their documents first, as keys and scores, and orphans drop out before the limit.
     """
     keys = [c for c in schemas.CHUNK_KEY if c in chunks.columns]
     meta = documents.select("document_id", "title", "doc_type", "meeting_date", "url")
     if complete:
         wanted = chunks if doc_type is None else of_types(chunks, [doc_type])
-        best = top_k(wanted.select(*keys, "chunk_text", "embedding"), query, k, keys).join(meta, "document_id")
+        winners = top_k(wanted.select(*keys, "embedding"), query, k, keys).select(*keys, "similarity")
+        found = winners.collect()  # k rows
+        ids = sorted({r["document_id"] for r in found})
+        texts = wanted.where(F.col("document_id").isin(ids)).select(*keys, "chunk_text")
+        best = (texts.join(F.broadcast(chunks.sparkSession.createDataFrame(found, winners.schema)), keys)
+                .join(meta.where(F.col("document_id").isin(ids)), "document_id"))
     else:
         owners = meta if doc_type is None else of_types(meta, [doc_type])
         owned = score(chunks.select(*keys, "embedding"), query).join(
@@ -114,7 +119,17 @@ def search_text(store: DocumentStore, text: str, k: int = fv.TOP_K, doc_type: st
     return search(store.documents(), store.chunks(), query, k, doc_type, complete=True)
 
 
-def search_many(documents: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K) -> DataFrame:
-    """The k nearest chunks of every (query_id, embedding), with their document's metadata."""
+def search_many(documents: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K,
+                doc_type: str | None = None, complete: bool = False) -> DataFrame:
+    """The k nearest chunks of every (query_id, embedding), with their document's metadata.
+
+    The facet applies before the limit. Chunks without a document drop out before it too, unless ``complete`` says
+    that there are none.
+    """
+    if doc_type is not None and complete:
+        chunks = of_types(chunks, [doc_type])
+    if not complete:
+        owners = documents if doc_type is None else of_types(documents, [doc_type])
+        chunks = chunks.join(owners.select("document_id"), "document_id", "left_semi")
     found = batch_top_k(chunks, queries, k)
     return found.join(documents.select("document_id", "title", "doc_type", "meeting_date", "url"), "document_id")

@@ -11,7 +11,7 @@ from quirefold import fixed_values as fv
 from quirefold import schemas
 from quirefold.functions.hashing import source_hash
 from quirefold.functions.text import has_text, html_to_text
-from quirefold.operators.pages import MAX_VALUE_BYTES, TOO_LARGE, page_stats, page_texts
+from quirefold.operators.pages import MAX_VALUE_BYTES, page_stats, page_texts
 from quirefold.operators.select import dated_within, of_types
 from quirefold.sources.landing import body_key
 
@@ -48,7 +48,7 @@ class Incoming:
 
     def with_texts(self) -> DataFrame:
         """All documents; those without text have null, or '' where a body was there."""
-        found = self.texts(self.narrow.where("has_text and error is null")).select(*schemas.ORDER_KEY, "text")
+        found = self.texts(self.narrow.where("has_text and not oversize and error is null")).select(*schemas.ORDER_KEY, "text")
         blank = F.when(F.col("error").isNull() & ~F.col("from_pages"), F.lit(""))
         return (self.narrow.join(found, list(schemas.ORDER_KEY), "left")
                 .withColumn("text", F.coalesce("text", blank)))
@@ -68,7 +68,8 @@ def resolve(listing: DataFrame, detail: DataFrame, bodies: DataFrame, pages: Dat
     """Find the body of every listed document.
 
     A PDF whose bytes are there decides, even without any text; else the HTML text; else the row
-    carries an error. ``detail`` has one row per (doc_type, meeting_number) and ``bodies`` one per
+    carries an error. A text too large for one value is not gathered: its document is kept as ``oversize``, and gets no
+    chunks. ``detail`` has one row per (doc_type, meeting_number) and ``bodies`` one per
     doc_key, as landed files do. Only digests and page counts are joined here.
     """
     html_text = F.when(F.col("html") != "", html_to_text(F.col("html")))
@@ -91,7 +92,8 @@ def resolve(listing: DataFrame, detail: DataFrame, bodies: DataFrame, pages: Dat
         F.when(is_pdf, F.col("page_count")).alias("page_count"),
         F.when(is_pdf, F.coalesce("pages_have_text", F.lit(False)))
         .otherwise(is_html & F.col("html_has_text")).alias("has_text"),
-        F.when(too_large, TOO_LARGE).when(~is_pdf & ~is_html, NO_BODY).alias("error"),
+        too_large.alias("oversize"),
+        F.when(~is_pdf & ~is_html, NO_BODY).alias("error"),
     )
 
     def texts(documents: DataFrame) -> DataFrame:
@@ -114,7 +116,7 @@ def from_texts(df: DataFrame, source_ord: int = 0) -> Incoming:
         *schemas.ORDER_KEY, "url", "title", "doc_type", "meeting_date", F.lit(None).cast("int").alias("meeting_number"),
         source_hash(None, text).alias("source_hash"), F.lit(False).alias("from_pages"),
         F.lit(None).cast("int").alias("page_count"), has_text(text).alias("has_text"),
-        F.lit(None).cast("string").alias("error"))
+        F.lit(False).alias("oversize"), F.lit(None).cast("string").alias("error"))
 
     def texts(documents: DataFrame) -> DataFrame:
         return documents.join(keyed.select(*schemas.ORDER_KEY, "text"), list(schemas.ORDER_KEY))

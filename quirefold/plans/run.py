@@ -5,10 +5,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from quirefold.operators.select import dated_within, expand_doc_types
-from quirefold.plans.ingest import IngestOptions, ingest
+from quirefold.plans.ingest import IngestOptions, ingest_batch
 from quirefold.plans.resolve import Incoming, plan_ingest, resolve
 from quirefold.sources.landing import read_bodies, read_detail, read_listing, read_pages
-from quirefold.sources.store import DocumentStore, RunManifest
+from quirefold.sources.store import COUNTS, DocumentStore, RunManifest
 from quirefold.streaming.incremental import ingest_stream
 
 
@@ -44,11 +44,12 @@ def run_batch(spark: SparkSession, landing: str, root: str, run_name: str, doc_t
     manifest = RunManifest(spark, root)
     manifest.check(run_name, **options.provider_parameters())
     listing = landed_listing(spark, landing, doc_type, date_from, date_to)
-    summary = ingest(spark, root, landed_documents(spark, landing, listing, doc_type), run_name, options)
-    manifest.save(run_name=run_name, processed_count=summary["documents_processed"],
+    store = DocumentStore(spark, root).create()
+    done = ingest_batch(store, landed_documents(spark, landing, listing, doc_type), options, run_name)
+    manifest.save(run_name=run_name, processed_count=done["documents_processed"], last_processed_url=store.last_url(done["ingest_batch"]),
                   doc_type=",".join(expand_doc_types(doc_type)), date_from=date_from, date_to=date_to,
                   chunk_strategy=options.strategy, **options.provider_parameters())
-    return summary
+    return {k: done[k] for k in COUNTS}
 
 
 def run_incremental(spark: SparkSession, landing: str, root: str, run_name: str, doc_type: str = "all",

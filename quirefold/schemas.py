@@ -42,6 +42,7 @@ INCOMING = T.StructType([
     T.StructField("from_pages", T.BooleanType()),
     T.StructField("page_count", T.IntegerType()),
     T.StructField("has_text", T.BooleanType()),
+    T.StructField("oversize", T.BooleanType()),
     T.StructField("error", T.StringType()),
 ])
 
@@ -105,3 +106,24 @@ REQUIRED = {
 }
 CHUNK_KEY = ("document_id", "chunk_index", "content_hash")
 PARTITIONS = ("doc_type", "ingest_batch")
+
+# One row per stored batch; a batch is seen by readers once its row is there, and until another row replaces it.
+COMMITS = T.StructType([
+    T.StructField("ingest_batch", T.StringType()),
+    T.StructField("run_name", T.StringType()),
+    T.StructField("source_batch", T.StringType()),
+    T.StructField("replaces", T.ArrayType(T.StringType())),
+    T.StructField("embedding_dimensions", T.IntegerType()),
+    T.StructField("documents_processed", T.LongType()),
+    T.StructField("chunks_inserted", T.LongType()),
+    T.StructField("quarantined", T.LongType()),
+    T.StructField("oversize", T.LongType()),
+    T.StructField("truncated", T.LongType()),
+    T.StructField("committed_at", T.TimestampType()),
+])
+
+# Documents taken out of a batch, together with their chunks.
+DELETES = T.StructType([
+    T.StructField("document_id", T.LongType()),
+    T.StructField("ingest_batch", T.StringType()),
+])

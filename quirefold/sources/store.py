@@ -1,10 +1,11 @@
-"""The two stored tables, laid out by kind and ingest batch, with replay-safe writes.
+"""The stored tables: batches that become visible whole, by their commit.
 
-A batch overwrites its own partitions, so writing it twice leaves it stored once. Chunks are
-written before documents: a batch counts as stored once its documents are there.
+Every attempt at a batch writes partitions of its own and then one commit row; readers see committed batches only. So
+stored rows are never overwritten, a batch that broke off leaves nothing to be seen, and runs add up whatever their
+names. Deletes are rows too, and take a document and its chunks out of a batch at one time. ``compact`` writes what is
+visible anew, as one batch.
 """
 
-import functools
 import json
 import uuid
 
@@ -17,8 +18,10 @@ from quirefold import schemas
 _TABLES = {"documents": schemas.DOCUMENTS, "chunks": schemas.CHUNKS, "quarantine": schemas.QUARANTINE}
 _ORDER = {"documents": ("meeting_date", "document_id"), "chunks": ("document_id", "chunk_index"),
           "quarantine": schemas.ORDER_KEY}
+_MARKS = {"commits": schemas.COMMITS, "deletes": schemas.DELETES}
 # Kept in the chunk files of a batch for its own bookkeeping; not a column of the table.
 EMBED_ERROR = T.StructField("embed_error", T.StringType())
+COUNTS = ("documents_processed", "chunks_inserted", "quarantined", "oversize", "truncated")
 
 
 class DocumentStore:
@@ -36,18 +39,43 @@ class DocumentStore:
         for table, schema in _TABLES.items():
             (self.spark.createDataFrame([], schema).write.mode("ignore")
              .partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
+        for table, schema in _MARKS.items():
+            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(table))
         return self
 
     def register(self, database: str = "default") -> None:
-        """Make the tables known to the catalog, for SQL."""
-        for table, schema in _TABLES.items():
+        """Make the tables known to the catalog, for SQL, as views of what is visible."""
+        for table, schema in {**_TABLES, **_MARKS}.items():
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet "
-                           f"PARTITIONED BY ({', '.join(schemas.PARTITIONS)}) LOCATION '{self.path(table)}'")
-            self.spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
+            parts = f"PARTITIONED BY ({', '.join(schemas.PARTITIONS)})" if table in _TABLES else ""
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.stored_{table} ({columns}) USING parquet "
+                           f"{parts} LOCATION '{self.path(table)}'")
+            if parts:
+                self.spark.sql(f"MSCK REPAIR TABLE {database}.stored_{table}")
+            self.spark.sql(f"REFRESH TABLE {database}.stored_{table}")
+        live = (f"SELECT ingest_batch FROM {database}.stored_commits WHERE ingest_batch NOT IN "
+                f"(SELECT explode(replaces) FROM {database}.stored_commits)")
+        for table in _TABLES:
+            gone = "" if table == "quarantine" else (
+                f" LEFT ANTI JOIN {database}.stored_deletes x USING (document_id, ingest_batch)")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT t.* FROM {database}.stored_{table} t "
+                           f"LEFT SEMI JOIN ({live}) c USING (ingest_batch){gone}")
+
+    def rows(self, table: str) -> DataFrame:
+        """All rows of a table's files, visible or not."""
+        return self.spark.read.schema({**_TABLES, **_MARKS}[table]).parquet(self.path(table))
+
+    def commits(self) -> DataFrame:
+        """Commits that no later one replaces."""
+        every = self.rows("commits")
+        return every.join(every.select(F.explode("replaces").alias("ingest_batch")), "ingest_batch", "left_anti")
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(_TABLES[table]).parquet(self.path(table))
+        """The visible rows of a table."""
+        seen = self.rows(table).join(self.commits().select("ingest_batch"), "ingest_batch", "left_semi")
+        if table != "quarantine":
+            seen = seen.join(self.rows("deletes"), ["document_id", "ingest_batch"], "left_anti")
+        return seen.select(*_TABLES[table].names)
 
     def documents(self) -> DataFrame:
         return self.read("documents")
@@ -55,12 +83,9 @@ class DocumentStore:
     def chunks(self) -> DataFrame:
         return self.read("chunks")
 
-    def known_hashes(self, except_batch: str | None = None) -> DataFrame:
-        """Hashes of the stored documents; a replayed batch must not see its own."""
-        documents = self.documents()
-        if except_batch is not None:
-            documents = documents.where(F.col("ingest_batch") != except_batch)
-        return documents.select("source_hash")
+    def known_hashes(self) -> DataFrame:
+        """Hashes of the stored documents."""
+        return self.documents().select("source_hash")
 
     def embed_failures(self, batch: str) -> DataFrame:
         """(document_id, error) of the batch's documents with a chunk that could not be embedded."""
@@ -69,68 +94,69 @@ class DocumentStore:
                 .where((F.col("ingest_batch") == batch) & F.col("embed_error").isNotNull())
                 .groupBy("document_id").agg(F.min("embed_error").alias("error")))
 
+    def last_url(self, batch: str) -> str | None:
+        """Address of the batch's last document."""
+        row = (self.documents().where(F.col("ingest_batch") == batch)
+               .agg(F.max_by("url", F.struct("ingested_at", "document_id")).alias("url")).first())
+        return row["url"]
+
     def write_batch(self, table: str, df: DataFrame) -> None:
-        """Replace the partitions the frame touches, sorted so that row groups can be skipped."""
+        """Add the rows of an attempt, sorted so that row groups can be skipped; they are not visible yet."""
         fields = [*_TABLES[table], *([EMBED_ERROR] if EMBED_ERROR.name in df.columns else [])]
         (df.select(*[F.col(f.name).cast(f.dataType) for f in fields])
          .sortWithinPartitions(*schemas.PARTITIONS, *_ORDER[table])
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
-
-    def remove(self, table: str, keys: DataFrame, within: DataFrame | None = None) -> int:
-        """Delete the rows whose document_id is listed, rewriting the partitions that hold any.
-
-        Returns the number of rows removed. ``within`` narrows where to look.
-        """
-        stored = self.read(table) if within is None else within
-        hit = stored.select("document_id", *schemas.PARTITIONS).join(
-            keys.select("document_id"), "document_id", "left_semi")
-        touched = hit.groupBy(*schemas.PARTITIONS).agg(F.count("*").alias("n")).collect()  # one row per partition
-        if not touched:
-            return 0
-        totals = {(r[0], r[1]): r["n"] for r in self._in(self.read(table), touched)
-                  .groupBy(*schemas.PARTITIONS).agg(F.count("*").alias("n")).collect()}
-        emptied = [r for r in touched if totals[r[0], r[1]] == r["n"]]
-        partly = [r for r in touched if totals[r[0], r[1]] > r["n"]]
-        if partly:
-            kept = self._in(self.read(table), partly).join(keys.select("document_id"), "document_id",
-                                                                "left_anti")
-            self.write_batch(table, kept)
-        for row in emptied:  # a dynamic overwrite leaves partitions without new rows alone
-            self._empty(table, row)
-        return sum(r["n"] for r in touched)
-
-    def _in(self, df: DataFrame, partitions) -> DataFrame:
-        by_type: dict[str, list[str]] = {}
-        for row in partitions:
-            by_type.setdefault(row["doc_type"], []).append(row["ingest_batch"])
-        match = [(F.col("doc_type") == t) & F.col("ingest_batch").isin(batches) for t, batches in by_type.items()]
-        return df.where(functools.reduce(lambda a, b: a | b, match))
-
-    def _empty(self, table: str, row) -> None:
-        inner = [f for f in _TABLES[table] if f.name not in schemas.PARTITIONS]
-        folder = f"{self.path(table)}/doc_type={row['doc_type']}/ingest_batch={row['ingest_batch']}"
-        self.spark.createDataFrame([], T.StructType(inner)).write.mode("overwrite").parquet(folder)
+         .write.mode("append").partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
+
+    def committed(self, run_name: str, source_batch: str) -> dict | None:
+        """Batch and counts of a run's batch that is stored already."""
+        row = self.rows("commits").where((F.col("run_name") == run_name) & (F.col("source_batch") == source_batch)).first()
+        return None if row is None else {k: row[k] for k in ("ingest_batch", *COUNTS)}
+
+    def commit(self, batch: str, **values) -> None:
+        """Make a batch visible: one file, with one row."""
+        row = {**{f.name: values.get(f.name) for f in schemas.COMMITS}, "ingest_batch": batch}
+        row["replaces"] = row["replaces"] or []
+        (self.spark.createDataFrame([tuple(row.values())], schemas.COMMITS).withColumn("committed_at", F.current_timestamp())
+         .coalesce(1).write.mode("append").parquet(self.path("commits")))
+
+    def check_dimensions(self, dimensions: int) -> None:
+        """Refuse vectors of another length than the stored ones."""
+        other = self.commits().where(F.col("embedding_dimensions") != dimensions).first()
+        if other is not None:
+            raise ValueError(f"embedding_dimensions: stored {other['embedding_dimensions']}, current {dimensions}")
 
     def delete(self, keys: DataFrame) -> dict:
         """Delete documents and, in cascade, their chunks; returns the numbers of rows removed.
 
-        The keys are written down first, since they may be read from the tables that change. A
-        repeated call with the same keys finishes one that broke off.
+        Both go by one write of (document, batch) pairs, so no reader sees one without the other. Chunks without a
+        document are found as well, and a document that comes in again is in another batch.
         """
-        listed = f"{self.path('deletes')}/{uuid.uuid4().hex[:12]}"
-        keys.select("document_id").distinct().write.parquet(listed)
-        keys = self.spark.read.parquet(listed)
-        return {"documents": self.remove("documents", keys), "chunks": self.remove("chunks", keys)}
+        wanted = keys.select("document_id").distinct()
+        held = {t: self.read(t).select("document_id", "ingest_batch").join(wanted, "document_id", "left_semi")
+                for t in ("documents", "chunks")}
+        counts = {t: df.count() for t, df in held.items()}
+        pairs = held["documents"].unionByName(held["chunks"]).distinct()
+        pairs.write.mode("append").parquet(self.path("deletes"))
+        return counts
 
     def delete_all(self) -> dict:
-        """Empty both tables; returns how many rows went."""
+        """Empty the tables; returns how many documents and chunks went."""
         counts = {t: self.read(t).count() for t in ("documents", "chunks")}
-        for table in counts:
-            (self.spark.createDataFrame([], _TABLES[table]).write.mode("overwrite")
-             .option("partitionOverwriteMode", "static").partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
+        self.commit(uuid.uuid4().hex, run_name="delete_all", replaces=self._live())
         return counts
 
+    def compact(self) -> str:
+        """Write all visible rows anew as one batch, which takes the place of the others; returns its name."""
+        live, batch = self._live(), uuid.uuid4().hex
+        dims = self.commits().agg(F.max("embedding_dimensions")).first()[0]
+        for table in _TABLES:
+            self.write_batch(table, self.read(table).withColumn("ingest_batch", F.lit(batch)))
+        self.commit(batch, run_name="compact", replaces=live, embedding_dimensions=dims)
+        return batch
+
+    def _live(self) -> list[str]:
+        return [r[0] for r in self.commits().select("ingest_batch").collect()]  # one row per batch
+
 
 class RunManifest:
     """Parameters and progress of runs, one appended row each."""

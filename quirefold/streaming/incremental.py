@@ -1,15 +1,14 @@
 """Incremental, resumable runs: a file stream of listed documents into the store."""
 
+import hashlib
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quirefold import fixed_values as fv
 from quirefold.plans.ingest import IngestOptions, ingest_batch
 from quirefold.plans.resolve import Incoming
-from quirefold.sources.shared import shared_root
 from quirefold.sources.store import DocumentStore, RunManifest
 
 
@@ -21,7 +20,7 @@ def ingest_stream(store: DocumentStore, stream: DataFrame, prepare: Callable[[Da
     ``stream`` is a streaming frame, for instance of listings, and ``prepare`` turns the rows of one
     micro-batch into documents, with whatever has landed by then. Selections go into either. Spark's checkpoint remembers which files a run has taken, so
     calling again under the same run name goes on where it stopped, and a batch that broke off is
-    repeated under its old number. A new run name starts afresh. No state is kept besides the tables.
+    repeated. Its progress lies under the store's root. A new run name starts afresh. No state is kept besides the tables.
     """
     options = options or IngestOptions()
     options.check()
@@ -32,16 +31,15 @@ def ingest_stream(store: DocumentStore, stream: DataFrame, prepare: Callable[[Da
     previous = manifest.latest(run_name)
     done = {"n": previous["processed_count"] if previous else 0}
 
+    # Progress belongs to the store; a name may hold characters that a path may not.
+    location = checkpoint or f"{store.root}/runs/{hashlib.sha256(run_name.encode()).hexdigest()[:32]}"
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        name = f"{run_name}-{batch_id:08d}"
-        summary = ingest_batch(store, prepare(batch), name, options)
+        summary = ingest_batch(store, prepare(batch), options, run_name, f"{location}#{batch_id}")
         done["n"] += summary["documents_processed"]
-        last = (store.documents().where(F.col("ingest_batch") == name)
-                .agg(F.max_by("url", F.struct("ingested_at", "document_id")).alias("url")).first())
-        manifest.save(run_name=run_name, last_processed_url=last["url"] if last else None,
+        manifest.save(run_name=run_name, last_processed_url=store.last_url(summary["ingest_batch"]),
                       processed_count=done["n"], doc_type=",".join(doc_types), date_from=date_from, date_to=date_to,
                       chunk_strategy=options.strategy, **parameters)
 
-    location = checkpoint or f"{shared_root(store.spark)}/runs/{run_name}"
     return (stream.writeStream.foreachBatch(process).option("checkpointLocation", location)
             .trigger(availableNow=True).start())

@@ -11,7 +11,6 @@ from quirefold.operators import dedup, quality, select
 from quirefold.operators.chunking import window_chunks
 from quirefold.operators.pages import assemble_pages, page_stats
 from quirefold.plans import reports
-from quirefold.sources.shared import spread
 from quirefold.suite.registry import query
 from quirefold.suite.tables import CHUNKS, CONTENT_HASH, DOCS, OVERLAP, SIZE, SPACES, chunks, docs, table, window_sql
 
@@ -39,7 +38,7 @@ def doc_overview(spark, sf):
     Texts cross one shuffle, the one that finds the first of each body; chunks are cut and hashed
     where their document lies.
     """
-    d = spread(docs(spark, sf), "document_id")
+    d = docs(spark, sf)
     firsts = dedup.first_wins(d, ["document_id"])
     text = F.when(has_text(F.col("text")), strip_ws(squeeze_ws(F.col("text"))))
     cut = firsts.select("document_id", "doc_type", "meeting_date", "title", text.alias("text")).withColumn(
@@ -310,7 +309,7 @@ _PAGES = """pages_of AS (
 
 
 def _pages(spark, sf):
-    d = spread(table(spark, sf, "documents"), "doc_id")
+    d = table(spark, sf, "documents")
     return d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("page_no", "text"))
 
 

@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirefold.plans.ingest import IngestOptions, ingest, new_documents
+from quirefold.plans.ingest import IngestOptions, ingest, ingest_batch, new_documents
+from quirefold.plans.reports import search_text
 from quirefold.plans.resolve import from_texts
-from quirefold.sources.shared import shared_path, spread
+from quirefold.sources.shared import shared_path
 from quirefold.sources.store import DocumentStore
 from quirefold.streaming.incremental import ingest_stream as start_stream
 from quirefold.suite.registry import query
@@ -22,7 +23,7 @@ def _incoming(d):
 
 def _stored(spark, sf):
     store = DocumentStore(spark, shared_path(spark, "store"))
-    ingest(spark, store.root, _incoming(spread(docs(spark, sf), "document_id")), "first", OPTIONS)
+    ingest(spark, store.root, _incoming(docs(spark, sf)), "r#1:x y", OPTIONS)  # names are free
     return store
 
 
@@ -64,12 +65,12 @@ def ingest_chunks(spark, sf):
 WITH {_FIRSTS}
 SELECT 'first' AS run, (SELECT count(DISTINCT source_hash) FROM docs) AS documents_processed,
        (SELECT count(*) FROM stored_chunks) AS chunks_inserted, CAST(0 AS BIGINT) AS quarantined
-UNION ALL SELECT 'replay', (SELECT count(DISTINCT source_hash) FROM docs), (SELECT count(*) FROM stored_chunks), 0
+UNION ALL SELECT 'replay', 0, 0, 0
 UNION ALL SELECT 'again', 0, 0, 0""")
 def run_summary(spark, sf):
-    """Summaries of a run, of the same batch repeated, and of a new run over the same input."""
+    """Summaries of a run, of the same run repeated, and of a new run over the same input."""
     root = shared_path(spark, "store")
-    source = _incoming(spread(docs(spark, sf), "document_id"))
+    source = _incoming(docs(spark, sf))
     runs = [(name, ingest(spark, root, source, run, OPTIONS))
             for name, run in (("first", "a"), ("replay", "a"), ("again", "b"))]
     schema = T.StructType([T.StructField("run", T.StringType()), T.StructField("documents_processed", T.LongType()),
@@ -78,6 +79,63 @@ def run_summary(spark, sf):
                                  schema)
 
 
+@query(_DOCUMENTS_SQL)
+def ingest_two_halves(spark, sf):
+    """Even ids and then odd ones under one run name: runs add up. First wins by id, so the even copies of a text come first."""
+    root = shared_path(spark, "store")
+    d = docs(spark, sf)
+    firsts = d.groupBy("source_hash").agg(F.min("document_id").alias("document_id")).select("document_id")
+    d = d.join(firsts, "document_id", "left_semi")
+    for rest in (0, 1):
+        ingest(spark, root, _incoming(d.where(F.col("document_id") % 2 == rest)), "halves", OPTIONS)
+    return DocumentStore(spark, root).documents().select("source_hash", "url", "title", "doc_type", "meeting_date")
+
+
+@query(f"WITH {_FIRSTS} SELECT 'chunks' AS tab, source_hash, chunk_index FROM stored_chunks UNION ALL SELECT 'documents', source_hash, NULL FROM firsts")
+def replay_after_break(spark, sf):
+    """A run that lost its executor before the commit, and its repetition: the first leaves nothing behind."""
+    store = DocumentStore(spark, shared_path(spark, "store")).create()
+
+    class Broken(DocumentStore):
+        def commit(self, batch, **values):
+            raise OSError("lost")
+    try:
+        ingest_batch(Broken(spark, store.root), _incoming(docs(spark, sf)), OPTIONS, "run", "batch 0")
+    except OSError:
+        pass
+    ingest_batch(store, _incoming(docs(spark, sf)), OPTIONS, "run", "batch 0")
+    ingest_batch(store, _incoming(docs(spark, sf)), OPTIONS, "run", "batch 0")  # taken once
+    ids = store.documents().select("document_id", "source_hash")
+    chunks = store.chunks().join(ids, "document_id").select(F.lit("chunks").alias("tab"), "source_hash", "chunk_index")
+    return chunks.unionByName(ids.select(F.lit("documents").alias("tab"), "source_hash", F.lit(None).cast("int").alias("chunk_index")))
+
+
+def _search_sql(facet: str) -> str:
+    return f"""
+WITH {_FIRSTS}, owned AS (SELECT s.source_hash, s.chunk_index, m.chunk_text, f.doc_type FROM stored_chunks s
+  JOIN merged m USING (source_hash, chunk_index) JOIN firsts f USING (source_hash) {facet})
+SELECT doc_type, count(*) AS found, sum(length(chunk_text)) AS chars FROM owned GROUP BY doc_type"""
+
+
+def _searched(spark, sf, doc_type):
+    store = _stored(spark, sf)
+    n = store.chunks().count()
+    rows = search_text(store, "the and of", k=n, doc_type=doc_type, dims=64)
+    return rows.groupBy("doc_type").agg(F.count("*").alias("found"), F.sum(F.length("chunk_text")).alias("chars"))
+
+
+@query(_search_sql(""))
+def store_search(spark, sf):
+    """A search of the store by text that asks for all chunks finds each of them, with its document's kind and its text."""
+    return _searched(spark, sf, None)
+
+
+@query(_search_sql("WHERE doc_type = 'de'"))
+def store_search_facet(spark, sf):
+    """The same within one kind."""
+    return _searched(spark, sf, "de")
+
+
 @query(f"""
 WITH {DOCS}, gone AS (SELECT DISTINCT source_hash FROM docs JOIN labels ON document_id = doc_id WHERE toxic = 1), {_FIRSTS.split(DOCS + ',', 1)[1]}
 SELECT 'documents' AS tab, source_hash, CAST(NULL AS INTEGER) AS chunk_index FROM firsts WHERE source_hash NOT IN (FROM gone)
@@ -130,7 +188,7 @@ WHERE source_hash NOT IN (SELECT source_hash FROM stored)
 QUALIFY row_number() OVER (PARTITION BY source_hash ORDER BY document_id) = 1""")
 def new_document_list(spark, sf):
     """The narrow pass: which documents are new beside those that carry a label."""
-    d = spread(docs(spark, sf), "document_id")
+    d = docs(spark, sf)
     labelled = table(spark, sf, "labels").select(F.col("doc_id").alias("document_id")).distinct()
     known = d.join(labelled, "document_id", "left_semi").select("source_hash")
     return new_documents(_incoming(d).narrow, known).select("list_pos", "source_hash", "has_text")

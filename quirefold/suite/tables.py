@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from quirefold.functions.hashing import content_hash
 from quirefold.operators.chunking import window_chunks
-from quirefold.sources.shared import spread
 
 # Window chunking used throughout the suite.
 SIZE, OVERLAP = 100, 20
@@ -36,8 +35,8 @@ DOCS = r"""docs AS (
 
 
 def chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """Window chunks of all documents, with their hashes; texts are spread first."""
-    d = spread(table(spark, sf, "documents"), "doc_id")
+    """Window chunks of all documents, with their hashes."""
+    d = table(spark, sf, "documents")
     pieces = window_chunks(F.col("text"), SIZE, OVERLAP)
     return (d.select(F.col("doc_id").alias("document_id"), F.posexplode(pieces).alias("chunk_index", "chunk_text"))
             .withColumn("chunk_strategy", F.lit("window"))

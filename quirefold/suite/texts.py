@@ -16,14 +16,14 @@ from quirefold.operators.chunking import cap_chunks, chunk_documents, chunk_rows
 from quirefold.plans.resolve import Incoming, resolve
 from quirefold.plans.resolve import plan_ingest as plan
 from quirefold.sources.landing import body_key, detail_items, listing_items
-from quirefold.sources.shared import shared_path, spread
+from quirefold.sources.shared import shared_path
 from quirefold.suite.registry import query
 from quirefold.suite.tables import (CHUNKS, CONTENT_HASH, DOCS, OVERLAP, SIZE, SPACES, chunks, docs, estimate_sql,
                                     table, window_sql)
 
 
 def _texts(spark, sf):
-    return spread(table(spark, sf, "documents"), "doc_id").select("doc_id", "text")
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 # (what is replaced, by what): artefacts put into the texts.
@@ -63,16 +63,20 @@ def _squeeze_sql(c: str) -> str:
     return _regex(_regex(c, r"[ \t]+", " "), r"\n{3,}", "\n\n")
 
 
-def _re2(pattern: str) -> str:
-    """A fixed pattern in RE2 spelling."""
-    for java, re2 in ((r"[\s\x1c-\x1f]", r"\s"), ("(?iuU)", "(?i)"), ("(?mUd)", "(?m)")):
-        pattern = pattern.replace(java, re2)
-    return pattern
+# Fixed values written out for the SQL, apart from those that the code uses.
+_BOILERPLATE_RE2 = (
+    r"(?i)Banco Central do Brasil\s*\n",
+    r"(?i)Copom\s*[-–]\s*\d+[ªa]?\s*Reunião\s*\n",
+    r"(?i)Ata da?\s+\d+[ªa]?\s+Reunião do Copom\s*\n",
+    r"(?i)\bwww\.bcb\.gov\.br\b\s*\n",
+    r"(?i)Página \d+ de \d+\s*\n",
+    r"(?m)^\s*\d+\s*$",
+)
 
 
 def _boilerplate_sql(c: str) -> str:
-    for pattern in fv.BOILERPLATE_PATTERNS:
-        c = _regex(c, _re2(pattern))
+    for pattern in _BOILERPLATE_RE2:
+        c = _regex(c, pattern)
     return c
 
 
@@ -154,7 +158,7 @@ def _html_sql(c: str) -> str:
 
 @query(f"SELECT page_id, {_html_sql('html')} AS text FROM pages")
 def html_to_text(spark, sf):
-    pages = spread(table(spark, sf, "pages"), "page_id")
+    pages = table(spark, sf, "pages")
     return pages.select("page_id", tx.html_to_text(F.col("html")).alias("text"))
 
 
@@ -162,7 +166,7 @@ def html_to_text(spark, sf):
   '&amp;', '&') || ' ' || chr(233) || chr(8364) || '&lt;' AS text FROM pages""")
 def unescape_entities(spark, sf):
     """Every page gets entities the JVM path does not know, so all go through the full decoder."""
-    pages = spread(table(spark, sf, "pages"), "page_id")
+    pages = table(spark, sf, "pages")
     more = F.concat("html", F.lit(" &eacute;&#x20AC;&amp;lt;"))
     return pages.select("page_id", tx.unescape_entities(more).alias("text"))
 
@@ -296,7 +300,7 @@ _KIND = "CASE WHEN lang = 'en' THEN 'ata' ELSE 'comunicado' END"
 
 def _base(spark, sf):
     kind = F.when(F.col("lang") == "en", fv.DOC_TYPES[0]).otherwise(fv.DOC_TYPES[1])
-    return spread(table(spark, sf, "documents"), "doc_id").withColumn("kind", kind)
+    return table(spark, sf, "documents").withColumn("kind", kind)
 
 
 def _listing(base, land=lambda df: df):

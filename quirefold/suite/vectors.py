@@ -7,7 +7,7 @@ from quirefold.operators import cells
 from quirefold.operators.embedding import embed
 from quirefold.operators.topk import batch_top_k, rank, top_k
 from quirefold.plans import reports
-from quirefold.sources.shared import shared_path, spread
+from quirefold.sources.shared import shared_path
 from quirefold.suite.registry import query
 from quirefold.suite.tables import CHUNKS, DOCS, chunks, docs, table
 
@@ -78,7 +78,7 @@ best AS (SELECT * FROM scored ORDER BY round(s, 9) DESC NULLS LAST, vec_id LIMIT
 SELECT vec_id, label, round(s, 6) AS similarity,
        CAST(row_number() OVER (ORDER BY round(s, 9) DESC NULLS LAST, vec_id) AS INTEGER) AS rank FROM best""")
 def topk_cosine(spark, sf):
-    v = spread(_vectors(spark, sf), "vec_id")
+    v = _vectors(spark, sf)
     best = top_k(v, _query_vector(spark, sf), 10, keys=["vec_id"])
     return rank(best, ["vec_id"]).withColumn("similarity", F.round("similarity", 6))
 
@@ -88,7 +88,7 @@ WITH {_QUERY}, scored AS (SELECT vec_id, label, {_SIM.format(a='embedding', b='q
 SELECT vec_id, label, round(s, 6) AS similarity FROM scored ORDER BY round(s, 9) DESC NULLS LAST, vec_id LIMIT 10""")
 def topk_facet(spark, sf):
     """Facet filter before the limit."""
-    v = spread(_vectors(spark, sf).where("label = 3"), "vec_id")
+    v = _vectors(spark, sf).where("label = 3")
     best = top_k(v, _query_vector(spark, sf), 10, keys=["vec_id"])
     return best.withColumn("similarity", F.round("similarity", 6))
 
@@ -108,7 +108,7 @@ def _queries(spark, sf):
 @query(_BATCH)
 def topk_batch(spark, sf):
     """The ten nearest vectors of every vector."""
-    v = spread(_vectors(spark, sf), "vec_id")
+    v = _vectors(spark, sf)
     found = batch_top_k(v, _queries(spark, sf), 10, keys=["vec_id"])
     return found.withColumn("similarity", F.round("similarity", 6))
 
@@ -116,7 +116,7 @@ def topk_batch(spark, sf):
 @query(_BATCH)
 def topk_batch_blocks(spark, sf):
     """The same with a query set that takes several blocks."""
-    v = spread(_vectors(spark, sf), "vec_id")
+    v = _vectors(spark, sf)
     found = batch_top_k(v, _queries(spark, sf), 10, keys=["vec_id"], block_bytes=200 * 8 * DIMS)
     return found.withColumn("similarity", F.round("similarity", 6))
 
@@ -124,7 +124,7 @@ def topk_batch_blocks(spark, sf):
 # --- approximate top-k ----------------------------------------------------------------------------
 
 def _indexed(spark, sf, n_cells):
-    v = spread(_vectors(spark, sf), "vec_id")
+    v = _vectors(spark, sf)
     centroids = cells.train_cells(v, n_cells)
     path = shared_path(spark, "cells")
     cells.write_cells(cells.assign_cells(v, centroids), path, keys=["vec_id"])

@@ -132,7 +132,7 @@ def test_ingest_from_landed_files(spark, landed, tmp_path):
     store = DocumentStore(spark, str(tmp_path / "store"))
     summary = ingest(spark, store.root, _resolved(spark, landed), "run", OPTIONS)
     # Stored: 1, 3, 4, 11. Processed without a row: 2 (PDF without text) and 7 (blank text). 13 copies 4.
-    assert summary == {"documents_processed": 6, "chunks_inserted": 4, "quarantined": 5}
+    assert summary == {"documents_processed": 6, "chunks_inserted": 4, "quarantined": 5, "oversize": 0, "truncated": 0}
     documents = {r["title"]: r for r in store.documents().collect()}
     assert set(documents) == {"First", "Three", fv.TITLE_PREFIXES[FIRST] + " 4", fv.TITLE_PREFIXES[SECOND] + " 11"}
     assert documents["First"]["page_count"] == 3 and documents["First"]["ingested_at"] is not None
@@ -170,8 +170,8 @@ def test_ingesting_twice_is_ingesting_once(spark, tmp_path):
     store = DocumentStore(spark, root)
     before = _contents(store)
     assert first["documents_processed"] == 5 and len(before[0]) == 4 and len(before[1]) == first["chunks_inserted"]
-    assert ingest(spark, root, _texts(spark, ROWS), "a", OPTIONS) == first  # the same batch again
-    assert _contents(store) == before
+    same = ingest(spark, root, _texts(spark, ROWS), "a", OPTIONS)  # under the same name again
+    assert (same["documents_processed"], same["chunks_inserted"]) == (1, 0) and _contents(store) == before
     again = ingest(spark, root, _texts(spark, ROWS), "b", OPTIONS)
     assert (again["documents_processed"], again["chunks_inserted"]) == (1, 0)  # only the blank text, every time
     assert _contents(store) == before
@@ -191,12 +191,75 @@ def test_a_batch_that_broke_off_is_repaired_by_its_replay(spark, tmp_path, monke
 
     monkeypatch.setattr(DocumentStore, "write_batch", breaking)
     with pytest.raises(OSError):
-        ingest_batch(store, _texts(spark, ROWS), "run-0", OPTIONS)
+        ingest_batch(store, _texts(spark, ROWS), OPTIONS, "run", "0")
     monkeypatch.setattr(DocumentStore, "write_batch", write)
-    assert store.documents().count() == 0 and store.chunks().count() > 0
-    ingest_batch(store, _texts(spark, ROWS), "run-0", OPTIONS)
-    ingest_batch(whole, _texts(spark, ROWS), "run-0", OPTIONS)
+    assert store.rows("chunks").count() > 0  # half-written, and not to be seen
+    assert store.documents().count() == 0 and store.chunks().count() == 0
+    assert reports.search_text(store, "a text", dims=16).count() == 0
+    done = ingest_batch(store, _texts(spark, ROWS), OPTIONS, "run", "0")
+    assert ingest_batch(store, _texts(spark, ROWS), OPTIONS, "run", "0") == done
+    ingest_batch(whole, _texts(spark, ROWS), OPTIONS, "run", "0")
     assert _contents(store) == _contents(whole)
+    assert reports.search_text(store, "a text", k=5, dims=16).count() == 5
+
+
+def test_runs_under_one_name_add_up(spark, tmp_path):
+    root = str(tmp_path / "s")
+    ingest(spark, root, _texts(spark, ROWS), "history", OPTIONS)
+    ingest(spark, root, _texts(spark, [(9, "a third")]), "history", OPTIONS)
+    store = DocumentStore(spark, root)
+    assert {r["url"] for r in store.documents().collect()} == {"u0", "u1", "u4", "u5", "u9"}
+    before = _contents(store)
+    store.compact()
+    assert _contents(store) == before and store.commits().count() == 1
+    assert ingest(spark, root, _texts(spark, ROWS), "history", OPTIONS)["chunks_inserted"] == 0
+
+
+def test_quarantine_ends_when_the_body_arrives(spark, landed, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "s")).create()
+    missing = _resolved(spark, landed)
+    first = ingest_batch(store, missing, OPTIONS, "run", "0")
+    assert first["quarantined"] == 5
+    none = ingest_batch(store, _texts(spark, [(50, "came late")]), OPTIONS, "run", "1")
+    assert none["quarantined"] == 0 and none["documents_processed"] == 1
+
+
+def test_vectors_of_another_length_are_refused(spark, tmp_path):
+    root = str(tmp_path / "s")
+    ingest(spark, root, _texts(spark, ROWS), "a", OPTIONS)
+    with pytest.raises(ValueError, match="embedding_dimensions: stored 16, current 8"):
+        ingest(spark, root, _texts(spark, [(9, "x")]), "b", IngestOptions(size=20, overlap=4, provider_options={"dims": 8}))
+
+
+def test_limits_are_counted(spark, tmp_path):
+    options = IngestOptions(strategy="window", size=2, overlap=0, max_chunks=3, max_bytes=60, provider_options={"dims": 16})
+    done = ingest(spark, str(tmp_path / "s"), _texts(spark, [(0, "a b c d e f g h i"), (1, "x " * 60), (2, "y")]), "a", options)
+    assert (done["oversize"], done["truncated"], done["chunks_inserted"]) == (1, 1, 4)
+
+
+def test_delete_with_any_run_name(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "s"))
+    ingest(spark, store.root, _texts(spark, ROWS), "r#1:x", OPTIONS)
+    assert store.delete(store.documents().where("url = 'u0'")) == {"documents": 1, "chunks": 1}
+    assert {r["url"] for r in store.documents().collect()} == {"u1", "u4", "u5"}
+    assert store.delete(store.documents()) == {"documents": 3, "chunks": store.rows("chunks").count() - 1}
+    assert store.chunks().count() == 0
+
+
+def test_scoring_reads_no_texts(spark, filled):
+    """Texts are read for the winners only, by their ids."""
+    frame = reports.search(filled.documents(), filled.chunks(), embed_query(spark, "late text", dims=16), 2, complete=True)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line and "chunk_text" in line]
+    assert scans and all("embedding" not in line.split("ReadSchema")[1] and "In(document_id" in line for line in scans)
+
+
+def test_two_stores_have_their_own_progress(spark, landed, tmp_path):
+    counts = []
+    for name in ("one", "two"):
+        run_incremental(spark, landed, str(tmp_path / name), "daily", options=OPTIONS).awaitTermination()
+        counts.append(DocumentStore(spark, str(tmp_path / name)).documents().count())
+    assert counts == [4, 4]
 
 
 @register_provider("brittle")
@@ -301,7 +364,8 @@ def test_search_is_the_same_with_and_without_the_join_first(spark, filled):
         for k in (1, 3, 100):
             a = [tuple(r) for r in reports.search(documents, chunks, query, k, doc_type).orderBy("rank").collect()]
             b = [tuple(r) for r in reports.search(documents, chunks, query, k, doc_type, complete=True).orderBy("rank").collect()]
-            assert a == b and len(a) == min(k, len(a))
+            owned = chunks.count() if doc_type is None else chunks.where(F.col("doc_type") == doc_type).count()
+            assert a == b and len(a) == min(k, owned)
     best = reports.search(documents, chunks, query, 1).first()
     assert best["chunk_text"] == "late text" and round(best["similarity"], 6) == 1 and best["rank"] == 1
 
@@ -349,7 +413,7 @@ def test_runs_over_a_landing_folder(spark, landed, tmp_path):
     assert planned == {(SECOND, 12), (SECOND, 13)}
     root = str(tmp_path / "s")
     assert run_batch(spark, landed, root, "one", SECOND, day, options=OPTIONS) == {
-        "documents_processed": 1, "chunks_inserted": 1, "quarantined": 1}
+        "documents_processed": 1, "chunks_inserted": 1, "quarantined": 1, "oversize": 0, "truncated": 0}
     run_incremental(spark, landed, root, "two", options=OPTIONS, checkpoint=str(tmp_path / "c")).awaitTermination()
     store = DocumentStore(spark, root)
     assert store.documents().count() == 4
