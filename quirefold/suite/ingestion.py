@@ -114,7 +114,7 @@ def _search_sql(facet: str) -> str:
     return f"""
 WITH {_FIRSTS}, owned AS (SELECT s.source_hash, s.chunk_index, m.chunk_text, f.doc_type FROM stored_chunks s
   JOIN merged m USING (source_hash, chunk_index) JOIN firsts f USING (source_hash) {facet})
-SELECT doc_type, count(*) AS found, sum(length(chunk_text)) AS chars FROM owned GROUP BY doc_type"""
+SELECT doc_type, count(*) AS found, CAST(sum(length(chunk_text)) AS BIGINT) AS chars FROM owned GROUP BY doc_type"""
 
 
 def _searched(spark, sf, doc_type):

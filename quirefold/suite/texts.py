@@ -421,4 +421,4 @@ def resolve_bodies(spark, sf):
     pages = land(landed.select("doc_key", F.posexplode(F.split("text", "\n")).alias("page_no", "text")))
     incoming = resolve(_listing(base, land), detail, bodies, pages)
     # As an ingest batch does: write the narrow part down, then read texts for it.
-    return Incoming(land(incoming.narrow), incoming.texts).with_texts().drop("from_pages")
+    return Incoming(land(incoming.narrow), incoming.texts).with_texts().drop("from_pages", "oversize")
