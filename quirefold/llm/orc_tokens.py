@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quirefold.llm import tokens
-from quirefold.llm.common import UNIT_BYTES, text_bytes
+from quirefold.llm.common import UNIT_BYTES, checkpointed, text_bytes
 from quirefold.sources.shared import shared_path
 
 STRIPE_BYTES = 16 << 20
@@ -24,15 +24,11 @@ def _encoded(path: str, end: int):
     def run(batches):
         encode = tokens.encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = encode.batch([t or "" for t in part.column(1).to_pylist()])
-                tail = np.array([end], dtype="<u4").tobytes()
-                values = np.frombuffer(b"".join(x for i in ids for x in (i, tail)), dtype="<u4").astype(np.int32)
-                offsets = np.zeros(len(ids) + 1, dtype=np.int32)
-                np.cumsum([len(i) // 4 + 1 for i in ids], out=offsets[1:])
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
+            ids, starts = encode.batch([t or "" for t in batch.column(1).to_pylist()])
+            values = np.insert(ids, starts[1:], end).astype(np.int32)
+            offsets = (starts + np.arange(len(starts))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc_id", "ids"])
     return run
 
 
@@ -58,7 +54,7 @@ def _digests(batches):
         values = np.asarray(lists.flatten(), dtype="<u4")
         sizes = np.diff(np.asarray(lists.offsets))
         ends = np.cumsum(sizes)
-        crcs = [tokens.crc32(values[e - s : e].tobytes()) for s, e in zip(sizes.tolist(), ends.tolist())]
+        crcs = [tokens.crc32(values[e - s : e]) for s, e in zip(sizes.tolist(), ends.tolist())]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes.astype(np.int64)),
                                           pa.array(crcs, type=pa.int64())],
                                          names=["doc_id", "file", "n_tokens", "ids_crc32"])
@@ -70,8 +66,8 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
     Running sums are taken within each file, whose ids form one range; files before it add their totals. Rows of one
     id lie in one file and are ordered by their ids' count and CRC; null ids come first.
     """
-    stored = (read(spark, path).withColumn("file", F.col("_metadata.file_name"))
-              .mapInArrow(_digests, "doc_id long, file string, n_tokens long, ids_crc32 long"))
+    stored = checkpointed(read(spark, path).withColumn("file", F.col("_metadata.file_name"))
+                          .mapInArrow(_digests, "doc_id long, file string, n_tokens long, ids_crc32 long"))  # read once
     rows = Window.partitionBy("file").orderBy("doc_id", "n_tokens", "ids_crc32")
     within = stored.withColumn("inside", F.sum("n_tokens").over(rows.rowsBetween(Window.unboundedPreceding, -1)))
     # One row per file: few enough for one task.

@@ -95,21 +95,20 @@ def _packed(path: str, end: int, size: int, with_ids: bool):
     def run(batches):
         base = TaskContext.get().partitionId() * PER_TASK
         encode = tokens.encoder(path)
-        tail = np.array([end], dtype="<u4").tobytes()
 
         def documents():
             for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    part = batch.slice(at, 500)
-                    ids = encode.batch([t or "" for t in part.column(1).to_pylist()])
-                    for doc, i in zip(part.column(0).to_pylist(), ids):
-                        yield doc, np.frombuffer(i + tail, dtype="<u4")
+                ids, starts = encode.batch([t or "" for t in batch.column(1).to_pylist()])
+                ids = np.insert(ids, starts[1:], end)
+                starts = (starts + np.arange(len(starts))).tolist()
+                for doc, s, e in zip(batch.column(0).to_pylist(), starts, starts[1:]):
+                    yield doc, ids[s:e]
 
         def rows(held):
             doc, start, ids, total, window, offset = zip(*held)
             lists = pa.array([i.astype(np.int32) if with_ids else None for i in ids], type=pa.list_(pa.int32()))
             columns = [pa.array(doc, type=pa.int64()), start, [len(i) for i in ids],
-                       [tokens.crc32(i.tobytes()) for i in ids], total, [base + w for w in window], offset]
+                       [tokens.crc32(i) for i in ids], total, [base + w for w in window], offset]
             return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=pa.int64()) for c in columns]
                                               + [lists], names=[f.split()[0] for f in SCHEMA.split(", ")])
 

@@ -1,28 +1,38 @@
 """Token ids of texts by a public tokenizer file, with the ids of words kept for the next text.
 
 The tokenizers library spends most of its time on words it has met before. A text is therefore cut where no token can
-lie across, at single spaces and at the ends of runs of Latin letters; new pieces go through the library in one call
-and known ones are looked up. Texts in which such cuts would not be safe go through the library whole.
+lie across, at single spaces and at the ends of runs of Latin letters. The distinct pieces of a batch are looked up,
+new ones go through the library in one call, and the ids are put together as arrays. Texts in which such cuts would
+not be safe go through the library whole.
 """
 
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
+import pandas as pd
 
-#: Pieces remembered by one Python worker before the memory is cleared.
-REMEMBERED = 800_000
+#: Pieces remembered by one Python worker before the memory is cleared, and the longest of them in characters.
+REMEMBERED, LONGEST = 800_000, 64
+#: Texts encoded together, and their characters.
+TEXTS, CHARACTERS = 4_000, 8 << 20
 
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _PIECE = re.compile(f" ?[{_LETTERS}]+| ?[^{_LETTERS} ]+")
-# Runs of white space and white space at the ends, contractions, characters beyond Latin-1 letters (other letters,
-# combining marks, other white space) and marks of special tokens.
-_UNSAFE = re.compile(rf"\s\s|'[{_LETTERS}]|[^\x00-\x7f\xc0-\xff]|<\||^\s|\s$")
+# A cut beside any of these may not be safe: white space other than a space or line feed, an apostrophe before a
+# letter, characters beyond Latin-1 letters (other letters, combining marks, other white space), marks of special tokens.
+_UNSAFE_PIECE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x80-\xbf]|[^\x00-\xff]|<\||'$")
+
+
+def _unsafe(text: str) -> bool:
+    """White space in runs or at an end of the text."""
+    return ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1].isspace() or text[-1:].isspace())
 
 
 class Encoder:
-    """Ids of texts as the library's ``encode(text, add_special_tokens=False)`` gives them, as little-endian bytes.
+    """Ids of texts as the library's ``encode(text, add_special_tokens=False)`` gives them.
 
     ``path`` is a tokenizer file whose pre-tokenizer splits at white space and at changes between letters and
     punctuation. Strings of special tokens in a text get the special ids, as in the library.
@@ -33,20 +43,75 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; 4 bytes per id."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        cut = [[t] if _UNSAFE.search(t) else _PIECE.findall(t) for t in texts]
-        new = list(set().union(*cut).difference(self.known))
-        whole = {}
+    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts after each other, and where each text's begin (one more entry for the end)."""
+        values, sizes, at = [], [], 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and end - at < TEXTS and (end == at or size + len(texts[end]) <= CHARACTERS):
+                size += len(texts[end])
+                end += 1
+            ids, own = self._together(texts[at:end])
+            values.append(ids)
+            sizes.append(own)
+            at = end
+        starts = np.zeros(len(texts) + 1, dtype=np.int64)
+        np.cumsum(np.concatenate(sizes) if sizes else [], out=starts[1:])
+        return np.concatenate(values) if values else np.zeros(0, dtype="<u4"), starts
+
+    def _together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        cut = [[t] if _unsafe(t) else _PIECE.findall(t) for t in texts]
+        codes, pieces = self._numbered(cut)
+        found = self._looked_up(pieces, self._whole(cut))
+        risky = [i for i, ids in enumerate(found) if ids is False]
+        if risky:
+            marked = np.zeros(len(pieces) + 1, dtype=bool)
+            marked[risky] = True
+            bounds = np.cumsum([0, *map(len, cut)])
+            hit = np.concatenate(([0], np.cumsum(marked[codes])))
+            for i in np.flatnonzero(hit[bounds[1:]] > hit[bounds[:-1]]).tolist():
+                cut[i] = [texts[i]]
+            codes, pieces = self._numbered(cut)
+            found = self._looked_up(pieces, self._whole(cut))
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        begins = np.cumsum(lengths) - lengths
+        each = lengths[codes]
+        ends = np.concatenate(([0], np.cumsum(each)))
+        ids = flat[np.repeat(begins[codes] - ends[:-1], each) + np.arange(ends[-1])]
+        return ids, np.diff(ends[np.cumsum([0, *map(len, cut)])])
+
+    @staticmethod
+    def _numbered(cut: list[list[str]]) -> tuple[np.ndarray, list[str]]:
+        """The number of each piece among the distinct ones."""
+        every = np.array([p for c in cut for p in c], dtype=object)
+        codes, pieces = pd.factorize(every)
+        return codes, pieces.tolist()
+
+    @staticmethod
+    def _whole(cut: list[list[str]]) -> set[str]:
+        return {c[0] for c in cut if len(c) == 1}
+
+    def _looked_up(self, pieces: list[str], whole: set[str]) -> list:
+        """Ids of pieces, False for those that only a whole text may hold; ``whole`` are the texts in one piece."""
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        found = list(map(known.get, pieces))
+        new = [i for i, ids in enumerate(found) if ids is None or (ids is False and pieces[i] in whole)]
+        risky = [i for i in new if pieces[i] not in whole and _UNSAFE_PIECE.search(pieces[i])]
+        for i in risky:
+            found[i] = False
+            if len(pieces[i]) <= LONGEST:
+                known[pieces[i]] = False
+        new = [i for i in new if found[i] is not False or pieces[i] in whole]
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            for piece, done in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                (self.known if len(piece) < 64 else whole)[piece] = np.array(done.ids, dtype="<u4").tobytes()
-        known = self.known.__getitem__
-        return [whole[c[0]] if len(c) == 1 and c[0] in whole else
-                b"".join([whole.get(p) or known(p) for p in c]) if whole else b"".join(map(known, c)) for c in cut]
+            for i, done in zip(part, self.library.encode_batch_fast([pieces[i] for i in part], add_special_tokens=False)):
+                found[i] = array("I", done.ids).tobytes()
+                if len(pieces[i]) <= LONGEST and pieces[i] not in whole:
+                    known[pieces[i]] = found[i]
+        return found
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -60,6 +125,6 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def crc32(ids: bytes) -> int:
+def crc32(ids: np.ndarray) -> int:
     """CRC of ids as little-endian unsigned 32-bit integers."""
-    return zlib.crc32(ids)
+    return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4"))
