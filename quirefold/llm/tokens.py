@@ -42,6 +42,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.unsafe: set[str] = set()
 
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after each other, and where each text's begin (one more entry for the end)."""
@@ -62,17 +63,16 @@ class Encoder:
     def _together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         cut = [[t] if _unsafe(t) else _PIECE.findall(t) for t in texts]
         codes, pieces = self._numbered(cut)
-        found = self._looked_up(pieces, self._whole(cut))
-        risky = [i for i, ids in enumerate(found) if ids is False]
-        if risky:
-            marked = np.zeros(len(pieces) + 1, dtype=bool)
-            marked[risky] = True
+        found, unsafe = self._looked_up(pieces)
+        if unsafe:
+            marked = np.zeros(len(pieces), dtype=bool)
+            marked[unsafe] = True
             bounds = np.cumsum([0, *map(len, cut)])
             hit = np.concatenate(([0], np.cumsum(marked[codes])))
             for i in np.flatnonzero(hit[bounds[1:]] > hit[bounds[:-1]]).tolist():
-                cut[i] = [texts[i]]
+                cut[i] = [texts[i]]  # in one piece nothing is cut, so nothing is unsafe
             codes, pieces = self._numbered(cut)
-            found = self._looked_up(pieces, self._whole(cut))
+            found, _ = self._looked_up(pieces)
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         flat = np.frombuffer(b"".join(found), dtype="<u4")
         begins = np.cumsum(lengths) - lengths
@@ -88,30 +88,26 @@ class Encoder:
         codes, pieces = pd.factorize(every)
         return codes, pieces.tolist()
 
-    @staticmethod
-    def _whole(cut: list[list[str]]) -> set[str]:
-        return {c[0] for c in cut if len(c) == 1}
-
-    def _looked_up(self, pieces: list[str], whole: set[str]) -> list:
-        """Ids of pieces, False for those that only a whole text may hold; ``whole`` are the texts in one piece."""
-        known = self.known
+    def _looked_up(self, pieces: list[str]) -> tuple[list[bytes], list[int]]:
+        """Ids of pieces, and which of them are not safe beside others."""
+        known, unsafe = self.known, self.unsafe
         if len(known) > REMEMBERED:
             known.clear()
+            unsafe.clear()
         found = list(map(known.get, pieces))
-        new = [i for i, ids in enumerate(found) if ids is None or (ids is False and pieces[i] in whole)]
-        risky = [i for i in new if pieces[i] not in whole and _UNSAFE_PIECE.search(pieces[i])]
-        for i in risky:
-            found[i] = False
-            if len(pieces[i]) <= LONGEST:
-                known[pieces[i]] = False
-        new = [i for i in new if found[i] is not False or pieces[i] in whole]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        flagged = [i for i, p in enumerate(pieces) if p in unsafe] if unsafe else []
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
             for i, done in zip(part, self.library.encode_batch_fast([pieces[i] for i in part], add_special_tokens=False)):
-                found[i] = array("I", done.ids).tobytes()
-                if len(pieces[i]) <= LONGEST and pieces[i] not in whole:
-                    known[pieces[i]] = found[i]
-        return found
+                piece, found[i] = pieces[i], array("I", done.ids).tobytes()
+                if _UNSAFE_PIECE.search(piece):
+                    flagged.append(i)
+                if len(piece) <= LONGEST:
+                    known[piece] = found[i]
+                    if flagged and flagged[-1] == i:
+                        unsafe.add(piece)
+        return found, flagged
 
 
 _ENCODERS: dict[str, Encoder] = {}
