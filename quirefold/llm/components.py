@@ -14,13 +14,14 @@ def _digest(edges: DataFrame) -> tuple:
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Hang neighbours of each node on the smallest of them: the larger ones for a large star, else the smaller ones.
 
-    The minimum is aggregated before it is shuffled and joined back, so a node with very many links is no group.
+    The minimum is aggregated before it is shuffled. It is written down before it is joined back: the join then has
+    plain shuffles on both sides, and the links of a node that has very many are split over several tasks.
     """
     if large:
         arcs = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         arcs = edges
-    least = arcs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    least = checkpointed(arcs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
     joined = arcs.join(least, "u")
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
