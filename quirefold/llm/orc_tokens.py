@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quirefold.llm import tokens
-from quirefold.llm.common import UNIT_BYTES, checkpointed, text_bytes
+from quirefold.llm.common import checkpointed
 from quirefold.sources.shared import shared_path
 
 STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1_000
+ROWS_PER_FILE = 2_500
 END = 2
 SCHEMA = "doc_id long, ids array<int>"
 
@@ -32,13 +33,13 @@ def _encoded(path: str, end: int):
     return run
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, unit_bytes: int = UNIT_BYTES,
+def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, rows_per_file: int = ROWS_PER_FILE,
           stripe_bytes: int = STRIPE_BYTES) -> None:
     """Write ``doc_id, ids`` in ascending order of ids; a null text is empty and holds the end id only."""
-    n = max(1, -(-text_bytes(docs) // unit_bytes))
+    n = max(1, -(-docs.count() // rows_per_file))
     ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
     (ordered.mapInArrow(_encoded(tokenizer, end), SCHEMA).write
-     .option("compression", "zstd").option("orc.stripe.size", stripe_bytes)
+     .option("compression", "snappy").option("orc.stripe.size", stripe_bytes)
      .option("orc.row.index.stride", ROWS_PER_INDEX).option("orc.create.index", "true")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", 0.01).orc(path))
 

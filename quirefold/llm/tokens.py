@@ -15,9 +15,9 @@ import numpy as np
 import pandas as pd
 
 #: Pieces remembered by one Python worker before the memory is cleared, and the longest of them in characters.
-REMEMBERED, LONGEST = 800_000, 64
+REMEMBERED, LONGEST = 1_000_000, 64
 #: Texts encoded together, and their characters.
-TEXTS, CHARACTERS = 4_000, 8 << 20
+TEXTS, CHARACTERS = 4_000, 4 << 20
 
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _PIECE = re.compile(f" ?[{_LETTERS}]+| ?[^{_LETTERS} ]+")

@@ -125,7 +125,7 @@ def test_orc_round_trip(spark, sf, edge, nothing, tmp_path):
         wanted.append((doc, start, len(ids), crc(ids)))
         start += len(ids)
     path = str(tmp_path / "t")
-    orc_tokens.write(docs, path, BYTE, unit_bytes=50_000)
+    orc_tokens.write(docs, path, BYTE, rows_per_file=40)
     assert len(list((tmp_path / "t").glob("*.orc"))) > 3
     got = orc_tokens.catalogue(spark, path).orderBy("doc_id").collect()
     assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got] == wanted
