@@ -21,7 +21,7 @@ NO_BODY = "no body"
 def plan_ingest(listing: DataFrame, doc_types=fv.DOC_TYPES, date_from: date | None = None,
                 date_to: date | None = None) -> DataFrame:
     """Dry run: what would be ingested. Reads no detail and no body."""
-    wanted = dated_within(of_types(listing, doc_types), date_from, date_to)
+    wanted = dated_within(of_types(_with_errors(listing).where("list_error is null"), doc_types), date_from, date_to)
     return wanted.select("doc_type", "meeting_number", "title", "meeting_date")
 
 
@@ -33,6 +33,11 @@ def detail_url():
     return url
 
 
+def _with_errors(listing: DataFrame) -> DataFrame:
+    """The listing with ``list_error``, null where it comes from no landed payload."""
+    return listing if "list_error" in listing.columns else listing.withColumn("list_error", F.lit(None).cast("string"))
+
+
 @dataclass
 class Incoming:
     """Documents to ingest.
@@ -77,7 +82,7 @@ def resolve(listing: DataFrame, detail: DataFrame, bodies: DataFrame, pages: Dat
         "doc_type", "meeting_number", "pdf_url", (F.col("html") != "").alias("has_html"),
         source_hash(None, F.col("html_text")).alias("html_hash"), has_text(F.col("html_text")).alias("html_has_text")))
     stats = page_stats(pages).withColumnRenamed("has_text", "pages_have_text")
-    found = (listing.join(details, ["doc_type", "meeting_number"], "left")
+    found = (_with_errors(listing).join(details, ["doc_type", "meeting_number"], "left")
              .withColumn("doc_key", _or_own_key(F.col("pdf_url") != "", body_key(F.col("pdf_url"))))
              .join(bodies, "doc_key", "left").join(stats, "doc_key", "left"))
     is_pdf = F.col("body_hash").isNotNull()
@@ -93,7 +98,7 @@ def resolve(listing: DataFrame, detail: DataFrame, bodies: DataFrame, pages: Dat
         F.when(is_pdf, F.coalesce("pages_have_text", F.lit(False)))
         .otherwise(is_html & F.col("html_has_text")).alias("has_text"),
         too_large.alias("oversize"),
-        F.when(~is_pdf & ~is_html, NO_BODY).alias("error"),
+        F.coalesce("list_error", F.when(~is_pdf & ~is_html, NO_BODY)).alias("error"),
     )
 
     def texts(documents: DataFrame) -> DataFrame:

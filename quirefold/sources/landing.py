@@ -10,12 +10,15 @@ A fetcher outside Spark lands the publisher's answers as files:
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quirefold import fixed_values as fv
 from quirefold import schemas
 from quirefold.functions.dates import parse_date
 from quirefold.functions.text import strip_ws
 
+UNREADABLE = "listing payload cannot be read"
+
 
 def _first_truthy_number(names) -> Column:
     """The first of two spellings that is neither absent nor zero, else 0."""
@@ -26,23 +29,32 @@ def _first_truthy_number(names) -> Column:
 def listing_items(payloads: DataFrame, doc_type: str) -> DataFrame:
     """One row per listed document of one kind, from payload rows (list_file, conteudo).
 
-    (source_ord, list_file, list_pos) is the unique key and the listing order.
+    (source_ord, list_file, list_pos) is the unique key and the listing order. A payload that cannot be read, as its
+    column ``broken`` says if there is one, gives one row with a ``list_error``, so that it ends in quarantine.
     """
+    if "broken" not in payloads.columns:
+        payloads = payloads.withColumn("broken", F.lit(None).cast("string"))
+    broken = F.col("broken").isNotNull()
     number = _first_truthy_number(fv.NUMBER_FIELDS[doc_type])
     default_title = F.concat(F.lit(fv.TITLE_PREFIXES[doc_type] + " "), number.cast("string"))
-    return (payloads.select("list_file", F.posexplode("conteudo").alias("pos", "item"))
+    return (payloads.select("list_file", "broken", F.posexplode_outer("conteudo").alias("pos", "item"))
+            .where(F.col("pos").isNotNull() | broken)
             .select(F.lit(fv.DOC_TYPES.index(doc_type)).alias("source_ord"), "list_file",
-                    F.col("pos").cast("bigint").alias("list_pos"),
+                    F.coalesce(F.col("pos").cast("bigint"), F.lit(-1)).alias("list_pos"),
                     F.lit(doc_type).alias("doc_type"),
-                    number.alias("meeting_number"),
-                    strip_ws(F.coalesce("item.titulo", default_title)).alias("title"),
-                    parse_date(F.col("item.dataReferencia")).alias("meeting_date")))
+                    F.when(broken, -1).otherwise(number).alias("meeting_number"),
+                    F.when(broken, F.col("list_file")).otherwise(
+                        strip_ws(F.coalesce("item.titulo", default_title))).alias("title"),
+                    parse_date(F.col("item.dataReferencia")).alias("meeting_date"),
+                    F.when(broken, F.lit(UNREADABLE)).alias("list_error")))
 
 
 def read_listing(spark: SparkSession, path: str, doc_type: str, streaming: bool = False,
                  max_files: int = fv.RUN_INTERVAL) -> DataFrame:
     """Listed documents of one kind; as a stream, ``max_files`` payloads make a batch."""
-    reader = (spark.readStream if streaming else spark.read).schema(schemas.LISTING).option("multiLine", True)
+    schema = T.StructType([*schemas.LISTING, T.StructField("broken", T.StringType())])
+    reader = ((spark.readStream if streaming else spark.read).schema(schema).option("multiLine", True)
+              .option("columnNameOfCorruptRecord", "broken"))
     if streaming:
         reader = reader.option("maxFilesPerTrigger", max_files)
     payloads = reader.json(f"{path}/{doc_type}")

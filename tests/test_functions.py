@@ -3,6 +3,7 @@
 import datetime
 import hashlib
 import html
+import time
 import unicodedata
 
 import numpy as np
@@ -149,3 +150,10 @@ def test_vector_literal_round_trip(spark):
     df = spark.createDataFrame([(v,) for v in values], "v array<float>")
     assert [r[0] for r in df.select(vx.parse_literal(vx.to_literal(F.col("v")))).collect()] == values
     assert df.select(vx.to_literal(F.array(F.lit(1.5), F.lit(-2.0)))).first()[0] == "[1.5,-2.0]"
+
+
+def test_long_runs_of_line_feeds_are_read_once(column):
+    texts = ["a" + "\n" * 2_000_000 + "7\nb", "\n" * 500_000, " \n7\n\n 8 \n", "x\n \n12\n\ny"]
+    start = time.perf_counter()
+    assert column(texts, lambda x: tx.clean_text(x)) == ["a\n\nb", "", "", "x\n\ny"]
+    assert time.perf_counter() - start < 20

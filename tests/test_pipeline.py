@@ -224,6 +224,21 @@ def test_quarantine_ends_when_the_body_arrives(spark, landed, tmp_path):
     assert none["quarantined"] == 0 and none["documents_processed"] == 1
 
 
+def test_a_broken_listing_is_quarantined(spark, landed, tmp_path):
+    good = tmp_path / "l" / FIRST
+    good.mkdir(parents=True)
+    _dump(good / "a.json", {"conteudo": [{"titulo": "T", "nroReuniao": 3, "dataReferencia": "2024-01-31"}]})
+    (good / "b.json").write_text('{"conteudo": [{"titulo": "cut o')
+    listing = read_listing(spark, str(tmp_path / "l"), FIRST)
+    assert sorted((r["title"], r["list_error"] is None) for r in listing.collect()) == [("T", True), ("b.json", False)]
+    assert plan_ingest(listing, fv.DOC_TYPES).count() == 1
+    _, *parts = _sources(spark, landed)
+    done = ingest(spark, str(tmp_path / "s"), resolve(listing, *parts), "a", OPTIONS)
+    assert (done["documents_processed"], done["quarantined"]) == (1, 1)
+    with pytest.raises(ValueError, match="cannot be read"):
+        ingest(spark, str(tmp_path / "x"), resolve(listing, *parts), "a", IngestOptions(skip_errors=False))
+
+
 def test_vectors_of_another_length_are_refused(spark, tmp_path):
     root = str(tmp_path / "s")
     ingest(spark, root, _texts(spark, ROWS), "a", OPTIONS)
