@@ -91,14 +91,14 @@ def pack_task(documents, size: int = WINDOW):
             start, ids, room, offset = start + len(part), ids[len(part) :], room - len(part), offset + len(part)
 
 
-def _packed(path: str, end: int, size: int, with_ids: bool):
+def _packed(path: str, end: int, size: int, with_ids: bool, characters: int):
     def run(batches):
         base = TaskContext.get().partitionId() * PER_TASK
         encode = tokens.encoder(path)
 
         def documents():
             for batch in batches:
-                ids, starts = encode.batch([t or "" for t in batch.column(1).to_pylist()])
+                ids, starts = encode.batch([t or "" for t in batch.column(1).to_pylist()], characters)
                 ids = np.insert(ids, starts[1:], end)
                 starts = (starts + np.arange(len(starts))).tolist()
                 for doc, s, e in zip(batch.column(0).to_pylist(), starts, starts[1:]):
@@ -123,10 +123,11 @@ def _packed(path: str, end: int, size: int, with_ids: bool):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, end: int = END, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, end: int = END, with_ids: bool = True,
+         characters: int = tokens.CHARACTERS) -> DataFrame:
     """Pieces of all documents (null text: empty, so the end id alone) with their sequences; columns as in SCHEMA.
 
-    Needs no shuffle: every task packs what it reads, and its sequences have numbers of their own.
+    ``characters`` of texts are encoded together in memory. Needs no shuffle: every task packs what it reads, and its sequences have numbers of their own.
     """
-    out = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_packed(tokenizer, end, size, with_ids), SCHEMA)
+    out = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_packed(tokenizer, end, size, with_ids, characters), SCHEMA)
     return out if with_ids else out.drop("ids")

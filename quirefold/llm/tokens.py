@@ -15,9 +15,9 @@ import numpy as np
 import pandas as pd
 
 #: Pieces remembered by one Python worker before the memory is cleared, and the longest of them in characters.
-REMEMBERED, LONGEST = 1_000_000, 64
+REMEMBERED, LONGEST = 800_000, 64
 #: Texts encoded together, and their characters.
-TEXTS, CHARACTERS = 4_000, 4 << 20
+TEXTS, CHARACTERS = 4_000, 8 << 20
 
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _PIECE = re.compile(f" ?[{_LETTERS}]+| ?[^{_LETTERS} ]+")
@@ -44,12 +44,12 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.unsafe: set[str] = set()
 
-    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def batch(self, texts: list[str], characters: int = CHARACTERS) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after each other, and where each text's begin (one more entry for the end)."""
         values, sizes, at = [], [], 0
         while at < len(texts):
             end, size = at, 0
-            while end < len(texts) and end - at < TEXTS and (end == at or size + len(texts[end]) <= CHARACTERS):
+            while end < len(texts) and end - at < TEXTS and (end == at or size + len(texts[end]) <= characters):
                 size += len(texts[end])
                 end += 1
             ids, own = self._together(texts[at:end])
