@@ -5,7 +5,8 @@ surrogate is worked out from a secret key, the entity's kind and its canonical f
 however it is written, gets the same one in the mention's own layout. Persons are replaced word by word: a surname
 has one surrogate whether a given name stands before it or not; given names follow the gender of the title, and all
 names the script they are written in. A collision check over all distinct entities gives a new attempt to entities
-that share a surrogate or whose surrogate is itself an entity of the corpus; attempts of these few are joined back.
+that share a surrogate or whose surrogate is itself an entity of the corpus; attempts of these few are joined back. Where a
+format has too few values for a corpus, later attempts are longer than the entity, so the check ends for any input.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 
 from quirefold.llm.common import checkpointed
 
-#: Rounds of new attempts before the collision check gives up.
-ROUNDS = 20
+#: From this attempt on, surrogates are longer than their entities, by two more characters each time.
+LONGER = 4
 
 # What entities look like. Runs are possessive or begin at a boundary, so a long text is read once.
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа|г-жа"
@@ -40,6 +41,12 @@ SECRET_HEAD = r"^(?i:password|passwd|pwd|secret|token|api[_-]?key)(?: ?[=:] ?)[\
 PERSON_HEAD = rf"^(?:{FEMALE}|{MALE})\.? "
 
 LATIN, CYRILLIC = ("bdfgklmnprstvz", "aeiou"), ("бвгдклмнпрст", "аеиоу")
+DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+CYRILLIC_LOWER = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+HAN = "的一是不了在人有我他这中大来上国个到说们为子和你地出道也时年得就那要下以生会自着去之过家学对可她里后小么"
+#: Kinds of characters of a secret, and what stands for them; ASCII punctuation stays.
+SHAPES = ((r"[0-9]|\p{Nd}", DIGITS), ("[a-z]", LOWER), ("[A-Z]", LOWER.upper()), (r"[\p{IsCyrillic}&&\p{Lu}]", CYRILLIC_LOWER.upper()),
+          (r"\p{IsCyrillic}", CYRILLIC_LOWER), (r"\p{IsHan}", HAN), (r"\p{Lu}", LOWER.upper()), (r"[^\x00-\x7F]", LOWER))
 ENTITY_STRUCT = "struct<kind:string,canon:string>"
 
 
@@ -102,11 +109,21 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
             return F.substring(F.lit(letters), byte(i) % len(letters) + 1, F.lit(1))
 
         def shaped(value):
-            """Digits for digits and letters for letters; lower hexadecimal stays that."""
+            """Digits for digits and letters for letters; lower hexadecimal stays that. A secret that is mostly
+            punctuation becomes letters and digits, for else most of it would stay."""
             hexadecimal = value.rlike("^[0-9a-f]+$") & value.rlike("[a-f]")
-            return _join(F.transform(_chars(value), lambda c, i: F.when(hexadecimal, pick("0123456789abcdef", i))
-                                     .when(c.rlike("[0-9]"), pick("0123456789", i)).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz", i))
-                                     .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i)).otherwise(c)))
+            bare = (kind == "secret") & (F.length(F.regexp_replace(value, r"[\x00-\x7F&&[^0-9A-Za-z]]", "")) * 2 < F.length(value))
+
+            def of(c, i):
+                out = F.when(hexadecimal, pick("0123456789abcdef", i)).when(bare, pick(LOWER + DIGITS, i))
+                for like, letters in SHAPES:
+                    out = out.when(c.rlike(like), pick(letters, i))
+                return out.otherwise(c)
+            return _join(F.transform(_chars(value), of))
+
+        def longer(letters):
+            """What late attempts add."""
+            return F.when(extra > 0, _join(F.transform(F.sequence(F.lit(64), extra + 63), lambda i: pick(letters, i)))).otherwise("")
 
         def syllables(letters, n):
             return _join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(pick(letters[0], i * 2), pick(letters[1], i * 2 + 1))))
@@ -117,36 +134,40 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
                     .when(kind.startswith("male"), F.concat(syllables(letters, more + 2), F.lit(male)))
                     .otherwise(F.concat(syllables(letters, more + 3), F.lit(surname))))
 
+        extra = (attempt - (LONGER - 1)) * 2
         local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
         label = F.translate(F.substring(F.sha2(F.concat(F.lit(f"{key}|domain|"), domain), 256), 1, 10), "0123456789", "ghijklmnop")
         tail = F.when(attempt > 1, F.concat(F.lit("."), F.translate(F.substring(s, 200, 10), "0123456789", "ghijklmnop"))).otherwise("")
-        length = F.length(canon)
+        length = F.length(canon) + F.greatest(extra, F.lit(0))
         digits = _join(F.transform(F.sequence(F.lit(1), length), lambda i: pick("0123456789", i)))
         # The last digit makes the sum of all, every second one doubled from the right, a multiple of ten.
         body = F.concat(F.substring(canon, 1, 1), F.substring(digits, F.lit(2), length - 2))
         doubled = F.aggregate(F.transform(_chars(body), lambda c, i: F.when((length - i) % 2 == 0, let(
             c.cast("int") * 2, lambda d: d - F.when(d > 9, 9).otherwise(0))).otherwise(c.cast("int"))), F.lit(0), lambda a, b: a + b)
-        country = F.greatest(length - 10, F.lit(0))
+        country = F.greatest(F.length(canon) - 10, F.lit(0))
         return (F.when(kind == "email", F.concat(shaped(local), tail, F.lit("@"), label, F.lit(".example.com")))
                 .when(kind == "phone", F.concat(F.substring(canon, F.lit(1), country), pick("23456789", F.lit(0)),
                                                 F.substring(digits, country + 2, length)))
                 .when(kind == "card", F.concat(body, ((10 - doubled % 10) % 10).cast("string")))
                 .when(kind == "social", F.concat(F.lit("9"), F.substring(digits, F.lit(2), length)))  # never issued
                 .when(kind == "address", F.concat_ws(".", *[(240 + byte(F.lit(0)) % 15).cast("string"),  # a reserved block
-                                                            *[byte(F.lit(i)).cast("string") for i in (1, 2, 3)]]))
+                                                            *[byte(F.lit(i)).cast("string") for i in (1, 2, 3)],
+                                                            F.when(extra > 0, longer(LOWER))]))
                 .when(kind == "access_key", F.concat(F.lit("AKIA"), _join(F.transform(
                     F.sequence(F.lit(0), F.lit(15)), lambda i: pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", i)))))
-                .when(kind == "iban", F.concat(F.substring(canon, 1, 2), shaped(F.substring(canon, F.lit(3), length))))
+                .when(kind == "iban", F.concat(F.substring(canon, 1, 2), shaped(F.substring(canon, F.lit(3), length)), longer(DIGITS)))
                 .when(kind.endswith("_cyrillic"), name(CYRILLIC, "на", "н", "р"))
                 .when(kind.rlike("^(female|male|surname)"), name(LATIN, "na", "n", "r"))
-                .otherwise(shaped(canon)))
+                .otherwise(F.concat(shaped(canon), longer(LOWER + DIGITS))))
     return let(stream, with_stream)
 
 
 def _laid_out(mention: Column, canonical: Column) -> Column:
-    """Letters and digits of a surrogate in the places of the mention's own."""
-    return _join(F.transform(_chars(mention), lambda c, i: F.when(c.rlike("[0-9A-Za-z]"), F.substring(
-        canonical, F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), "[^0-9A-Za-z]", "")), F.lit(1))).otherwise(c)))
+    """Letters and digits of a surrogate in the places of the mention's own; what is left over follows them."""
+    own = F.length(F.regexp_replace(mention, "[^0-9A-Za-z]", ""))
+    return F.concat(_join(F.transform(_chars(mention), lambda c, i: F.when(c.rlike("[0-9A-Za-z]"), F.substring(
+        canonical, F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), "[^0-9A-Za-z]", "")), F.lit(1))).otherwise(c))),
+                    F.substring(canonical, own + 1, F.length(canonical)))
 
 
 def _replaced(key: str, mention: Column, attempt) -> Column:
@@ -174,7 +195,7 @@ def attempts(found: DataFrame, key: str) -> DataFrame:
     """
     current = checkpointed(found.select("kind", "canon", F.lit(0).alias("attempt")))
     family = F.when(F.col("kind").rlike("^(female|male|surname)"), F.regexp_replace("kind", "^[a-z]+", "name")).otherwise(F.col("kind"))
-    for _ in range(ROUNDS):
+    while True:
         made = current.select("kind", "canon", "attempt", family.alias("family"),
                               surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt")).alias("made"))
         owners = made.groupBy("family", "made").agg(F.min(F.struct("attempt", "kind", "canon")).alias("owner"))
@@ -185,7 +206,6 @@ def attempts(found: DataFrame, key: str) -> DataFrame:
         if not current.where("again").limit(1).count():
             return current.where("attempt > 0").select("kind", "canon", "attempt")
         current = current.drop("again")
-    raise RuntimeError(f"surrogates still collide after {ROUNDS} rounds")
 
 
 def distinct_entities(docs: DataFrame) -> DataFrame:

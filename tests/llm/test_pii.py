@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quirefold.llm import pii
 
@@ -59,6 +60,34 @@ def test_collisions_are_resolved(spark):
     assert all(x[1] == y[0] for x, y in zip(new, new[1:] + new[:1]))
 
 
+def test_secrets_of_any_characters(spark):
+    """No letter, digit or character beyond ASCII stays, and secrets without any do not stop the job."""
+    secrets = ["********", "......", "######", "тайныйПароль", "密码很长很长很", "ñandú-Größe9", "٣٤٥٦٧٨٩", "🙂🙃🙂🙃🙂🙃", "!$%&/()1"]
+    new = [t.removeprefix("password: ") for t in replaced(spark, [f"password: {x}" for x in secrets])]
+    for old, made in zip(secrets, new):
+        same = sum(a == b for a, b in zip(old, made) if ord(a) > 127 or a.isalnum())
+        assert len(made) == len(old) and same <= 2 and made != old, (old, made)  # a few by chance
+    assert all(re.fullmatch("[a-z0-9]+", x) for x in new[:3] + new[-1:]) and len(set(new)) == len(new)
+    assert re.fullmatch("[а-я]{7}[А-Я][а-я]{5}|[а-яА-Я]{12}", new[3]) and re.fullmatch("[\u4e00-\u9fff]+", new[4]) and new[5][5] == "-"
+
+
+def test_formats_without_a_free_value_get_longer(spark):
+    """Every surrogate of the entity's own length is an entity itself."""
+    rows = [("secret", f"{i:03}---") for i in range(1000)] + [("phone", str(i)) for i in range(200, 1000)]
+    found = spark.createDataFrame(rows, "kind string, canon string")
+    tried = pii.attempts(found, "k")
+    assert tried.count() == len(rows)
+    made = {(r.kind, r.canon): r.made for r in tried.select(
+        "kind", "canon", pii.surrogate("k", F.col("kind"), F.col("canon"), F.col("attempt")).alias("made")).collect()}
+    assert len({(k, m) for (k, _), m in made.items()}) == len(rows) and not {(k, m) for (k, _), m in made.items()} & set(rows)
+    late = lambda kind, canon: F.lit(5)
+    mentions = [("+1 23 45", r"\+\d \d\d \d{6}"), ("123-45-6789", r"9\d\d-\d\d-\d{8}"), ("4785 3805 9239 1139", r"4\d{3}( \d{4}){2} \d{8}"),
+                ("token=123456", r"token=\d{6}[a-z0-9]{4}"), ("1.2.3.4", r"2[45]\d(\.\d{1,3}){3}\.[a-z]{4}"),
+                ("DE89 3704 0044 0532 0130 00", r"DE\d\d( \d{4}){4} \d{6}")]
+    new = spark.createDataFrame(mentions, "m string, shape string").select("shape", pii._replaced("k", F.col("m"), late).alias("n")).collect()
+    assert all(re.fullmatch(r.shape, r.n) for r in new), new
+
+
 def test_clean_texts_stay(spark, edge, nothing):
     clean = ["", None, "on 2024-01-02 at 12.5, v3.4.5", "mr smith", "a@b", "1.2.3.4.5", "12345678901234567890123", "key: value",
              "x" * 100_000, "@" * 2_000 + "a" * 50_000 + "1 " * 3_000, "Été 1, 2, 3"]
