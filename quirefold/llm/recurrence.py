@@ -41,7 +41,7 @@ def parcels(unit: int, distinct: np.ndarray, flags: np.ndarray | None, n_buckets
             kept: bytes | None = None) -> pa.Table:
     """The rows a unit sends: its distinct hashes of so many bits, ascending, cut into buckets of equal ranges.
 
-    ``flags`` goes with them: 8-bit flags of each hash, or a 32-bit second hash where the first ones may repeat.
+    ``flags`` goes with them: 8-bit flags of each hash, or a 64-bit second hash where the first ones may repeat.
     """
     edges = _edges(distinct, n_buckets, bits)
     rows = []
@@ -56,7 +56,7 @@ def parcels(unit: int, distinct: np.ndarray, flags: np.ndarray | None, n_buckets
 
 
 def packed_flags(flags: np.ndarray) -> bytes:
-    if flags.dtype == np.uint32:
+    if flags.dtype == np.uint64:
         return flags.tobytes()
     return np.packbits(np.stack([flags & REPEATED > 0, flags & INDEXED > 0])).tobytes()
 
@@ -144,7 +144,7 @@ def earlier(sent: DataFrame) -> DataFrame:
 
 def earlier_or_mixed(sent: DataFrame) -> DataFrame:
     """Two bits per pair of hashes: a unit of a smaller number sent it too; its first hash came with several seconds."""
-    read = lambda data, n: np.frombuffer(data, dtype=np.uint32)
+    read = lambda data, n: np.frombuffer(data, dtype=np.uint64)
     return sent.groupBy("bucket").applyInArrow(_reply(_earlier_or_mixed, read), REPLY)
 
 

@@ -101,7 +101,6 @@ class _Runs:
         self.rank = unit.rank[self.start]
         anchor = unit.anchors[self.start] >> np.uint64(64 - bits)
         content = joined(joined(unit.windows[self.start], unit.windows[self.start + self.size - 1]), self.size.astype(np.uint64))
-        content = (content >> np.uint64(32)).astype(np.uint32)
         order = np.lexsort((content, anchor))
         anchor, content = anchor[order], content[order]
         first = np.ones(len(order), dtype=bool)

@@ -112,6 +112,15 @@ def test_texts_are_shuffled_once(spark, sf):
         assert plan.count("ReusedExchange") >= 2, plan
 
 
+@pytest.mark.parametrize("unit_bytes", [60, 1 << 20])
+def test_contents_that_agree_in_32_bits(spark, unit_bytes):
+    """Two continuations of one passage, found by search, whose runs under its last anchor agree in half their hash."""
+    passage = "the passage that a great many documents have in common, word for word, ends here: "
+    rows = [(1, passage + "luczusruzvzkhizlrpuuuhmp"), (2, passage + "eeeiqcmxfdsempfwwlbmqbxj")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(suffix_dedup.report(docs, unit_bytes=unit_bytes)) == brute_bytes(rows)
+
+
 def test_length_is_checked(spark):
     with pytest.raises(ValueError, match="at least 32"):
         suffix_dedup.report(spark.createDataFrame([(1, "x")], "doc_id long, text string"), length=20)
