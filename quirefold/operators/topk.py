@@ -41,6 +41,31 @@ def rank(df: DataFrame, keys, by=()) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(window.orderBy(*by_similarity(keys))))
 
 
+def ranked_top_k(scored: DataFrame, k: int, keys) -> DataFrame:
+    """The k best rows of a table with ``similarity``, with their 1-based ``rank``, for any k.
+
+    Rows are sorted in ranges and written down; a range's ranks begin behind the rows of all ranges before it, so
+    neither the driver nor a task holds more than one range.
+    """
+    order = by_similarity(keys)
+    n = scored.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    # Not coalesced, as the number of ranges is given: the place within a range is the low part of Spark's row number.
+    placed = scored.repartitionByRange(int(n), *order).sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("__range"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__place"))
+    path = shared_path(scored.sparkSession, "ranked")
+    placed.write.parquet(path)
+    placed = scored.sparkSession.read.parquet(path)
+    before, begins = 0, []
+    for number, size in sorted((r[0], r[1]) for r in placed.groupBy("__range").count().collect()):  # one row per range
+        begins.append((number, before))
+        before += size
+    offsets = scored.sparkSession.createDataFrame(begins, "__range int, __before long")
+    return (placed.join(F.broadcast(offsets), "__range")
+            .withColumn("rank", F.col("__before") + F.col("__place") + 1).where(F.col("rank") <= k)
+            .drop("__range", "__place", "__before"))
+
+
 _NO_SCORE = -2.0  # below every cosine
 
 

@@ -8,7 +8,7 @@ from quirefold import schemas
 from quirefold.functions.text import is_truncated, preview, short_title
 from quirefold.operators.embedding import embed_query
 from quirefold.operators.select import by_id, of_types
-from quirefold.operators.topk import batch_top_k, by_similarity, rank, score, top_k
+from quirefold.operators.topk import batch_top_k, by_similarity, rank, ranked_top_k, score
 from quirefold.sources.store import DocumentStore
 
 
@@ -80,6 +80,8 @@ def delete_preview(documents: DataFrame, chunks: DataFrame, document_id: int) ->
             .join(counted, "document_id", "left").withColumn("chunks", F.coalesce("chunks", F.lit(0).cast("bigint"))))
 
 
+#: Largest k whose winners pass through the driver and are numbered in one task.
+SMALL_K = 1_000
 _RESULT = ("document_id", "title", "doc_type", "meeting_date", "url", "chunk_index", "chunk_text", "similarity")
 
 
@@ -90,26 +92,33 @@ def search(documents: DataFrame, chunks: DataFrame, query, k: int = fv.TOP_K, do
     Scoring reads keys and vectors only. ``complete`` says that every chunk has its document and
     carries its kind, as the visible rows of a store do: then the facet prunes partitions, and the
     texts of the k winners are read by their ids, which files are sorted by. Otherwise chunks meet
-    their documents first, as keys and scores, and orphans drop out before the limit.
+    their documents first, as keys and scores, and orphans drop out before the limit. Beyond ``SMALL_K``
+    winners stay a table that is joined by key.
     """
     keys = [c for c in schemas.CHUNK_KEY if c in chunks.columns]
     meta = documents.select("document_id", "title", "doc_type", "meeting_date", "url")
-    if complete:
-        wanted = chunks if doc_type is None else of_types(chunks, [doc_type])
-        winners = top_k(wanted.select(*keys, "embedding"), query, k, keys).select(*keys, "similarity")
+    owners = meta if doc_type is None else of_types(meta, [doc_type])
+    wanted = of_types(chunks, [doc_type]) if complete and doc_type is not None else chunks
+    scored = score(wanted.select(*keys, "embedding"), query)
+    if not complete:
+        scored = scored.join(owners.select("document_id"), "document_id", "left_semi")
+    if k > SMALL_K:
+        winners = ranked_top_k(scored, k, keys).select(*keys, "similarity", "rank")
+        ranked = wanted.select(*keys, "chunk_text").join(winners, keys).join(meta, "document_id")
+    elif complete:
+        winners = scored.orderBy(*by_similarity(keys)).limit(k).select(*keys, "similarity")
         found = winners.collect()  # k rows
         ids = sorted({r["document_id"] for r in found})
         texts = wanted.where(F.col("document_id").isin(ids)).select(*keys, "chunk_text")
         best = (texts.join(F.broadcast(chunks.sparkSession.createDataFrame(found, winners.schema)), keys)
                 .join(meta.where(F.col("document_id").isin(ids)), "document_id"))
+        ranked = rank(best, keys)
     else:
-        owners = meta if doc_type is None else of_types(meta, [doc_type])
-        owned = score(chunks.select(*keys, "embedding"), query).join(
-            owners.select("document_id"), "document_id", "left_semi")
-        winners = owned.orderBy(*by_similarity(keys)).limit(k)
+        winners = scored.orderBy(*by_similarity(keys)).limit(k)
         best = chunks.select(*keys, "chunk_text").join(winners, keys).join(owners, "document_id")
-    return rank(best, keys).select("rank", F.col("document_id").alias("doc_id"), *_RESULT[1:],
-                                   preview(F.col("chunk_text"), fv.SEARCH_PREVIEW_CHARS).alias("preview"))
+        ranked = rank(best, keys)
+    return ranked.select("rank", F.col("document_id").alias("doc_id"), *_RESULT[1:],
+                         preview(F.col("chunk_text"), fv.SEARCH_PREVIEW_CHARS).alias("preview"))
 
 
 def search_text(store: DocumentStore, text: str, k: int = fv.TOP_K, doc_type: str | None = None,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quirefold import fixed_values as fv
 from quirefold.operators.embedding import HashingProvider, embed_query, register_provider
+from quirefold.operators.topk import ranked_top_k
 from quirefold.plans import reports
 from quirefold.plans.ingest import IngestOptions, ingest, ingest_batch
 from quirefold.plans.resolve import NO_BODY, from_texts, plan_ingest, resolve
@@ -385,6 +386,22 @@ def test_search_is_the_same_with_and_without_the_join_first(spark, filled):
     assert best["chunk_text"] == "late text" and round(best["similarity"], 6) == 1 and best["rank"] == 1
 
 
+def test_search_for_more_chunks_than_the_driver_takes(spark, filled):
+    documents, chunks = filled.documents(), filled.chunks()
+    query = embed_query(spark, "late text", dims=16)
+    for doc_type in (None, FIRST):
+        small = [tuple(r) for r in reports.search(documents, chunks, query, 100, doc_type).orderBy("rank").collect()]
+        for complete in (False, True):
+            frame = reports.search(documents, chunks, query, 10**6, doc_type, complete=complete)
+            assert [tuple(r) for r in frame.orderBy("rank").collect()] == small
+            assert not {"Window", "LocalLimit", "TakeOrderedAndProject"} & set(frame._jdf.queryExecution().optimizedPlan().toString().split())
+    scored = spark.range(1000).selectExpr("id AS document_id", "0 AS chunk_index", "cast(id % 7 AS double) AS similarity")
+    ranks = ranked_top_k(scored, 500, ["document_id", "chunk_index"]).orderBy("rank").collect()
+    expected = sorted(range(1000), key=lambda i: (-(i % 7), i))[:500]
+    assert [r["document_id"] for r in ranks] == expected and [r["rank"] for r in ranks] == list(range(1, 501))
+    assert reports.search(documents, chunks.limit(0), query, 10**6).count() == 0
+
+
 def test_empty_tables(spark, tmp_path):
     store = DocumentStore(spark, str(tmp_path / "e")).create().create()
     stats = {(r["metric"], r["key"]): r["value"] for r in reports.stats(store.documents(), store.chunks()).collect()}
