@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quirefold.llm import block_dedup, decontaminate, fingerprints, orc_tokens, packing, pii, quality, sharding, simhash, suffix_dedup
+from quirefold.llm import (block_dedup, decontaminate, exact_dedup, fingerprints, merkle, orc_tokens, packing, pii, quality, sharding,
+                           simhash, suffix_dedup)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +70,19 @@ def op9_orc_tokens(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.report(_table(spark, sf, "documents"), "documents")
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.report(_table(spark, sf, "documents"))
+
+
+ORACLES["op12_merkle_manifest"] = merkle.SQL
+
+
+@_query
+def op13_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_dedup.report(_table(spark, sf, "documents"))
+
+
+ORACLES["op13_exact_dedup"] = exact_dedup.SQL
