@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quirefold.llm import (block_dedup, decontaminate, exact_dedup, fingerprints, merkle, orc_tokens, packing, pii, quality, sharding,
+from quirefold.llm import (alignment, block_dedup, decontaminate, exact_dedup, fingerprints, merkle, orc_tokens, packing, pii, quality, sharding,
                            simhash, suffix_dedup)
 
 QUERIES: dict = {}
@@ -86,3 +86,9 @@ def op13_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLES["op13_exact_dedup"] = exact_dedup.SQL
+
+
+@_query
+def op11_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.report(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
