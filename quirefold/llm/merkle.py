@@ -18,8 +18,8 @@ ARITY = 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Rows of one range when leaves are ordered.
 RANGE_ROWS = 1_000_000
-#: Runs near the root, of some 130 bytes, that every task may hold; those below are met by shuffling.
-HELD_RUNS = 50_000
+#: Runs near the root, of some 130 bytes, that every task may hold (32 MB); those below are met by shuffling.
+HELD_RUNS = 250_000
 #: Levels of the tree over sources are stored from this one on; a source's own tree has fewer.
 TOP = 40
 _PLACE = (1 << 33) - 1
