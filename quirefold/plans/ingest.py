@@ -7,6 +7,7 @@ narrow pass.
 """
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,7 +21,8 @@ from quirefold.operators.chunking import check_strategy, chunk_documents, chunk_
 from quirefold.operators.dedup import first_wins, skip_known
 from quirefold.operators.embedding import embed, provider_factory
 from quirefold.operators.select import within_bytes
-from quirefold.plans.resolve import Incoming
+from quirefold.plans.resolve import Incoming, as_listing
+from quirefold.sources.landing import UNREADABLE
 from quirefold.sources.store import COUNTS, DocumentStore
 
 
@@ -69,22 +71,45 @@ def build_chunks(documents: DataFrame, options: IngestOptions, oversize: Observa
     return chunk_rows(chunks, options.strategy, options.size, options.overlap)
 
 
+@dataclass
+class PreparedBatch:
+    """A batch that has been written and waits for its commit."""
+
+    store: DocumentStore
+    name: str
+    since: int
+    values: dict
+
+    def commit(self) -> dict:
+        """Make it visible and return its counts (COUNTS) and ``ingest_batch``; see DocumentStore.commit."""
+        return self.store.commit(self.name, self.since, **self.values)
+
+
 def ingest_batch(store: DocumentStore, incoming: Incoming, options: IngestOptions, run_name: str,
-                 source_batch: str | None = None) -> dict:
+                 source_batch: str | None = None, settles: list[str] | None = None) -> dict:
     """Process one batch and return its counts (COUNTS) and ``ingest_batch``, the name it is stored under.
 
     The attempt writes under a name of its own and becomes visible by its commit, so one that breaks off leaves nothing
-    and may be repeated. A ``source_batch`` that the run has committed already is not taken again.
+    and may be repeated. A ``source_batch`` that the run has committed already is not taken again. ``settles`` names
+    batches whose quarantined documents are among the incoming ones.
     """
-    options.check()
     if source_batch is not None and (done := store.committed(run_name, source_batch)) is not None:
         return done
-    spark, batch = store.spark, uuid.uuid4().hex
+    return prepare_batch(store, incoming, options, run_name, source_batch, settles).commit()
+
+
+def prepare_batch(store: DocumentStore, incoming: Incoming, options: IngestOptions, run_name: str,
+                  source_batch: str | None = None, settles: list[str] | None = None) -> PreparedBatch:
+    """Do all the work of a batch but its commit."""
+    options.check()
+    spark, batch, since = store.spark, uuid.uuid4().hex, store.version()
     tag = F.lit(batch).alias("ingest_batch")
     parameters = options.provider_parameters()
     store.check_dimensions(parameters["embedding_dimensions"])
 
-    bad = incoming.narrow.where("error is not null").select(*schemas.ORDER_KEY, "url", "title", "doc_type", "error", tag)
+    rejected = (*schemas.ORDER_KEY, "url", "title", "doc_type", "meeting_number", "meeting_date", "error",
+                F.lit(run_name).alias("run_name"), tag)
+    bad = incoming.narrow.where("error is not null").select(*rejected)
     if not options.skip_errors:
         first_bad = bad.first()
         if first_bad is not None:
@@ -95,37 +120,47 @@ def ingest_batch(store: DocumentStore, incoming: Incoming, options: IngestOption
     pending = spark.read.parquet(pending_path)
     with_text = pending.where("has_text")
 
-    oversize, truncated = Observation(), Observation()
+    oversize, truncated, written = Observation(), Observation(), Observation()
     texts = incoming.texts(with_text.where("not oversize")).select("document_id", "doc_type", "text")
     chunks = build_chunks(texts, options, oversize, truncated)
     embedded = embed(chunks, "cleaned_text", options.provider, options.batch_size,
                      not options.skip_errors, **options.provider_options)
-    store.write_batch("chunks", embedded.withColumn("created_at", F.current_timestamp())
-                      .withColumn("ingest_batch", tag))
-
-    failed_path = f"{store.path('failed')}/{batch}"
-    store.embed_failures(batch).write.parquet(failed_path)
-    failed = spark.read.parquet(failed_path)
-    if failed.first() is not None:
-        bad = bad.unionByName(with_text.drop("error").join(failed, "document_id").select(
-            *schemas.ORDER_KEY, "url", "title", "doc_type", "error", tag))
-        failed.select("document_id", tag).write.mode("append").parquet(store.path("deletes"))
+    # Counted where they are written, by the tasks that write them.
+    store.write_batch("chunks", embedded.withColumn("created_at", F.current_timestamp()).withColumn("ingest_batch", tag)
+                      .observe(written, F.count(F.lit(1)).alias("n"), F.count("embed_error").alias("failed")))
+
+    chunks_inserted = written.get.get("n", 0)
+    if written.get.get("failed", 0):
+        failed_path = f"{store.path('failed')}/{batch}"
+        store.embed_failures(batch).write.parquet(failed_path)
+        failed = spark.read.parquet(failed_path)
+        bad = bad.unionByName(with_text.drop("error").join(failed, "document_id").select(*rejected))
+        store.mark_deleted(failed.select("document_id", tag, F.lit(0).alias("documents"), "chunks"), batch)
         with_text = with_text.join(failed, "document_id", "left_anti")
         pending = pending.join(failed, "document_id", "left_anti")
-    store.write_batch("quarantine", bad)
-    store.write_batch("documents", with_text.withColumn("ingested_at", F.current_timestamp())
-                      .withColumn("ingest_batch", tag))
-    written = store.rows("chunks").where(F.col("ingest_batch") == batch)
-    counts = {
-        "documents_processed": pending.count(),
-        "chunks_inserted": written.join(failed, "document_id", "left_anti").count(),
-        "quarantined": store.rows("quarantine").where(F.col("ingest_batch") == batch).count(),
-        "oversize": with_text.where("oversize").count() + oversize.get.get("n", 0),
-        "truncated": truncated.get.get("n", 0),
-    }
-    store.commit(batch, run_name=run_name, source_batch=source_batch,
-                 embedding_dimensions=parameters["embedding_dimensions"], **counts)
-    return {"ingest_batch": batch, **counts}
+        chunks_inserted -= failed.agg(F.sum("chunks")).first()[0]
+    rejections, processed = Observation(), Observation()
+    store.write_batch("quarantine", bad.observe(rejections, F.count(F.lit(1)).alias("n")))
+    store.write_batch("documents", with_text.withColumn("ingested_at", F.current_timestamp()).withColumn("ingest_batch", tag)
+                      .observe(processed, F.count_if("oversize").alias("oversize")))
+    return PreparedBatch(store, batch, since, {
+        "run_name": run_name, "source_batch": source_batch, "settles": settles,
+        "embedding_dimensions": parameters["embedding_dimensions"],
+        "documents_processed": pending.count(), "chunks_inserted": chunks_inserted,
+        "quarantined": rejections.get.get("n", 0),
+        "oversize": processed.get.get("oversize", 0) + oversize.get.get("n", 0), "truncated": truncated.get.get("n", 0)})
+
+
+def retry_waiting(store: DocumentStore, prepare: Callable[[DataFrame], Incoming], options: IngestOptions,
+                  run_name: str) -> dict | None:
+    """Try the quarantined documents of a run once more; the counts of that batch, or None if nothing waits.
+
+    ``prepare`` looks listed documents up among what has landed by now. Those that still fail are quarantined anew.
+    """
+    batches, waiting = store.quarantined_batches(run_name), store.waiting(run_name)
+    if not batches or waiting.where(F.col("error") != UNREADABLE).first() is None:
+        return None
+    return ingest_batch(store, prepare(as_listing(waiting)), options, run_name, settles=batches)
 
 
 def ingest(spark: SparkSession, root: str, incoming: Incoming, run_name: str,

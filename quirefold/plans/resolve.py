@@ -13,7 +13,7 @@ from quirefold.functions.hashing import source_hash
 from quirefold.functions.text import has_text, html_to_text
 from quirefold.operators.pages import MAX_VALUE_BYTES, page_stats, page_texts
 from quirefold.operators.select import dated_within, of_types
-from quirefold.sources.landing import body_key
+from quirefold.sources.landing import UNREADABLE, body_key
 
 NO_BODY = "no body"
 
@@ -68,6 +68,25 @@ def _or_own_key(condition, key):
     return F.when(condition, key).otherwise(own)
 
 
+def as_listing(quarantined: DataFrame) -> DataFrame:
+    """Quarantined documents as listed ones, to be looked up again; their payloads are not read."""
+    return quarantined.select("source_ord", "list_file", "list_pos", "doc_type", "meeting_number", "title", "meeting_date",
+                              F.when(F.col("error") == UNREADABLE, F.col("error")).alias("list_error"))
+
+
+def beside(listing: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """A listing and the quarantined documents that it does not hold; of an unreadable payload, if it is still not listed."""
+    broken = F.col("error") == UNREADABLE
+    lost = quarantined.where(broken).join(listing.where("list_error is null").select("source_ord", "list_file").distinct(),
+                                          ["source_ord", "list_file"], "left_anti")
+    rest = as_listing(quarantined.where(~broken).unionByName(lost)).join(listing, list(schemas.ORDER_KEY), "left_anti")
+    return listing.unionByName(rest)
+
+
+def _detail_key():
+    return F.concat_ws("/", "doc_type", F.col("meeting_number").cast("string"))
+
+
 def resolve(listing: DataFrame, detail: DataFrame, bodies: DataFrame, pages: DataFrame,
             max_bytes: int = MAX_VALUE_BYTES) -> Incoming:
     """Find the body of every listed document.
@@ -79,10 +98,11 @@ def resolve(listing: DataFrame, detail: DataFrame, bodies: DataFrame, pages: Dat
     """
     html_text = F.when(F.col("html") != "", html_to_text(F.col("html")))
     details = (detail.withColumn("html_text", html_text).select(
-        "doc_type", "meeting_number", "pdf_url", (F.col("html") != "").alias("has_html"),
+        _detail_key().alias("detail_key"), "pdf_url", (F.col("html") != "").alias("has_html"),
         source_hash(None, F.col("html_text")).alias("html_hash"), has_text(F.col("html_text")).alias("html_has_text")))
     stats = page_stats(pages).withColumnRenamed("has_text", "pages_have_text")
-    found = (_with_errors(listing).join(details, ["doc_type", "meeting_number"], "left")
+    found = (_with_errors(listing).withColumn("detail_key", _or_own_key(F.col("list_error").isNull(), _detail_key()))
+             .join(details, "detail_key", "left")
              .withColumn("doc_key", _or_own_key(F.col("pdf_url") != "", body_key(F.col("pdf_url"))))
              .join(bodies, "doc_key", "left").join(stats, "doc_key", "left"))
     is_pdf = F.col("body_hash").isNotNull()

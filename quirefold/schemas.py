@@ -80,7 +80,10 @@ QUARANTINE = T.StructType([
     T.StructField("url", T.StringType()),
     T.StructField("title", T.StringType()),
     T.StructField("doc_type", T.StringType()),
+    T.StructField("meeting_number", T.IntegerType()),
+    T.StructField("meeting_date", T.DateType()),
     T.StructField("error", T.StringType()),
+    T.StructField("run_name", T.StringType()),
     T.StructField("ingest_batch", T.StringType()),
 ])
 
@@ -97,6 +100,7 @@ MANIFEST = T.StructType([
     T.StructField("chunk_size", T.IntegerType()),
     T.StructField("chunk_overlap", T.IntegerType()),
     T.StructField("chunk_strategy", T.StringType()),
+    T.StructField("discarded", T.BooleanType()),
 ])
 
 REQUIRED = {
@@ -107,12 +111,15 @@ REQUIRED = {
 CHUNK_KEY = ("document_id", "chunk_index", "content_hash")
 PARTITIONS = ("doc_type", "ingest_batch")
 
-# One row per stored batch; a batch is seen by readers once its row is there, and until another row replaces it.
+# One numbered row per commit. A batch is seen by readers once its row is there, and until another row replaces it.
 COMMITS = T.StructType([
+    T.StructField("version", T.LongType()),
     T.StructField("ingest_batch", T.StringType()),
     T.StructField("run_name", T.StringType()),
     T.StructField("source_batch", T.StringType()),
     T.StructField("replaces", T.ArrayType(T.StringType())),
+    # Batches whose quarantine has been tried again.
+    T.StructField("settles", T.ArrayType(T.StringType())),
     T.StructField("embedding_dimensions", T.IntegerType()),
     T.StructField("documents_processed", T.LongType()),
     T.StructField("chunks_inserted", T.LongType()),
@@ -122,8 +129,18 @@ COMMITS = T.StructType([
     T.StructField("committed_at", T.TimestampType()),
 ])
 
-# Documents taken out of a batch, together with their chunks.
+# Documents taken out of a batch, together with their chunks, by the commit of that name; how many rows went.
 DELETES = T.StructType([
     T.StructField("document_id", T.LongType()),
     T.StructField("ingest_batch", T.StringType()),
+    T.StructField("commit_name", T.StringType()),
+    T.StructField("documents", T.LongType()),
+    T.StructField("chunks", T.LongType()),
+])
+
+# Digests of landed bodies, each file read once.
+BODIES = T.StructType([
+    T.StructField("doc_key", T.StringType()),
+    T.StructField("body_hash", T.StringType()),
+    T.StructField("modified", T.TimestampType()),
 ])

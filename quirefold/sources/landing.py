@@ -8,6 +8,8 @@ A fetcher outside Spark lands the publisher's answers as files:
     pages/*.parquet                          (doc_key = sha-256 of the url, page_no, text)
 """
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,3 +100,27 @@ def read_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PAGES).parquet(path)
+
+
+class BodyIndex:
+    """Digests of the bodies in a landing folder, kept under a store's root: every run reads only files that came since."""
+
+    def __init__(self, spark: SparkSession, root: str, landed: str):
+        self.spark, self.landed = spark, landed
+        self.path = f"{root.rstrip('/')}/bodies/{hashlib.sha256(landed.encode()).hexdigest()[:32]}"
+
+    def refresh(self) -> DataFrame:
+        """Take new files in and give (doc_key, body_hash) of all; the newest file of a name counts.
+
+        Files of the newest two seconds are read again, as others may have landed in the same moment.
+        """
+        self.spark.createDataFrame([], schemas.BODIES).write.mode("ignore").parquet(self.path)
+        index = self.spark.read.schema(schemas.BODIES).parquet(self.path)
+        newest = index.agg(F.date_format(F.max("modified") - F.expr("interval 2 seconds"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+        reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf")
+        files = (reader.option("modifiedAfter", newest) if newest else reader).load(self.landed)
+        (files.where("length > 0").select(F.regexp_extract("path", r"([0-9a-f]{64})\.pdf$", 1).alias("doc_key"),
+                                          F.sha2("content", 256).alias("body_hash"), F.col("modificationTime").alias("modified"))
+         .write.mode("append").parquet(self.path))
+        index = self.spark.read.schema(schemas.BODIES).parquet(self.path)
+        return index.groupBy("doc_key").agg(F.max_by("body_hash", "modified").alias("body_hash"))

@@ -1,35 +1,44 @@
-"""The stored tables: batches that become visible whole, by their commit.
+"""The stored tables: batches that become visible whole, by numbered commits.
 
-Every attempt at a batch writes partitions of its own and then one commit row; readers see committed batches only. So
-stored rows are never overwritten, a batch that broke off leaves nothing to be seen, and runs add up whatever their
-names. Deletes are rows too, and take a document and its chunks out of a batch at one time. ``compact`` writes what is
-visible anew, as one batch.
+Every attempt at a batch writes partitions of its own, and one commit makes it visible; readers see committed batches
+only. So stored rows are never overwritten, a batch that broke off leaves nothing to be seen, and runs add up whatever
+their names. Deletes are rows too, and take a document and its chunks out of a batch when their commit is there.
+``compact`` writes what is visible anew, as one batch.
+
+Writers don't wait for each other. Each remembers the version it has read and creates the next commit only if nobody
+else has; otherwise it looks at what the later commits hold, gives way where they have the same documents, and tries again.
 """
 
 import json
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quirefold import schemas
+from quirefold.sources.commit_log import CommitLog
 
 _TABLES = {"documents": schemas.DOCUMENTS, "chunks": schemas.CHUNKS, "quarantine": schemas.QUARANTINE}
 _ORDER = {"documents": ("meeting_date", "document_id"), "chunks": ("document_id", "chunk_index"),
           "quarantine": schemas.ORDER_KEY}
-_MARKS = {"commits": schemas.COMMITS, "deletes": schemas.DELETES}
 # Kept in the chunk files of a batch for its own bookkeeping; not a column of the table.
 EMBED_ERROR = T.StructField("embed_error", T.StringType())
 COUNTS = ("documents_processed", "chunks_inserted", "quarantined", "oversize", "truncated")
 
 
+class ConflictError(RuntimeError):
+    """Another writer has changed what this one was about to replace."""
+
+
 class DocumentStore:
     """Reads and writes of the tables under one root folder."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = CommitLog(spark, self.path("log"), schemas.COMMITS)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -39,42 +48,63 @@ class DocumentStore:
         for table, schema in _TABLES.items():
             (self.spark.createDataFrame([], schema).write.mode("ignore")
              .partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
-        for table, schema in _MARKS.items():
-            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(table))
+        self.spark.createDataFrame([], schemas.DELETES).write.mode("ignore").parquet(self.path("deletes"))
+        self.log.bootstrap()
         return self
 
     def register(self, database: str = "default") -> None:
         """Make the tables known to the catalog, for SQL, as views of what is visible."""
-        for table, schema in {**_TABLES, **_MARKS}.items():
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        def columns(schema):
+            return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        for table, schema in {**_TABLES, "deletes": schemas.DELETES}.items():
             parts = f"PARTITIONED BY ({', '.join(schemas.PARTITIONS)})" if table in _TABLES else ""
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.stored_{table} ({columns}) USING parquet "
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.stored_{table} ({columns(schema)}) USING parquet "
                            f"{parts} LOCATION '{self.path(table)}'")
             if parts:
                 self.spark.sql(f"MSCK REPAIR TABLE {database}.stored_{table}")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.stored_commits ({columns(schemas.COMMITS)}) USING json LOCATION '{self.log.path}'")
+        for table in (*_TABLES, "deletes", "commits"):
             self.spark.sql(f"REFRESH TABLE {database}.stored_{table}")
-        live = (f"SELECT ingest_batch FROM {database}.stored_commits WHERE ingest_batch NOT IN "
-                f"(SELECT explode(replaces) FROM {database}.stored_commits)")
+        commits = f"{database}.stored_commits"
+        live = f"SELECT ingest_batch FROM {commits} WHERE ingest_batch NOT IN (SELECT explode(replaces) FROM {commits})"
+        deletes = (f"SELECT document_id, ingest_batch FROM {database}.stored_deletes "
+                   f"WHERE commit_name IN (SELECT ingest_batch FROM {commits})")
         for table in _TABLES:
-            gone = "" if table == "quarantine" else (
-                f" LEFT ANTI JOIN {database}.stored_deletes x USING (document_id, ingest_batch)")
+            gone = (f" LEFT ANTI JOIN (SELECT explode(settles) AS ingest_batch FROM {commits}) x USING (ingest_batch)"
+                    if table == "quarantine" else f" LEFT ANTI JOIN ({deletes}) x USING (document_id, ingest_batch)")
             self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT t.* FROM {database}.stored_{table} t "
                            f"LEFT SEMI JOIN ({live}) c USING (ingest_batch){gone}")
 
+    # --- what is visible
+
+    def version(self) -> int:
+        return self.log.version()
+
     def rows(self, table: str) -> DataFrame:
         """All rows of a table's files, visible or not."""
-        return self.spark.read.schema({**_TABLES, **_MARKS}[table]).parquet(self.path(table))
+        if table == "commits":
+            return self.log.rows()
+        schema = schemas.DELETES if table == "deletes" else _TABLES[table]
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def commits(self) -> DataFrame:
         """Commits that no later one replaces."""
         every = self.rows("commits")
         return every.join(every.select(F.explode("replaces").alias("ingest_batch")), "ingest_batch", "left_anti")
 
+    def deletes(self) -> DataFrame:
+        """(document_id, ingest_batch) of committed deletes."""
+        done = self.rows("commits").select(F.col("ingest_batch").alias("commit_name"))
+        return self.rows("deletes").join(done, "commit_name", "left_semi").select("document_id", "ingest_batch")
+
     def read(self, table: str) -> DataFrame:
-        """The visible rows of a table."""
+        """The visible rows of a table; of the quarantine those that have not been tried again."""
         seen = self.rows(table).join(self.commits().select("ingest_batch"), "ingest_batch", "left_semi")
-        if table != "quarantine":
-            seen = seen.join(self.rows("deletes"), ["document_id", "ingest_batch"], "left_anti")
+        if table == "quarantine":
+            settled = self.rows("commits").select(F.explode("settles").alias("ingest_batch"))
+            seen = seen.join(settled, "ingest_batch", "left_anti")
+        else:
+            seen = seen.join(self.deletes(), ["document_id", "ingest_batch"], "left_anti")
         return seen.select(*_TABLES[table].names)
 
     def documents(self) -> DataFrame:
@@ -87,12 +117,20 @@ class DocumentStore:
         """Hashes of the stored documents."""
         return self.documents().select("source_hash")
 
+    def waiting(self, run_name: str) -> DataFrame:
+        """Quarantined documents of a run that have not been tried again."""
+        return self.read("quarantine").where(F.col("run_name") == run_name)
+
+    def quarantined_batches(self, run_name: str) -> list[str]:
+        """Batches that hold quarantined rows of a run; a retry leaves one of them at most."""
+        rows = self.read("quarantine").where(F.col("run_name") == run_name).select("ingest_batch").distinct()
+        return [r[0] for r in rows.collect()]  # at most one per commit since the last retry
+
     def embed_failures(self, batch: str) -> DataFrame:
-        """(document_id, error) of the batch's documents with a chunk that could not be embedded."""
+        """(document_id, error, chunks) of the batch's documents with a chunk that could not be embedded."""
         schema = T.StructType([*schemas.CHUNKS, EMBED_ERROR])
-        return (self.spark.read.schema(schema).parquet(self.path("chunks"))
-                .where((F.col("ingest_batch") == batch) & F.col("embed_error").isNotNull())
-                .groupBy("document_id").agg(F.min("embed_error").alias("error")))
+        return (self.spark.read.schema(schema).parquet(self.path("chunks")).where(F.col("ingest_batch") == batch)
+                .groupBy("document_id").agg(F.min("embed_error").alias("error"), F.count("*").alias("chunks")).where("error is not null"))
 
     def last_url(self, batch: str) -> str | None:
         """Address of the batch's last document."""
@@ -100,59 +138,127 @@ class DocumentStore:
                .agg(F.max_by("url", F.struct("ingested_at", "document_id")).alias("url")).first())
         return row["url"]
 
-    def write_batch(self, table: str, df: DataFrame) -> None:
-        """Add the rows of an attempt, sorted so that row groups can be skipped; they are not visible yet."""
-        fields = [*_TABLES[table], *([EMBED_ERROR] if EMBED_ERROR.name in df.columns else [])]
-        (df.select(*[F.col(f.name).cast(f.dataType) for f in fields])
-         .sortWithinPartitions(*schemas.PARTITIONS, *_ORDER[table])
-         .write.mode("append").partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
-
     def committed(self, run_name: str, source_batch: str) -> dict | None:
         """Batch and counts of a run's batch that is stored already."""
         row = self.rows("commits").where((F.col("run_name") == run_name) & (F.col("source_batch") == source_batch)).first()
         return None if row is None else {k: row[k] for k in ("ingest_batch", *COUNTS)}
 
-    def commit(self, batch: str, **values) -> None:
-        """Make a batch visible: one file, with one row."""
-        row = {**{f.name: values.get(f.name) for f in schemas.COMMITS}, "ingest_batch": batch}
-        row["replaces"] = row["replaces"] or []
-        (self.spark.createDataFrame([tuple(row.values())], schemas.COMMITS).withColumn("committed_at", F.current_timestamp())
-         .coalesce(1).write.mode("append").parquet(self.path("commits")))
-
     def check_dimensions(self, dimensions: int) -> None:
         """Refuse vectors of another length than the stored ones."""
         other = self.commits().where(F.col("embedding_dimensions") != dimensions).first()
         if other is not None:
             raise ValueError(f"embedding_dimensions: stored {other['embedding_dimensions']}, current {dimensions}")
 
+    # --- writes
+
+    def write_batch(self, table: str, df: DataFrame) -> None:
+        """Add the rows of an attempt, sorted so that row groups can be skipped; they are not visible yet."""
+        fields = [*_TABLES[table], *([EMBED_ERROR] if EMBED_ERROR.name in df.columns else [])]
+        (df.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+         .sortWithinPartitions(*schemas.PARTITIONS, *_ORDER[table])
+         .write.mode("append").partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
+
+    def mark_deleted(self, pairs: DataFrame, commit_name: str) -> None:
+        """Rows that take (document_id, ingest_batch, documents, chunks) out once the commit is there."""
+        (pairs.withColumn("commit_name", F.lit(commit_name))
+         .select(*[F.col(f.name).cast(f.dataType) for f in schemas.DELETES]).write.mode("append").parquet(self.path("deletes")))
+
+    def create_commit(self, version: int, batch: str, **values) -> bool:
+        row = {f.name: values.get(f.name) for f in schemas.COMMITS}
+        row |= {"ingest_batch": batch, "replaces": row["replaces"] or [], "settles": row["settles"] or [],
+                "committed_at": datetime.now(timezone.utc).isoformat()}
+        return self.log.create(version, row)
+
+    def commit(self, batch: str, since: int, **values) -> dict:
+        """Make a batch visible and return its counts, as what was committed after version ``since`` allows.
+
+        Documents that a later commit has brought in under the same hash are withdrawn with their chunks: one copy stays,
+        that of the first to commit. A batch of a run that has been committed meanwhile is left unseen.
+        """
+        counts = {k: values.pop(k) or 0 for k in COUNTS}
+        while True:
+            version = self.version()
+            if version > since:
+                run_name, source_batch = values.get("run_name"), values.get("source_batch")
+                if source_batch is not None and (done := self.committed(run_name, source_batch)) is not None:
+                    return done
+                lost = self._withdraw(batch, since)
+                counts["documents_processed"] -= lost["documents"]
+                counts["chunks_inserted"] -= lost["chunks"]
+                since = version
+            if self.create_commit(version + 1, batch, **values, **counts):
+                return {"ingest_batch": batch, **counts}
+
+    def _withdraw(self, batch: str, since: int) -> dict:
+        """Mark the batch's documents that commits after ``since`` have brought in as well; how many rows that are."""
+        later = self.commits().where(F.col("version") > since).select("ingest_batch")
+        theirs = self.documents().join(later, "ingest_batch", "left_semi").select("source_hash")
+        gone = (self.rows("documents").where(F.col("ingest_batch") == batch).select("document_id", "ingest_batch", "source_hash")
+                .join(self.rows("deletes").where(F.col("commit_name") == batch), ["document_id", "ingest_batch"], "left_anti")
+                .join(theirs, "source_hash", "left_semi").select("document_id", "ingest_batch", F.lit(1).alias("documents")))
+        own = self.rows("chunks").where(F.col("ingest_batch") == batch).groupBy("document_id").agg(F.count("*").alias("chunks"))
+        pairs = gone.join(own, "document_id", "left").withColumn("chunks", F.coalesce("chunks", F.lit(0)))
+        path = f"{self.path('pending')}/withdrawn-{uuid.uuid4().hex}"
+        pairs.write.parquet(path)
+        found = self.spark.read.parquet(path)
+        lost = found.agg(F.coalesce(F.sum("documents"), F.lit(0)).alias("documents"), F.coalesce(F.sum("chunks"), F.lit(0)).alias("chunks")).first()
+        if lost["documents"]:
+            self.mark_deleted(found, batch)
+        return lost.asDict()
+
     def delete(self, keys: DataFrame) -> dict:
         """Delete documents and, in cascade, their chunks; returns the numbers of rows removed.
 
-        Both go by one write of (document, batch) pairs, so no reader sees one without the other. Chunks without a
-        document are found as well, and a document that comes in again is in another batch.
+        Both go by one commit over (document, batch) pairs, so no reader sees one without the other. Chunks without a
+        document are found as well, and a document that comes in again is in another batch. If another commit comes
+        between, the pairs are looked up anew.
         """
-        wanted = keys.select("document_id").distinct()
-        held = {t: self.read(t).select("document_id", "ingest_batch").join(wanted, "document_id", "left_semi")
-                for t in ("documents", "chunks")}
-        counts = {t: df.count() for t, df in held.items()}
-        pairs = held["documents"].unionByName(held["chunks"]).distinct()
-        pairs.write.mode("append").parquet(self.path("deletes"))
-        return counts
+        path = f"{self.path('pending')}/delete-{uuid.uuid4().hex}"
+        keys.select("document_id").distinct().write.parquet(path)
+        wanted = self.spark.read.parquet(path)
+        while True:
+            version, name = self.version(), uuid.uuid4().hex
+            held = [self.read(t).select("document_id", "ingest_batch", F.lit(int(t == "documents")).alias("documents"),
+                                        F.lit(int(t == "chunks")).alias("chunks")).join(wanted, "document_id", "left_semi")
+                    for t in ("documents", "chunks")]
+            pairs = held[0].unionByName(held[1]).groupBy("document_id", "ingest_batch").agg(
+                F.sum("documents").alias("documents"), F.sum("chunks").alias("chunks"))
+            self.mark_deleted(pairs, name)
+            if self.create_commit(version + 1, name, run_name="delete"):
+                gone = self.rows("deletes").where(F.col("commit_name") == name)
+                return gone.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("documents", "chunks")]).first().asDict()
 
     def delete_all(self) -> dict:
         """Empty the tables; returns how many documents and chunks went."""
-        counts = {t: self.read(t).count() for t in ("documents", "chunks")}
-        self.commit(uuid.uuid4().hex, run_name="delete_all", replaces=self._live())
-        return counts
+        while True:
+            version = self.version()
+            counts = {t: self.read(t).count() for t in ("documents", "chunks")}
+            if self.create_commit(version + 1, uuid.uuid4().hex, run_name="delete_all", replaces=self._live()):
+                return counts
 
     def compact(self) -> str:
-        """Write all visible rows anew as one batch, which takes the place of the others; returns its name."""
-        live, batch = self._live(), uuid.uuid4().hex
+        """Write all visible rows anew as one batch, which takes the place of the others; returns its name.
+
+        Deletes that are committed meanwhile are carried over. If another writer has replaced the same batches, this
+        one gives up with ConflictError and leaves nothing to be seen.
+        """
+        since, live, batch = self.version(), self._live(), uuid.uuid4().hex
         dims = self.commits().agg(F.max("embedding_dimensions")).first()[0]
         for table in _TABLES:
             self.write_batch(table, self.read(table).withColumn("ingest_batch", F.lit(batch)))
-        self.commit(batch, run_name="compact", replaces=live, embedding_dimensions=dims)
-        return batch
+        while True:
+            version = self.version()
+            if version > since:
+                later = self.rows("commits").where(F.col("version") > since)
+                replaced = later.select(F.explode("replaces").alias("name")).where(F.col("name").isin(live))
+                if replaced.first() is not None:
+                    raise ConflictError("batches to be compacted have been replaced by another writer")
+                names = later.select(F.col("ingest_batch").alias("commit_name"))
+                moved = self.rows("deletes").where(F.col("ingest_batch").isin(live)).join(names, "commit_name", "left_semi")
+                self.mark_deleted(moved.withColumn("ingest_batch", F.lit(batch)), batch)
+                since = version
+            if self.create_commit(version + 1, batch, run_name="compact", replaces=live, embedding_dimensions=dims):
+                return batch
 
     def _live(self) -> list[str]:
         return [r[0] for r in self.commits().select("ingest_batch").collect()]  # one row per batch
@@ -175,9 +281,17 @@ class RunManifest:
         frame.withColumn("run_ts", F.current_timestamp()).write.mode("append").json(self.path)
 
     def latest(self, run_name: str) -> dict | None:
-        """Newest readable row of a run; unreadable state counts as none."""
+        """Newest readable row of a run; unreadable or discarded state counts as none."""
         row = self._rows().where(F.col("run_name") == run_name).orderBy(F.desc("run_ts")).first()
-        return None if row is None else row.asDict()
+        return None if row is None or row["discarded"] else row.asDict()
+
+    def discard(self, run_name: str) -> None:
+        """Forget a run's parameters and progress; what it has stored stays."""
+        self.save(run_name=run_name, discarded=True)
+
+    def generation(self, run_name: str) -> int:
+        """How often the run's state has been discarded."""
+        return self._rows().where((F.col("run_name") == run_name) & F.col("discarded")).count()
 
     def check(self, run_name: str, **current) -> None:
         """Refuse to go on with other parameters than the run was started with."""
@@ -186,4 +300,4 @@ class RunManifest:
                      for k, v in current.items() if stored.get(k) is not None and stored[k] != v]
         if differing:
             raise ValueError("run parameters differ from the stored run: " + "; ".join(differing)
-                             + ". Use a new run name to start afresh.")
+                             + ". Discard the run or use a new name to start afresh.")

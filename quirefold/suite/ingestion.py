@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirefold.plans.ingest import IngestOptions, ingest, ingest_batch, new_documents
+from quirefold.plans.ingest import IngestOptions, ingest, ingest_batch, new_documents, prepare_batch
 from quirefold.plans.reports import search_text
 from quirefold.plans.resolve import from_texts
 from quirefold.sources.shared import shared_path
@@ -97,7 +97,7 @@ def replay_after_break(spark, sf):
     store = DocumentStore(spark, shared_path(spark, "store")).create()
 
     class Broken(DocumentStore):
-        def commit(self, batch, **values):
+        def commit(self, batch, since, **values):
             raise OSError("lost")
     try:
         ingest_batch(Broken(spark, store.root), _incoming(docs(spark, sf)), OPTIONS, "run", "batch 0")
@@ -110,6 +110,32 @@ def replay_after_break(spark, sf):
     return chunks.unionByName(ids.select(F.lit("documents").alias("tab"), "source_hash", F.lit(None).cast("int").alias("chunk_index")))
 
 
+@query(f"""
+WITH {DOCS},
+second AS (SELECT * FROM docs WHERE document_id % 3 > 0 AND length(trim(text, {SPACES})) > 0
+           QUALIFY row_number() OVER (PARTITION BY source_hash ORDER BY document_id) = 1),
+first AS (SELECT * FROM docs WHERE document_id % 3 < 2 AND length(trim(text, {SPACES})) > 0 AND source_hash NOT IN (SELECT source_hash FROM second)
+          QUALIFY row_number() OVER (PARTITION BY source_hash ORDER BY document_id) = 1),
+stored AS (SELECT 'second' AS run, * FROM second UNION ALL SELECT 'first', * FROM first), {_FIRSTS.split(DOCS + ',', 1)[1]}
+SELECT run, source_hash, url, count(c.chunk_index) AS chunks,
+  (SELECT count(*) FROM stored x WHERE x.run = s.run) + (SELECT count(DISTINCT source_hash) FROM docs
+     WHERE length(trim(text, {SPACES})) = 0 AND CASE s.run WHEN 'first' THEN document_id % 3 < 2 ELSE document_id % 3 > 0 END) AS documents_processed
+FROM stored s LEFT JOIN stored_chunks c USING (source_hash) GROUP BY run, source_hash, url""")
+def two_writers(spark, sf):
+    """Two runs over overlapping documents; the second starts and commits while the first is at work. Each text is stored
+    once, as the first to commit had it, with its chunks; the other run's counts say so."""
+    store = DocumentStore(spark, shared_path(spark, "store")).create()
+    d = docs(spark, sf)
+    first = prepare_batch(store, _incoming(d.where(F.col("document_id") % 3 < 2)), OPTIONS, "first")
+    second = ingest_batch(DocumentStore(spark, store.root), _incoming(d.where(F.col("document_id") % 3 > 0)), OPTIONS, "second")
+    runs = [(name, done["ingest_batch"], done["documents_processed"]) for name, done in (("second", second), ("first", first.commit()))]
+    batches = spark.createDataFrame(runs, "run string, ingest_batch string, documents_processed long")
+    chunks = store.chunks().groupBy("document_id").agg(F.count("*").alias("chunks"))
+    return (store.documents().select("document_id", "source_hash", "url", "ingest_batch").join(F.broadcast(batches), "ingest_batch")
+            .join(chunks, "document_id", "left")
+            .select("run", "source_hash", "url", F.coalesce("chunks", F.lit(0).cast("long")).alias("chunks"), "documents_processed"))
+
+
 def _search_sql(facet: str) -> str:
     return f"""
 WITH {_FIRSTS}, owned AS (SELECT s.source_hash, s.chunk_index, m.chunk_text, f.doc_type FROM stored_chunks s

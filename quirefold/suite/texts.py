@@ -13,10 +13,12 @@ from quirefold import schemas
 from quirefold.functions import text as tx
 from quirefold.functions.dates import parse_date
 from quirefold.operators.chunking import cap_chunks, chunk_documents, chunk_rows, merge_tail, window_chunks
+from quirefold.plans.ingest import IngestOptions, ingest_batch, retry_waiting
 from quirefold.plans.resolve import Incoming, resolve
 from quirefold.plans.resolve import plan_ingest as plan
 from quirefold.sources.landing import body_key, detail_items, listing_items
 from quirefold.sources.shared import shared_path
+from quirefold.sources.store import DocumentStore
 from quirefold.suite.registry import query
 from quirefold.suite.tables import (CHUNKS, CONTENT_HASH, DOCS, OVERLAP, SIZE, SPACES, chunks, docs, estimate_sql,
                                     table, window_sql)
@@ -303,8 +305,8 @@ def _base(spark, sf):
     return table(spark, sf, "documents").withColumn("kind", kind)
 
 
-def _listing(base, land=lambda df: df):
-    """Payloads as they would be landed, written and read as JSON; some fields are left out."""
+def _listing(base, land=lambda df: df, broken=F.lit(False)):
+    """Payloads as they would be landed, written and read as JSON; some fields are left out, some payloads cut off."""
     number = F.col("doc_id").cast("int")
     item = F.struct(
         _written().alias("dataReferencia"),
@@ -313,7 +315,8 @@ def _listing(base, land=lambda df: df):
         F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit(" "), F.col("source"), F.lit(" "))).alias("titulo"))
     body = F.to_json(F.struct(F.array(item).alias("conteudo")))
     payload = base.select("kind", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("list_file"),
-                          F.from_json(body, schemas.LISTING).alias("p")).select("kind", "list_file", "p.conteudo")
+                          F.when(~broken, F.from_json(body, schemas.LISTING)).alias("p"),
+                          F.when(broken, F.substring(body, 1, 20)).alias("broken")).select("kind", "list_file", "p.conteudo", "broken")
     payload = land(payload)
     first, second = (listing_items(payload.where(F.col("kind") == t), t) for t in fv.DOC_TYPES)
     return first.unionByName(second)
@@ -332,11 +335,19 @@ listed AS (
   FROM dates)"""
 
 
+_BROKEN = "doc_id % 13 = 0"
+
+
 @query(f"""
 WITH {_LISTED} SELECT CASE doc_type WHEN 'ata' THEN 0 ELSE 1 END AS source_ord, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS list_file,
-  CAST(0 AS BIGINT) AS list_pos, doc_type, meeting_number, title, meeting_date FROM listed""")
+  CAST(CASE WHEN {_BROKEN} THEN -1 ELSE 0 END AS BIGINT) AS list_pos, doc_type,
+  CASE WHEN {_BROKEN} THEN CAST(-1 AS INTEGER) ELSE meeting_number END AS meeting_number,
+  CASE WHEN {_BROKEN} THEN lpad(CAST(doc_id AS VARCHAR), 12, '0') ELSE title END AS title,
+  CASE WHEN {_BROKEN} THEN NULL ELSE meeting_date END AS meeting_date,
+  CASE WHEN {_BROKEN} THEN 'listing payload cannot be read' END AS list_error FROM listed""")
 def listing_source(spark, sf):
-    return _listing(_base(spark, sf))
+    """Listed documents; a payload that is cut off gives one row that says so."""
+    return _listing(_base(spark, sf), broken=F.expr(_BROKEN))
 
 
 @query(f"""
@@ -413,12 +424,45 @@ def resolve_bodies(spark, sf):
         return spark.read.parquet(path)
 
     base = _base(spark, sf)
+    incoming = resolve(_listing(base, land), *_landed_parts(base, land))
+    # As an ingest batch does: write the narrow part down, then read texts for it.
+    return Incoming(land(incoming.narrow), incoming.texts).with_texts().drop("from_pages", "oversize")
+
+
+def _landed_parts(base, land):
+    """Details, bodies and pages derived from the documents."""
     detail = _detail(base, land)
     with_pdf = detail.where("pdf_url <> '' and meeting_number % 2 = 0").select(
         F.col("meeting_number").cast("bigint").alias("doc_id"), body_key(F.col("pdf_url")).alias("doc_key"))
     landed = base.select("doc_id", "text").join(with_pdf, "doc_id")
-    bodies = land(landed.select("doc_key", F.sha2(F.concat(F.lit("pdf "), "text"), 256).alias("body_hash")))
+    bodies = land(landed.select("doc_id", "doc_key", F.sha2(F.concat(F.lit("pdf "), "text"), 256).alias("body_hash")))
     pages = land(landed.select("doc_key", F.posexplode(F.split("text", "\n")).alias("page_no", "text")))
-    incoming = resolve(_listing(base, land), detail, bodies, pages)
-    # As an ingest batch does: write the narrow part down, then read texts for it.
-    return Incoming(land(incoming.narrow), incoming.texts).with_texts().drop("from_pages", "oversize")
+    return detail, bodies.drop("doc_id"), pages
+
+
+@query(f"""
+WITH {_FOUND}
+SELECT DISTINCT 'documents' AS tab, CASE WHEN is_pdf THEN sha256('pdf ' || text) ELSE sha256(html_text) END AS what, CAST(NULL AS VARCHAR) AS error
+FROM body WHERE CASE WHEN is_pdf THEN length(trim(text, {SPACES})) > 0 ELSE is_html AND length(html_text) > 0 END
+UNION ALL SELECT 'quarantine', doc_type || ' ' || meeting_number, 'no body' FROM body WHERE NOT is_pdf AND NOT is_html
+UNION ALL SELECT 'first wave', doc_type || ' ' || meeting_number, 'no body' FROM body
+  WHERE doc_id % 3 = 0 OR NOT is_html AND (NOT is_pdf OR doc_id % 7 = 0)""")
+def late_bodies(spark, sf):
+    """Listings land first; a third of the details and every body without an HTML text beside it land later. The
+    documents wait in quarantine and are taken by the next run, from there and not from the listings."""
+    def land(df):
+        path = shared_path(spark, "landed")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    base = _base(spark, sf)
+    listing, (detail, bodies, pages) = _listing(base, land), _landed_parts(base, land)
+    late = detail.where((F.col("meeting_number") % 7 == 0) & (F.col("pdf_url") != "")).select(body_key(F.col("pdf_url")).alias("doc_key"))
+    early = resolve(listing, detail.where("meeting_number % 3 <> 0"), bodies.join(late, "doc_key", "left_anti"), pages)
+    store, options = DocumentStore(spark, shared_path(spark, "store")).create(), IngestOptions(strategy="window", provider_options={"dims": 8})
+    ingest_batch(store, early, options, "daily", "0")
+    name = F.concat_ws(" ", "doc_type", F.col("meeting_number").cast("string")).alias("what")
+    waited = land(store.read("quarantine").select(F.lit("first wave").alias("tab"), name, "error"))
+    retry_waiting(store, lambda rows: resolve(rows, detail, bodies, pages), options, "daily")
+    stored = store.documents().select(F.lit("documents").alias("tab"), F.col("source_hash").alias("what"), F.lit(None).cast("string").alias("error"))
+    return stored.unionByName(store.read("quarantine").select(F.lit("quarantine").alias("tab"), name, "error")).unionByName(waited)

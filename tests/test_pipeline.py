@@ -3,6 +3,8 @@
 import datetime
 import hashlib
 import json
+import os
+import shutil
 import sys
 
 import pytest
@@ -13,11 +15,11 @@ from quirefold import fixed_values as fv
 from quirefold.operators.embedding import HashingProvider, embed_query, register_provider
 from quirefold.operators.topk import ranked_top_k
 from quirefold.plans import reports
-from quirefold.plans.ingest import IngestOptions, ingest, ingest_batch
+from quirefold.plans.ingest import IngestOptions, ingest, ingest_batch, prepare_batch
 from quirefold.plans.resolve import NO_BODY, from_texts, plan_ingest, resolve
 from quirefold.plans.run import dry_run, run_batch, run_incremental
-from quirefold.sources.landing import read_bodies, read_detail, read_listing, read_pages
-from quirefold.sources.store import DocumentStore, RunManifest
+from quirefold.sources.landing import BodyIndex, read_bodies, read_detail, read_listing, read_pages
+from quirefold.sources.store import ConflictError, DocumentStore, RunManifest
 from quirefold.streaming.incremental import ingest_stream
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -225,6 +227,56 @@ def test_quarantine_ends_when_the_body_arrives(spark, landed, tmp_path):
     assert none["quarantined"] == 0 and none["documents_processed"] == 1
 
 
+def test_documents_wait_for_their_bodies(spark, landed, tmp_path):
+    """Listings first, details and bodies later: the next run takes them from quarantine, with no new listing."""
+    empty = tmp_path / "landing"
+    shutil.copytree(f"{landed}/listing", empty / "listing")
+    for name in ("detail/" + FIRST, "detail/" + SECOND, "bodies"):
+        (empty / name).mkdir(parents=True)
+    spark.createDataFrame([], "doc_key string, page_no int, text string").write.parquet(str(empty / "pages"))
+    store = DocumentStore(spark, str(tmp_path / "s"))
+
+    def run():
+        run_incremental(spark, str(empty), store.root, "daily", options=OPTIONS).awaitTermination()
+        return store.documents().count(), store.read("quarantine").count()
+
+    listed = read_listing(spark, f"{landed}/listing", FIRST).count() + read_listing(spark, f"{landed}/listing", SECOND).count()
+    assert run() == (0, listed)
+    commits = store.commits().count()
+    shutil.copytree(f"{landed}/detail", empty / "detail", dirs_exist_ok=True)
+    halfway = run()  # texts in HTML are there, PDFs are not
+    assert 0 < halfway[0] and halfway[1] < listed and store.commits().count() == commits + 1
+    for name in ("bodies", "pages"):
+        shutil.copytree(f"{landed}/{name}", empty / name, dirs_exist_ok=True)
+    whole = DocumentStore(spark, str(tmp_path / "w"))
+    run_batch(spark, landed, whole.root, "once", options=OPTIONS)
+    late = run()  # what has a PDF and no other text
+    assert late[0] >= halfway[0] and late[1] == whole.read("quarantine").count() <= halfway[1]
+    run_batch(spark, landed, store.root, "daily", options=OPTIONS)  # finds the PDFs of those taken as HTML
+    assert {d["source_hash"] for d in store.documents().collect()} >= {d["source_hash"] for d in whole.documents().collect()}
+    assert store.read("quarantine").count() == late[1]
+
+
+def test_bodies_are_digested_once(spark, landed, tmp_path):
+    index = BodyIndex(spark, str(tmp_path / "s"), f"{landed}/bodies")
+    wanted = sorted(map(tuple, read_bodies(spark, f"{landed}/bodies").collect()))
+    assert sorted(map(tuple, index.refresh().collect())) == wanted
+    folder = tmp_path / "bodies"
+    shutil.copytree(f"{landed}/bodies", folder)
+    for f in folder.iterdir():
+        os.utime(f, (1_700_000_000, 1_700_000_000))
+    index = BodyIndex(spark, str(tmp_path / "s"), str(folder))
+    assert sorted(map(tuple, index.refresh().collect())) == wanted
+    key = "0" * 64
+    (folder / f"{key}.pdf").write_bytes(b"new")
+    kept = {p.name for p in folder.iterdir()}
+    shutil.copytree(folder, tmp_path / "copy")
+    got = dict(map(tuple, index.refresh().collect()))
+    assert len(got) == len(wanted) + 1 and got[key] == hashlib.sha256(b"new").hexdigest() and len(kept) >= len(got)
+    stored = spark.read.parquet(index.path).where("modified > timestamp'2024-01-01'")
+    assert stored.count() == 1  # the old files were not read again
+
+
 def test_a_broken_listing_is_quarantined(spark, landed, tmp_path):
     good = tmp_path / "l" / FIRST
     good.mkdir(parents=True)
@@ -240,6 +292,67 @@ def test_a_broken_listing_is_quarantined(spark, landed, tmp_path):
         ingest(spark, str(tmp_path / "x"), resolve(listing, *parts), "a", IngestOptions(skip_errors=False))
 
 
+def test_two_writers_store_each_text_once(spark, tmp_path):
+    one, two = (DocumentStore(spark, str(tmp_path / "s")).create() for _ in range(2))
+    first = prepare_batch(one, _texts(spark, ROWS), OPTIONS, "first")
+    third = prepare_batch(one, _texts(spark, ROWS + [(9, "only third")]), OPTIONS, "third")
+    second = ingest_batch(two, _texts(spark, ROWS[:2] + [(8, "only second")]), OPTIONS, "second")
+    done, last = first.commit(), third.commit()
+    assert (second["documents_processed"], done["documents_processed"], last["documents_processed"]) == (3, 3, 2)
+    hashes = [r["source_hash"] for r in one.documents().collect()]
+    assert len(hashes) == len(set(hashes)) == 6
+    alone = DocumentStore(spark, str(tmp_path / "w"))
+    ingest(spark, alone.root, _texts(spark, ROWS + [(8, "only second"), (9, "only third")]), "a", OPTIONS)
+    assert _contents(one)[1] == _contents(alone)[1]
+    assert one.chunks().count() == sum(d["chunks_inserted"] for d in (second, done, last))
+
+
+def test_two_attempts_at_one_batch(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "s")).create()
+    attempts = [prepare_batch(store, _texts(spark, ROWS), OPTIONS, "run", "0") for _ in range(2)]
+    assert attempts[0].commit() == attempts[1].commit() and store.commits().count() == 1
+
+
+def test_deletes_and_compaction_beside_other_writers(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "s"))
+    ingest(spark, store.root, _texts(spark, ROWS), "a", OPTIONS)
+    create = store.create_commit
+    between = []
+
+    def interrupted(version, batch, **values):
+        while between:
+            between.pop()()
+        return create(version, batch, **values)
+
+    store.create_commit = interrupted
+    other = DocumentStore(spark, store.root)
+    between.append(lambda: other.delete(other.documents().where("url = 'u0'")))
+    store.compact()  # a delete comes between: it holds for the new batch as well
+    assert {r["url"] for r in store.documents().collect()} == {"u1", "u4", "u5"} and store.chunks().count() == other.chunks().count()
+    between.append(other.compact)
+    assert store.delete(store.documents().where("url = 'u1'"))["documents"] == 1  # looked up anew in the compacted batch
+    assert {r["url"] for r in store.documents().collect()} == {"u4", "u5"}
+    between.append(other.compact)
+    with pytest.raises(ConflictError):
+        store.compact()
+    assert {r["url"] for r in store.documents().collect()} == {"u4", "u5"}
+    between.append(lambda: ingest(spark, store.root, _texts(spark, [(9, "came between")]), "b", OPTIONS))
+    assert store.delete_all()["documents"] == 3 and store.documents().count() == 0
+
+
+def test_a_discarded_run_starts_afresh(spark, landed, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "s"))
+    run_incremental(spark, landed, store.root, "daily", options=OPTIONS).awaitTermination()
+    n = store.documents().count()
+    store.delete_all()
+    run_incremental(spark, landed, store.root, "daily", options=OPTIONS).awaitTermination()
+    assert store.documents().count() == 0  # the listings have been taken
+    RunManifest(spark, store.root).discard("daily")
+    assert RunManifest(spark, store.root).latest("daily") is None
+    run_incremental(spark, landed, store.root, "daily", options=OPTIONS).awaitTermination()
+    assert store.documents().count() == n
+
+
 def test_vectors_of_another_length_are_refused(spark, tmp_path):
     root = str(tmp_path / "s")
     ingest(spark, root, _texts(spark, ROWS), "a", OPTIONS)
