@@ -12,6 +12,8 @@ from quirefold import fixed_values as fv
 from quirefold.functions.vectors import rows_of_length, unit_rows
 from quirefold.operators.topk import (QUERY_BLOCK_BYTES, best_per_query, by_similarity, scan_queries, score)
 
+# Rows compared with all centroids at a time.
+_TILE = 1024
 # Cell of the rows that have no direction (null or zero vector); searched only when all cells are.
 NO_CELL = -1
 
@@ -25,29 +27,33 @@ def train_cells(df: DataFrame, n_cells: int, vector_col: str = "embedding", seed
     return unit_rows(np.array(model.clusterCenters(), dtype=np.float64))
 
 
-def assign_cells(df: DataFrame, centroids: np.ndarray, vector_col: str = "embedding") -> DataFrame:
-    """Add ``cell``, the nearest centroid. Map-only."""
-    held = df.sparkSession.sparkContext.broadcast(centroids)
+def assign_cells(df: DataFrame, centroids: np.ndarray, vector_col: str = "embedding", cells: np.ndarray | None = None) -> DataFrame:
+    """Add ``cell``, the number of the nearest centroid (of ``cells``, if given). Map-only; a tile of rows at a time."""
+    numbers = np.arange(len(centroids)) if cells is None else np.asarray(cells)
+    held = df.sparkSession.sparkContext.broadcast((centroids, numbers))
 
     @F.arrow_udf(T.IntegerType())
     def nearest(vectors: pa.Array) -> pa.Array:
-        cells = np.full(len(vectors), NO_CELL, dtype=np.int32)
-        rows, matrix = rows_of_length(vectors, held.value.shape[1])
-        units = unit_rows(matrix)
-        directed = ~np.isnan(units[:, 0]) if len(units) else np.zeros(0, dtype=bool)
-        cells[rows[directed]] = np.argmax(units[directed] @ held.value.T, axis=1)
-        return pa.array(cells)
+        centroids, numbers = held.value
+        found = np.full(len(vectors), NO_CELL, dtype=np.int32)
+        rows, matrix = rows_of_length(vectors, centroids.shape[1])
+        for s in range(0, len(rows), _TILE) if len(centroids) else ():
+            units = unit_rows(matrix[s : s + _TILE])
+            directed = ~np.isnan(units[:, 0])
+            found[rows[s : s + _TILE][directed]] = numbers[np.argmax(units[directed] @ centroids.T, axis=1)]
+        return pa.array(found)
 
     return df.withColumn("cell", nearest(F.col(vector_col)))
 
 
-def write_cells(df: DataFrame, path: str, keys=("document_id", "chunk_index"), rows_per_file: int = 1_000_000) -> None:
+def write_cells(df: DataFrame, path: str, keys=("document_id", "chunk_index"), rows_per_file: int = 1_000_000,
+                mode: str = "overwrite") -> None:
     """Store an assigned table by cell, a large cell spread over as many tasks and files as its size asks for."""
     sizes = df.groupBy("cell").agg(F.count("*").alias("n")).collect()  # one row per cell
     parts = F.create_map(*[F.lit(x) for r in sizes for x in (r["cell"], -(-r["n"] // rows_per_file))])
     salt = F.pmod(F.xxhash64(*keys), F.try_element_at(parts, F.col("cell"))) if sizes else F.lit(0)
     (df.withColumn("_salt", salt).repartition("cell", "_salt").drop("_salt")
-     .write.mode("overwrite").partitionBy("cell").parquet(path))
+     .write.mode(mode).partitionBy("cell").parquet(path))
 
 
 def _probed(vectors: np.ndarray, centroids: np.ndarray, nprobe: int) -> np.ndarray:
@@ -62,6 +68,11 @@ def _probed(vectors: np.ndarray, centroids: np.ndarray, nprobe: int) -> np.ndarr
     return mask
 
 
+def probed_cells(query: np.ndarray, centroids: np.ndarray, nprobe: int) -> np.ndarray:
+    """Places of the centroids nearest to one query."""
+    return np.flatnonzero(_probed(query[None, :], centroids, nprobe)[0][: len(centroids)])
+
+
 def _only(df: DataFrame, mask: np.ndarray) -> DataFrame:
     cells = [int(c) if c < mask.shape[1] - 1 else NO_CELL for c in np.flatnonzero(mask.any(axis=0))]
     return df.where(F.col("cell").isin(cells))

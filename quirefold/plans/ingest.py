@@ -22,6 +22,7 @@ from quirefold.operators.dedup import first_wins, skip_known
 from quirefold.operators.embedding import embed, provider_factory
 from quirefold.operators.select import within_bytes
 from quirefold.plans.resolve import Incoming, as_listing
+from quirefold.plans.vector_index import VectorIndex
 from quirefold.sources.landing import UNREADABLE
 from quirefold.sources.store import COUNTS, DocumentStore
 
@@ -81,8 +82,13 @@ class PreparedBatch:
     values: dict
 
     def commit(self) -> dict:
-        """Make it visible and return its counts (COUNTS) and ``ingest_batch``; see DocumentStore.commit."""
-        return self.store.commit(self.name, self.since, **self.values)
+        """Make it visible and return its counts (COUNTS) and ``ingest_batch``; see DocumentStore.commit.
+
+        If the store has a vector index, the batch is added to it; should that break off, the next commit makes up for it.
+        """
+        done = self.store.commit(self.name, self.since, **self.values)
+        VectorIndex(self.store).add()
+        return done
 
 
 def ingest_batch(store: DocumentStore, incoming: Incoming, options: IngestOptions, run_name: str,

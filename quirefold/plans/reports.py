@@ -9,6 +9,7 @@ from quirefold.functions.text import is_truncated, preview, short_title
 from quirefold.operators.embedding import embed_query
 from quirefold.operators.select import by_id, of_types
 from quirefold.operators.topk import batch_top_k, by_similarity, rank, ranked_top_k, score
+from quirefold.plans.vector_index import VectorIndex
 from quirefold.sources.store import DocumentStore
 
 
@@ -86,20 +87,20 @@ _RESULT = ("document_id", "title", "doc_type", "meeting_date", "url", "chunk_ind
 
 
 def search(documents: DataFrame, chunks: DataFrame, query, k: int = fv.TOP_K, doc_type: str | None = None,
-           complete: bool = False) -> DataFrame:
+           complete: bool = False, candidates: DataFrame | None = None) -> DataFrame:
     """The k chunks nearest to a query vector with their documents; exact, facet before the limit.
 
     Scoring reads keys and vectors only. ``complete`` says that every chunk has its document and
     carries its kind, as the visible rows of a store do: then the facet prunes partitions, and the
     texts of the k winners are read by their ids, which files are sorted by. Otherwise chunks meet
     their documents first, as keys and scores, and orphans drop out before the limit. Beyond ``SMALL_K``
-    winners stay a table that is joined by key.
+    winners stay a table that is joined by key. ``candidates`` (keys, embedding) are scored in place of all chunks.
     """
     keys = [c for c in schemas.CHUNK_KEY if c in chunks.columns]
     meta = documents.select("document_id", "title", "doc_type", "meeting_date", "url")
     owners = meta if doc_type is None else of_types(meta, [doc_type])
     wanted = of_types(chunks, [doc_type]) if complete and doc_type is not None else chunks
-    scored = score(wanted.select(*keys, "embedding"), query)
+    scored = score((wanted if candidates is None else candidates).select(*keys, "embedding"), query)
     if not complete:
         scored = scored.join(owners.select("document_id"), "document_id", "left_semi")
     if k > SMALL_K:
@@ -122,10 +123,11 @@ def search(documents: DataFrame, chunks: DataFrame, query, k: int = fv.TOP_K, do
 
 
 def search_text(store: DocumentStore, text: str, k: int = fv.TOP_K, doc_type: str | None = None,
-                provider: str = "hashing", **options) -> DataFrame:
-    """Search the store by a text, embedded by the provider of its chunks."""
+                provider: str = "hashing", nprobe: int | None = None, **options) -> DataFrame:
+    """Search the store by a text, embedded by the provider of its chunks; with ``nprobe`` in so many cells of its index."""
     query = embed_query(store.spark, text, provider, **options)
-    return search(store.documents(), store.chunks(), query, k, doc_type, complete=True)
+    candidates = None if nprobe is None else VectorIndex(store).candidates(query, nprobe, doc_type)
+    return search(store.documents(), store.chunks(), query, k, doc_type, complete=True, candidates=candidates)
 
 
 def search_many(documents: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = fv.TOP_K,

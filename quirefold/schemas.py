@@ -144,3 +144,29 @@ BODIES = T.StructType([
     T.StructField("body_hash", T.StringType()),
     T.StructField("modified", T.TimestampType()),
 ])
+
+# One numbered row per change of a vector index; the last one names its centroids.
+INDEX = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("entry", T.StringType()),
+    T.StructField("generation", T.StringType()),
+    T.StructField("centroids", T.StringType()),
+    T.StructField("batches", T.ArrayType(T.StringType())),
+    T.StructField("next_cell", T.IntegerType()),
+])
+
+CENTROIDS = T.StructType([
+    T.StructField("cell", T.IntegerType()),
+    T.StructField("centroid", T.ArrayType(T.DoubleType())),
+])
+
+INDEX_ROWS = T.StructType([
+    T.StructField("document_id", T.LongType()),
+    T.StructField("chunk_index", T.IntegerType()),
+    T.StructField("content_hash", T.StringType()),
+    T.StructField("doc_type", T.StringType()),
+    T.StructField("ingest_batch", T.StringType()),
+    T.StructField("embedding", T.ArrayType(T.FloatType())),
+    T.StructField("entry", T.StringType()),
+    T.StructField("cell", T.IntegerType()),
+])

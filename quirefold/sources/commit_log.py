@@ -28,6 +28,10 @@ class CommitLog:
         path, system = self._path()
         system.mkdirs(path)
 
+    def exists(self) -> bool:
+        path, system = self._path()
+        return system.exists(path)
+
     def version(self) -> int:
         """Number of the newest commit, 0 if there is none."""
         path, system = self._path()

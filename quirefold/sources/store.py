@@ -175,7 +175,7 @@ class DocumentStore:
         Documents that a later commit has brought in under the same hash are withdrawn with their chunks: one copy stays,
         that of the first to commit. A batch of a run that has been committed meanwhile is left unseen.
         """
-        counts = {k: values.pop(k) or 0 for k in COUNTS}
+        counts = {k: values.pop(k, None) or 0 for k in COUNTS}
         while True:
             version = self.version()
             if version > since:
@@ -233,7 +233,7 @@ class DocumentStore:
         while True:
             version = self.version()
             counts = {t: self.read(t).count() for t in ("documents", "chunks")}
-            if self.create_commit(version + 1, uuid.uuid4().hex, run_name="delete_all", replaces=self._live()):
+            if self.create_commit(version + 1, uuid.uuid4().hex, run_name="delete_all", replaces=self.live_batches()):
                 return counts
 
     def compact(self) -> str:
@@ -242,7 +242,7 @@ class DocumentStore:
         Deletes that are committed meanwhile are carried over. If another writer has replaced the same batches, this
         one gives up with ConflictError and leaves nothing to be seen.
         """
-        since, live, batch = self.version(), self._live(), uuid.uuid4().hex
+        since, live, batch = self.version(), self.live_batches(), uuid.uuid4().hex
         dims = self.commits().agg(F.max("embedding_dimensions")).first()[0]
         for table in _TABLES:
             self.write_batch(table, self.read(table).withColumn("ingest_batch", F.lit(batch)))
@@ -260,7 +260,7 @@ class DocumentStore:
             if self.create_commit(version + 1, batch, run_name="compact", replaces=live, embedding_dimensions=dims):
                 return batch
 
-    def _live(self) -> list[str]:
+    def live_batches(self) -> list[str]:
         return [r[0] for r in self.commits().select("ingest_batch").collect()]  # one row per batch
 
 

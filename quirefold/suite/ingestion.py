@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from quirefold.plans.ingest import IngestOptions, ingest, ingest_batch, new_documents, prepare_batch
 from quirefold.plans.reports import search_text
 from quirefold.plans.resolve import from_texts
+from quirefold.plans.vector_index import VectorIndex
 from quirefold.sources.shared import shared_path
 from quirefold.sources.store import DocumentStore
 from quirefold.streaming.incremental import ingest_stream as start_stream
@@ -13,6 +14,7 @@ from quirefold.suite.registry import query
 from quirefold.suite.tables import (CONTENT_HASH, DOCS, OVERLAP, SIZE, SPACES, docs, estimate_sql, stand_in,
                                     table, window_sql)
 from quirefold.suite.texts import clean_sql
+from quirefold.suite.vectors import hashed_sql
 
 OPTIONS = IngestOptions(strategy="window", size=SIZE, overlap=OVERLAP, provider_options={"dims": 64})
 
@@ -136,30 +138,64 @@ def two_writers(spark, sf):
             .select("run", "source_hash", "url", F.coalesce("chunks", F.lit(0).cast("long")).alias("chunks"), "documents_processed"))
 
 
-def _search_sql(facet: str) -> str:
-    return f"""
-WITH {_FIRSTS}, owned AS (SELECT s.source_hash, s.chunk_index, m.chunk_text, f.doc_type FROM stored_chunks s
-  JOIN merged m USING (source_hash, chunk_index) JOIN firsts f USING (source_hash) {facet})
-SELECT doc_type, count(*) AS found, CAST(sum(length(chunk_text)) AS BIGINT) AS chars FROM owned GROUP BY doc_type"""
-
+_SEARCHED = "the and of und die"
 
-def _searched(spark, sf, doc_type):
-    store = _stored(spark, sf)
-    n = store.chunks().count()
-    rows = search_text(store, "the and of", k=n, doc_type=doc_type, dims=64)
-    return rows.groupBy("doc_type").agg(F.count("*").alias("found"), F.sum(F.length("chunk_text")).alias("chars"))
 
-
-@query(_search_sql(""))
+def _search_sql(facet: str = "", gone: str = "false") -> str:
+    return f"""
+WITH {_FIRSTS},
+owned AS (SELECT CAST('0x' || substr(source_hash, 1, 15) AS BIGINT) AS doc_id, s.chunk_index, s.content_hash, m.chunk_text, f.title, f.doc_type, f.url
+  FROM stored_chunks s JOIN merged m USING (source_hash, chunk_index) JOIN firsts f USING (source_hash) WHERE NOT ({gone}) {facet}),
+wanted AS (SELECT 0 AS q, '{_SEARCHED}' AS text),
+{hashed_sql('owned', 'doc_id, chunk_index', 'chunk_text', 'v')}, {hashed_sql('wanted', 'q', 'text', 'w')},
+scored AS (SELECT doc_id, chunk_index, sum(v.x * w.x) / sqrt((SELECT sum(x * x) FROM w)) / any_value(n) AS s
+  FROM (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY doc_id, chunk_index)) AS n FROM v) v JOIN w USING (slot) GROUP BY doc_id, chunk_index),
+ranked AS (SELECT o.*, coalesce(s, CASE WHEN (doc_id, chunk_index) IN (SELECT doc_id, chunk_index FROM v) THEN 0 END) AS s
+  FROM owned o LEFT JOIN scored USING (doc_id, chunk_index))
+SELECT CAST(row_number() OVER (ORDER BY round(s, 9) DESC NULLS LAST, doc_id, chunk_index, content_hash) AS INTEGER) AS rank, doc_id,
+  title, doc_type, url, chunk_index, chunk_text, round(s, 6) AS similarity
+FROM ranked QUALIFY rank <= 20"""
+
+
+def _found(store, doc_type=None, nprobe=None):
+    rows = search_text(store, _SEARCHED, 20, doc_type, dims=64, nprobe=nprobe)
+    return rows.select("rank", "doc_id", "title", "doc_type", "url", "chunk_index", "chunk_text", F.round("similarity", 6).alias("similarity"))
+
+
+@query(_search_sql())
 def store_search(spark, sf):
-    """A search of the store by text that asks for all chunks finds each of them, with its document's kind and its text."""
-    return _searched(spark, sf, None)
+    """The twenty chunks of the store nearest to a text."""
+    return _found(_stored(spark, sf))
 
 
-@query(_search_sql("WHERE doc_type = 'de'"))
+@query(_search_sql("AND f.doc_type = 'de'"))
 def store_search_facet(spark, sf):
     """The same within one kind."""
-    return _searched(spark, sf, "de")
+    return _found(_stored(spark, sf), "de")
+
+
+def indexed_store(spark, sf, n_cells=16):
+    """A store filled by three runs, its index made after the first and kept up with the others, cells split, some documents deleted."""
+    store = DocumentStore(spark, shared_path(spark, "store"))
+    d = docs(spark, sf)
+    firsts = d.groupBy("source_hash").agg(F.min("document_id").alias("document_id")).select("document_id")
+    d = d.join(firsts, "document_id", "left_semi")  # first wins by id, whatever the run
+    index = VectorIndex(store)
+    for rest in range(3):
+        ingest(spark, store.root, _incoming(d.where(F.col("document_id") % 3 == rest)), f"run {rest}", OPTIONS)
+        if rest == 0:
+            index.build(n_cells)
+    rows = store.chunks().count()
+    index.split(max(2, rows // n_cells * 2))
+    store.delete(store.documents().where("source_hash < '2'"))
+    return store, index
+
+
+@query(_search_sql(gone="source_hash < '2'"))
+def store_search_index(spark, sf):
+    """Search by the store's index over all its cells is exact, after three runs, a split of cells and a delete."""
+    store, index = indexed_store(spark, sf)
+    return _found(store, nprobe=len(index.state().cells))
 
 
 @query(f"""

@@ -305,7 +305,7 @@ def _base(spark, sf):
     return table(spark, sf, "documents").withColumn("kind", kind)
 
 
-def _listing(base, land=lambda df: df, broken=F.lit(False)):
+def _listing(base, land=lambda df: df, broken="false"):
     """Payloads as they would be landed, written and read as JSON; some fields are left out, some payloads cut off."""
     number = F.col("doc_id").cast("int")
     item = F.struct(
@@ -315,8 +315,8 @@ def _listing(base, land=lambda df: df, broken=F.lit(False)):
         F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit(" "), F.col("source"), F.lit(" "))).alias("titulo"))
     body = F.to_json(F.struct(F.array(item).alias("conteudo")))
     payload = base.select("kind", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("list_file"),
-                          F.when(~broken, F.from_json(body, schemas.LISTING)).alias("p"),
-                          F.when(broken, F.substring(body, 1, 20)).alias("broken")).select("kind", "list_file", "p.conteudo", "broken")
+                          F.when(~F.expr(broken), F.from_json(body, schemas.LISTING)).alias("p"),
+                          F.when(F.expr(broken), F.substring(body, 1, 20)).alias("broken")).select("kind", "list_file", "p.conteudo", "broken")
     payload = land(payload)
     first, second = (listing_items(payload.where(F.col("kind") == t), t) for t in fv.DOC_TYPES)
     return first.unionByName(second)
@@ -347,7 +347,7 @@ WITH {_LISTED} SELECT CASE doc_type WHEN 'ata' THEN 0 ELSE 1 END AS source_ord,
   CASE WHEN {_BROKEN} THEN 'listing payload cannot be read' END AS list_error FROM listed""")
 def listing_source(spark, sf):
     """Listed documents; a payload that is cut off gives one row that says so."""
-    return _listing(_base(spark, sf), broken=F.expr(_BROKEN))
+    return _listing(_base(spark, sf), broken=_BROKEN)
 
 
 @query(f"""

@@ -149,7 +149,7 @@ def topk_cells_full(spark, sf):
 
 # --- embedding and search -------------------------------------------------------------------------
 
-def _hashed_sql(source: str, keys: str, text: str, name: str) -> str:
+def hashed_sql(source: str, keys: str, text: str, name: str) -> str:
     """CTEs with the hashing provider's vectors, one row per non-zero component."""
     return rf"""{name}_words AS (SELECT {keys}, unnest(string_split_regex(trim(lower({text})), '\s+')) AS w FROM {source}),
 {name}_digests AS (SELECT {keys}, md5(w) AS m FROM {name}_words WHERE w <> ''),
@@ -167,7 +167,7 @@ def _embedded(spark, sf):
 
 
 @query(f"""
-WITH {DOCS}, {CHUNKS}, {_hashed_sql('chunks', 'document_id, chunk_index', 'chunk_text', 'v')}
+WITH {DOCS}, {CHUNKS}, {hashed_sql('chunks', 'document_id, chunk_index', 'chunk_text', 'v')}
 SELECT document_id, chunk_index, CAST(slot AS INTEGER) AS slot, round(x, 6) AS x FROM v""")
 def embed_hashing(spark, sf):
     """Vectors of all chunks, as their non-zero components."""
@@ -177,8 +177,8 @@ def embed_hashing(spark, sf):
 
 
 @query(f"""
-WITH {DOCS}, {CHUNKS}, {_hashed_sql('chunks', 'document_id, chunk_index', 'chunk_text', 'v')},
-{_hashed_sql('benchmark', 'item_id', 'text', 'b')},
+WITH {DOCS}, {CHUNKS}, {hashed_sql('chunks', 'document_id, chunk_index', 'chunk_text', 'v')},
+{hashed_sql('benchmark', 'item_id', 'text', 'b')},
 norms AS (SELECT document_id, chunk_index, sqrt(sum(x * x)) AS n FROM v GROUP BY ALL),
 query_norms AS (SELECT item_id, sqrt(sum(x * x)) AS n FROM b GROUP BY ALL),
 dots AS (SELECT item_id, document_id, chunk_index, sum(b.x * v.x) AS dot FROM b JOIN v USING (slot) GROUP BY ALL),
