@@ -18,8 +18,8 @@ ARITY = 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Rows of one range when leaves are ordered.
 RANGE_ROWS = 1_000_000
-#: Runs near the root, of some 130 bytes, that every task may hold (32 MB); those below are met by shuffling.
-HELD_RUNS = 250_000
+#: Runs near the root, of some 130 bytes, that every task may hold (7 MB); those below are met by shuffling.
+HELD_RUNS = 50_000
 #: Levels of the tree over sources are stored from this one on; a source's own tree has fewer.
 TOP = 40
 _PLACE = (1 << 33) - 1
@@ -159,19 +159,31 @@ WITH RECURSIVE climb(rank, up, slot, folded, step, siblings) AS (
          concat(if(c.slot = 0 OR r.d0 IS NULL, X'', r.d0), if(c.slot = 1 OR r.d1 IS NULL, X'', r.d1),
                 if(c.slot = 2 OR r.d2 IS NULL, X'', r.d2))
   FROM climb c JOIN {runs} r ON c.up = r.id)
-SELECT * FROM climb"""
+{result}"""
+# What a climb is stored as: its steps, or one row per leaf with the siblings of all steps (of an earlier climb as well) put together.
+_STEPS = "SELECT * FROM climb"
+_PROOFS = """
+SELECT rank, lower(hex(max(CASE WHEN up IS NULL THEN folded END))) AS folded_root,
+       sha2(array_join(transform(array_sort(collect_list(struct(step, siblings))), s -> lower(hex(s.siblings))), ''), 256) AS proof_sha256
+FROM (SELECT * FROM climb UNION ALL SELECT * FROM {below}) GROUP BY rank"""
 _ROWS = "spark.sql.cteRecursionRowLimit"
 
 
-def climb(starts: DataFrame, runs: DataFrame, held: bool) -> DataFrame:
-    """All steps of a recursive climb, stored: rank, up, slot, folded, step, siblings; the rows of ``starts`` among them."""
-    spark, names = starts.sparkSession, {n: f"merkle_{n}_{uuid.uuid4().hex}" for n in ("starts", "runs")}
-    starts.createOrReplaceTempView(names["starts"])
-    runs.select("id", "up", "slot", "d0", "d1", "d2").createOrReplaceTempView(names["runs"])
+def climb(starts: DataFrame, runs: DataFrame, held: bool, below: DataFrame | None = None) -> DataFrame:
+    """A recursive climb from ``starts`` (rank, up, slot, folded, step, siblings), stored.
+
+    Its steps, the rows of ``starts`` among them; or, with the steps ``below`` that led there, ``rank, folded_root, proof_sha256``.
+    """
+    spark = starts.sparkSession
+    frames = {"starts": starts, "runs": runs.select("id", "up", "slot", "d0", "d1", "d2")} | ({} if below is None else {"below": below})
+    names = {n: f"merkle_{n}_{uuid.uuid4().hex}" for n in frames}
+    for n, frame in frames.items():
+        frame.createOrReplaceTempView(names[n])
+    result = _STEPS if below is None else _PROOFS.format(below=names["below"])
     limit = spark.conf.get(_ROWS, None)
     spark.conf.set(_ROWS, "-1")  # every leaf climbs
     try:
-        return _stored(spark.sql(_CLIMB.format(hint="/*+ BROADCAST(r) */" if held else "", **names)), "merkle-climb")
+        return _stored(spark.sql(_CLIMB.format(hint="/*+ BROADCAST(r) */" if held else "", result=result, **names)), "merkle-climb")
     finally:
         spark.conf.unset(_ROWS) if limit is None else spark.conf.set(_ROWS, limit)
         for name in names.values():
@@ -191,25 +203,16 @@ def proofs(manifest: Manifest) -> DataFrame:
             break
         low.append(level)
         rest -= n
-    starts = manifest.leaves.select("rank", "up", "slot", F.col("claimed").alias("folded"), F.lit(0).alias("step"), F.lit(b"").alias("siblings"))
-    steps, begin = [], starts
+    begin = manifest.leaves.select("rank", "up", "slot", F.col("claimed").alias("folded"), F.lit(0).alias("step"), F.lit(b"").alias("siblings"))
+    below, high = begin.limit(0), manifest.runs
     if low:
-        below = climb(starts, manifest.runs.where(F.col("level").isin(low)), held=False)
+        steps = climb(begin, manifest.runs.where(F.col("level").isin(low)), held=False)
         # The rows whose run is not among those below go on from there.
         within = (F.col("up") > 0) & F.col("up").bitwiseAND(F.lit(63)).isin([x for x in low if x < TOP])
         within = within | ((F.col("up") < 0) & (F.lit(TOP) + (-F.col("up")).bitwiseAND(F.lit(63))).isin(low))
         on = F.coalesce(~within, F.lit(True))
-        steps.append(below.where(~on))
-        begin = below.where(on)
-    steps.append(climb(begin, manifest.runs.where(~F.col("level").isin(low)) if low else manifest.runs, held=True))
-    every = steps[0]
-    for more in steps[1:]:
-        every = every.unionByName(more)
-    return every.groupBy("rank").agg(
-        F.array_sort(F.collect_list(F.struct("step", "siblings"))).alias("path"),
-        F.max(F.when(F.col("up").isNull(), F.col("folded"))).alias("folded")).select(
-        "rank", _hex(F.col("folded")).alias("folded_root"),
-        F.sha2(F.array_join(F.transform("path", lambda s: _hex(s["siblings"])), ""), 256).alias("proof_sha256"))
+        below, begin, high = steps.where(~on), steps.where(on), manifest.runs.where(~F.col("level").isin(low))
+    return climb(begin, high, held=True, below=below)
 
 
 def report(docs: DataFrame) -> DataFrame:
