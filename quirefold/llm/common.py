@@ -1,10 +1,12 @@
 """What several operators share: laying documents out in ranges of their ids, hashes of runs, packed integers."""
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirefold.sources.shared import shared_root
@@ -23,6 +25,29 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@dataclass
+class Carried:
+    """Rows whose columns travel as one struct, so that no name of theirs meets a name of the operator's own.
+
+    ``rows`` has the struct as ``row`` and the wanted columns under their names.
+    """
+
+    rows: DataFrame
+    names: list[str]
+
+    def back(self, frame: DataFrame, **changed) -> DataFrame:
+        """The columns that were carried, under their names and in their order; some with another value."""
+        return frame.select(*[changed.get(n, F.col(f"row.c{i}")).alias(n) for i, n in enumerate(self.names)],
+                            *[c.alias(n) for n, c in changed.items() if n not in self.names])
+
+
+def carried(docs: DataFrame, *wanted: str) -> Carried:
+    """All columns of ``docs``, whatever their names: dots, names that differ in case only, names operators use."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    row = F.struct(*plain.columns).alias("row")
+    return Carried(plain.select(row, *[F.col(f"c{docs.columns.index(w)}").alias(w) for w in wanted]), docs.columns)
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
@@ -129,6 +154,3 @@ def unpacked(data: bytes, dtype) -> np.ndarray:
     steps = np.ascontiguousarray(planes.reshape(size, -1).T).view(dtype).reshape(-1)
     return np.cumsum(steps, dtype=dtype)
 
-
-def empty_like(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -8,6 +8,8 @@ number of bytes and joined by shuffling beyond that.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quirefold.llm.common import carried
+
 WINDOW = 10
 #: Largest set of test windows that is broadcast, in bytes of their texts and item lists.
 BROADCAST_BYTES = 64 << 20
@@ -139,18 +141,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
     Documents without a hit stay exactly as they are.
     """
-    if remove == "spans":
-        found = scan(docs, benchmark, window, carry=tuple(docs.columns))
-        text = F.when(F.size("spans") > 0, without_spans(F.col("kept.text"), F.col("spans"))).otherwise(F.col("kept.text"))
-        return found.select(*[text.alias(c) if c == "text" else F.col(f"kept.`{c}`") for c in docs.columns])
-    if remove != "documents":
+    if remove not in ("spans", "documents"):
         raise ValueError(f"remove is documents or spans, not {remove!r}")
-    mark = F.xxhash64(F.col("text"))
-    keyed = docs.withColumn("__mark", mark)
-    hit = (scan(keyed, benchmark, window, carry=("doc_id", "__mark")).where(F.size("spans") > 0)
-           .select(F.col("kept.doc_id").alias("__id"), F.col("kept.__mark").alias("__hit")).distinct())
-    return (keyed.join(hit, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__hit")), "left_anti")
-            .select(*docs.columns))
+    every = carried(docs, "doc_id", "text")
+    if remove == "spans":
+        found = scan(every.rows, benchmark, window, carry=("row", "text")).select("kept.row", "kept.text", "spans")
+        text = F.when(F.size("spans") > 0, without_spans(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+        return every.back(found, text=text)
+    keyed = every.rows.withColumn("mark", F.xxhash64("text"))
+    hit = (scan(keyed, benchmark, window, carry=("doc_id", "mark")).where(F.size("spans") > 0)
+           .select(F.col("kept.doc_id").alias("hit_id"), F.col("kept.mark").alias("hit_mark")).distinct())
+    return every.back(keyed.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("mark") == F.col("hit_mark")), "left_anti"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

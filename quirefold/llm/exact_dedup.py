@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirefold.llm.common import text_bytes
+from quirefold.llm.common import carried, text_bytes
 from quirefold.sources.shared import shared_path
 
 #: Content bytes that a bucket is planned for, and that a table may hold before its bucket is partitioned further.
@@ -170,9 +170,9 @@ def report(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, table_bytes: int =
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns, whatever their names; of repeated rows any one."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"),
-                       F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"), digest(F.col("text")).alias("digest"))
-    kept = classes(docs).select("digest", F.col("doc_id").alias("keep_id"), "n_chars")
+    every = carried(docs, "doc_id", "text")
+    rows = every.rows.select("row", F.col("doc_id").cast("long").alias("id"),
+                             F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"), digest(F.col("text")).alias("digest"))
+    kept = classes(every.rows).select("digest", F.col("doc_id").alias("keep_id"), "n_chars")
     winners = rows.join(kept, "digest").where(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("n_chars")))
-    return winners.groupBy("digest").agg(F.first("row").alias("row")).select("row.*")
+    return every.back(winners.groupBy("digest").agg(F.first("row").alias("row")))

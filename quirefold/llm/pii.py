@@ -12,7 +12,7 @@ format has too few values for a corpus, later attempts are longer than the entit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirefold.llm.common import checkpointed
+from quirefold.llm.common import carried, checkpointed
 
 #: From this attempt on, surrogates are longer than their entities, by two more characters each time.
 LONGER = 4
@@ -218,30 +218,30 @@ def surrogated(docs: DataFrame, key: str) -> DataFrame:
 
     A null text stays null and has no kinds; a text without entities stays exactly as it is.
     """
-    changes = attempts(distinct_entities(docs), key)
-    marked = docs.drop("pii_kinds").withColumn("__found", mentions(F.col("text")))
+    every = carried(docs.drop("pii_kinds"), "text")  # of an earlier run
+    changes = attempts(distinct_entities(every.rows), key)
+    marked = every.rows.withColumn("found", mentions(F.col("text")))
     if changes.limit(1).count():
         # Attempts reach the documents by way of the mentions: narrow rows, one per document that holds such an entity.
-        row = F.xxhash64("text")
-        held = (docs.select(row.alias("__row"), F.inline(F.flatten(F.transform(mentions(F.col("text")), entities)))).distinct()
-                .join(changes, ["kind", "canon"]).groupBy("__row")
-                .agg(F.collect_list(F.struct("kind", "canon", "attempt")).alias("__attempts")))
-        marked = marked.withColumn("__row", row).join(held, "__row", "left")
+        mark = F.xxhash64("text")
+        held = (every.rows.select(mark.alias("mark"), F.inline(F.flatten(F.transform(mentions(F.col("text")), entities)))).distinct()
+                .join(changes, ["kind", "canon"]).groupBy("mark")
+                .agg(F.collect_list(F.struct("kind", "canon", "attempt")).alias("attempts")))
+        marked = marked.withColumn("mark", mark).join(held, "mark", "left")
 
         def attempt(kind, canon):
-            mine = F.filter(F.coalesce(F.col("__attempts"), F.array().cast("array<struct<kind:string,canon:string,attempt:int>>")),
+            mine = F.filter(F.coalesce(F.col("attempts"), F.array().cast("array<struct<kind:string,canon:string,attempt:int>>")),
                             lambda a: (a["kind"] == kind) & (a["canon"] == canon))
             return F.coalesce(F.get(mine, F.lit(0))["attempt"], F.lit(0))
     else:
         def attempt(kind, canon):
             return F.lit(0)
-    found, text = F.col("__found"), F.col("text")
+    found, text = F.col("found"), F.col("text")
     gaps = F.split(text, ENTITY, -1)
     new = F.concat(_join(F.zip_with(F.slice(gaps, 1, F.size(found)), F.transform(found, lambda m: _replaced(key, m, attempt)),
                                     lambda g, m: F.concat(g, m))), F.element_at(gaps, -1))
     out = F.when(F.size(found) > 0, new).otherwise(text)
-    columns = [out.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "pii_kinds"]
-    return marked.select(*columns, F.transform(found, kind_of).alias("pii_kinds"))
+    return every.back(marked, text=out, pii_kinds=F.transform(found, kind_of))
 
 
 def report(docs: DataFrame, key: str) -> DataFrame:

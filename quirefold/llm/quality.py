@@ -11,6 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quirefold.llm.common import carried
 
 #: Labelled rows that the network is fitted on at most, and the longest of them in bytes.
 FIT_ROWS, FIT_BYTES = 3_000, 1 << 16
@@ -142,36 +145,35 @@ def held_out(key: Column) -> Column:
 def trained(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Network | None:
     """A network fitted on so many labelled rows, those with the smallest hashes of ids, none of them held out.
 
-    Rows without a label or id are left out, and texts beyond FIT_BYTES are not fitted on (they are scored whole).
+    Rows without a label or id are left out, and texts beyond FIT_BYTES are not fitted on (they are scored whole). Of
+    rows that share an id the text with the smallest hash is taken.
     """
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     sample = (usable.groupBy("doc_id").agg(F.max("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     text = F.coalesce(F.col("text"), F.lit(""))
+    # One text per id, so no more rows than the sample has and no more bytes than FIT_BYTES each.
     found = (docs.select("doc_id", text.cast("binary").alias("text")).where(F.octet_length(text) <= FIT_BYTES)
-             .join(F.broadcast(sample), "doc_id").collect())  # both bounded by the parameters above
+             .join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality")
+             .agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")).collect())
     found.sort(key=lambda r: (r.doc_id, bytes(r.text)))
     return fit([bytes(r.text) for r in found], [int(r.quality > 0) for r in found])
 
 
-def scored(docs: DataFrame, network: Network | None, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The given columns with ``score``, for the whole text of every row; a null text is empty.
+def scored(rows: DataFrame, network: Network | None, key: str = "doc_id") -> DataFrame:
+    """One column of the rows with ``score``, for the whole ``text`` of every row; a null text is empty.
 
     Without a network, there having been no labels, every score is 1 and nothing is rejected.
     """
-    picked = docs.select(*columns)
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields)
-
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
-                texts = [t or b"" for t in part.column(part.num_columns - 1).to_pylist()]
+                texts = [t or b"" for t in part.column(1).to_pylist()]
                 scores = network.scores(texts) if network else np.ones(len(texts))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(scores, type=pa.float64())],
-                                                 names=[*columns, "score"])
-    return docs.select(*columns, F.coalesce("text", F.lit("")).cast("binary").alias("__text")).mapInArrow(
-        run, f"{kind}, score double")
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, type=pa.float64())], names=[key, "score"])
+    kind = T.StructType([rows.select(key).schema[0], T.StructField("score", T.DoubleType())])
+    return rows.select(key, F.coalesce("text", F.lit("")).cast("binary").alias("bytes")).mapInArrow(run, kind)
 
 
 def report(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -183,4 +185,5 @@ def report(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
 def kept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, all columns, that the network does not reject."""
-    return scored(docs, trained(docs, labels), tuple(docs.columns)).where(F.col("score") >= threshold).select(*docs.columns)
+    every = carried(docs, "doc_id", "text")
+    return every.back(scored(every.rows, trained(every.rows, labels), "row").where(F.col("score") >= threshold))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirefold.llm.common import text_bytes
+from quirefold.llm.common import carried, text_bytes
 from quirefold.sources.shared import shared_path
 
 BUCKET_BYTES = 8 << 20
@@ -32,17 +32,17 @@ def shuffled(docs: DataFrame, n_shards: int = 16, seed: int = 0, bucket_bytes: i
     The order depends on the rows and the seed only, not on files or partitions. Rows of equal id and text share a
     bucket, which is shuffled block by block should they be very many. Null ids and texts are values like any other.
     """
-    docs = docs.drop("shard", "slot")  # of an earlier run
-    n = max(LEAST_BUCKETS, -(-text_bytes(docs) // bucket_bytes))
-    scattered = docs.withColumn("__bucket", _bucket(seed, n))
-    counts = {r[0]: r[1] for r in scattered.groupBy("__bucket").count().collect()}  # one row per bucket
+    every = carried(docs.drop("shard", "slot"), "doc_id", "text")  # of an earlier run
+    n = max(LEAST_BUCKETS, -(-text_bytes(every.rows) // bucket_bytes))
+    scattered = every.rows.select("row", _bucket(seed, n).alias("bucket"),
+                                  F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("text")).alias("order"))
+    counts = {r[0]: r[1] for r in scattered.groupBy("bucket").count().collect()}  # one row per bucket
     begins = np.zeros(n + 1, dtype=np.int64)
     np.cumsum([counts.get(b, 0) for b in range(n)], out=begins[1:])
-    columns = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
+    schema = T.StructType([scattered.schema["row"], T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
 
     def finish(bucket: int, block: int, at: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(batches).select(columns).combine_chunks()
+        table = pa.Table.from_batches(batches).select(["row"]).combine_chunks()
         order = np.random.default_rng([seed, bucket, block]).permutation(table.num_rows)  # Fisher-Yates
         rank = begins[bucket] + at + np.arange(table.num_rows)
         out = table.take(pa.array(order)).append_column("shard", pa.array((rank % n_shards).astype(np.int32)))
@@ -51,7 +51,7 @@ def shuffled(docs: DataFrame, n_shards: int = 16, seed: int = 0, bucket_bytes: i
     def shuffle(batches):
         bucket, block, at, held, size = None, 0, 0, [], 0
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("__bucket")).to_numpy(zero_copy_only=False)
+            ids = batch.column(batch.schema.get_field_index("bucket")).to_numpy(zero_copy_only=False)
             edges = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)] if len(ids) else [0]
             for s, e in zip(edges, edges[1:]):
                 if held and (ids[s] != bucket or size > BLOCK_BYTES):
@@ -65,9 +65,9 @@ def shuffled(docs: DataFrame, n_shards: int = 16, seed: int = 0, bucket_bytes: i
         if held:
             yield from finish(bucket, block, at, held).to_batches()
 
-    order = F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("text"))
-    return (scattered.withColumn("__order", order).repartition(n, "__bucket")
-            .sortWithinPartitions("__bucket", "__order").drop("__order").mapInArrow(shuffle, schema))
+    placed = (scattered.repartitionById(n, "bucket").sortWithinPartitions("bucket", "order")
+              .drop("order").mapInArrow(shuffle, schema))
+    return every.back(placed, shard=F.col("shard"), slot=F.col("slot"))
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 16, seed: int = 0) -> None:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirefold.llm.common import checkpointed, mix, packed, unpacked
+from quirefold.llm.common import carried, checkpointed, mix, packed, unpacked
 from quirefold.llm.components import components
 
 SHINGLE, THRESHOLD, SEED = 3, 3, 42
@@ -254,14 +254,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
 def representatives(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """The documents, all columns, with one left of each component: the smallest id, null last, and of rows that share
     it the smallest text hash. Of rows equal in id and text any one stays."""
-    rows = checkpointed(fingerprints(docs, shingle))
+    every = carried(docs, "doc_id", "text")
+    rows = checkpointed(fingerprints(every.rows, shingle))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "mark")).alias("first")
     roots = classes(rows, threshold)
     kept = checkpointed(roots.join(rows.groupBy("fp").agg(first), "fp").groupBy("root").agg(F.min("first").alias("first"))
-                        .select(F.col("first.doc_id").alias("__id"), F.col("first.mark").alias("__kept")))
-    marked = docs.withColumn("__mark", F.xxhash64("text"))
-    left = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__kept")), "left_semi")
+                        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.mark").alias("kept_mark")))
+    marked = every.rows.select("row", "doc_id", F.xxhash64("text").alias("mark"))
+    left = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("mark") == F.col("kept_mark")), "left_semi")
     repeated = rows.groupBy("doc_id", "mark").count().where("count > 1").limit(1).count()
     if repeated:  # texts are shuffled and sorted only where rows repeat
-        left = left.dropDuplicates(["doc_id", "__mark"])
-    return left.select(*docs.columns)
+        left = left.dropDuplicates(["doc_id", "mark"])
+    return every.back(left)
