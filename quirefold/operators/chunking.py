@@ -1,5 +1,8 @@
 """Splitting texts into overlapping, token-bounded chunks."""
 
+from collections.abc import Callable
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -18,6 +21,44 @@ def estimate_tokens(text: str) -> int:
     return max(1, len(text) // 4)
 
 
+class TokenLength:
+    """Length in tokens of a tokenizer file, for the tokenizers library.
+
+    A text is encoded once; a span of it counts the tokens that begin in it, one at least. At blanks, where no token lies
+    across, that is the length of the span encoded alone.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+        self._tokenizer = None
+
+    def __getstate__(self):
+        return {"path": self.path, "_tokenizer": None}
+
+    def _offsets(self, text: str) -> list[tuple[int, int]]:
+        if self._tokenizer is None:
+            from tokenizers import Tokenizer
+            self._tokenizer = Tokenizer.from_file(self.path)
+        return self._tokenizer.encode(text, add_special_tokens=False).offsets
+
+    def __call__(self, text: str) -> int:
+        return max(1, len(self._offsets(text)))
+
+    def spans(self, text: str) -> Callable[[int, int], int]:
+        begins = np.fromiter((s for s, _ in self._offsets(text)), dtype=np.int64)
+        before = np.searchsorted(begins, np.arange(len(text) + 1)).tolist()  # tokens that begin before each place
+        return lambda start, end: max(1, before[end] - before[start])
+
+
+def _measure(text: str, length) -> Callable[[int, int], int]:
+    """Length of a span of the text; without cutting it out where the length function can tell."""
+    if length is estimate_tokens:
+        return lambda start, end: max(1, (end - start) // 4)
+    if hasattr(length, "spans"):
+        return length.spans(text)
+    return lambda start, end: length(text[start:end])
+
+
 def _cut(text: str, start: int, end: int, sep: str) -> list[tuple[int, int]]:
     """Spans between separators; a separator stays at the head of the span it opens."""
     bounds = [start]
@@ -28,61 +69,70 @@ def _cut(text: str, start: int, end: int, sep: str) -> list[tuple[int, int]]:
     return list(zip(bounds, bounds[1:] + [end]))
 
 
-def _fixed_cut(text: str, start: int, end: int, size: int, length) -> list[tuple[int, int]]:
-    """Widest spans that still measure at most ``size`` (bisection: length grows with the span)."""
-    spans = []
+def _fixed_cut(start: int, end: int, size: int, measure) -> list[tuple[int, int]]:
+    """Widest spans that still measure at most ``size``, one character at least; length grows with the span.
+
+    The width is doubled until it is too much and then bisected, so no span much longer than the result is measured
+    and the whole takes time in proportion to the text.
+    """
+    spans, width = [], 1
     while start < end:
-        low, high = start + 1, end
+        fits, step = start + 1, width
+        while fits + step <= end and measure(start, fits + step) <= size:
+            fits += step
+            step *= 2
+        low, high = fits, min(end, fits + step)
         while low < high:
             mid = (low + high + 1) // 2
-            low, high = (mid, high) if length(text[start:mid]) <= size else (low, mid - 1)
+            low, high = (mid, high) if measure(start, mid) <= size else (low, mid - 1)
         spans.append((start, low))
-        start = low
+        width, start = max(1, (low - start) // 2), low
     return spans
 
 
-def _pack(text: str, pieces: list[tuple[int, int]], size: int, overlap: int, length) -> list[tuple[int, int]]:
+def _pack(pieces: list[tuple[int, int]], size: int, overlap: int, measure) -> list[tuple[int, int]]:
     """Greedy runs of adjacent pieces; each run after the first opens with the longest
     whole-piece tail of its predecessor that measures at most ``overlap`` and leaves room."""
     runs, first = [], 0
     for i in range(1, len(pieces) + 1):
-        if i < len(pieces) and length(text[pieces[first][0]:pieces[i][1]]) <= size:
+        if i < len(pieces) and measure(pieces[first][0], pieces[i][1]) <= size:
             continue
         stop = pieces[i - 1][1]
         runs.append((pieces[first][0], stop))
         if i == len(pieces):
             break
         tail = i
-        while tail - 1 > first and length(text[pieces[tail - 1][0]:stop]) <= overlap \
-                and length(text[pieces[tail - 1][0]:pieces[i][1]]) <= size:
+        while tail - 1 > first and measure(pieces[tail - 1][0], stop) <= overlap \
+                and measure(pieces[tail - 1][0], pieces[i][1]) <= size:
             tail -= 1
         first = tail
     return runs
 
 
-def _spans(text: str, start: int, end: int, level: int, size: int, overlap: int, length) -> list[tuple[int, int]]:
+def _spans(text: str, start: int, end: int, level: int, size: int, overlap: int, measure) -> list[tuple[int, int]]:
     while level < len(SEPARATORS) and text.find(SEPARATORS[level], start + 1, end) == -1:
         level += 1
     if level == len(SEPARATORS):
-        return _pack(text, _fixed_cut(text, start, end, max(1, overlap or size), length), size, overlap, length)
+        return _pack(_fixed_cut(start, end, max(1, overlap or size), measure), size, overlap, measure)
     out, held = [], []
     for span in _cut(text, start, end, SEPARATORS[level]):
-        if length(text[span[0]:span[1]]) <= size:
+        if measure(*span) <= size:
             held.append(span)
             continue
         if held:
-            out += _pack(text, held, size, overlap, length)
+            out += _pack(held, size, overlap, measure)
             held = []
-        out += _spans(text, *span, level + 1, size, overlap, length)
-    return out + (_pack(text, held, size, overlap, length) if held else [])
+        out += _spans(text, *span, level + 1, size, overlap, measure)
+    return out + (_pack(held, size, overlap, measure) if held else [])
 
 
 def split_text(text: str, size: int, overlap: int, length=estimate_tokens) -> list[str]:
     """Chunks of one text: blank line, line, word and fixed-width boundaries, tried in this order."""
-    if length(text) <= size:
+    measure = _measure(text, length)
+    if measure(0, len(text)) <= size:
         pieces = [text]
     else:
-        pieces = [text[a:b] for a, b in _spans(text, 0, len(text), 0, size, overlap, length)]
+        pieces = [text[a:b] for a, b in _spans(text, 0, len(text), 0, size, overlap, measure)]
     return [p for p in (piece.strip() for piece in pieces) if p]
 
 

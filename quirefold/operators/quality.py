@@ -2,28 +2,33 @@
 
 import functools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirefold import fixed_values as fv
 from quirefold import schemas
 
 
-def _violations(df: DataFrame, rule: str, key) -> DataFrame:
-    return df.select(F.lit(rule).alias("rule"), key.cast("string").alias("key"), F.lit(1).cast("bigint").alias("n"))
+def row_rules(required=(), allowed: dict | None = None, dims: dict | None = None) -> list[tuple[str, Column]]:
+    """(rule, condition under which a row breaks it) of the constraints that a row alone can break.
 
+    Not null, in a set (null is another rule's matter), and vectors of one length (an absent vector is allowed).
+    """
+    rules = [("not_null:" + c, F.col(c).isNull()) for c in required]
+    rules += [("in_set:" + c, F.coalesce(~F.col(c).isin(*values), F.lit(False))) for c, values in (allowed or {}).items()]
+    return rules + [("dims:" + c, F.coalesce(F.size(c) != n, F.lit(False)) & F.col(c).isNotNull()) for c, n in (dims or {}).items()]
 
-def null_violations(df: DataFrame, columns, key: str) -> DataFrame:
-    """One row per required column that is null, from a single pass over the table."""
-    broken = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit("not_null:" + c)) for c in columns]),
-                      lambda r: r.isNotNull())
-    hit = functools.reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-    return (df.where(hit).select(F.explode(broken).alias("rule"), F.col(key).cast("string").alias("key"))
-            .withColumn("n", F.lit(1).cast("bigint")))
 
+def first_broken(rules) -> Column:
+    """The first rule that a row breaks, null if it keeps all."""
+    return F.coalesce(*[F.when(broken, F.lit(rule)) for rule, broken in rules]) if rules else F.lit(None).cast("string")
 
-def set_violations(df: DataFrame, column: str, allowed, key: str) -> DataFrame:
-    return _violations(df.where(~F.col(column).isin(*allowed)), "in_set:" + column, F.col(key))
+
+def row_violations(df: DataFrame, rules, key: str) -> DataFrame:
+    """One row per broken rule and row of the table, all rules in one pass."""
+    broken = F.filter(F.array(*[F.when(hit, F.lit(rule)) for rule, hit in rules]), lambda r: r.isNotNull())
+    return (df.where(functools.reduce(lambda a, b: a | b, [hit for _, hit in rules]))
+            .select(F.explode(broken).alias("rule"), F.col(key).cast("string").alias("key"), F.lit(1).cast("bigint").alias("n")))
 
 
 def unique_violations(df: DataFrame, keys) -> DataFrame:
@@ -39,22 +44,14 @@ def orphan_violations(child: DataFrame, parent: DataFrame, key: str = "document_
             .select(F.lit("references:" + key).alias("rule"), F.col(key).cast("string").alias("key"), "n"))
 
 
-def dimension_violations(df: DataFrame, dims: int, key: str, column: str = "embedding") -> DataFrame:
-    """Vectors of another length; an absent vector is allowed."""
-    return _violations(df.where(F.size(column) != dims).where(F.col(column).isNotNull()),
-                       "dims:" + column, F.col(key))
-
-
 def validate(documents: DataFrame, chunks: DataFrame, dims: int, doc_types=fv.DOC_TYPES) -> DataFrame:
-    """Every constraint of the two tables in one frame."""
+    """Every constraint of the two tables in one frame: one pass for the rules of rows, one for each key, one for references."""
     checks = [
-        null_violations(documents, schemas.REQUIRED["documents"], "document_id"),
-        null_violations(chunks, schemas.REQUIRED["chunks"], "document_id"),
-        set_violations(documents, "doc_type", doc_types, "document_id"),
+        row_violations(documents, row_rules(schemas.REQUIRED["documents"], {"doc_type": doc_types}), "document_id"),
+        row_violations(chunks, row_rules(schemas.REQUIRED["chunks"], dims={"embedding": dims}), "document_id"),
         unique_violations(documents, ["source_hash"]),
         unique_violations(documents, ["document_id"]),
         unique_violations(chunks, list(schemas.CHUNK_KEY)),
         orphan_violations(chunks, documents),
-        dimension_violations(chunks, dims, "document_id"),
     ]
     return functools.reduce(DataFrame.unionByName, checks)

@@ -20,6 +20,7 @@ from quirefold.functions.text import clean_text
 from quirefold.operators.chunking import check_strategy, chunk_documents, chunk_rows
 from quirefold.operators.dedup import first_wins, skip_known
 from quirefold.operators.embedding import embed, provider_factory
+from quirefold.operators.quality import first_broken, row_rules
 from quirefold.operators.select import within_bytes
 from quirefold.plans.resolve import Incoming, as_listing
 from quirefold.plans.vector_index import VectorIndex
@@ -40,10 +41,16 @@ class IngestOptions:
     provider_options: dict = field(default_factory=dict)
     batch_size: int = fv.EMBED_BATCH
     skip_errors: bool = True
+    #: Kinds that documents may have; None allows any.
+    doc_types: tuple | None = fv.DOC_TYPES
 
     def check(self) -> None:
         check_strategy(self.strategy, self.size, self.overlap)
 
+    def rules(self) -> list:
+        """What a document must keep by itself to be stored."""
+        return row_rules(("url", "title", "doc_type", "source_hash"), {"doc_type": self.doc_types} if self.doc_types else None)
+
     def provider_parameters(self) -> dict:
         """What a run must keep to add to the same tables."""
         provider = provider_factory(self.provider, **self.provider_options)()
@@ -57,6 +64,22 @@ def new_documents(narrow: DataFrame, known: DataFrame) -> DataFrame:
     return fresh.withColumn("document_id", F.when(F.col("source_hash") != "", document_id(F.col("source_hash"))))
 
 
+BROKEN_RULE = "violates "
+
+
+def _one_id_each(fresh: DataFrame, stored: DataFrame) -> DataFrame:
+    """New documents, with an error where another text has the same id already, in the store or earlier in the batch.
+
+    Ids are 60 bits of the hash, so two texts may share one; their chunks must not be taken for one document's.
+    """
+    taken = fresh.select("document_id").join(stored, "document_id", "left_semi").distinct().withColumn("taken", F.lit(True))
+    first = (fresh.groupBy("document_id").agg(F.min("source_hash").alias("first"), F.max("source_hash").alias("last"))
+             .where("first <> last").select("document_id", "first"))
+    marked = fresh.join(taken, "document_id", "left").join(first, "document_id", "left")
+    clash = F.col("taken") | (F.col("source_hash") != F.col("first"))
+    return marked.withColumn("error", F.when(clash, F.lit(BROKEN_RULE + "unique:document_id"))).select(*fresh.columns)
+
+
 def build_chunks(documents: DataFrame, options: IngestOptions, oversize: Observation | None = None,
                  truncated: Observation | None = None) -> DataFrame:
     """Chunk rows with hashes of documents (document_id, ..., text); map-only.
@@ -113,30 +136,38 @@ def prepare_batch(store: DocumentStore, incoming: Incoming, options: IngestOptio
     parameters = options.provider_parameters()
     store.check_dimensions(parameters["embedding_dimensions"])
 
+    # One pass over what comes in, written down: keys, hashes, and the rule that a row breaks, if any.
+    def written_down(rows: DataFrame, name: str) -> DataFrame:
+        path = f"{store.path('pending')}/{batch}-{name}"
+        rows.write.parquet(path)
+        return spark.read.parquet(path)
+
+    broken = F.concat(F.lit(BROKEN_RULE), first_broken(options.rules()))
+    narrow = written_down(incoming.narrow.withColumn("error", F.coalesce("error", broken)), "narrow")
+    fresh = written_down(new_documents(narrow, store.known_hashes()), "fresh")
+    decided = written_down(_one_id_each(fresh, store.documents().select("document_id")), "decided")
+    pending = decided.where("error is null")
+
     rejected = (*schemas.ORDER_KEY, "url", "title", "doc_type", "meeting_number", "meeting_date", "error",
                 F.lit(run_name).alias("run_name"), tag)
-    bad = incoming.narrow.where("error is not null").select(*rejected)
+    bad = narrow.where("error is not null").select(*rejected).unionByName(decided.where("error is not null").select(*rejected))
     if not options.skip_errors:
         first_bad = bad.first()
         if first_bad is not None:
             raise ValueError(f"cannot ingest {first_bad['title']!r}: {first_bad['error']}")
-
-    pending_path = f"{store.path('pending')}/{batch}"
-    new_documents(incoming.narrow, store.known_hashes()).write.parquet(pending_path)
-    pending = spark.read.parquet(pending_path)
     with_text = pending.where("has_text")
 
-    oversize, truncated, written = Observation(), Observation(), Observation()
+    oversize, truncated, stored = Observation(), Observation(), Observation()
     texts = incoming.texts(with_text.where("not oversize")).select("document_id", "doc_type", "text")
     chunks = build_chunks(texts, options, oversize, truncated)
     embedded = embed(chunks, "cleaned_text", options.provider, options.batch_size,
                      not options.skip_errors, **options.provider_options)
     # Counted where they are written, by the tasks that write them.
     store.write_batch("chunks", embedded.withColumn("created_at", F.current_timestamp()).withColumn("ingest_batch", tag)
-                      .observe(written, F.count(F.lit(1)).alias("n"), F.count("embed_error").alias("failed")))
+                      .observe(stored, F.count(F.lit(1)).alias("n"), F.count("embed_error").alias("failed")))
 
-    chunks_inserted = written.get.get("n", 0)
-    if written.get.get("failed", 0):
+    chunks_inserted = stored.get.get("n", 0)
+    if stored.get.get("failed", 0):
         failed_path = f"{store.path('failed')}/{batch}"
         store.embed_failures(batch).write.parquet(failed_path)
         failed = spark.read.parquet(failed_path)

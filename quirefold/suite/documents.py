@@ -104,12 +104,12 @@ def stats_report(spark, sf):
 @query(f"""
 WITH {DOCS}, {CHUNKS}
 SELECT d.document_id, d.doc_type, d.meeting_date, count(c.document_id) AS chunks, {_SHORT_TITLE} AS title
-FROM docs d LEFT JOIN chunks c ON c.document_id = d.document_id AND length(c.chunk_text) > 400
+FROM docs d LEFT JOIN chunks c ON c.document_id = d.document_id AND length(trim(c.chunk_text, {SPACES})) > 0
 GROUP BY d.document_id, d.doc_type, d.meeting_date, d.title
 ORDER BY d.meeting_date DESC NULLS LAST, d.document_id""")
 def list_docs(spark, sf):
-    """List view; only long chunks are counted here, so that many documents have none."""
-    return reports.list_documents(docs(spark, sf), chunks(spark, sf).where(F.length("chunk_text") > 400))
+    """List view; blank documents have no chunks."""
+    return reports.list_documents(docs(spark, sf), chunks(spark, sf).where(has_text(F.col("chunk_text"))))
 
 
 @query(f"WITH {DOCS}, {CHUNKS} SELECT document_id, count(*) AS chunks FROM chunks GROUP BY document_id")
@@ -336,11 +336,11 @@ def page_counts(spark, sf):
 # --- constraints ----------------------------------------------------------------------------------
 
 @query(f"""
-WITH {DOCS}, {_STORED}, {CHUNKS},
+WITH {DOCS}, {CHUNKS},
 d AS (SELECT document_id, url, CASE WHEN length(title) < 200 THEN title END AS title, doc_type, source_hash,
-             DATE '2020-01-01' AS ingested_at FROM stored),
+             DATE '2020-01-01' AS ingested_at FROM docs),
 v AS (SELECT vec_id AS document_id, CASE WHEN label % 2 = 0 THEN embedding ELSE embedding[1:32] END AS embedding FROM embeddings),
-c AS (SELECT document_id, chunk_index % 50 AS chunk_index FROM chunks)
+c AS (SELECT document_id + 7 AS document_id, chunk_index % 50 AS chunk_index FROM chunks)
 SELECT 'not_null:title' AS rule, CAST(document_id AS VARCHAR) AS key, CAST(1 AS BIGINT) AS n FROM d WHERE title IS NULL
 UNION ALL SELECT 'in_set:doc_type', CAST(document_id AS VARCHAR), 1 FROM d WHERE doc_type NOT IN ('en', 'fr', 'de')
 UNION ALL SELECT 'unique:source_hash', source_hash, count(*) FROM d GROUP BY source_hash HAVING count(*) > 1
@@ -350,17 +350,17 @@ UNION ALL SELECT 'references:document_id', CAST(document_id AS VARCHAR), count(*
           WHERE document_id NOT IN (SELECT document_id FROM d) GROUP BY document_id
 UNION ALL SELECT 'dims:embedding', CAST(document_id AS VARCHAR), 1 FROM v WHERE len(embedding) <> 64""")
 def violations(spark, sf):
-    """All constraint checks over tables that break them: labelled documents only, shortened vectors."""
-    d = _stored(spark, sf, docs(spark, sf)).select(
+    """All constraint checks over tables that break them: long titles taken away, chunks hung on other documents, shortened vectors."""
+    d = docs(spark, sf).select(
         "document_id", "url", F.when(F.length("title") < 200, F.col("title")).alias("title"), "doc_type",
         "source_hash", F.lit("2020-01-01").cast("date").alias("ingested_at"))
     v = table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("document_id"),
         F.when(F.col("label") % 2 == 0, F.col("embedding")).otherwise(F.slice("embedding", 1, 32)).alias("embedding"))
-    c = chunks(spark, sf).select("document_id", (F.col("chunk_index") % 50).alias("chunk_index"))
-    return (quality.null_violations(d, ["url", "title", "doc_type", "ingested_at", "source_hash"], "document_id")
-            .unionByName(quality.set_violations(d, "doc_type", ["en", "fr", "de"], "document_id"))
+    c = chunks(spark, sf).select((F.col("document_id") + 7).alias("document_id"), (F.col("chunk_index") % 50).alias("chunk_index"))
+    required = ["url", "title", "doc_type", "ingested_at", "source_hash"]
+    return (quality.row_violations(d, quality.row_rules(required, {"doc_type": ["en", "fr", "de"]}), "document_id")
             .unionByName(quality.unique_violations(d, ["source_hash"]))
             .unionByName(quality.unique_violations(c, ["document_id", "chunk_index"]))
             .unionByName(quality.orphan_violations(c, d))
-            .unionByName(quality.dimension_violations(v, 64, "document_id")))
+            .unionByName(quality.row_violations(v, quality.row_rules(dims={"embedding": 64}), "document_id")))

@@ -1,5 +1,7 @@
 """The whole pipeline over the given documents, written to a store in the shared folder."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +18,7 @@ from quirefold.suite.tables import (CONTENT_HASH, DOCS, OVERLAP, SIZE, SPACES, d
 from quirefold.suite.texts import clean_sql
 from quirefold.suite.vectors import hashed_sql
 
-OPTIONS = IngestOptions(strategy="window", size=SIZE, overlap=OVERLAP, provider_options={"dims": 64})
+OPTIONS = IngestOptions(strategy="window", size=SIZE, overlap=OVERLAP, provider_options={"dims": 64}, doc_types=None)
 
 
 def _incoming(d):
@@ -112,6 +114,24 @@ def replay_after_break(spark, sf):
     return chunks.unionByName(ids.select(F.lit("documents").alias("tab"), "source_hash", F.lit(None).cast("int").alias("chunk_index")))
 
 
+@query(f"""
+WITH {DOCS}, judged AS (
+  SELECT *, CASE WHEN title IS NULL OR length(title) >= 120 THEN 'violates not_null:title'
+                 WHEN doc_type NOT IN ('en', 'fr') THEN 'violates in_set:doc_type' END AS error FROM docs)
+SELECT 'quarantine' AS tab, CAST(document_id AS VARCHAR) AS what, error FROM judged WHERE error IS NOT NULL
+UNION ALL SELECT DISTINCT 'documents', source_hash, NULL FROM judged WHERE error IS NULL AND length(trim(text, {SPACES})) > 0
+UNION ALL SELECT 'run', CAST((SELECT count(*) FROM judged WHERE error IS NOT NULL) AS VARCHAR), NULL""")
+def ingest_violations(spark, sf):
+    """Documents without a title or of a kind that is not allowed are quarantined with the rule they break."""
+    store = DocumentStore(spark, shared_path(spark, "store")).create()
+    d = docs(spark, sf).withColumn("title", F.when(F.length("title") < 120, F.col("title")))
+    done = ingest_batch(store, _incoming(d), replace(OPTIONS, doc_types=("en", "fr")), "checked")
+    error = F.lit(None).cast("string").alias("error")
+    return (store.read("quarantine").select(F.lit("quarantine").alias("tab"), F.col("list_pos").cast("string").alias("what"), "error")
+            .unionByName(store.documents().select(F.lit("documents").alias("tab"), F.col("source_hash").alias("what"), error))
+            .unionByName(spark.range(1).select(F.lit("run").alias("tab"), F.lit(str(done["quarantined"])).alias("what"), error)))
+
+
 @query(f"""
 WITH {DOCS},
 second AS (SELECT * FROM docs WHERE document_id % 3 > 0 AND length(trim(text, {SPACES})) > 0

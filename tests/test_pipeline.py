@@ -307,6 +307,18 @@ def test_two_writers_store_each_text_once(spark, tmp_path):
     assert one.chunks().count() == sum(d["chunks_inserted"] for d in (second, done, last))
 
 
+def test_two_texts_of_one_id(spark, tmp_path, monkeypatch):
+    """Ids are part of a hash; a text whose id is taken is quarantined and not mixed up with the other."""
+    from quirefold.plans import ingest as plan
+    monkeypatch.setattr(plan, "document_id", lambda source_hash: F.lit(7).cast("bigint"))
+    store = DocumentStore(spark, str(tmp_path / "s")).create()
+    done = ingest_batch(store, _texts(spark, ROWS[:2]), OPTIONS, "a")
+    assert (done["documents_processed"], done["quarantined"]) == (1, 1) and store.documents().count() == 1
+    again = ingest_batch(store, _texts(spark, ROWS), OPTIONS, "b")
+    assert again["quarantined"] == 3 and store.documents().count() == 1
+    assert {r["error"] for r in store.read("quarantine").collect()} == {"violates unique:document_id"}
+
+
 def test_two_attempts_at_one_batch(spark, tmp_path):
     store = DocumentStore(spark, str(tmp_path / "s")).create()
     attempts = [prepare_batch(store, _texts(spark, ROWS), OPTIONS, "run", "0") for _ in range(2)]
