@@ -148,29 +148,35 @@ def build(docs: DataFrame) -> Manifest:
                     None if top is None else bytes(top["digest"]).hex())
 
 
+def _siblings(slot: str) -> str:
+    """Digests of a run's nodes but one, as bytes."""
+    return "concat(" + ", ".join(f"if({slot} = {i} OR r.d{i} IS NULL, X'', r.d{i})" for i in range(ARITY)) + ")"
+
+
 _CLIMB = """
-WITH RECURSIVE climb(rank, up, slot, folded, step, siblings) AS (
-  SELECT rank, up, slot, folded, step, siblings FROM {starts}
+WITH RECURSIVE climb(rank, up, slot, folded, step, siblings, at, own) AS (
+  SELECT rank, up, slot, folded, step, siblings, at, own FROM {starts}
   UNION ALL
   SELECT {hint} c.rank, r.up, r.slot,
          unhex(sha2(concat_ws('', lower(hex(if(c.slot = 0, c.folded, r.d0))), lower(hex(if(c.slot = 1, c.folded, r.d1))),
                               lower(hex(if(c.slot = 2, c.folded, r.d2)))), 256)),
-         c.step + 1,
-         concat(if(c.slot = 0 OR r.d0 IS NULL, X'', r.d0), if(c.slot = 1 OR r.d1 IS NULL, X'', r.d1),
-                if(c.slot = 2 OR r.d2 IS NULL, X'', r.d2))
+         c.step + 1, {met}
   FROM climb c JOIN {runs} r ON c.up = r.id)
 {result}"""
+# The siblings that a step has met: as bytes, or, where every task holds the runs anyway, as the run and the place in it.
+_AS_BYTES, _AS_PLACE = f"{_siblings('c.slot')}, CAST(NULL AS BIGINT), CAST(NULL AS INT)", "X'', r.id, c.slot"
 # What a climb is stored as: its steps, or one row per leaf with the siblings of all steps (of an earlier climb as well) put together.
 _STEPS = "SELECT * FROM climb"
-_PROOFS = """
+_PROOFS = f"""
 SELECT rank, lower(hex(max(CASE WHEN up IS NULL THEN folded END))) AS folded_root,
        sha2(array_join(transform(array_sort(collect_list(struct(step, siblings))), s -> lower(hex(s.siblings))), ''), 256) AS proof_sha256
-FROM (SELECT * FROM climb UNION ALL SELECT * FROM {below}) GROUP BY rank"""
+FROM (SELECT /*+ BROADCAST(r) */ c.rank, c.up, c.folded, c.step, CASE WHEN c.at IS NULL THEN c.siblings ELSE {_siblings('c.own')} END AS siblings
+      FROM (SELECT * FROM climb UNION ALL SELECT * FROM {{below}}) c LEFT JOIN {{runs}} r ON c.at = r.id) GROUP BY rank"""
 _ROWS = "spark.sql.cteRecursionRowLimit"
 
 
 def climb(starts: DataFrame, runs: DataFrame, held: bool, below: DataFrame | None = None) -> DataFrame:
-    """A recursive climb from ``starts`` (rank, up, slot, folded, step, siblings), stored.
+    """A recursive climb from ``starts`` (rank, up, slot, folded, step, siblings, at, own), stored.
 
     Its steps, the rows of ``starts`` among them; or, with the steps ``below`` that led there, ``rank, folded_root, proof_sha256``.
     """
@@ -179,11 +185,12 @@ def climb(starts: DataFrame, runs: DataFrame, held: bool, below: DataFrame | Non
     names = {n: f"merkle_{n}_{uuid.uuid4().hex}" for n in frames}
     for n, frame in frames.items():
         frame.createOrReplaceTempView(names[n])
-    result = _STEPS if below is None else _PROOFS.format(below=names["below"])
+    result = _STEPS if below is None else _PROOFS.format(below=names["below"], runs=names["runs"])
+    hint, met = ("/*+ BROADCAST(r) */", _AS_PLACE) if held else ("", _AS_BYTES)
     limit = spark.conf.get(_ROWS, None)
     spark.conf.set(_ROWS, "-1")  # every leaf climbs
     try:
-        return _stored(spark.sql(_CLIMB.format(hint="/*+ BROADCAST(r) */" if held else "", result=result, **names)), "merkle-climb")
+        return _stored(spark.sql(_CLIMB.format(hint=hint, met=met, result=result, **names)), "merkle-climb")
     finally:
         spark.conf.unset(_ROWS) if limit is None else spark.conf.set(_ROWS, limit)
         for name in names.values():
@@ -203,7 +210,8 @@ def proofs(manifest: Manifest) -> DataFrame:
             break
         low.append(level)
         rest -= n
-    begin = manifest.leaves.select("rank", "up", "slot", F.col("claimed").alias("folded"), F.lit(0).alias("step"), F.lit(b"").alias("siblings"))
+    begin = manifest.leaves.select("rank", "up", "slot", F.col("claimed").alias("folded"), F.lit(0).alias("step"), F.lit(b"").alias("siblings"),
+                                   F.lit(None).cast("long").alias("at"), F.lit(None).cast("int").alias("own"))
     below, high = begin.limit(0), manifest.runs
     if low:
         steps = climb(begin, manifest.runs.where(F.col("level").isin(low)), held=False)
