@@ -147,15 +147,19 @@ def scan_queries(df: DataFrame, queries: DataFrame, k: int, keys, vector_col: st
                  prepare=None, block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
     """Per-task candidates of every query, for ``batch_top_k`` and the cell index.
 
-    One counting pass sizes the query set. A set that fits one block is held by every task. A larger
+    The query vectors are written down first, as a provider may have made them and is not to be called again, and
+    counted. A query without a vector has no neighbours. A set that fits one block is held by every task. A larger
     one is cut by a hash of its id; each block is scanned and its result written to the shared folder
     before the next block is read, so neither driver nor tasks ever hold more than one block.
     """
+    asked = shared_path(df.sparkSession, "queries")
+    queries.select(query_id, query_vector).where(F.col(query_vector).isNotNull()).write.parquet(asked)
+    queries = df.sparkSession.read.parquet(asked)
     size = queries.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size(query_vector)), F.lit(0)).alias("dims")).first()
     per_block = max(1, block_bytes // (8 * max(1, size["dims"])))
 
     def scan(block: DataFrame) -> DataFrame:
-        rows = block.select(F.col(query_id).cast("bigint"), query_vector).where(F.col(query_vector).isNotNull()).collect()
+        rows = block.select(F.col(query_id).cast("bigint"), query_vector).collect()
         vectors = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), max(0, size["dims"]))
         table, probes = (df, None) if prepare is None else prepare(df, vectors)
         return _scan_block(table, [r[0] for r in rows], vectors, k, keys, vector_col, probes)

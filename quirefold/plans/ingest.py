@@ -73,10 +73,10 @@ def _one_id_each(fresh: DataFrame, stored: DataFrame) -> DataFrame:
     Ids are 60 bits of the hash, so two texts may share one; their chunks must not be taken for one document's.
     """
     taken = fresh.select("document_id").join(stored, "document_id", "left_semi").distinct().withColumn("taken", F.lit(True))
-    first = (fresh.groupBy("document_id").agg(F.min("source_hash").alias("first"), F.max("source_hash").alias("last"))
+    first = (fresh.where("has_text").groupBy("document_id").agg(F.min("source_hash").alias("first"), F.max("source_hash").alias("last"))
              .where("first <> last").select("document_id", "first"))
     marked = fresh.join(taken, "document_id", "left").join(first, "document_id", "left")
-    clash = F.col("taken") | (F.col("source_hash") != F.col("first"))
+    clash = F.col("has_text") & (F.col("taken") | (F.col("source_hash") != F.col("first")))
     return marked.withColumn("error", F.when(clash, F.lit(BROKEN_RULE + "unique:document_id"))).select(*fresh.columns)
 
 
@@ -172,7 +172,8 @@ def prepare_batch(store: DocumentStore, incoming: Incoming, options: IngestOptio
         store.embed_failures(batch).write.parquet(failed_path)
         failed = spark.read.parquet(failed_path)
         bad = bad.unionByName(with_text.drop("error").join(failed, "document_id").select(*rejected))
-        store.mark_deleted(failed.select("document_id", tag, F.lit(0).alias("documents"), "chunks"), batch)
+        store.mark_deleted(failed.select(
+            "document_id", tag, F.lit(None).alias("doc_type"), F.lit(0).alias("documents"), "chunks"), batch)
         with_text = with_text.join(failed, "document_id", "left_anti")
         pending = pending.join(failed, "document_id", "left_anti")
         chunks_inserted -= failed.agg(F.sum("chunks")).first()[0]

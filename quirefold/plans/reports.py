@@ -33,6 +33,17 @@ def stats(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     """
     kinds = documents.groupBy("doc_type").agg(
         F.count("*").alias("n"), F.min("meeting_date").alias("lo"), F.max("meeting_date").alias("hi"))
+    return _spread(kinds, chunks.agg(F.count("*").cast("string").alias("value")))
+
+
+def stats_of(store: DocumentStore) -> DataFrame:
+    """``stats`` of a store from its commits, without reading its tables."""
+    kinds = store.totals().select("doc_type", F.col("documents").alias("n"), F.col("first_date").alias("lo"),
+                                  F.col("last_date").alias("hi"), "chunks")
+    return _spread(kinds.where("n > 0"), kinds.agg(F.coalesce(F.sum("chunks"), F.lit(0)).cast("string").alias("value")))
+
+
+def _spread(kinds: DataFrame, n_chunks: DataFrame) -> DataFrame:
     overall = kinds.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("string").alias("documents"),
         F.min("lo").cast("string").alias("first_date"), F.max("hi").cast("string").alias("last_date"))
@@ -41,9 +52,8 @@ def stats(documents: DataFrame, chunks: DataFrame) -> DataFrame:
         for m in ("documents", "first_date", "last_date")])).alias("r")).select("r.*")
     by_kind = kinds.select(F.lit("documents_of_type").alias("metric"), F.col("doc_type").alias("key"),
                            F.col("n").cast("string").alias("value"))
-    n_chunks = chunks.agg(F.count("*").cast("string").alias("value")).select(
-        F.lit("chunks").alias("metric"), F.lit("").alias("key"), "value")
-    return spread.unionByName(by_kind).unionByName(n_chunks)
+    total = n_chunks.select(F.lit("chunks").alias("metric"), F.lit("").alias("key"), "value")
+    return spread.unionByName(by_kind).unionByName(total)
 
 
 def chunk_counts(chunks: DataFrame) -> DataFrame:

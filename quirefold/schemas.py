@@ -126,6 +126,15 @@ COMMITS = T.StructType([
     T.StructField("quarantined", T.LongType()),
     T.StructField("oversize", T.LongType()),
     T.StructField("truncated", T.LongType()),
+    # Rows written, and what the commit adds to (or takes from) the totals of each kind.
+    T.StructField("rows", T.LongType()),
+    T.StructField("kinds", T.ArrayType(T.StructType([
+        T.StructField("doc_type", T.StringType()),
+        T.StructField("documents", T.LongType()),
+        T.StructField("chunks", T.LongType()),
+        T.StructField("first_date", T.DateType()),
+        T.StructField("last_date", T.DateType()),
+    ]))),
     T.StructField("committed_at", T.TimestampType()),
 ])
 
@@ -134,6 +143,7 @@ DELETES = T.StructType([
     T.StructField("document_id", T.LongType()),
     T.StructField("ingest_batch", T.StringType()),
     T.StructField("commit_name", T.StringType()),
+    T.StructField("doc_type", T.StringType()),
     T.StructField("documents", T.LongType()),
     T.StructField("chunks", T.LongType()),
 ])

@@ -13,7 +13,7 @@ import json
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,9 +158,9 @@ class DocumentStore:
          .sortWithinPartitions(*schemas.PARTITIONS, *_ORDER[table])
          .write.mode("append").partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
 
-    def mark_deleted(self, pairs: DataFrame, commit_name: str) -> None:
-        """Rows that take (document_id, ingest_batch, documents, chunks) out once the commit is there."""
-        (pairs.withColumn("commit_name", F.lit(commit_name))
+    def mark_deleted(self, pairs: DataFrame, commit_name: str | Column) -> None:
+        """Rows that take (document_id, ingest_batch, doc_type, documents, chunks) out once the commit is there."""
+        (pairs.withColumn("commit_name", F.lit(commit_name) if isinstance(commit_name, str) else commit_name)
          .select(*[F.col(f.name).cast(f.dataType) for f in schemas.DELETES]).write.mode("append").parquet(self.path("deletes")))
 
     def create_commit(self, version: int, batch: str, **values) -> bool:
@@ -186,16 +186,33 @@ class DocumentStore:
                 counts["documents_processed"] -= lost["documents"]
                 counts["chunks_inserted"] -= lost["chunks"]
                 since = version
-            if self.create_commit(version + 1, batch, **values, **counts):
+            if self.create_commit(version + 1, batch, **values, **counts, **self._held(batch)):
                 return {"ingest_batch": batch, **counts}
 
+    def _held(self, batch: str) -> dict:
+        """Rows of a batch that is not committed yet, and their totals by kind, without those it has withdrawn itself."""
+        own = self.rows("deletes").where(F.col("commit_name") == batch).select("document_id", "ingest_batch")
+        documents, chunks = (self.rows(t).where(F.col("ingest_batch") == batch).join(own, ["document_id", "ingest_batch"], "left_anti")
+                             for t in ("documents", "chunks"))
+        kinds = self._totals(documents.select("doc_type", "meeting_date", F.lit(1).alias("documents"), F.lit(0).alias("chunks")).unionByName(
+            chunks.select("doc_type", F.lit(None).cast("date").alias("meeting_date"), F.lit(0).alias("documents"), F.lit(1).alias("chunks"))))
+        return {"kinds": kinds, "rows": sum(k["documents"] + k["chunks"] for k in kinds)}
+
+    @staticmethod
+    def _totals(rows: DataFrame, sign: int = 1) -> list[dict]:
+        """Sums of ``documents`` and ``chunks`` by kind, and the dates between which they lie; one row per kind."""
+        found = rows.groupBy("doc_type").agg(
+            (F.sum("documents") * sign).alias("documents"), (F.sum("chunks") * sign).alias("chunks"),
+            F.min("meeting_date").cast("string").alias("first_date"), F.max("meeting_date").cast("string").alias("last_date"))
+        return [r.asDict() for r in found.collect()]
+
     def _withdraw(self, batch: str, since: int) -> dict:
         """Mark the batch's documents that commits after ``since`` have brought in as well; how many rows that are."""
         later = self.commits().where(F.col("version") > since).select("ingest_batch")
         theirs = self.documents().join(later, "ingest_batch", "left_semi").select("source_hash")
-        gone = (self.rows("documents").where(F.col("ingest_batch") == batch).select("document_id", "ingest_batch", "source_hash")
+        gone = (self.rows("documents").where(F.col("ingest_batch") == batch).select("document_id", "ingest_batch", "doc_type", "source_hash")
                 .join(self.rows("deletes").where(F.col("commit_name") == batch), ["document_id", "ingest_batch"], "left_anti")
-                .join(theirs, "source_hash", "left_semi").select("document_id", "ingest_batch", F.lit(1).alias("documents")))
+                .join(theirs, "source_hash", "left_semi").select("document_id", "ingest_batch", "doc_type", F.lit(1).alias("documents")))
         own = self.rows("chunks").where(F.col("ingest_batch") == batch).groupBy("document_id").agg(F.count("*").alias("chunks"))
         pairs = gone.join(own, "document_id", "left").withColumn("chunks", F.coalesce("chunks", F.lit(0)))
         path = f"{self.path('pending')}/withdrawn-{uuid.uuid4().hex}"
@@ -218,15 +235,16 @@ class DocumentStore:
         wanted = self.spark.read.parquet(path)
         while True:
             version, name = self.version(), uuid.uuid4().hex
-            held = [self.read(t).select("document_id", "ingest_batch", F.lit(int(t == "documents")).alias("documents"),
+            held = [self.read(t).select("document_id", "ingest_batch", "doc_type", F.lit(int(t == "documents")).alias("documents"),
                                         F.lit(int(t == "chunks")).alias("chunks")).join(wanted, "document_id", "left_semi")
                     for t in ("documents", "chunks")]
-            pairs = held[0].unionByName(held[1]).groupBy("document_id", "ingest_batch").agg(
+            pairs = held[0].unionByName(held[1]).groupBy("document_id", "ingest_batch", "doc_type").agg(
                 F.sum("documents").alias("documents"), F.sum("chunks").alias("chunks"))
             self.mark_deleted(pairs, name)
-            if self.create_commit(version + 1, name, run_name="delete"):
-                gone = self.rows("deletes").where(F.col("commit_name") == name)
-                return gone.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("documents", "chunks")]).first().asDict()
+            gone = self.rows("deletes").where(F.col("commit_name") == name).withColumn("meeting_date", F.lit(None).cast("date"))
+            kinds = self._totals(gone, -1)
+            if self.create_commit(version + 1, name, run_name="delete", kinds=kinds):
+                return {c: -sum(k[c] for k in kinds) for c in ("documents", "chunks")}
 
     def delete_all(self) -> dict:
         """Empty the tables; returns how many documents and chunks went."""
@@ -236,16 +254,25 @@ class DocumentStore:
             if self.create_commit(version + 1, uuid.uuid4().hex, run_name="delete_all", replaces=self.live_batches()):
                 return counts
 
-    def compact(self) -> str:
-        """Write all visible rows anew as one batch, which takes the place of the others; returns its name.
+    def compact(self, batches: list[str] | None = None) -> str:
+        """Write the visible rows of all batches, or of some, anew as one, which takes their place; returns its name.
 
         Deletes that are committed meanwhile are carried over. If another writer has replaced the same batches, this
         one gives up with ConflictError and leaves nothing to be seen.
         """
-        since, live, batch = self.version(), self.live_batches(), uuid.uuid4().hex
-        dims = self.commits().agg(F.max("embedding_dimensions")).first()[0]
+        since, batch = self.version(), uuid.uuid4().hex
+        live = self.live_batches() if batches is None else batches
+        dims = self.commits().where(F.col("ingest_batch").isin(live)).agg(F.max("embedding_dimensions")).first()[0]
         for table in _TABLES:
-            self.write_batch(table, self.read(table).withColumn("ingest_batch", F.lit(batch)))
+            self.write_batch(table, self.read(table).where(F.col("ingest_batch").isin(live)).withColumn("ingest_batch", F.lit(batch)))
+        held = self._held(batch)
+        if batches is not None:
+            # Deletes stay committed, but what they took from these batches is not there any more to be taken off.
+            applied = self.rows("deletes").where(F.col("ingest_batch").isin(live) & (F.col("commit_name") != F.col("ingest_batch"))
+                                                   & ~F.col("commit_name").isin(live))
+            applied = applied.join(self.rows("commits").where(F.col("version") <= since).select(F.col("ingest_batch").alias("commit_name")),
+                                   "commit_name", "left_semi")
+            held["kinds"] += self._totals(applied.withColumn("meeting_date", F.lit(None).cast("date")))
         while True:
             version = self.version()
             if version > since:
@@ -255,11 +282,46 @@ class DocumentStore:
                     raise ConflictError("batches to be compacted have been replaced by another writer")
                 names = later.select(F.col("ingest_batch").alias("commit_name"))
                 moved = self.rows("deletes").where(F.col("ingest_batch").isin(live)).join(names, "commit_name", "left_semi")
-                self.mark_deleted(moved.withColumn("ingest_batch", F.lit(batch)), batch)
+                self.mark_deleted(moved.withColumn("ingest_batch", F.lit(batch)), F.col("commit_name"))
                 since = version
-            if self.create_commit(version + 1, batch, run_name="compact", replaces=live, embedding_dimensions=dims):
+            if self.create_commit(version + 1, batch, run_name="compact", replaces=live, embedding_dimensions=dims, **held):
                 return batch
 
+    def compact_tiers(self, fan_in: int = 8) -> int:
+        """Merge batches of like size until fewer than ``fan_in`` of any size are left; returns the rows written.
+
+        A batch is of the tier of the power of ``fan_in`` that its rows reach, and only batches of one tier are merged, so
+        a row is written again about once for each tier and not once for each compaction.
+        """
+        written = 0
+        while True:
+            tiers: dict[int, list[str]] = {}
+            for r in self.commits().where("rows > 0").select("ingest_batch", "rows").collect():  # one row per batch
+                tiers.setdefault(max(k for k in range(64) if fan_in ** k <= r["rows"]), []).append(r["ingest_batch"])
+            full = [names for _, names in sorted(tiers.items()) if len(names) >= fan_in]
+            if not full:
+                return written
+            batch = self.compact(full[0])
+            written += self.rows("commits").where(F.col("ingest_batch") == batch).first()["rows"]
+
+    def totals(self) -> DataFrame:
+        """(doc_type, documents, chunks, first_date, last_date) of what is visible, from the commits.
+
+        Dates of kinds that deletes have touched are looked up in the documents of those kinds, all else is in the commits.
+        """
+        entries = self.commits().select(F.explode("kinds").alias("k")).select("k.*")
+        summed = entries.groupBy("doc_type").agg(
+            F.sum("documents").alias("documents"), F.sum("chunks").alias("chunks"), F.min("first_date").alias("first_date"),
+            F.max("last_date").alias("last_date"), F.max(F.col("documents") < 0).alias("touched"))
+        touched = [r[0] for r in summed.where("touched").select("doc_type").collect()]  # one row per kind
+        if touched:
+            known = F.coalesce(F.col("doc_type").isin([t for t in touched if t is not None]), F.lit(None in touched))
+            dates = self.documents().where(known).groupBy("doc_type").agg(F.min("meeting_date").alias("lo"), F.max("meeting_date").alias("hi"))
+            summed = summed.join(dates.withColumnRenamed("doc_type", "of"), F.col("doc_type").eqNullSafe(F.col("of")), "left")
+            summed = (summed.withColumn("first_date", F.when(F.col("touched"), F.col("lo")).otherwise(F.col("first_date")))
+                      .withColumn("last_date", F.when(F.col("touched"), F.col("hi")).otherwise(F.col("last_date"))))
+        return summed.where("documents > 0 or chunks > 0").select("doc_type", "documents", "chunks", "first_date", "last_date")
+
     def live_batches(self) -> list[str]:
         return [r[0] for r in self.commits().select("ingest_batch").collect()]  # one row per batch
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quirefold.plans.ingest import IngestOptions, ingest, ingest_batch, new_documents, prepare_batch
-from quirefold.plans.reports import search_text
+from quirefold.plans.reports import search_text, stats_of
 from quirefold.plans.resolve import from_texts
 from quirefold.plans.vector_index import VectorIndex
 from quirefold.sources.shared import shared_path
@@ -238,6 +238,27 @@ def store_delete(spark, sf):
     return left.unionByName(left_chunks.select(F.lit("chunks").alias("tab"), "source_hash", "chunk_index"))
 
 
+@query(f"""
+WITH {_FIRSTS}, kept AS (SELECT * FROM firsts WHERE source_hash >= '2')
+SELECT 'documents' AS metric, '' AS key, CAST(count(*) AS VARCHAR) AS value FROM kept
+UNION ALL SELECT 'first_date', '', CAST(min(meeting_date) AS VARCHAR) FROM kept
+UNION ALL SELECT 'last_date', '', CAST(max(meeting_date) AS VARCHAR) FROM kept
+UNION ALL SELECT 'documents_of_type', doc_type, CAST(count(*) AS VARCHAR) FROM kept GROUP BY doc_type
+UNION ALL SELECT 'chunks', '', CAST(count(*) AS VARCHAR) FROM stored_chunks WHERE source_hash >= '2'""")
+def store_stats(spark, sf):
+    """Statistics out of the commits after three runs, deletes before and after batches are merged by size."""
+    store = DocumentStore(spark, shared_path(spark, "store"))
+    d = docs(spark, sf)
+    firsts = d.groupBy("source_hash").agg(F.min("document_id").alias("document_id")).select("document_id")
+    d = d.join(firsts, "document_id", "left_semi")
+    for rest in range(3):
+        ingest(spark, store.root, _incoming(d.where(F.col("document_id") % 3 == rest)), f"run {rest}", OPTIONS)
+    store.delete(store.documents().where("source_hash < '1'"))
+    store.compact_tiers(2)
+    store.delete(store.documents().where("source_hash < '2'"))
+    return stats_of(store)
+
+
 @query(f"""
 WITH {_FIRSTS}
 SELECT 'documents' AS tab, (SELECT count(*) FROM firsts) AS removed, CAST(0 AS BIGINT) AS remaining

@@ -294,6 +294,19 @@ def chunk_recursive_lossless(spark, sf):
     return whole.select("document_id", F.sha2(F.regexp_replace(joined, r"\s+", ""), 256).alias("letters"))
 
 
+@query(f"SELECT doc_id AS document_id, CAST(0 AS BIGINT) AS oversized, CAST(0 AS BIGINT) AS gaps FROM documents "
+       f"WHERE length(trim({clean_sql('text')}, {SPACES})) > 0")
+def chunk_recursive_bounds(spark, sf):
+    """No chunk but a merged last one is larger than the size, and chunks are numbered without gaps."""
+    d = _texts(spark, sf).select(F.col("doc_id").alias("document_id"), tx.clean_text(F.col("text")).alias("text"))
+    pieces = chunk_documents(d, size=60, overlap=10, max_chunks=2 ** 31 - 1)
+    n, last = F.count("*"), F.max("chunk_index") + 1
+    over = F.count_if(tx.token_estimate(F.col("chunk_text")) > 60)
+    last_over = F.max_by(tx.token_estimate(F.col("chunk_text")) > 60, "chunk_index").cast("long")
+    merged = F.max_by(tx.token_estimate(F.col("chunk_text")) <= 91, "chunk_index")  # 60, a blank, and less than 30
+    return pieces.groupBy("document_id").agg((over - F.when(merged, last_over).otherwise(0)).alias("oversized"), (last - n).alias("gaps"))
+
+
 # --- listings, details and bodies -----------------------------------------------------------------
 
 # Each document is listed by one payload. English ones are of the first kind.

@@ -27,7 +27,7 @@ def test_every_sql_has_its_query():
 
 # Queries that write tables on the way; their plans are those of the reads at the end.
 _WRITERS = {"ingest_documents", "ingest_chunks", "run_summary", "store_delete", "ingest_stream",
-            "topk_batch_blocks", "late_bodies", "two_writers", "ingest_violations", "store_search_index", "topk_cells", "topk_cells_full"}
+            "topk_batch_blocks", "late_bodies", "two_writers", "store_stats", "ingest_violations", "store_search_index", "topk_cells", "topk_cells_full"}
 
 
 def plan_of(frame) -> str:

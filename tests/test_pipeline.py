@@ -352,6 +352,60 @@ def test_deletes_and_compaction_beside_other_writers(spark, tmp_path):
     assert store.delete_all()["documents"] == 3 and store.documents().count() == 0
 
 
+def _stats(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+def test_statistics_from_commits(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "s")).create()
+
+    def same():
+        assert _stats(reports.stats_of(store)) == _stats(reports.stats(store.documents(), store.chunks()))
+        assert reports.stats_of(store).where("metric = 'documents'").first()["value"] == str(store.documents().count())
+
+    same()
+    for i in range(6):
+        ingest(spark, store.root, _texts(spark, [(10 * i + j, f"text {i} {j} " * 9) for j in range(3)], SECOND if i % 2 else FIRST), f"r{i}", OPTIONS)
+    same()
+    assert "documents/" not in reports.stats_of(store)._jdf.queryExecution().toString()  # the tables are not read
+    store.delete(store.documents().where("url in ('u0', 'u12', 'u51')"))
+    same()
+    before = _contents(store)
+    written = store.compact_tiers(3)
+    assert _contents(store) == before and 0 < written and store.commits().where("rows > 0").count() < 6
+    same()
+    store.delete(store.documents().where("url = 'u1'"))
+    same()
+    between, create = [lambda: DocumentStore(spark, store.root).delete(store.documents().where("url = 'u2'"))], store.create_commit
+
+    def interrupted(version, batch, **values):
+        while between:
+            between.pop()()
+        return create(version, batch, **values)
+
+    store.create_commit = interrupted
+    store.compact(store.live_batches())  # some batches, which happen to be all
+    same()
+    store.compact()
+    same()
+    first, second = (prepare_batch(store, _texts(spark, [(90, "both have this"), (n, f"own {n}")]), OPTIONS, f"w{n}") for n in (91, 92))
+    first.commit()
+    second.commit()
+    same()
+    store.delete_all()
+    same()
+
+
+def test_rows_are_written_once_for_each_tier(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "s")).create()
+    total = written = 0
+    for i in range(9):
+        done = ingest(spark, store.root, _texts(spark, [(i, f"alone {i}")]), f"r{i}", OPTIONS)
+        total += done["documents_processed"] + done["chunks_inserted"]
+        written += store.compact_tiers(3)
+    assert written <= 3 * total and store.documents().count() == 9 and store.chunks().count() == 9
+
+
 def test_a_discarded_run_starts_afresh(spark, landed, tmp_path):
     store = DocumentStore(spark, str(tmp_path / "s"))
     run_incremental(spark, landed, store.root, "daily", options=OPTIONS).awaitTermination()
