@@ -47,13 +47,14 @@ def assign_cells(df: DataFrame, centroids: np.ndarray, vector_col: str = "embedd
 
 
 def write_cells(df: DataFrame, path: str, keys=("document_id", "chunk_index"), rows_per_file: int = 1_000_000,
-                mode: str = "overwrite") -> None:
-    """Store an assigned table by cell, a large cell spread over as many tasks and files as its size asks for."""
+                mode: str = "overwrite") -> dict[int, int]:
+    """Store an assigned table by cell, a large cell spread over as many tasks and files as its size asks for; rows by cell."""
     sizes = df.groupBy("cell").agg(F.count("*").alias("n")).collect()  # one row per cell
     parts = F.create_map(*[F.lit(x) for r in sizes for x in (r["cell"], -(-r["n"] // rows_per_file))])
     salt = F.pmod(F.xxhash64(*keys), F.try_element_at(parts, F.col("cell"))) if sizes else F.lit(0)
     (df.withColumn("_salt", salt).repartition("cell", "_salt").drop("_salt")
      .write.mode(mode).partitionBy("cell").parquet(path))
+    return {r["cell"]: r["n"] for r in sizes}
 
 
 def _probed(vectors: np.ndarray, centroids: np.ndarray, nprobe: int) -> np.ndarray:
@@ -73,6 +74,13 @@ def probed_cells(query: np.ndarray, centroids: np.ndarray, nprobe: int) -> np.nd
     return np.flatnonzero(_probed(query[None, :], centroids, nprobe)[0][: len(centroids)])
 
 
+def within_share(query: np.ndarray, centroids: np.ndarray, sizes: np.ndarray, share: float) -> np.ndarray:
+    """Places of the nearest centroids, in that order, whose cells hold no more than a share of all rows; at least one."""
+    order = np.argsort(-(unit_rows(query[None, :]) @ centroids.T)[0], kind="stable")
+    held = np.cumsum(sizes[order])
+    return order[: max(1, int(np.searchsorted(held, share * sizes.sum(), side="right")))]
+
+
 def _only(df: DataFrame, mask: np.ndarray) -> DataFrame:
     cells = [int(c) if c < mask.shape[1] - 1 else NO_CELL for c in np.flatnonzero(mask.any(axis=0))]
     return df.where(F.col("cell").isin(cells))

@@ -133,10 +133,12 @@ def search(documents: DataFrame, chunks: DataFrame, query, k: int = fv.TOP_K, do
 
 
 def search_text(store: DocumentStore, text: str, k: int = fv.TOP_K, doc_type: str | None = None,
-                provider: str = "hashing", nprobe: int | None = None, **options) -> DataFrame:
-    """Search the store by a text, embedded by the provider of its chunks; with ``nprobe`` in so many cells of its index."""
+                provider: str = "hashing", nprobe: int | None = None, share: float | None = None, **options) -> DataFrame:
+    """Search the store by a text, embedded by the provider of its chunks; with ``nprobe`` in so many cells of its index,
+    with ``share`` in the nearest cells that hold that part of its rows."""
     query = embed_query(store.spark, text, provider, **options)
-    candidates = None if nprobe is None else VectorIndex(store).candidates(query, nprobe, doc_type)
+    exact = nprobe is None and share is None
+    candidates = None if exact else VectorIndex(store).candidates(query, nprobe, doc_type, share)
     return search(store.documents(), store.chunks(), query, k, doc_type, complete=True, candidates=candidates)
 
 

@@ -2,7 +2,8 @@
 
 Chunk vectors are stored by cell, the nearest of a set of centroids. The centroids are a versioned artefact, fitted on a
 bounded sample; every row is indexed. New batches are added after their commit, and until then searched whole. A cell
-that has grown too large is split. Batches, deletes and compactions of the store hold for the index at once, since its
+that has grown too large is split, and rows of the cells around it that lie nearer to one of its parts go there. A search
+takes so many cells, or as many of the nearest as hold a share of all rows. Batches, deletes and compactions of the store hold for the index at once, since its
 rows carry the batch they belong to. Changes to the index are numbered commits of its own: a change that another one has
 come before is worked out anew.
 """
@@ -17,13 +18,15 @@ from pyspark.sql import functions as F
 
 from quirefold import schemas
 from quirefold.functions.vectors import unit_rows
-from quirefold.operators.cells import NO_CELL, assign_cells, probed_cells, train_cells, write_cells
+from quirefold.operators.cells import NO_CELL, assign_cells, probed_cells, train_cells, within_share, write_cells
 from quirefold.operators.select import of_types
 from quirefold.sources.commit_log import CommitLog
 from quirefold.sources.store import DocumentStore
 
 #: Vectors that centroids are fitted on at most, and vectors of one cell that its parts are fitted on.
 FIT_ROWS, SPLIT_ROWS = 100_000, 5_000
+#: Cells around one that is split whose rows are looked at again.
+NEIGHBOURS = 8
 _SHARES = 1 << 20
 
 
@@ -34,6 +37,7 @@ class IndexState:
     cells: np.ndarray
     centroids: np.ndarray
     batches: set[str]
+    sizes: np.ndarray  # rows written to each cell, those that deletes have taken since included
 
 
 def _parts(vectors: np.ndarray, k: int, seed: int, rounds: int = 10) -> np.ndarray:
@@ -67,9 +71,15 @@ class VectorIndex:
         last = changes[-1]
         # As many rows as cells.
         rows = sorted(self.spark.read.schema(schemas.CENTROIDS).parquet(f"{self.root}/{last['centroids']}").collect(), key=lambda r: r["cell"])
+        written: dict[int, int] = {}
+        for change in changes:
+            if change["generation"] == last["generation"]:
+                for r in change["sizes"] or ():
+                    written[r["cell"]] = written.get(r["cell"], 0) + r["n"]
         return IndexState(last["version"], last["generation"], np.array([r["cell"] for r in rows], dtype=np.int64),
                           np.array([r["centroid"] for r in rows], dtype=np.float64).reshape(len(rows), -1 if rows else 1),
-                          {b for r in changes if r["generation"] == last["generation"] for b in r["batches"]})
+                          {b for r in changes if r["generation"] == last["generation"] for b in r["batches"]},
+                          np.array([written.get(r["cell"], 0) for r in rows], dtype=np.int64))
 
     def build(self, n_cells: int, fit_rows: int = FIT_ROWS, seed: int = 1) -> None:
         """Fit centroids on a sample of so many of the visible vectors and index all of them, in place of an older index."""
@@ -83,8 +93,8 @@ class VectorIndex:
         name = self._write_centroids(generation, np.arange(len(centroids)), centroids)
         while True:
             version, live = self.log.version(), self.store.live_batches()
-            entry = self._write_rows(generation, self._chunks_of(live), np.arange(len(centroids)), centroids)
-            if self._create(version + 1, entry, generation, name, live):
+            entry, sizes = self._write_rows(generation, self._chunks_of(live), np.arange(len(centroids)), centroids)
+            if self._create(version + 1, entry, generation, name, live, sizes):
                 return
 
     def add(self) -> int:
@@ -96,14 +106,15 @@ class VectorIndex:
             missing = [b for b in self.store.live_batches() if b not in state.batches]
             if not missing:
                 return 0
-            entry = self._write_rows(state.generation, self._chunks_of(missing), state.cells, state.centroids)
-            if self._create(state.version + 1, entry, state.generation, self._centroids_name(state), missing):
+            entry, sizes = self._write_rows(state.generation, self._chunks_of(missing), state.cells, state.centroids)
+            if self._create(state.version + 1, entry, state.generation, self._centroids_name(state), missing, sizes):
                 return len(missing)
 
     def split(self, max_rows: int) -> int:
         """Split the cells with more rows than that, each by k-means over a sample of its own; how many were split.
 
-        Their rows go to the nearest of all cells again; the old cells are not read any more.
+        Their rows and those of the nearest ``NEIGHBOURS`` cells around each go to the nearest of all cells again. The
+        neighbours keep their centroids under new numbers; cells under old numbers are not read any more.
         """
         while True:
             state = self.state()
@@ -125,21 +136,29 @@ class VectorIndex:
                 return pd.DataFrame({"cell": cell, "centroid": _parts(units, into[cell], cell).tolist()})
 
             found = sample.select(*schemas.CHUNK_KEY, "cell", "embedding").groupBy("cell").applyInPandas(parts, schemas.CENTROIDS).collect()
-            kept = ~np.isin(state.cells, list(sizes))
-            fresh = sorted((r["cell"], tuple(r["centroid"])) for r in found)
+            split = np.isin(state.cells, list(sizes))
+            around = np.argsort(-(state.centroids[split] @ state.centroids.T), axis=1, kind="stable")[:, : NEIGHBOURS + 1]
+            moved = np.union1d(np.flatnonzero(split), around)
+            kept = np.setdiff1d(np.arange(len(state.cells)), moved)
+            fresh = np.concatenate([np.array([c for _, c in sorted((r["cell"], tuple(r["centroid"])) for r in found)]),
+                                    state.centroids[moved[~split[moved]]]])
             first = self._next_cell(state)
             cells = np.concatenate([state.cells[kept], np.arange(first, first + len(fresh))])
-            centroids = np.concatenate([state.centroids[kept], np.array([c for _, c in fresh])])
+            centroids = np.concatenate([state.centroids[kept], fresh])
             name = self._write_centroids(state.generation, cells, centroids)
-            entry = self._write_rows(state.generation, overfull, cells, centroids)
-            if self._create(state.version + 1, entry, state.generation, name, []):
+            again = rows.where(F.col("cell").isin([int(c) for c in state.cells[moved]]))
+            entry, written = self._write_rows(state.generation, again, cells, centroids)
+            if self._create(state.version + 1, entry, state.generation, name, [], written):
                 return len(sizes)
 
-    def candidates(self, query, nprobe: int, doc_type: str | None = None) -> DataFrame:
-        """Chunk keys and vectors of the ``nprobe`` cells nearest to a query, and of all batches that are not indexed yet.
+    def candidates(self, query, nprobe: int | None = None, doc_type: str | None = None, share: float | None = None) -> DataFrame:
+        """Chunk keys and vectors of the cells nearest to a query, and of all batches that are not indexed yet.
 
-        Asking for every cell gives every chunk. Cells are partitions, so the others are not read.
+        ``nprobe`` says how many cells, or ``share`` what part of all rows they hold at most. Asking for every cell, or
+        a share of one, gives every chunk. Cells are partitions, so the others are not read.
         """
+        if (nprobe is None) == (share is None):
+            raise ValueError("either nprobe or share")
         state = self.state()
         chunks = self.store.chunks()
         if doc_type is not None:
@@ -147,8 +166,10 @@ class VectorIndex:
         if state is None:
             return chunks.select(*schemas.CHUNK_KEY, "embedding")
         rows = self._rows(state)
-        if nprobe < len(state.cells):
-            near = probed_cells(np.asarray(query, dtype=np.float64), state.centroids, nprobe)
+        if len(state.cells) and (nprobe < len(state.cells) if share is None else share < 1):
+            vector = np.asarray(query, dtype=np.float64)
+            near = (probed_cells(vector, state.centroids, nprobe) if share is None
+                    else within_share(vector, state.centroids, state.sizes, share))
             rows = rows.where(F.col("cell").isin([int(c) for c in state.cells[near]]))
         if doc_type is not None:
             rows = of_types(rows, [doc_type])
@@ -175,11 +196,12 @@ class VectorIndex:
     def _chunks_of(self, batches: list[str]) -> DataFrame:
         return self.store.rows("chunks").where(F.col("ingest_batch").isin(batches))
 
-    def _write_rows(self, generation: str, chunks: DataFrame, cells: np.ndarray, centroids: np.ndarray) -> str:
+    def _write_rows(self, generation: str, chunks: DataFrame, cells: np.ndarray, centroids: np.ndarray) -> tuple[str, dict[int, int]]:
+        """The entry that the rows are written under, and their number by cell."""
         entry = uuid.uuid4().hex
         rows = chunks.select(*schemas.CHUNK_KEY, "doc_type", "ingest_batch", "embedding").withColumn("entry", F.lit(entry))
-        write_cells(assign_cells(rows, centroids, cells=cells), self._path(generation), schemas.CHUNK_KEY, mode="append")
-        return entry
+        sizes = write_cells(assign_cells(rows, centroids, cells=cells), self._path(generation), schemas.CHUNK_KEY, mode="append")
+        return entry, sizes
 
     def _write_centroids(self, generation: str, cells: np.ndarray, centroids: np.ndarray) -> str:
         name = f"{generation}/centroids-{uuid.uuid4().hex}"
@@ -194,7 +216,9 @@ class VectorIndex:
         """A number that no cell of the generation has had."""
         return max(r["next_cell"] for r in self.log.rows().where(F.col("generation") == state.generation).collect())
 
-    def _create(self, version: int, entry: str, generation: str, centroids: str, batches: list[str]) -> bool:
+    def _create(self, version: int, entry: str, generation: str, centroids: str, batches: list[str],
+                sizes: dict[int, int]) -> bool:
         top = self.spark.read.schema(schemas.CENTROIDS).parquet(f"{self.root}/{centroids}").agg(F.max("cell")).first()[0]
         return self.log.create(version, {"entry": entry, "generation": generation, "centroids": centroids, "batches": batches,
-                                         "next_cell": 0 if top is None else top + 1})
+                                         "next_cell": 0 if top is None else top + 1,
+                                         "sizes": [{"cell": c, "n": n} for c, n in sizes.items()]})

@@ -163,6 +163,7 @@ INDEX = T.StructType([
     T.StructField("centroids", T.StringType()),
     T.StructField("batches", T.ArrayType(T.StringType())),
     T.StructField("next_cell", T.IntegerType()),
+    T.StructField("sizes", T.ArrayType(T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("n", T.LongType())]))),
 ])
 
 CENTROIDS = T.StructType([
