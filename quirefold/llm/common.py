@@ -14,6 +14,9 @@ from quirefold.sources.shared import shared_root
 #: Text bytes of one unit of work, small enough to lie in a Python worker several times over.
 UNIT_BYTES = 8 << 20
 
+#: Text bytes that count once when ranges of ids are weighed.
+GRAIN = 1 << 10
+
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -52,11 +55,14 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
-def id_cuts(docs: DataFrame, n: int, key: str = "doc_id") -> list[int]:
-    """First ids of about ``n`` ranges that hold as many rows each; one number per range."""
+def id_cuts(docs: DataFrame, n: int, key: str = "doc_id", text: str | None = None) -> list[int]:
+    """First ids of about ``n`` ranges that hold as many rows each, or as many bytes of a text; one number per range."""
     if n <= 1:
         return []
     steps = [i / n for i in range(1, n)]
+    if text is not None:  # an id counts once for every grain of its text, rounded up or down at random by what is left
+        grains = F.floor(F.coalesce(F.octet_length(text), F.lit(0)) / GRAIN + F.rand(0)).cast("int")
+        docs = docs.select(key, grains.alias("grains")).where("grains > 0").select(key, F.explode(F.sequence(F.lit(1), F.col("grains"))))
     found = docs.agg(F.percentile_approx(key, steps, max(10_000, 20 * n))).first()[0]
     return sorted(set(found or []))
 
@@ -76,10 +82,10 @@ def range_of(key: str, cuts: list[int]):
 def in_units(docs: DataFrame, columns: list, unit_bytes: int = UNIT_BYTES, key: str = "doc_id") -> tuple[DataFrame, int]:
     """Documents dealt out by ranges of their ids, as column ``unit``, and the number of units.
 
-    Every unit lies whole in one partition, and unit numbers ascend with the ids.
+    Ranges hold about as many bytes of text each, so long documents that follow each other lie in units of their own. Every unit lies whole in one partition, and unit numbers ascend with the ids.
     """
     n = max(1, -(-text_bytes(docs) // unit_bytes))
-    cuts = id_cuts(docs, n, key)
+    cuts = id_cuts(docs, n, key, "text")
     units = docs.select(*columns).withColumn("unit", range_of(key, cuts)) if cuts else (
         docs.select(*columns).withColumn("unit", F.lit(0)))
     return units.repartition(n, "unit"), n

@@ -2,13 +2,13 @@
 
 Native DataFrame functions only. Every window of a document becomes one 64-bit hash that is looked up in the set of
 test windows; a hit is verified on the words themselves. The set is broadcast while it is smaller than a stated
-number of bytes and joined by shuffling beyond that.
+number of bytes. Beyond that, places and hashes alone are shuffled to it, and what is found there goes back to the texts.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirefold.llm.common import carried
+from quirefold.llm.common import carried, checkpointed
 
 WINDOW = 10
 #: Largest set of test windows that is broadcast, in bytes of their texts and item lists.
@@ -79,10 +79,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, carry: tup
     grams = test_windows(benchmark, window)
     facts = grams.agg(F.collect_set("size"), F.sum(F.octet_length("gram") + 16 * F.size("items") + 16)).first()
     lengths, weight = sorted(facts[0]), facts[1] or 0
+    if weight > broadcast_bytes:
+        return _scan_by_shuffle(docs, grams, lengths, carry)
     every = grams.sparkSession.range(1).select(F.lit(_ROW).cast("long").alias("h"), F.lit("").alias("gram"),
                                                F.lit(0).alias("size"), F.array().cast("array<string>").alias("items"))
-    table = grams.unionByName(every)
-    table = F.broadcast(table) if weight <= broadcast_bytes else table
+    table = F.broadcast(grams.unionByName(every))
 
     kept = F.struct(*[F.col(c) for c in carry])
     rows = (docs.select(kept.alias("kept"), words_of(F.col("text")).alias("words"))
@@ -92,11 +93,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, carry: tup
     entries = F.flatten(F.transform(F.array(_hashes(F.col("words"))), lambda hashes: F.concat(
         F.array(F.lit(_ROW).cast("long")), *[_windows(hashes, n, length) for length in lengths])))
     probes = rows.select("row", "kept", "words", F.posexplode(entries).alias("at", "h"))
-    pos, length, first = F.lit(-1), n, F.lit(1)
-    for size in lengths:  # entry 0 stands for the row, then come the windows of each length
-        pos, length = F.when(F.col("at") >= first, F.col("at") - first).otherwise(pos), F.when(
-            F.col("at") >= first, F.lit(size)).otherwise(length)
-        first = first + F.greatest(n - size + 1, F.lit(0))
+    pos, length = _place(F.col("at"), n, lengths, 1)  # entry 0 stands for the row
     same = F.when(pos < 0, F.col("size") == 0).otherwise(
         (length == F.col("size")) & (F.array_join(F.slice("words", F.greatest(pos, F.lit(0)) + 1, length), " ") == F.col("gram")))
     hits = probes.join(table, "h").where(same).select(
@@ -110,6 +107,39 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, carry: tup
                         F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
 
 
+def _place(at: Column, n: Column, lengths: list[int], first: int) -> tuple[Column, Column]:
+    """Position and length of the window behind an entry: from entry ``first`` on come the windows of each length."""
+    pos, length, start = F.lit(-1), n, F.lit(first)
+    for size in lengths:
+        pos, length = F.when(at >= start, at - start).otherwise(pos), F.when(at >= start, F.lit(size)).otherwise(length)
+        start = start + F.greatest(n - size + 1, F.lit(0))
+    return pos, length
+
+
+def _scan_by_shuffle(docs: DataFrame, grams: DataFrame, lengths: list[int], carry: tuple[str, ...]) -> DataFrame:
+    """``scan`` for a set that is too large to be broadcast.
+
+    A window travels as its place and two hashes, of the text and of the window. Windows whose hash is in the set are
+    gathered by text, equal texts once, written down, and joined back to the documents, where they are verified on the
+    words. A hash that two texts or two windows share thus costs a comparison and changes nothing.
+    """
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("mark")
+    rows = docs.select(F.struct(*[F.col(c) for c in carry]).alias("kept"), words_of(F.col("text")).alias("words"), mark)
+    entries = F.flatten(F.transform(F.array(_hashes(F.col("words"))), lambda hashes: F.concat(
+        *[_windows(hashes, F.size("words"), length) for length in lengths])))
+    probes = rows.select("mark", F.size("words").alias("n"), F.posexplode(entries).alias("at", "h"))
+    pos, length = _place(F.col("at"), F.col("n"), lengths, 0)
+    probes = probes.select("mark", "h", pos.alias("pos"), length.alias("size"))
+    found = (probes.join(grams, ["h", "size"])
+             .groupBy("mark").agg(F.collect_set(F.struct("pos", (F.col("pos") + F.col("size")).alias("end"), "gram", "items")).alias("hits")))
+    same = F.filter("hits", lambda x: F.array_join(F.slice("words", x["pos"] + 1, x["end"] - x["pos"]), " ") == x["gram"])
+    hits = rows.join(checkpointed(found), "mark", "left").select("kept", F.size("words").alias("n_words"), F.coalesce(
+        same, F.array().cast("array<struct<pos:int,end:int,gram:string,items:array<string>>>")).alias("hits"))
+    spans = F.array_sort(F.transform("hits", lambda x: F.struct(x["pos"].alias("pos"), x["end"].alias("end"))))
+    return hits.select("kept", "n_words", _merged(spans).alias("spans"),
+                       F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda x: x["items"])))).alias("items"))
+
+
 def _merged(spans: Column) -> Column:
     """Overlapping or touching spans, sorted by start, as disjoint ones: a span that starts after all before it ended
     opens a run, and a run ends where the next one opens."""

@@ -71,11 +71,22 @@ def test_one_id_in_all_rows_is_one_row_of_the_sample(spark):
     assert len(taken[0][0]) == 1 and taken[0][1] == [1]
 
 
+def test_a_set_too_large_to_broadcast(spark, sf):
+    """Whole documents against items cut from them: both ways of joining give the same rows."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    benchmark = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.col("item_id").cast("string"), "text").unionByName(
+        docs.select(F.concat(F.lit("d"), "doc_id").alias("item_id"), F.substring("text", 40, 400).alias("text")).where("item_id like '%7'"))
+    a, b = (sorted(map(str, decontaminate.scan(docs, benchmark, broadcast_bytes=n).collect())) for n in (64 << 20, 0))
+    assert a == b and len(a) == docs.count()
+
+
 def test_spans_and_edges_of_decontamination(spark, edge, nothing):
     """Null, empty, long and repeated texts, removed spans, and the benchmark set joined by shuffling."""
     benchmark = spark.createDataFrame([(1, "one two three four five six seven"), (2, None), (None, "w5 und w6 und"), (3, "")], "item_id long, text string")
     held = [sorted(map(str, decontaminate.scan(edge, benchmark, carry=("doc_id",), broadcast_bytes=b).collect())) for b in (1 << 20, 0)]
     assert held[0] == held[1] and len(held[0]) == edge.count()
+    plan = decontaminate.scan(edge, benchmark, broadcast_bytes=0)
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
     hit = {r.kept.doc_id for r in decontaminate.scan(edge, benchmark).where("size(spans) > 0").collect()}
     assert {3, 4} <= hit and not hit & {1, 2, 5, 6, 7, None}
     left = decontaminate.decontaminate(edge, benchmark)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirefold.llm import block_dedup, suffix_dedup
+from quirefold.llm.common import in_units
 
 
 def sha(data):
@@ -124,3 +125,15 @@ def test_contents_that_agree_in_32_bits(spark, unit_bytes):
 def test_length_is_checked(spark):
     with pytest.raises(ValueError, match="at least 32"):
         suffix_dedup.report(spark.createDataFrame([(1, "x")], "doc_id long, text string"), length=20)
+
+
+def test_long_neighbours_lie_in_units_of_their_own(spark):
+    """Units hold about as many bytes each, wherever in the order of ids the long documents are."""
+    size = F.when(F.col("id").between(2_000, 2_039), 100_000).otherwise(F.lit(100))
+    docs = spark.range(4_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), size).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(None, None), (5_000, None)], "doc_id long, text string"))
+    units, n = in_units(docs, ["doc_id", "text"], 300_000)
+    held = units.groupBy("unit").agg(F.sum(F.octet_length("text")).alias("bytes"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                     F.count("*").alias("rows")).orderBy("unit").collect()
+    assert n == 15 and sum(r.rows for r in held) == 4_002 and max(r.bytes or 0 for r in held) <= 500_000
+    assert all(a.hi < b.lo for a, b in zip(held, held[1:]))
