@@ -156,6 +156,15 @@ BODIES = T.StructType([
 ])
 
 # One numbered row per change of a vector index; the last one names its centroids.
+#: Files of batches that are laid out by id, with the ids they lie between.
+FILES = T.StructType([
+    T.StructField("tab", T.StringType()),
+    T.StructField("ingest_batch", T.StringType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("lo", T.LongType()),
+    T.StructField("hi", T.LongType()),
+])
+
 INDEX = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("entry", T.StringType()),

@@ -12,6 +12,7 @@ else has; otherwise it looks at what the later commits hold, gives way where the
 import json
 import uuid
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,10 @@ from quirefold.sources.commit_log import CommitLog
 _TABLES = {"documents": schemas.DOCUMENTS, "chunks": schemas.CHUNKS, "quarantine": schemas.QUARANTINE}
 _ORDER = {"documents": ("meeting_date", "document_id"), "chunks": ("document_id", "chunk_index"),
           "quarantine": schemas.ORDER_KEY}
+#: Columns that single documents are looked up by; files carry Bloom filters on them, so that most are not read for an id.
+_LOOKED_UP = {"documents": ("document_id", "source_hash"), "chunks": ("document_id",), "quarantine": ()}
+#: Rows of one file of a compacted batch, about.
+FILE_ROWS = 1_000_000
 # Kept in the chunk files of a batch for its own bookkeeping; not a column of the table.
 EMBED_ERROR = T.StructField("embed_error", T.StringType())
 COUNTS = ("documents_processed", "chunks_inserted", "quarantined", "oversize", "truncated")
@@ -48,7 +53,8 @@ class DocumentStore:
         for table, schema in _TABLES.items():
             (self.spark.createDataFrame([], schema).write.mode("ignore")
              .partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
-        self.spark.createDataFrame([], schemas.DELETES).write.mode("ignore").parquet(self.path("deletes"))
+        for table, schema in (("deletes", schemas.DELETES), ("files", schemas.FILES)):
+            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(table))
         self.log.bootstrap()
         return self
 
@@ -84,7 +90,7 @@ class DocumentStore:
         """All rows of a table's files, visible or not."""
         if table == "commits":
             return self.log.rows()
-        schema = schemas.DELETES if table == "deletes" else _TABLES[table]
+        schema = {**_TABLES, "deletes": schemas.DELETES, "files": schemas.FILES}[table]
         return self.spark.read.schema(schema).parquet(self.path(table))
 
     def commits(self) -> DataFrame:
@@ -99,7 +105,10 @@ class DocumentStore:
 
     def read(self, table: str) -> DataFrame:
         """The visible rows of a table; of the quarantine those that have not been tried again."""
-        seen = self.rows(table).join(self.commits().select("ingest_batch"), "ingest_batch", "left_semi")
+        return self._visible(table, self.rows(table))
+
+    def _visible(self, table: str, rows: DataFrame) -> DataFrame:
+        seen = rows.join(self.commits().select("ingest_batch"), "ingest_batch", "left_semi")
         if table == "quarantine":
             settled = self.rows("commits").select(F.explode("settles").alias("ingest_batch"))
             seen = seen.join(settled, "ingest_batch", "left_anti")
@@ -113,6 +122,21 @@ class DocumentStore:
     def chunks(self) -> DataFrame:
         return self.read("chunks")
 
+    def lookup(self, table: str, document_id: int) -> DataFrame:
+        """The visible rows of one document, as ``read`` gives them, from the files that can hold it.
+
+        Compacted batches are laid out by id, and of these only files whose ids lie around it are opened; batches that
+        are not compacted are read with their Bloom filters.
+        """
+        files = self.rows("files").where(F.col("tab") == table).join(self.commits().select("ingest_batch"), "ingest_batch", "left_semi")
+        laid_out = [r[0] for r in files.select("ingest_batch").distinct().collect()]  # at most one row per batch
+        paths = [r[0] for r in files.where(F.lit(document_id).between(F.col("lo"), F.col("hi"))).select("path").collect()]  # files that overlap there
+        rows = self.rows(table).where(~F.col("ingest_batch").isin(laid_out)) if laid_out else self.rows(table)
+        if paths:
+            paths = [unquote(p) for p in paths]  # Spark names files as in addresses
+            rows = rows.unionByName(self.spark.read.schema(_TABLES[table]).option("basePath", self.path(table)).parquet(*paths))
+        return self._visible(table, rows.where(F.col("document_id") == document_id))
+
     def known_hashes(self) -> DataFrame:
         """Hashes of the stored documents."""
         return self.documents().select("source_hash")
@@ -154,9 +178,10 @@ class DocumentStore:
     def write_batch(self, table: str, df: DataFrame) -> None:
         """Add the rows of an attempt, sorted so that row groups can be skipped; they are not visible yet."""
         fields = [*_TABLES[table], *([EMBED_ERROR] if EMBED_ERROR.name in df.columns else [])]
+        filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in _LOOKED_UP[table]}
         (df.select(*[F.col(f.name).cast(f.dataType) for f in fields])
          .sortWithinPartitions(*schemas.PARTITIONS, *_ORDER[table])
-         .write.mode("append").partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
+         .write.mode("append").options(**filters).partitionBy(*schemas.PARTITIONS).parquet(self.path(table)))
 
     def mark_deleted(self, pairs: DataFrame, commit_name: str | Column) -> None:
         """Rows that take (document_id, ingest_batch, doc_type, documents, chunks) out once the commit is there."""
@@ -254,9 +279,19 @@ class DocumentStore:
             if self.create_commit(version + 1, uuid.uuid4().hex, run_name="delete_all", replaces=self.live_batches()):
                 return counts
 
-    def compact(self, batches: list[str] | None = None) -> str:
+    def _write_by_id(self, table: str, df: DataFrame, batch: str, file_rows: int) -> None:
+        """Write a batch in ranges of ids and note the ids that each file holds."""
+        n = max(1, -(-df.count() // file_rows))
+        self.write_batch(table, df.repartitionByRange(n, "document_id").withColumn("ingest_batch", F.lit(batch)))
+        written = self.rows(table).where(F.col("ingest_batch") == batch)
+        files = written.groupBy(F.input_file_name().alias("path")).agg(F.min("document_id").alias("lo"), F.max("document_id").alias("hi"))
+        (files.select(F.lit(table).alias("tab"), F.lit(batch).alias("ingest_batch"), "path", "lo", "hi")
+         .write.mode("append").parquet(self.path("files")))
+
+    def compact(self, batches: list[str] | None = None, file_rows: int = FILE_ROWS) -> str:
         """Write the visible rows of all batches, or of some, anew as one, which takes their place; returns its name.
 
+        Documents and chunks are laid out in ranges of ids, so that a document is looked up in few files.
         Deletes that are committed meanwhile are carried over. If another writer has replaced the same batches, this
         one gives up with ConflictError and leaves nothing to be seen.
         """
@@ -264,7 +299,11 @@ class DocumentStore:
         live = self.live_batches() if batches is None else batches
         dims = self.commits().where(F.col("ingest_batch").isin(live)).agg(F.max("embedding_dimensions")).first()[0]
         for table in _TABLES:
-            self.write_batch(table, self.read(table).where(F.col("ingest_batch").isin(live)).withColumn("ingest_batch", F.lit(batch)))
+            kept = self.read(table).where(F.col("ingest_batch").isin(live))
+            if table == "quarantine":
+                self.write_batch(table, kept.withColumn("ingest_batch", F.lit(batch)))
+            else:
+                self._write_by_id(table, kept, batch, file_rows)
         held = self._held(batch)
         if batches is not None:
             # Deletes stay committed, but what they took from these batches is not there any more to be taken off.

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quirefold.plans.ingest import IngestOptions, ingest, ingest_batch, new_documents, prepare_batch
-from quirefold.plans.reports import search_text, stats_of
+from quirefold.plans.reports import search_text, show_document, stats_of
 from quirefold.plans.resolve import from_texts
 from quirefold.plans.vector_index import VectorIndex
 from quirefold.sources.shared import shared_path
@@ -158,6 +158,20 @@ def two_writers(spark, sf):
             .select("run", "source_hash", "url", F.coalesce("chunks", F.lit(0).cast("long")).alias("chunks"), "documents_processed"))
 
 
+@query(f"""
+WITH {_FIRSTS}, owned AS (SELECT CAST('0x' || substr(source_hash, 1, 15) AS BIGINT) AS document_id, source_hash, title, doc_type, url FROM firsts),
+wanted AS (SELECT max(document_id) AS id FROM owned)
+SELECT document_id, title, doc_type, url, s.chunk_index, left(m.chunk_text, 200) AS preview
+FROM owned JOIN wanted ON document_id = id LEFT JOIN stored_chunks s USING (source_hash) LEFT JOIN merged m USING (source_hash, chunk_index)""")
+def store_lookup(spark, sf):
+    """The stored document with the largest id and its chunks, looked up in a compacted store by the ids its files hold."""
+    store = _stored(spark, sf)
+    store.compact(file_rows=1_000)
+    wanted = store.documents().agg(F.max("document_id")).first()[0]
+    rows = show_document(store.lookup("documents", wanted), store.lookup("chunks", wanted), wanted)
+    return rows.select("document_id", "title", "doc_type", "url", "chunk_index", "preview")
+
+
 _SEARCHED = "the and of und die"
 
 
