@@ -1,5 +1,7 @@
 """Approximate nearest neighbours: an inverted file of k-means cells."""
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
@@ -64,8 +66,9 @@ def _probed(vectors: np.ndarray, centroids: np.ndarray, nprobe: int) -> np.ndarr
     if nprobe >= n_cells:
         mask[:] = True
         return mask
-    nearest = np.argsort(-(unit_rows(vectors) @ centroids.T), axis=1)[:, :nprobe]
-    np.put_along_axis(mask, nearest, True, axis=1)
+    for s in range(0, len(vectors), _TILE):
+        nearest = np.argsort(-(unit_rows(vectors[s : s + _TILE]) @ centroids.T), axis=1)[:, :nprobe]
+        np.put_along_axis(mask[s : s + _TILE], nearest, True, axis=1)
     return mask
 
 
@@ -98,9 +101,6 @@ def approx_batch_top_k(indexed: DataFrame, centroids: np.ndarray, queries: DataF
                        query_id: str = "query_id", query_vector: str = "embedding",
                        block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
     """``batch_top_k`` over the cells each query probes; ``nprobe`` = number of cells is exact."""
-    def prepare(table, vectors):
-        mask = _probed(vectors, centroids, nprobe)
-        return _only(table, mask), mask
-
-    found = scan_queries(indexed, queries, k, keys, vector_col, query_id, query_vector, prepare, block_bytes)
+    probe = functools.partial(_probed, centroids=centroids, nprobe=nprobe) if nprobe < len(centroids) else None
+    found = scan_queries(indexed, queries, k, keys, vector_col, query_id, query_vector, probe, _only, block_bytes)
     return best_per_query(found, k, keys)

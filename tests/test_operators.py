@@ -313,3 +313,64 @@ def test_cells_recall(spark):
     mask = cells._probed(vectors, centroids, 8)
     scanned = sum(sizes.get(c, 0) for row in mask for c in np.flatnonzero(row)) / len(vectors)
     assert scanned / v.count() <= 0.3
+
+
+def test_blocks_of_queries_cost_no_jobs(spark, vectors):
+    q = _frame(spark, vectors).withColumnRenamed("k", "query_id")
+    df = _frame(spark, vectors).repartition(4)
+    group = "blocks of queries"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = batch_top_k(df, q, 3, ["k"], block_bytes=8 * 8 * 2)
+        rows = _grouped(found)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert rows == _brute(vectors, [(k, v) for k, v in vectors if v is not None and any(v)], 3) | {601: [(k, None) for k in range(3)]}
+    assert jobs < 30  # and not one for every two queries
+
+
+def test_a_block_of_queries_bounds_the_memory_of_a_scan():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from quirefold.functions.vectors import unit_rows
+    from quirefold.operators import topk
+
+    rng = np.random.default_rng(3)
+    units, rows = unit_rows(rng.normal(size=(20_000, 16))), rng.normal(size=(1_500, 16))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows))), pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), 16).cast(pa.list_(pa.float64()))],
+                                       names=["key0", "vector"])
+    tracemalloc.start()
+    found = list(topk._scan_rows(iter([batch]), np.arange(len(units)), units, None, 5, ["key0"]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in found) == 5 * len(units)
+    assert peak < 100 << 20  # all scores of a tile of rows would be 160 MB, and several copies of them
+
+
+@pytest.mark.parametrize("nprobe", [2, 6])
+def test_cells_in_blocks(spark, vectors, nprobe):
+    """A set of queries that takes several blocks finds the same rows as one that is held whole."""
+    df = _frame(spark, vectors).repartition(4)
+    centroids = cells.train_cells(df, 6)
+    indexed = cells.assign_cells(df, centroids)
+    q = _frame(spark, vectors).withColumnRenamed("k", "query_id")
+    one, many = (_grouped(cells.approx_batch_top_k(indexed, centroids, q, 4, nprobe, ["k"], block_bytes=b)) for b in (1 << 20, 8 * 8 * 5))
+    assert one == many and len(one) == sum(v is not None for _, v in vectors)
+
+
+def test_hashed_vectors_of_a_batch():
+    """Words are looked up in bulk; the vectors are those of the definition, word by word."""
+    import hashlib
+
+    texts = ["", "a b  A\nß straße", "x " * 300, "İstanbul a", " "]
+    got = HashingProvider(dims=16).embed_batch(texts)
+    for text, vector in zip(texts, got):
+        sums = np.zeros(16)
+        for word in text.lower().split():
+            digest = hashlib.md5(word.encode("utf-8")).hexdigest()
+            sums[int(digest[:8], 16) % 16] += 1 if int(digest[8], 16) < 8 else -1
+        norm = np.sqrt((sums * sums).sum())
+        assert vector == (sums / (norm or 1)).astype(np.float32).tolist()
