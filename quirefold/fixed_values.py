@@ -56,6 +56,9 @@ BOILERPLATE_PATTERNS = (
     (r"(?mUd)^(?:[\s\x1c-\x1f]*+\d+[\s\x1c-\x1f]*$|([\s\x1c-\x1f]++))", "$1"),
 )
 
+# What a pattern cannot match without, in lower case.
+BOILERPLATE_WORDS = dict(zip(BOILERPLATE_PATTERNS, ("banco central do brasil", "copom", "reunião do copom", "www.bcb.gov.br", "página ")))
+
 # --- HTML to text ---------------------------------------------------------------------------------
 HTML_DROPPED_BLOCKS = r"(?isu)<(script|style)[^>]*>.*?</\1>"
 HTML_LINE_BREAKS = r"(?iu)<(br|p|div|h[1-6]|li|tr)[^>]*>"

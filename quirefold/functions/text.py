@@ -33,16 +33,35 @@ _NATIVE_ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0", "copy":
                     "middot": "\u00b7", "#39": "'", "amp": "&"}
 _OTHER_ENTITY = "&(?!(?:" + "|".join(_NATIVE_ENTITIES) + ");)"
 
+# Not ASCII, but equal to s, k, i and i where case is ignored.
+_OTHER_CASE = "\u017f\u212a\u0130\u0131"
+
+
+# Texts of a batch that are Python strings at one time.
+_TEXTS = 64
+
+
+def text_by_text(texts: pa.Array, step, kind: pa.DataType) -> pa.Array:
+    """``step`` of every text that is not null; few of a batch's texts and results are Python objects at one time."""
+    done = [pa.array([None if t is None else step(t) for t in texts.slice(at, _TEXTS).to_pylist()], kind)
+            for at in range(0, len(texts), _TEXTS)]
+    return pa.concat_arrays(done) if done else pa.array([], kind)
+
 
 @F.arrow_udf(T.StringType())
 def _nfkc_arrow(texts: pa.Array) -> pa.Array:
     # Arrow's own utf8_normalize leaves NFKC decomposed.
-    return pa.array([t if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
+    return text_by_text(texts, functools.partial(unicodedata.normalize, "NFKC"), pa.string())
 
 
 @F.arrow_udf(T.StringType())
 def _unescape_arrow(texts: pa.Array) -> pa.Array:
-    return pa.array([t if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string())
+    return text_by_text(texts, html.unescape, pa.string())
+
+
+def _once(c: Column, step) -> Column:
+    """``step`` of a column that is computed once, however often the step names it."""
+    return F.transform(F.array(c), step)[0]
 
 
 def strip_ws(c: Column) -> Column:
@@ -57,7 +76,7 @@ def has_text(c: Column) -> Column:
 
 def remove_invisible(c: Column) -> Column:
     """Drop soft hyphens and zero-width characters."""
-    return F.regexp_replace(c, f"[{fv.INVISIBLE_CHARS}]", "")
+    return functools.reduce(lambda acc, char: F.replace(acc, F.lit(char), F.lit("")), fv.INVISIBLE_CHARS, c)
 
 
 def expand_ligatures(c: Column) -> Column:
@@ -73,20 +92,42 @@ def nfkc(c: Column) -> Column:
 def drop_boilerplate(c: Column, patterns=fv.BOILERPLATE_PATTERNS) -> Column:
     """Remove page headers, footers and lone page numbers: the patterns apply one after the other.
 
-    A pattern is removed; a pair of pattern and replacement is replaced.
+    A pattern is removed; a pair of pattern and replacement is replaced. A pattern with a word that it cannot do without
+    (``fv.BOILERPLATE_WORDS``) is looked for only in texts that hold this word in any case.
     """
     pairs = [(p, "") if isinstance(p, str) else p for p in patterns]
-    return functools.reduce(lambda acc, p: F.regexp_replace(acc, *p), pairs, c)
+
+    def applied(text: Column, pair) -> Column:
+        return F.regexp_replace(text, *pair)
+
+    def rare(text: Column) -> Column:
+        words = sorted({fv.BOILERPLATE_WORDS[p] for p, _ in pairs if p in fv.BOILERPLATE_WORDS})
+        if not words:
+            return functools.reduce(applied, pairs, text)
+        # Letters that match others in any case without being their capitals.
+        held = functools.reduce(lambda acc, x: acc | text.contains(x), _OTHER_CASE, F.exists(F.array(F.lower(text)), lambda low: functools.reduce(
+            lambda acc, w: acc | low.contains(w), words[1:], low.contains(words[0]))))
+        rest = [pair for pair in pairs if pair[0] not in fv.BOILERPLATE_WORDS]
+        return F.when(held, functools.reduce(applied, pairs, text)).otherwise(functools.reduce(applied, rest, text))
+
+    return _once(c, rare)
+
+
+def _where(c: Column, part: str, step) -> Column:
+    """``step`` of the texts that hold a part; the others stay as they are."""
+    return _once(c, lambda text: F.when(text.contains(part), step(text)).otherwise(text))
 
 
 def dehyphenate(c: Column) -> Column:
     """Re-join words split by a hyphen at a line end."""
-    return F.regexp_replace(c, r"-\n(\S)", "$1")
+    return _where(c, "-\n", lambda text: F.regexp_replace(text, r"-\n(\S)", "$1"))
 
 
 def squeeze_ws(c: Column) -> Column:
     """Runs of blanks and tabs become one blank, three or more line feeds become two."""
-    return F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\n{3,}", "\n\n")
+    # A blank on its own is one already.
+    single = _once(c, lambda text: F.when(text.contains("  ") | text.contains("\t"), F.regexp_replace(text, r" [ \t]+|\t[ \t]*", " ")).otherwise(text))
+    return _where(single, "\n\n\n", lambda text: F.regexp_replace(text, r"\n{3,}", "\n\n"))
 
 
 def clean_text(c: Column, patterns=fv.BOILERPLATE_PATTERNS) -> Column:

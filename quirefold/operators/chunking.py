@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from quirefold import fixed_values as fv
 from quirefold.functions.hashing import content_hash
-from quirefold.functions.text import has_text, token_estimate
+from quirefold.functions.text import has_text, text_by_text, token_estimate
 from quirefold.operators.select import within_bytes
 
 SEPARATORS = ("\n\n", "\n", " ")
@@ -140,8 +140,7 @@ def recursive_chunks(c: Column, size: int, overlap: int, length=estimate_tokens)
     """ARRAY<STRING> of the chunks of each text; ``length`` measures tokens. One text at a time per task."""
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def split(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else split_text(t, size, overlap, length) for t in texts.to_pylist()],
-                        pa.list_(pa.string()))
+        return text_by_text(texts, lambda text: split_text(text, size, overlap, length), pa.list_(pa.string()))
 
     return split(c)
 

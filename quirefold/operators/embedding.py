@@ -1,9 +1,13 @@
 """Pluggable embedding providers and the batched embedding operator."""
 
 import functools
-import hashlib
+import itertools
 from typing import Iterator, Protocol
 
+try:  # without the ceremony that costs most of a short word's time
+    from _md5 import md5
+except ImportError:
+    from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +30,8 @@ class EmbeddingProvider(Protocol):
 
     def embed_batch(self, texts: list[str]) -> list[list[float]]: ...
 
+    # A provider may also have ``embed_array``, which gives the vectors of a batch as the rows of a float32 matrix.
+
 
 _PROVIDERS: dict[str, object] = {}
 
@@ -45,11 +51,22 @@ def provider_factory(name: str, **options):
     return functools.partial(_PROVIDERS[name], **options)
 
 
-@functools.lru_cache(maxsize=1 << 16)
-def _word_slot(word: str) -> tuple[int, float]:
-    """(number to take modulo the dimensions, sign) from the MD5 of a word."""
-    digest = hashlib.md5(word.encode("utf-8")).hexdigest()
-    return int(digest[:8], 16), 1.0 if int(digest[8], 16) < 8 else -1.0
+class _WordCodes(dict):
+    """Of a word's MD5 the first 32 bits, and behind them a bit for its sign; so many words are remembered by a worker."""
+
+    def __init__(self, words: int = 1 << 18):
+        super().__init__()
+        self.words = words
+
+    def __missing__(self, word: str) -> int:
+        digest = md5(word.encode("utf-8")).digest()
+        code = int.from_bytes(digest[:4], "big") << 1 | digest[4] >> 7
+        if len(self) < self.words:
+            self[word] = code
+        return code
+
+
+_CODES = _WordCodes()
 
 
 @register_provider("hashing")
@@ -68,14 +85,19 @@ class HashingProvider:
     def dimensions(self) -> int:
         return self._dims
 
-    def embed_batch(self, texts: list[str]) -> list[list[float]]:
-        matrix = np.zeros((len(texts), self._dims))
-        for row, text in zip(matrix, texts):
-            for word in text.lower().split():
-                slot, sign = _word_slot(word)
-                row[slot % self._dims] += sign
+    def embed_array(self, texts: list[str]) -> np.ndarray:
+        code_of = _CODES.__getitem__
+        found = [list(map(code_of, text.lower().split())) for text in texts]
+        codes = np.fromiter(itertools.chain.from_iterable(found), dtype=np.int64)
+        row = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+        places = 2 * (self._dims * row + (codes >> 1) % self._dims) + (codes & 1)
+        counts = np.bincount(places, minlength=2 * self._dims * len(texts)).reshape(len(texts), self._dims, 2)
+        matrix = (counts[:, :, 0] - counts[:, :, 1]).astype(np.float64)
         norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-        return (matrix / np.where(norms == 0, 1.0, norms)).astype(np.float32).tolist()
+        return (matrix / np.where(norms == 0, 1.0, norms)).astype(np.float32)
+
+    def embed_batch(self, texts: list[str]) -> list[list[float]]:
+        return self.embed_array(texts).tolist()
 
     def embed_text(self, text: str) -> list[float]:
         return self.embed_batch([text])[0]
@@ -117,6 +139,22 @@ def _safe_batch(provider, texts: list[str], fail_fast: bool) -> list[dict]:
     return rows
 
 
+def _embedded(provider, texts: pa.Array, fail_fast: bool) -> pa.Array:
+    """Vectors and errors of a batch."""
+    if hasattr(provider, "embed_array"):
+        present = texts.drop_null()
+        try:
+            matrix = provider.embed_array(present.to_pylist())
+        except Exception:
+            matrix = None  # text by text, below
+        if matrix is not None and matrix.shape == (len(present), provider.dimensions):
+            counts = np.where(texts.is_valid().to_numpy(zero_copy_only=False), provider.dimensions, 0)
+            offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+            vectors = pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel(), pa.float32()), mask=texts.is_null())
+            return pa.StructArray.from_arrays([vectors, pa.nulls(len(texts), pa.string())], fields=list(_ARROW_RESULT))
+    return pa.array(_safe_batch(provider, texts.to_pylist(), fail_fast), _ARROW_RESULT)
+
+
 def embed(df: DataFrame, text_col: str = "cleaned_text", provider: str = "hashing", batch_size: int = fv.EMBED_BATCH,
           fail_fast: bool = False, **options) -> DataFrame:
     """Add ``embedding`` and ``embed_error``. Map-only: batches fill up across documents.
@@ -130,10 +168,8 @@ def embed(df: DataFrame, text_col: str = "cleaned_text", provider: str = "hashin
     def call(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         instance = factory()  # once per task
         for texts in batches:
-            rows = []
-            for at in range(0, len(texts), batch_size):
-                rows += _safe_batch(instance, texts.slice(at, batch_size).to_pylist(), fail_fast)
-            yield pa.array(rows, _ARROW_RESULT)
+            done = [_embedded(instance, texts.slice(at, batch_size), fail_fast) for at in range(0, len(texts), batch_size)]
+            yield pa.concat_arrays(done) if done else pa.array([], _ARROW_RESULT)
 
     call = call.asNondeterministic()
     return (df.withColumn("_embedded", call(F.col(text_col)))

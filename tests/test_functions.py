@@ -12,6 +12,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from quirefold import fixed_values as fv
 from quirefold.functions import text as tx
 from quirefold.functions import vectors as vx
 from quirefold.functions.dates import in_date_range, parse_date, parse_iso_argument
@@ -157,3 +158,33 @@ def test_long_runs_of_line_feeds_are_read_once(column):
     start = time.perf_counter()
     assert column(texts, lambda x: tx.clean_text(x)) == ["a\n\nb", "", "", "x\n\ny"]
     assert time.perf_counter() - start < 20
+
+
+def test_cleaning_looks_only_where_it_must(spark):
+    """What is skipped in texts that cannot match makes no difference to them or to others."""
+    texts = ["", " ", "a  b\tc\t \td  ", "a b c", "\u00adx\u200b\ufeff", "BANCO central do BRASIL \nrest", "banco central do bra\u017fil\nx", "banco central do bras\u0131l\nx",
+             "BANCO CENTRAL DO BRAS\u0130L\nx", "Copom - 12\u00aa REUNI\u00c3O\ny", "copom \u2013 3 reuni\u00e3o\ny", "Ata da 5a Reuni\u00e3o do Copom\nz",
+             "WWW.BCB.GOV.BR\nq", "P\u00c1GINA 3 de 19 \nq", "Pa\u0301gina 3 de 19\nq", "bra\u212a www.bcb.gov.br\n", "x-\ny", "x-\n y", "a\n\n\n\nb", "a\n\nb", " 7 \n12\nx", None]
+    c = F.col("t")
+    plain = F.regexp_replace(c, f"[{fv.INVISIBLE_CHARS}]", "")
+    plain = tx.nfkc(plain)
+    for p in fv.BOILERPLATE_PATTERNS:
+        plain = F.regexp_replace(plain, *((p, "") if isinstance(p, str) else p))
+    plain = F.regexp_replace(plain, r"-\n(\S)", "$1")
+    plain = tx.strip_ws(F.regexp_replace(F.regexp_replace(plain, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(plain.alias("a"), tx.clean_text(c).alias("b")).collect()
+    assert [r["a"] for r in rows] == [r["b"] for r in rows]
+
+
+def test_few_texts_of_a_batch_are_python_objects():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([f"{i} " + "x" * 2000 for i in range(10_000)] + [None])
+    tracemalloc.start()
+    done = tx.text_by_text(texts, lambda t: [t[:900], t[900:]], pa.list_(pa.string()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert done[9_999].as_py() == ["9999 " + "x" * 895, "x" * 1105] and done[10_000].as_py() is None
+    assert peak < 4 << 20  # the texts are 20 MB, and so are the results

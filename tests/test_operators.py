@@ -374,3 +374,21 @@ def test_hashed_vectors_of_a_batch():
             sums[int(digest[:8], 16) % 16] += 1 if int(digest[8], 16) < 8 else -1
         norm = np.sqrt((sums * sums).sum())
         assert vector == (sums / (norm or 1)).astype(np.float32).tolist()
+
+
+def test_vectors_of_a_batch_are_no_python_objects():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from quirefold.operators.embedding import _embedded
+
+    texts = pa.array([f"a{i % 7} b" for i in range(4_000)] + [None])
+    provider = HashingProvider(dims=256)
+    tracemalloc.start()
+    done = _embedded(provider, texts, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert done.field("embedding").to_pylist() == provider.embed_batch(texts.drop_null().to_pylist()) + [None]
+    assert done.field("error").null_count == len(texts)
+    assert peak < 50 << 20  # a million floats as Python objects with their lists are more than that beside the counts
