@@ -280,9 +280,12 @@ class DocumentStore:
                 return counts
 
     def _write_by_id(self, table: str, df: DataFrame, batch: str, file_rows: int) -> None:
-        """Write a batch in ranges of ids and note the ids that each file holds."""
+        """Write a batch in ranges of ids, kind by kind, and note the ids that each file holds.
+
+        Kinds are folders, so a range over all of them would become a file in each.
+        """
         n = max(1, -(-df.count() // file_rows))
-        self.write_batch(table, df.repartitionByRange(n, "document_id").withColumn("ingest_batch", F.lit(batch)))
+        self.write_batch(table, df.repartitionByRange(n, "doc_type", "document_id").withColumn("ingest_batch", F.lit(batch)))
         written = self.rows(table).where(F.col("ingest_batch") == batch)
         files = written.groupBy(F.input_file_name().alias("path")).agg(F.min("document_id").alias("lo"), F.max("document_id").alias("hi"))
         (files.select(F.lit(table).alias("tab"), F.lit(batch).alias("ingest_batch"), "path", "lo", "hi")
@@ -291,7 +294,7 @@ class DocumentStore:
     def compact(self, batches: list[str] | None = None, file_rows: int = FILE_ROWS) -> str:
         """Write the visible rows of all batches, or of some, anew as one, which takes their place; returns its name.
 
-        Documents and chunks are laid out in ranges of ids, so that a document is looked up in few files.
+        Documents and chunks of a kind are laid out in ranges of ids, so that a document is looked up in few files.
         Deletes that are committed meanwhile are carried over. If another writer has replaced the same batches, this
         one gives up with ConflictError and leaves nothing to be seen.
         """

@@ -36,3 +36,11 @@ def test_lookup(spark, tmp_path):
     assert store.lookup("documents", ids[45]).count() == store.lookup("chunks", ids[45]).count() == 0
     store.delete_all()
     assert store.lookup("documents", ids[0]).count() == 0
+
+
+def test_compacted_kinds_share_no_ranges(spark, tmp_path):
+    """Files are as many as ranges, and not one for each range and kind."""
+    store = DocumentStore(spark, str(tmp_path / "s"))
+    ingest(spark, store.root, texts(spark, range(90)), "run", OPTIONS)
+    store.compact(file_rows=10)
+    assert 9 <= store.rows("files").where("tab = 'documents'").count() <= 9 + len(KINDS)
