@@ -1,34 +1,35 @@
 """Token ids of texts by a public tokenizer file, with the ids of words kept for the next text.
 
 The tokenizers library spends most of its time on words it has met before. A text is therefore cut where no token can
-lie across, at single spaces and at the ends of runs of Latin letters. The distinct pieces of a batch are looked up,
-new ones go through the library in one call, and the ids are put together as arrays. Texts in which such cuts would
-not be safe go through the library whole.
+lie across, before single spaces and after single line feeds. Every distinct word has a number, under which its ids
+stand in a table; new words go through the library in one call, and the ids of texts are gathered from the table as
+arrays. Texts in which such cuts would not be safe go through the library whole.
 """
 
 import os
 import re
 import zlib
-from array import array
+from collections import defaultdict
+from itertools import chain, count, islice
 
 import numpy as np
-import pandas as pd
 
-#: Pieces remembered by one Python worker before the memory is cleared, and the longest of them in characters.
-REMEMBERED, LONGEST = 800_000, 64
+#: Words remembered by one Python worker before those met once are forgotten, their ids, and the longest of them in characters.
+REMEMBERED, IDS, LONGEST = 1_000_000, 8 << 20, 64
 #: Texts encoded together, and their characters.
 TEXTS, CHARACTERS = 4_000, 8 << 20
 
-_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-_PIECE = re.compile(f" ?[{_LETTERS}]+| ?[^{_LETTERS} ]+")
-# A cut beside any of these may not be safe: white space other than a space or line feed, an apostrophe before a
-# letter, characters beyond Latin-1 letters (other letters, combining marks, other white space), marks of special tokens.
-_UNSAFE_PIECE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x80-\xbf]|[^\x00-\xff]|<\||'$")
+#: Stands before a word that follows no space. Texts that hold it are not cut.
+_JOINED = "\r"
+# A cut beside any of these may not be safe: white space other than a space or line feed, characters beyond Latin-1
+# letters (other letters, combining marks, other white space), marks of special tokens.
+_UNSAFE_WORD = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x80-\xbf]|[^\x00-\xff]|<\|")
 
 
 def _unsafe(text: str) -> bool:
-    """White space in runs or at an end of the text."""
-    return ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1].isspace() or text[-1:].isspace())
+    """White space in runs or at an end of the text, or the mark."""
+    return ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or _JOINED in text
+            or text[:1].isspace() or text[-1:].isspace())
 
 
 class Encoder:
@@ -41,8 +42,23 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.unsafe: set[str] = set()
+        # ``ids[begins[n] : begins[n + 1]]`` belong to the word with number n.
+        self.numbers: defaultdict[str, int] = defaultdict(count().__next__)
+        self.begins, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype="<u4")
+        self.unsafe, self.uses = np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64)
+
+    def _forget(self) -> None:
+        """Forget the words that were not met again, or all if that leaves too many."""
+        again = self.uses > 1
+        kept = [(w, n) for w, n in self.numbers.items() if again[n]]
+        old = np.array([n for _, n in kept], dtype=np.int64)
+        sizes = self.begins[old + 1] - self.begins[old]
+        if len(kept) > REMEMBERED // 2 or sizes.sum() > IDS // 2:
+            kept, old, sizes = [], old[:0], sizes[:0]
+        begins = np.concatenate(([0], np.cumsum(sizes)))
+        self.ids = self.ids[np.repeat(self.begins[old] - begins[:-1], sizes) + np.arange(begins[-1])]
+        self.begins, self.unsafe, self.uses = begins, self.unsafe[old], np.zeros(len(old), dtype=np.int64)
+        self.numbers = defaultdict(count(len(kept)).__next__, {w: i for i, (w, _) in enumerate(kept)})
 
     def batch(self, texts: list[str], characters: int = CHARACTERS) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after each other, and where each text's begin (one more entry for the end)."""
@@ -61,53 +77,39 @@ class Encoder:
         return np.concatenate(values) if values else np.zeros(0, dtype="<u4"), starts
 
     def _together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        cut = [[t] if _unsafe(t) else _PIECE.findall(t) for t in texts]
-        codes, pieces = self._numbered(cut)
-        found, unsafe = self._looked_up(pieces)
+        if len(self.unsafe) > REMEMBERED or len(self.ids) > IDS:
+            self._forget()
+        cut = [[_JOINED + t] if _unsafe(t) else (_JOINED + t.replace("\n", f"\n {_JOINED}")).split(" ") for t in texts]
+        known = len(self.unsafe)
+        codes, bounds = self._numbered(cut)
+        hit = np.concatenate(([0], np.cumsum(self.unsafe[codes])))
+        unsafe = [i for i in np.flatnonzero(hit[bounds[1:]] > hit[bounds[:-1]]).tolist() if len(cut[i]) > 1]
         if unsafe:
-            marked = np.zeros(len(pieces), dtype=bool)
-            marked[unsafe] = True
-            bounds = np.cumsum([0, *map(len, cut)])
-            hit = np.concatenate(([0], np.cumsum(marked[codes])))
-            for i in np.flatnonzero(hit[bounds[1:]] > hit[bounds[:-1]]).tolist():
-                cut[i] = [texts[i]]  # in one piece nothing is cut, so nothing is unsafe
-            codes, pieces = self._numbered(cut)
-            found, _ = self._looked_up(pieces)
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        flat = np.frombuffer(b"".join(found), dtype="<u4")
-        begins = np.cumsum(lengths) - lengths
-        each = lengths[codes]
+            for i in unsafe:
+                cut[i] = [_JOINED + texts[i]]  # in one piece nothing is cut, so nothing is unsafe
+            codes, bounds = self._numbered(cut)
+        for word in [w for w in islice(reversed(self.numbers), len(self.unsafe) - known) if len(w) > LONGEST]:
+            del self.numbers[word]  # its number is not given again
+        self.uses = np.bincount(codes, minlength=len(self.unsafe)) + np.pad(self.uses, (0, len(self.unsafe) - len(self.uses)))
+        begins = self.begins[codes]
+        each = self.begins[codes + 1] - begins
         ends = np.concatenate(([0], np.cumsum(each)))
-        ids = flat[np.repeat(begins[codes] - ends[:-1], each) + np.arange(ends[-1])]
-        return ids, np.diff(ends[np.cumsum([0, *map(len, cut)])])
-
-    @staticmethod
-    def _numbered(cut: list[list[str]]) -> tuple[np.ndarray, list[str]]:
-        """The number of each piece among the distinct ones."""
-        every = np.array([p for c in cut for p in c], dtype=object)
-        codes, pieces = pd.factorize(every)
-        return codes, pieces.tolist()
-
-    def _looked_up(self, pieces: list[str]) -> tuple[list[bytes], list[int]]:
-        """Ids of pieces, and which of them are not safe beside others."""
-        known, unsafe = self.known, self.unsafe
-        if len(known) > REMEMBERED:
-            known.clear()
-            unsafe.clear()
-        found = list(map(known.get, pieces))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        flagged = [i for i, p in enumerate(pieces) if p in unsafe] if unsafe else []
+        ids = self.ids[np.repeat(begins - ends[:-1], each) + np.arange(ends[-1])]
+        return ids, np.diff(ends[bounds])
+
+    def _numbered(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each word, and where each text's begin; ids of new words go into the table."""
+        bounds = np.cumsum([0, *map(len, cut)])
+        codes = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=bounds[-1])
+        new = list(islice(reversed(self.numbers), max(0, codes.max(initial=-1) + 1 - len(self.unsafe))))[::-1]
         for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for i, done in zip(part, self.library.encode_batch_fast([pieces[i] for i in part], add_special_tokens=False)):
-                piece, found[i] = pieces[i], array("I", done.ids).tobytes()
-                if _UNSAFE_PIECE.search(piece):
-                    flagged.append(i)
-                if len(piece) <= LONGEST:
-                    known[piece] = found[i]
-                    if flagged and flagged[-1] == i:
-                        unsafe.add(piece)
-        return found, flagged
+            words = [w[1:] if w[0:1] == _JOINED else " " + w for w in new[at : at + 20_000]]
+            found = [done.ids for done in self.library.encode_batch_fast(words, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+            self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(sizes)))
+            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(found), dtype="<u4", count=sizes.sum())))
+            self.unsafe = np.concatenate((self.unsafe, [_UNSAFE_WORD.search(w) is not None for w in words]))
+        return codes, bounds
 
 
 _ENCODERS: dict[str, Encoder] = {}

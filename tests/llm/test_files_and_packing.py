@@ -30,6 +30,33 @@ def test_encoder_equals_library(path):
             assert ids[s:e].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_known_words_need_no_library(path):
+    """Words met before, in another order, with their marks and apostrophes, do not go through the library again."""
+    ours = Encoder(path)
+    ours.batch(["x", "Don't stop, it's the dogs' own\nhouse.\nAll right"])
+
+    class Closed:
+        def encode_batch_fast(self, texts, **_):
+            raise AssertionError(texts)
+    library, ours.library = ours.library, Closed()
+    text = "x it's right own\nhouse.\nAll the dogs' stop,"
+    assert ours.batch([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_forgetting_words_keeps_ids(path, monkeypatch):
+    from quirefold.llm import tokens
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    library, ours = Tokenizer.from_file(path), Encoder(path)
+    for i in range(60):
+        texts = [f"the word{i} and word{i + 1}, again the {'long' * 30}{i}.\nEnd of {i} 字", f"word{i // 7} and the end"]
+        ids, starts = ours.batch(texts)
+        assert len(ours.unsafe) < 70
+        for text, s, e in zip(texts, starts, starts[1:]):
+            assert ids[s:e].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
 
