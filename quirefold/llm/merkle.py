@@ -1,9 +1,10 @@
 """A Merkle manifest of a dataset, and a check of single documents against its root by a recursive query.
 
 Every document is a leaf, every run of three neighbours becomes a node, first within each source and then over the
-sources' roots. Nodes are stored as rows of their run: the digests of its children, and a link to the run that its own
-digest lies in. A recursive query climbs from every leaf at once along these links; each step hands out the
-siblings met and folds the leaf's digest, true or tampered with, into the digest of the run.
+sources' roots. Nodes are stored as rows of their block, a subtree of up to four levels: the digests of each level, and a
+link to the block that its own digest lies in. A recursive query climbs from every leaf at once along these links; each
+step folds the leaf's digest, true or tampered with, through the runs of a block into its digest. The siblings met in the
+first block are a leaf's own; those further up are the same for all leaves of that block and are put together once for them.
 """
 
 import uuid
@@ -15,10 +16,13 @@ from pyspark.sql import functions as F
 from quirefold.sources.shared import shared_path
 
 ARITY = 3
+#: Levels of a block, and nodes at its foot.
+LEVELS = 4
+SPAN = ARITY ** LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Rows of one range when leaves are ordered.
 RANGE_ROWS = 1_000_000
-#: Runs near the root, of some 130 bytes, that every task may hold (7 MB); those below are met by shuffling.
+#: Runs near the root, of some 130 bytes, that every task may hold (7 MB) in their blocks; those below are met by shuffling.
 HELD_RUNS = 50_000
 #: Levels of the tree over sources are stored from this one on; a source's own tree has fewer.
 TOP = 40
@@ -65,9 +69,10 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
 
 @dataclass
 class Manifest:
-    """``leaves``: rank, doc_id, source_no, leaf, claimed, up, slot. ``runs``: id, up, slot, d0, d1, d2, digest, level.
+    """``leaves``: rank, doc_id, source_no, leaf, claimed, up, slot. ``runs``: id, up, slot, levels, n, digest, level.
 
-    ``up`` is the id of the run that a node lies in and ``slot`` its place there; the root has neither.
+    ``runs`` holds blocks: the digests of their levels and the number of runs. ``up`` is the id of the block that a node lies at
+    the foot of and ``slot`` its place there; the root has neither.
     ``subroots``: source_no, subroot. ``root`` is null without documents.
     """
 
@@ -77,25 +82,35 @@ class Manifest:
     root: str | None
 
 
-def _links(height: int, position: str, n_sources: int) -> tuple[Column, Column]:
-    """Where a node of a source's tree hangs: id of its run and the slot there. A source's root hangs in the tree above.
+def _links(depth: int, position: str, n_sources: int) -> tuple[Column, Column]:
+    """Where a node of a source's tree hangs: id of its block and the slot there. A source's root hangs in the tree above.
 
-    A run's id is made of the rank of its first leaf and its height; runs over sources have negative ids.
+    A block's id is made of the rank of its first leaf and its depth in blocks; blocks over sources have negative ids.
     """
-    own = (F.col("first_rank") + F.expr(f"{position} div {ARITY}") * F.lit(ARITY ** (height + 1))) * 64 + (height + 1)
-    inside = F.col("height") > height
-    above = F.lit(None).cast("long") if n_sources < 2 else -(F.expr(f"source_no div {ARITY}") * 64 + 1)
-    over = F.lit(None).cast("int") if n_sources < 2 else (F.col("source_no") % ARITY).cast("int")
+    own = (F.col("first_rank") + F.expr(f"{position} div {SPAN}") * F.lit(SPAN ** (depth + 1))) * 64 + (depth + 1)
+    inside = F.col("height") > LEVELS * depth
+    above = F.lit(None).cast("long") if n_sources < 2 else -(F.expr(f"source_no div {SPAN}") * 64 + 1)
+    over = F.lit(None).cast("int") if n_sources < 2 else (F.col("source_no") % SPAN).cast("int")
     return (F.when(inside, own).otherwise(above).alias("up"),
-            F.when(inside, (F.expr(position) % ARITY).cast("int")).otherwise(over).alias("slot"))
+            F.when(inside, (F.expr(position) % SPAN).cast("int")).otherwise(over).alias("slot"))
 
 
-def _children() -> list[Column]:
-    return [F.max(F.when(F.col("place") == i, F.col("digest"))).alias(f"d{i}") for i in range(ARITY)]
+def _folded(nodes: str) -> str:
+    """Digests of all runs of an array of nodes."""
+    return (f"transform(sequence(0, CAST((size({nodes}) - 1) div {ARITY} AS INT)), i -> "
+            f"unhex(sha2(array_join(transform(slice({nodes}, {ARITY} * i + 1, {ARITY}), x -> lower(hex(x))), ''), 256)))")
 
 
-def _folded(*children: Column) -> Column:
-    return F.unhex(F.sha2(F.concat_ws("", *[_hex(c) for c in children]), 256))
+def _blocks(nodes: DataFrame, keys: list[str], levels: str) -> DataFrame:
+    """Nodes (keys, position, digest) as blocks of so many levels: keys, position, levels, n, digest."""
+    foot = nodes.withColumn("place", F.col("position") % SPAN).withColumn("position", F.expr(f"position div {SPAN}"))
+    grouped = foot.groupBy(*keys, "position").agg(F.array_sort(F.collect_list(F.struct("place", "digest"))).alias("foot"))
+    numbers = ", ".join(str(i) for i in range(1, LEVELS))
+    return (grouped.withColumn("foot", F.col("foot.digest"))
+            .withColumn("levels", F.expr(f"aggregate(slice(array({numbers}), 1, CAST({levels} AS INT) - 1), array(foot), "
+                                         f"(met, k) -> concat(met, array({_folded('element_at(met, -1)')})))"))
+            .withColumn("n", F.expr(f"aggregate(levels, 0L, (sum, l) -> sum + (size(l) + {ARITY - 1}) div {ARITY})"))
+            .withColumn("digest", F.expr(f"element_at({_folded('element_at(levels, -1)')}, 1)")).drop("foot"))
 
 
 def build(docs: DataFrame) -> Manifest:
@@ -117,30 +132,28 @@ def build(docs: DataFrame) -> Manifest:
         "rank", "doc_id", "source_no", "first_rank", "height", "position", "digest", "claimed", *_links(0, "position", n_sources)), "merkle-placed")
 
     path, keys = shared_path(spark, "merkle-runs"), ["first_rank", "height", "source_no"]
-    schema = "id long, first_rank long, height int, source_no long, position long, d0 binary, d1 binary, d2 binary, digest binary, up long, slot int"
-    nodes = leaves.select(*keys, "position", "digest")
-    for h in range(1, (tallest or 0) + 1):
-        grouped = (nodes.where(F.col("height") >= h)
-                   .withColumn("place", F.col("position") % ARITY).withColumn("position", F.expr(f"position div {ARITY}"))
-                   .groupBy(*keys, "position").agg(*_children()).withColumn("digest", _folded(*[F.col(f"d{i}") for i in range(ARITY)])))
-        number = (F.col("first_rank") + F.col("position") * F.lit(ARITY ** h)) * 64 + h
-        grouped.select(number.alias("id"), *keys, "position", "d0", "d1", "d2", "digest", *_links(h, "position", n_sources)).write.parquet(f"{path}/level={h}")
+    schema = ("id long, first_rank long, height int, source_no long, position long, levels array<array<binary>>, n long, digest binary, "
+              "up long, slot int")
+    nodes, depth = leaves.select(*keys, "position", "digest"), -(-(tallest or 0) // LEVELS)
+    for h in range(1, depth + 1):
+        grouped = _blocks(nodes.where(F.col("height") > LEVELS * (h - 1)), keys, f"least({LEVELS}, height - {LEVELS * (h - 1)})")
+        number = (F.col("first_rank") + F.col("position") * F.lit(SPAN ** h)) * 64 + h
+        grouped.select(number.alias("id"), *keys, "position", "levels", "n", "digest", *_links(h, "position", n_sources)).write.parquet(f"{path}/level={h}")
         nodes = spark.read.schema(schema).parquet(f"{path}/level={h}").select(*keys, "position", "digest")
-    stored = spark.read.schema(schema + ", level int").parquet(path) if tallest else spark.createDataFrame([], schema + ", level int")
+    stored = spark.read.schema(schema + ", level int").parquet(path) if depth else spark.createDataFrame([], schema + ", level int")
     subroots = leaves.where("height = 0").select("source_no", "digest").unionByName(
-        stored.where("level = height").select("source_no", "digest"))
+        stored.where(f"level = (height + {LEVELS - 1}) div {LEVELS}").select("source_no", "digest"))
     subroots = _stored(subroots, "merkle-subroots")
 
     nodes, left, k = subroots.select(F.col("source_no").alias("position"), "digest"), n_sources, 0
     while left > 1:
-        k, left = k + 1, -(-left // ARITY)
-        grouped = (nodes.withColumn("place", F.col("position") % ARITY).withColumn("position", F.expr(f"position div {ARITY}"))
-                   .groupBy("position").agg(*_children()).withColumn("digest", _folded(*[F.col(f"d{i}") for i in range(ARITY)])))
+        levels = next(i for i in range(1, LEVELS + 1) if i == LEVELS or ARITY ** i >= left)
+        k, left = k + 1, -(-left // SPAN)
         none = [F.lit(None).cast(t).alias(c) for c, t in (("first_rank", "long"), ("height", "int"), ("source_no", "long"))]
-        up = F.lit(None).cast("long") if left == 1 else -(F.expr(f"position div {ARITY}") * 64 + (k + 1))
-        slot = F.lit(None).cast("int") if left == 1 else (F.col("position") % ARITY).cast("int")
-        grouped.select((-(F.col("position") * 64 + k)).alias("id"), *none, "position", "d0", "d1", "d2", "digest",
-                       up.alias("up"), slot.alias("slot")).write.parquet(f"{path}/level={TOP + k}")
+        up = F.lit(None).cast("long") if left == 1 else -(F.expr(f"position div {SPAN}") * 64 + (k + 1))
+        slot = F.lit(None).cast("int") if left == 1 else (F.col("position") % SPAN).cast("int")
+        _blocks(nodes, [], str(levels)).select((-(F.col("position") * 64 + k)).alias("id"), *none, "position", "levels", "n", "digest",
+                                               up.alias("up"), slot.alias("slot")).write.parquet(f"{path}/level={TOP + k}")
         nodes = spark.read.schema(schema).parquet(f"{path}/level={TOP + k}").select("position", "digest")
     runs = spark.read.schema(schema + ", level int").parquet(path) if tallest or k else stored
     top = nodes.first() if n_sources else None  # one row is left
@@ -148,49 +161,50 @@ def build(docs: DataFrame) -> Manifest:
                     None if top is None else bytes(top["digest"]).hex())
 
 
-def _siblings(slot: str) -> str:
-    """Digests of a run's nodes but one, as bytes."""
-    return "concat(" + ", ".join(f"if({slot} = {i} OR r.d{i} IS NULL, X'', r.d{i})" for i in range(ARITY)) + ")"
+_POWERS = "array(" + ", ".join(str(ARITY ** i) for i in range(LEVELS + 1)) + ")"
 
 
-_CLIMB = """
-WITH RECURSIVE climb(rank, up, slot, folded, step, siblings, at, own) AS (
-  SELECT rank, up, slot, folded, step, siblings, at, own FROM {starts}
+def _runs(levels: str, slot: str) -> str:
+    """For each level of a block the run above a slot at its foot (``run``) and the place in it (``at``)."""
+    return (f"transform({levels}, (l, i) -> struct(slice(l, CAST({ARITY} * ({slot} div {_POWERS}[i + 1]) + 1 AS INT), {ARITY}) AS run, "
+            f"({slot} div {_POWERS}[i]) % {ARITY} AS at))")
+
+
+def _siblings(levels: str, slot: str) -> str:
+    """Text of the siblings that are met in a block on the way up from a slot."""
+    return (f"array_join(flatten(transform({_runs(levels, slot)}, "
+            "m -> transform(filter(m.run, (x, j) -> j <> m.at), x -> lower(hex(x))))), '')")
+
+
+# ``own`` is the block that the leaf lies in; of each block's leaves one at least is ``lead`` and keeps its steps. Rows that
+# ``starts`` has from an earlier climb are not given out again.
+_CLIMB = f"""
+WITH RECURSIVE climb(rank, own, lead, up, slot, folded, step) AS (
+  SELECT rank, own, lead, up, slot, folded, step FROM {{starts}}
   UNION ALL
-  SELECT {hint} c.rank, r.up, r.slot,
-         unhex(sha2(concat_ws('', lower(hex(if(c.slot = 0, c.folded, r.d0))), lower(hex(if(c.slot = 1, c.folded, r.d1))),
-                              lower(hex(if(c.slot = 2, c.folded, r.d2)))), 256)),
-         c.step + 1, {met}
-  FROM climb c JOIN {runs} r ON c.up = r.id)
-{result}"""
-# The siblings that a step has met: as bytes, or, where every task holds the runs anyway, as the run and the place in it.
-_AS_BYTES, _AS_PLACE = f"{_siblings('c.slot')}, CAST(NULL AS BIGINT), CAST(NULL AS INT)", "X'', r.id, c.slot"
-# What a climb is stored as: its steps, or one row per leaf with the siblings of all steps (of an earlier climb as well) put together.
-_STEPS = "SELECT * FROM climb"
-_PROOFS = f"""
-SELECT rank, lower(hex(max(CASE WHEN up IS NULL THEN folded END))) AS folded_root,
-       sha2(array_join(transform(array_sort(collect_list(struct(step, siblings))), s -> lower(hex(s.siblings))), ''), 256) AS proof_sha256
-FROM (SELECT /*+ BROADCAST(r) */ c.rank, c.up, c.folded, c.step, CASE WHEN c.at IS NULL THEN c.siblings ELSE {_siblings('c.own')} END AS siblings
-      FROM (SELECT * FROM climb UNION ALL SELECT * FROM {{below}}) c LEFT JOIN {{runs}} r ON c.at = r.id) GROUP BY rank"""
+  SELECT {{hint}} c.rank, c.own, c.lead, r.up, r.slot,
+         aggregate({_runs('r.levels', 'c.slot')}, c.folded, (met, m) ->
+                   unhex(sha2(array_join(transform(m.run, (x, j) -> lower(hex(if(j = m.at, met, x)))), ''), 256))),
+         c.step + 1
+  FROM climb c JOIN {{runs}} r ON c.up = r.id)
+SELECT * FROM climb WHERE lead OR up IS NULL OR {{open}}"""
 _ROWS = "spark.sql.cteRecursionRowLimit"
 
 
-def climb(starts: DataFrame, runs: DataFrame, held: bool, below: DataFrame | None = None) -> DataFrame:
-    """A recursive climb from ``starts`` (rank, up, slot, folded, step, siblings, at, own), stored.
+def climb(starts: DataFrame, runs: DataFrame, held: bool, goes_on: str = "false") -> DataFrame:
+    """A recursive climb from ``starts`` (rank, own, lead, up, slot, folded, step), stored.
 
-    Its steps, the rows of ``starts`` among them; or, with the steps ``below`` that led there, ``rank, folded_root, proof_sha256``.
+    Given are the steps of leading leaves, of every leaf the last one, which has no ``up``, and what goes on above ``runs``.
     """
     spark = starts.sparkSession
-    frames = {"starts": starts, "runs": runs.select("id", "up", "slot", "d0", "d1", "d2")} | ({} if below is None else {"below": below})
+    frames = {"starts": starts, "runs": runs.select("id", "up", "slot", "levels")}
     names = {n: f"merkle_{n}_{uuid.uuid4().hex}" for n in frames}
     for n, frame in frames.items():
         frame.createOrReplaceTempView(names[n])
-    result = _STEPS if below is None else _PROOFS.format(below=names["below"], runs=names["runs"])
-    hint, met = ("/*+ BROADCAST(r) */", _AS_PLACE) if held else ("", _AS_BYTES)
     limit = spark.conf.get(_ROWS, None)
     spark.conf.set(_ROWS, "-1")  # every leaf climbs
     try:
-        return _stored(spark.sql(_CLIMB.format(hint=hint, met=met, result=result, **names)), "merkle-climb")
+        return _stored(spark.sql(_CLIMB.format(hint="/*+ BROADCAST(r) */" if held else "", open=goes_on, **names)), "merkle-climb")
     finally:
         spark.conf.unset(_ROWS) if limit is None else spark.conf.set(_ROWS, limit)
         for name in names.values():
@@ -200,27 +214,39 @@ def climb(starts: DataFrame, runs: DataFrame, held: bool, below: DataFrame | Non
 def proofs(manifest: Manifest) -> DataFrame:
     """``rank, proof_sha256, folded_root`` of every leaf.
 
-    Runs near the root are counted and held by every task, as all leaves meet there; the others, of which each has few
-    leaves below it, are met by shuffling. Siblings are handed out step by step and put together once at the end.
+    Blocks near the root are counted and held by every task, as all leaves meet there; the others, of which each has few
+    leaves below it, are met by shuffling.
     """
-    sizes = sorted((r["level"], r["count"]) for r in manifest.runs.groupBy("level").count().collect())  # one row per level
+    sizes = sorted((r["level"], r["n"]) for r in manifest.runs.groupBy("level").agg(F.sum("n").alias("n")).collect())  # one row per level
     low, rest = [], sum(n for _, n in sizes)
     for level, n in sizes:
         if rest <= HELD_RUNS:
             break
         low.append(level)
         rest -= n
-    begin = manifest.leaves.select("rank", "up", "slot", F.col("claimed").alias("folded"), F.lit(0).alias("step"), F.lit(b"").alias("siblings"),
-                                   F.lit(None).cast("long").alias("at"), F.lit(None).cast("int").alias("own"))
-    below, high = begin.limit(0), manifest.runs
+    begin = manifest.leaves.select("rank", F.col("up").alias("own"), F.expr(f"height = 0 OR position % {SPAN} = 0").alias("lead"), "up", "slot",
+                                   F.col("claimed").alias("folded"), F.lit(0).alias("step"))
+    high, steps = manifest.runs, begin.limit(0)
     if low:
-        steps = climb(begin, manifest.runs.where(F.col("level").isin(low)), held=False)
-        # The rows whose run is not among those below go on from there.
-        within = (F.col("up") > 0) & F.col("up").bitwiseAND(F.lit(63)).isin([x for x in low if x < TOP])
-        within = within | ((F.col("up") < 0) & (F.lit(TOP) + (-F.col("up")).bitwiseAND(F.lit(63))).isin(low))
-        on = F.coalesce(~within, F.lit(True))
-        below, begin, high = steps.where(~on), steps.where(on), manifest.runs.where(~F.col("level").isin(low))
-    return climb(begin, high, held=True, below=below)
+        # The rows whose block is not among those below go on from there.
+        own, over = [x for x in low if x < TOP], [x - TOP for x in low if x > TOP]
+        within = " OR ".join([f"(up > 0 AND up & 63 IN ({', '.join(map(str, own))}))"] * bool(own)
+                             + [f"(up < 0 AND -up & 63 IN ({', '.join(map(str, over))}))"] * bool(over))
+        goes_on = f"(up IS NOT NULL AND NOT ({within}))"
+        steps = climb(begin, manifest.runs.where(F.col("level").isin(low)), False, goes_on)
+        begin, steps = steps.where(goes_on), steps.where(f"NOT {goes_on}")
+        high = manifest.runs.where(~F.col("level").isin(low))
+    steps = steps.unionByName(climb(begin, high, True))
+    ladder = steps.where("lead AND step > 0 AND up IS NOT NULL").select("own", "step", "up", "slot").distinct()
+    above = (ladder.join(manifest.runs.select(F.col("id").alias("up"), "levels"), "up")
+             .select("own", "step", F.expr(_siblings("levels", "slot")).alias("met")).groupBy("own")
+             .agg(F.array_join(F.array_sort(F.collect_list(F.struct("step", "met")))["met"], "").alias("above")))
+    feet = manifest.runs.where(F.col("level").isin(1, TOP + 1)).select(F.col("id").alias("own"), "levels").join(above, "own", "left")
+    met = F.concat(F.coalesce(F.expr(_siblings("levels", "slot")), F.lit("")), F.coalesce("above", F.lit("")))
+    proof = (manifest.leaves.select("rank", F.col("up").alias("own"), "slot").join(feet, "own", "left")
+             .select("rank", F.unhex(F.sha2(met, 256)).alias("proof")))
+    return (proof.join(steps.where("up IS NULL").select("rank", "folded"), "rank")
+            .select("rank", _hex(F.col("proof")).alias("proof_sha256"), _hex(F.col("folded")).alias("folded_root")))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -97,3 +97,22 @@ def test_root_does_not_depend_on_partitions(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert merkle.build(docs).root == merkle.build(docs.repartition(7, "text")).root
     assert spark.conf.get("spark.sql.cteRecursionRowLimit", None) in (None, "1000000")
+
+
+def test_nodes_are_stored_in_blocks(spark, monkeypatch):
+    """300 leaves of one source: four blocks of up to 81 and one above, not six levels of runs; every leaf climbs in two steps."""
+    docs = spark.createDataFrame([(i, f"t{i}\n", "en", "s", i) for i in range(300)], SCHEMA)
+    manifest = merkle.build(docs)
+    assert {r["level"]: r["count"] for r in manifest.runs.groupBy("level").count().collect()} == {1: 4, 2: 1}
+    stored, climb_ = [], merkle.climb
+    monkeypatch.setattr(merkle, "climb", lambda *a, **k: stored.append(climb_(*a, **k)) or stored[-1])
+    assert merkle.proofs(manifest).count() == 300
+    assert sum(s.count() for s in stored) == 300 + 4 * 2  # last steps, and what the first leaf of a block met
+
+
+@pytest.mark.parametrize("held", [0, merkle.HELD_RUNS])
+def test_more_sources_than_a_block_holds(spark, monkeypatch, held):
+    monkeypatch.setattr(merkle, "HELD_RUNS", held)
+    rows = [(i, f"a\n{i}", "en", f"s{i % 100 if i < 190 else 7}", i) for i in range(290)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert got(merkle.report(docs)) == plain(rows_of(docs))
