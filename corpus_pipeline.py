@@ -37,7 +37,8 @@ def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the token ids of what is left into sequences."""
-    return packing.pack(docs, TOKENIZER, characters=4 << 20)  # rows carry their ids, which take memory as well
+    # Rows carry their ids, and a worker keeps its words while other stages run; both take memory.
+    return packing.pack(docs, TOKENIZER, characters=4 << 20, words=400_000)
 
 
 STAGES = [

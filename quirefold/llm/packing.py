@@ -16,6 +16,8 @@ from quirefold.llm import tokens
 
 WINDOW = 2048
 END = 1
+#: Documents whose ids are in memory at one time, besides the pieces in windows that are still open.
+DOCUMENTS = 1_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "ids array<int>")
 #: Sequence numbers of one task; a task's partition number stands above them.
@@ -73,7 +75,7 @@ def pack_task(documents, size: int = WINDOW):
             yield doc, at, ids[at : at + size], total, packer.new(), 0
         if whole == total:
             continue
-        piece = (doc, whole, ids[whole:], total)
+        piece = (doc, whole, ids[whole:].copy(), total)  # waits in its window without the ids that it was cut from
         window, level = packer.place(total - whole)
         packer.held.setdefault(window, []).append((piece, level))
         if level + total - whole == size:
@@ -91,13 +93,13 @@ def pack_task(documents, size: int = WINDOW):
             start, ids, room, offset = start + len(part), ids[len(part) :], room - len(part), offset + len(part)
 
 
-def _packed(path: str, end: int, size: int, with_ids: bool, characters: int):
+def _packed(path: str, end: int, size: int, with_ids: bool, characters: int, words: int | None):
     def run(batches):
         base = TaskContext.get().partitionId() * PER_TASK
-        encode = tokens.encoder(path)
+        encode = tokens.encoder(path, words)
 
         def documents():
-            for batch in batches:
+            for batch in (b.slice(at, DOCUMENTS) for b in batches for at in range(0, b.num_rows, DOCUMENTS)):
                 ids, starts = encode.batch([t or "" for t in batch.column(1).to_pylist()], characters)
                 ids = np.insert(ids, starts[1:], end)
                 starts = (starts + np.arange(len(starts))).tolist()
@@ -124,10 +126,10 @@ def _packed(path: str, end: int, size: int, with_ids: bool, characters: int):
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, end: int = END, with_ids: bool = True,
-         characters: int = tokens.CHARACTERS) -> DataFrame:
+         characters: int = tokens.CHARACTERS, words: int | None = None) -> DataFrame:
     """Pieces of all documents (null text: empty, so the end id alone) with their sequences; columns as in SCHEMA.
 
-    ``characters`` of texts are encoded together in memory. Needs no shuffle: every task packs what it reads, and its sequences have numbers of their own.
+    ``characters`` of texts are encoded together in memory, and every Python worker remembers so many ``words``. Needs no shuffle: every task packs what it reads, and its sequences have numbers of their own.
     """
-    out = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_packed(tokenizer, end, size, with_ids, characters), SCHEMA)
+    out = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_packed(tokenizer, end, size, with_ids, characters, words), SCHEMA)
     return out if with_ids else out.drop("ids")

@@ -5,6 +5,7 @@ within overlapping chunks; the chunks' maxima and means over the document go thr
 probability. The network is fitted on a bounded sample of labelled rows and scores every document where it lies.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,8 @@ THRESHOLD = 0.3
 EMBED, WIDTH, STRIDE, FILTERS, HIDDEN = 8, 8, 4, 32, 16
 STEP = 112  # filter positions from one chunk to the next: 448 bytes
 OVERLAP = 15  # positions of the next chunk that a chunk covers as well: 60 bytes, more than a filter's width
-_INFER_BYTES = 1 << 20
+_INFER_BYTES = 1 << 18
+_TILE = 512  # chunks whose filters are in memory at a time when texts are scored
 
 
 @dataclass
@@ -49,18 +51,24 @@ class Network:
         data = np.zeros((starts[-1] * STEP + 1) * STRIDE, dtype=np.uint8)
         for text, at in zip(texts, starts):
             data[at * STEP * STRIDE : at * STEP * STRIDE + len(text)] = np.frombuffer(text, dtype=np.uint8)
-        groups = w["embed"][data].reshape(-1, STRIDE * EMBED)
-        act = groups[:-1] @ w["early"]
-        act += groups[1:] @ w["late"]
-        act += w["bias"]
-        np.maximum(act, 0, out=act)
-        act = act.reshape(-1, STEP, FILTERS)
+        left = np.repeat(positions, slots) - (np.arange(starts[-1]) - np.repeat(starts[:-1], slots)) * STEP
+        pooled, heads, tile = [], [], starts[-1] if keep else _TILE
+        for first in range(0, starts[-1], tile):
+            last = min(first + tile, starts[-1])
+            groups = w["embed"][data[first * STEP * STRIDE : (last * STEP + 1) * STRIDE]].reshape(-1, STRIDE * EMBED)
+            act = groups[:-1] @ w["early"]
+            act += groups[1:] @ w["late"]
+            act += w["bias"]
+            np.maximum(act, 0, out=act)
+            act = act.reshape(-1, STEP, FILTERS)
+            for slot in np.flatnonzero(left[first:last] < STEP):
+                act[slot, max(left[first + slot], 0) :] = 0  # after the text; 0 is the least value
+            pooled.append(act.max(axis=1))
+            heads.append(act[:, :OVERLAP].max(axis=1))
         ends = starts[:-1] + chunks - 1
-        for start, n, stop in zip(starts, positions, starts[1:]):
-            act.reshape(-1, FILTERS)[start * STEP + n : stop * STEP] = 0  # after the text; 0 is the least value
-        pooled = act.max(axis=1)
+        pooled, heads = np.concatenate(pooled), np.concatenate(heads)
         following = np.zeros_like(pooled)
-        following[:-1] = act[1:, :OVERLAP].max(axis=1)
+        following[:-1] = heads[1:]
         following[ends] = following[starts[1:] - 1] = 0
         top = np.maximum(pooled, following)
         most = np.maximum.reduceat(top, starts[:-1])
@@ -165,15 +173,13 @@ def scored(rows: DataFrame, network: Network | None, key: str = "doc_id") -> Dat
 
     Without a network, there having been no labels, every score is 1 and nothing is rejected.
     """
-    def run(batches):
+    @F.arrow_udf(T.DoubleType())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1_000):
-                part = batch.slice(at, 1_000)
-                texts = [t or b"" for t in part.column(1).to_pylist()]
-                scores = network.scores(texts) if network else np.ones(len(texts))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, type=pa.float64())], names=[key, "score"])
-    kind = T.StructType([rows.select(key).schema[0], T.StructField("score", T.DoubleType())])
-    return rows.select(key, F.coalesce("text", F.lit("")).cast("binary").alias("bytes")).mapInArrow(run, kind)
+            parts = (batch.slice(at, 250).to_pylist() for at in range(0, len(batch), 250))
+            scores = [network.scores(texts) if network else np.ones(len(texts)) for texts in parts]
+            yield pa.array(np.concatenate(scores) if scores else np.zeros(0), type=pa.float64())
+    return rows.select(key, score(F.coalesce("text", F.lit("")).cast("binary")).alias("score"))
 
 
 def report(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -36,12 +36,13 @@ class Encoder:
     """Ids of texts as the library's ``encode(text, add_special_tokens=False)`` gives them.
 
     ``path`` is a tokenizer file whose pre-tokenizer splits at white space and at changes between letters and
-    punctuation. Strings of special tokens in a text get the special ids, as in the library.
+    punctuation. Strings of special tokens in a text get the special ids, as in the library. So many
+    ``words`` are remembered, REMEMBERED if not given.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int | None = None):
         from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(path)
+        self.library, self.words = Tokenizer.from_file(path), words
         # ``ids[begins[n] : begins[n + 1]]`` belong to the word with number n.
         self.numbers: defaultdict[str, int] = defaultdict(count().__next__)
         self.begins, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype="<u4")
@@ -53,7 +54,7 @@ class Encoder:
         kept = [(w, n) for w, n in self.numbers.items() if again[n]]
         old = np.array([n for _, n in kept], dtype=np.int64)
         sizes = self.begins[old + 1] - self.begins[old]
-        if len(kept) > REMEMBERED // 2 or sizes.sum() > IDS // 2:
+        if len(kept) > (self.words or REMEMBERED) // 2 or sizes.sum() > IDS // 2:
             kept, old, sizes = [], old[:0], sizes[:0]
         begins = np.concatenate(([0], np.cumsum(sizes)))
         self.ids = self.ids[np.repeat(self.begins[old] - begins[:-1], sizes) + np.arange(begins[-1])]
@@ -77,7 +78,7 @@ class Encoder:
         return np.concatenate(values) if values else np.zeros(0, dtype="<u4"), starts
 
     def _together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.unsafe) > REMEMBERED or len(self.ids) > IDS:
+        if len(self.unsafe) > (self.words or REMEMBERED) or len(self.ids) > IDS:
             self._forget()
         cut = [[_JOINED + t] if _unsafe(t) else (_JOINED + t.replace("\n", f"\n {_JOINED}")).split(" ") for t in texts]
         known = len(self.unsafe)
@@ -112,15 +113,15 @@ class Encoder:
         return codes, bounds
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int | None], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and file."""
-    if path not in _ENCODERS:
+def encoder(path: str, words: int | None = None) -> Encoder:
+    """One encoder per Python worker, file and number of remembered words."""
+    if (path, words) not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, words] = Encoder(path, words)
+    return _ENCODERS[path, words]
 
 
 def crc32(ids: np.ndarray) -> int:

@@ -1,6 +1,7 @@
 """Packing, sharding and token files against plain Python."""
 
 import collections
+import weakref
 import zlib
 
 import numpy as np
@@ -57,6 +58,29 @@ def test_forgetting_words_keeps_ids(path, monkeypatch):
             assert ids[s:e].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_remembered_by_one_encoder():
+    library, ours = Tokenizer.from_file(WORD), Encoder(WORD, words=40)
+    for i in range(60):
+        text = f"the word{i} and word{i + 1}, again {i // 7} and the end"
+        assert ours.batch([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(ours.unsafe) < 70
+
+
+def test_waiting_pieces_do_not_hold_their_batch():
+    """Ids of documents read together are let go of, but for the pieces whose windows are still open."""
+    batches = []
+
+    def documents():
+        for b in range(6):
+            ids = np.arange(100 * 1_500)
+            batches.append(weakref.ref(ids))
+            for i in range(100):
+                yield 100 * b + i, ids[1_500 * i : 1_500 * (i + 1)]
+            del ids
+            assert all(batch() is None for batch in batches[:-1])
+    assert sum(len(row[2]) for row in packing.pack_task(documents())) == 6 * 100 * 1_500
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
 

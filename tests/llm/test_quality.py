@@ -1,5 +1,6 @@
 """The network: gradients, chunks, accuracy on held-out rows."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -57,6 +58,19 @@ def test_forward_covers_whole_texts():
     assert np.allclose(net.scores(texts), [1 / (1 + np.exp(-float(net.forward([t])[0]))) for t in texts], atol=1e-5)
 
 
+def test_scoring_needs_memory_for_a_few_chunks():
+    """A text much longer than a tile is scored as when all its filters are in memory, without having them there."""
+    net, rng = Network.fresh(1), np.random.default_rng(2)
+    size = quality.STEP * quality.STRIDE
+    texts = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (3, 900, quality._TILE * size, 5, quality._TILE * size + 61, 2 << 20)]
+    assert np.allclose(net.forward(texts), net.forward(texts, keep=True)[0], atol=1e-4)
+    tracemalloc.start()
+    net.scores(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 << 20
+
+
 @pytest.fixture(scope="module")
 def rows(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet".replace("sf0.001", "sf0.01")) for n in ("documents", "labels"))
