@@ -24,7 +24,7 @@ THRESHOLD = 0.3
 EMBED, WIDTH, STRIDE, FILTERS, HIDDEN = 8, 8, 4, 32, 16
 STEP = 112  # filter positions from one chunk to the next: 448 bytes
 OVERLAP = 15  # positions of the next chunk that a chunk covers as well: 60 bytes, more than a filter's width
-_INFER_BYTES = 1 << 18
+_INFER_BYTES = 1 << 20
 _TILE = 512  # chunks whose filters are in memory at a time when texts are scored
 
 
@@ -176,7 +176,7 @@ def scored(rows: DataFrame, network: Network | None, key: str = "doc_id") -> Dat
     @F.arrow_udf(T.DoubleType())
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = (batch.slice(at, 250).to_pylist() for at in range(0, len(batch), 250))
+            parts = (batch.slice(at, 1_000).to_pylist() for at in range(0, len(batch), 1_000))
             scores = [network.scores(texts) if network else np.ones(len(texts)) for texts in parts]
             yield pa.array(np.concatenate(scores) if scores else np.zeros(0), type=pa.float64())
     return rows.select(key, score(F.coalesce("text", F.lit("")).cast("binary")).alias("score"))
