@@ -24,6 +24,8 @@ _JOINED = "\r"
 # A cut beside any of these may not be safe: white space other than a space or line feed, characters beyond Latin-1
 # letters (other letters, combining marks, other white space), marks of special tokens.
 _UNSAFE_WORD = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x80-\xbf]|[^\x00-\xff]|<\|")
+# Letters, and marks behind them, if any: no token lies across. No apostrophe, which may join letters, and nothing of special tokens.
+_PLAIN_WORD = re.compile(r"(\r?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]*\n?)")
 
 
 def _unsafe(text: str) -> bool:
@@ -32,6 +34,12 @@ def _unsafe(text: str) -> bool:
             or text[:1].isspace() or text[-1:].isspace())
 
 
+def _places(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Encoder:
     """Ids of texts as the library's ``encode(text, add_special_tokens=False)`` gives them.
 
@@ -57,7 +65,7 @@ class Encoder:
         if len(kept) > (self.words or REMEMBERED) // 2 or sizes.sum() > IDS // 2:
             kept, old, sizes = [], old[:0], sizes[:0]
         begins = np.concatenate(([0], np.cumsum(sizes)))
-        self.ids = self.ids[np.repeat(self.begins[old] - begins[:-1], sizes) + np.arange(begins[-1])]
+        self.ids = self.ids[_places(self.begins[old], sizes)]
         self.begins, self.unsafe, self.uses = begins, self.unsafe[old], np.zeros(len(old), dtype=np.int64)
         self.numbers = defaultdict(count(len(kept)).__next__, {w: i for i, (w, _) in enumerate(kept)})
 
@@ -95,23 +103,53 @@ class Encoder:
         begins = self.begins[codes]
         each = self.begins[codes + 1] - begins
         ends = np.concatenate(([0], np.cumsum(each)))
-        ids = self.ids[np.repeat(begins - ends[:-1], each) + np.arange(ends[-1])]
-        return ids, np.diff(ends[bounds])
+        return self.ids[_places(begins, each)], np.diff(ends[bounds])
 
     def _numbered(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """The number of each word, and where each text's begin; ids of new words go into the table."""
         bounds = np.cumsum([0, *map(len, cut)])
         codes = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=bounds[-1])
         new = list(islice(reversed(self.numbers), max(0, codes.max(initial=-1) + 1 - len(self.unsafe))))[::-1]
-        for at in range(0, len(new), 20_000):
-            words = [w[1:] if w[0:1] == _JOINED else " " + w for w in new[at : at + 20_000]]
-            found = [done.ids for done in self.library.encode_batch_fast(words, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(sizes)))
-            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(found), dtype="<u4", count=sizes.sum())))
-            self.unsafe = np.concatenate((self.unsafe, [_UNSAFE_WORD.search(w) is not None for w in words]))
+        if new:
+            self._learn(new)
         return codes, bounds
 
+    def _learn(self, new: list[str]) -> None:
+        """Enter the ids of new words. A word with marks behind it has its own ids and then those of the marks, so it goes
+        through the library once, whatever marks follow it."""
+        known, pieces, bounds, unsafe = len(self.unsafe), [], [0], []
+        for word in new:
+            plain = _PLAIN_WORD.fullmatch(word)
+            if plain is None:
+                pieces.append(word)
+                unsafe.append(_UNSAFE_WORD.search(word, word[:1] == _JOINED) is not None)
+            else:
+                pieces.append(plain[1])
+                if plain[2]:
+                    pieces.append(_JOINED + plain[2])
+                unsafe.append(False)
+            bounds.append(len(pieces))
+        # Pieces that the table does not hold yet are numbered as if they stood behind it.
+        fresh: defaultdict[str, int] = defaultdict(count(known).__next__)
+        held = self.numbers.get
+        rows = np.array([n if (n := held(p, known)) < known else fresh[p] for p in pieces], dtype=np.int64)
+        wanted, old = list(fresh), rows[rows < known]
+        sizes = [self.begins[old + 1] - self.begins[old]]
+        found = [self.ids[_places(self.begins[old], sizes[0])]]
+        for at in range(0, len(wanted), 20_000):
+            words = [w[1:] if w[0:1] == _JOINED else " " + w for w in wanted[at : at + 20_000]]
+            lists = [done.ids for done in self.library.encode_batch_fast(words, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)))
+            found.append(np.fromiter(chain.from_iterable(lists), dtype="<u4", count=sizes[-1].sum()))
+        # Of these, in this order, each piece is one.
+        which = np.where(rows < known, np.cumsum(rows < known) - 1, rows + (len(old) - known))
+        each = np.concatenate(sizes)
+        ids = np.concatenate(found)[_places((np.cumsum(each) - each)[which], each[which])]
+        ends = np.concatenate(([0], np.cumsum(each[which])))[bounds[1:]]
+        self.begins = np.concatenate((self.begins, self.begins[-1] + ends))
+        self.ids = np.concatenate((self.ids, ids))
+        self.unsafe = np.concatenate((self.unsafe, unsafe))
+
 
 _ENCODERS: dict[tuple[str, int | None], Encoder] = {}
 

@@ -45,6 +45,24 @@ def test_known_words_need_no_library(path):
     assert ours.batch([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_words_with_other_marks_need_no_library(path):
+    """A word goes through the library once, whatever marks stand behind it."""
+    ours = Encoder(path)
+    ours.batch(["x, a the House and, some. élan%%% more.\nelse", "a stop"])
+    asked = []
+
+    class Asked:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+    library, ours.library = ours.library, Asked()
+    text = "a the, House. the%%% fresh, fresh. fresh, stop.\nelse it's, a1, stop,"
+    assert ours.batch([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    # Known words are not asked for with other marks, a new one once, and one that is not of letters with its marks.
+    assert sorted(w for w in asked if w.lower() != w.upper()) == [" a1,", " fresh", " it's,"]
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_forgetting_words_keeps_ids(path, monkeypatch):
     from quirefold.llm import tokens
